@@ -194,10 +194,12 @@ def rfm_segments(rf: DataFrame, n: int = 10) -> DataFrame:
     return seg.orderBy(F.col("Num_Transacciones").desc(), F.col("Segmento_RFM").asc()).limit(n)
 
 
-def crosstab(df: DataFrame, row: str, col: str, values) -> DataFrame:
+def crosstab(df: DataFrame, row: str, col: str, values, names=None) -> DataFrame:
     """Counts of ``row`` x ``col`` with a fixed column list (zero fill)."""
+    names = list(names or values)
     piv = df.groupBy(row).pivot(col, list(values)).agg(F.count(F.lit(1)))
-    return piv.select(row, *[F.coalesce(F.col(f"`{v}`"), F.lit(0)).cast("long").alias(v) for v in values])
+    return piv.select(row, *[F.coalesce(F.col(f"`{v}`"), F.lit(0)).cast("long").alias(n)
+                             for v, n in zip(values, names)])
 
 
 def size_segments(baskets: DataFrame, col: str = "Productos_Comprados") -> DataFrame:
