@@ -20,7 +20,7 @@ from basketry.plans.session import fresh_path
 from basketry.sources import sinks
 from basketry.sources import tables as tb
 
-_LOCK = threading.Lock()
+_LOCK = threading.RLock()
 _STAGES: dict[tuple[str, str], str] = {}
 
 
@@ -59,3 +59,50 @@ def forget(spark: SparkSession | None = None) -> None:
 def baskets_by_key(spark: SparkSession, sf_dir: str, keys=("ID_Tienda", "ID_Transaccion")) -> DataFrame:
     """Units per basket (one row per basket key)."""
     return sales(spark, sf_dir).groupBy(*keys).agg(F.count(F.lit(1)).alias("Productos_Comprados"))
+
+
+# ------------------------------------------------------------------ mining
+# Fixed parameters of the registered mining queries (driver data: items are
+# part brands; association is weak by construction, so thresholds are low).
+MINING_ITEM = "p_brand"
+MINING_MIN_SUPPORT = 0.01
+MINING_MIN_CONFIDENCE = 0.05
+MINING_MAX_LEN = 3
+_MINED: dict[tuple[str, str], tuple[str, str]] = {}
+
+
+def item_lines(spark: SparkSession, sf_dir: str, item: str = MINING_ITEM) -> DataFrame:
+    """Basket key + item per unit line (item = an attribute of the part)."""
+    part = tb.read_table(spark, sf_dir, "part").select(F.col("p_partkey").alias("ID_Producto"),
+                                                       F.col(item).alias("Item"))
+    return sales(spark, sf_dir).select("ID_Tienda", "ID_Transaccion", "ID_Producto").join(part, "ID_Producto") \
+        .select("ID_Tienda", "ID_Transaccion", "Item")
+
+
+def mining_baskets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from basketry.operators import basket as bk
+    return bk.baskets(item_lines(spark, sf_dir), "Item", min_size=2)
+
+
+def n_mining_baskets(spark: SparkSession, sf_dir: str):
+    """Number of mining baskets, as a scalar subquery column."""
+    return mining_baskets(spark, sf_dir).agg(F.count(F.lit(1))).scalar()
+
+
+def mined(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """FP-Growth itemsets and rules for ``sf_dir``, fitted once per session and
+    written to the shared scratch folder (lineage cut, reused by every
+    mining and recommendation query)."""
+    from basketry.operators import basket as bk
+    key = _key(spark, sf_dir)
+    with _LOCK:
+        paths = _MINED.get(key)
+        if paths is None or not all(sinks.path_exists(spark, p) for p in paths):
+            its, rules = bk.mine(mining_baskets(spark, sf_dir), MINING_MIN_SUPPORT, MINING_MIN_CONFIDENCE,
+                                 max_len=MINING_MAX_LEN)
+            root = fresh_path(spark, "mining")
+            its.write.parquet(f"{root}/itemsets")
+            rules.write.parquet(f"{root}/rules")
+            paths = (f"{root}/itemsets", f"{root}/rules")
+            _MINED[key] = paths
+    return spark.read.parquet(paths[0]), spark.read.parquet(paths[1])
