@@ -1 +1,139 @@
-"""Registered queries (segment_queries)."""
+"""Registered segmentation queries (scaling, K-Means, profiles, labels)."""
+
+from __future__ import annotations
+
+import threading
+
+from pyspark.sql import functions as F
+
+from basketry.operators import customers as cu
+from basketry.operators import segment as sg
+from basketry.plans import facts
+from basketry.plans.facts import sales
+from basketry.plans.registry import register, with_sales
+from basketry.plans.session import fresh_path
+
+K, SEED, MAX_ITER = 4, 42, 20
+ELBOW_KS = range(2, 7)
+POINTS_FRACTION = 0.1
+# Given centres in z-space for the exact assignment test.
+FIXED_CENTERS = ((-1.0, -0.5), (-1.0, 1.0), (1.0, -0.5), (1.0, 1.0))
+
+_LOCK = threading.RLock()
+_FITS: dict = {}
+
+
+def _rf(spark, sf):
+    return cu.rf_features(sales(spark, sf)).select("ID_Tienda", "ID_Transaccion", *sg.FEATURES)
+
+
+def _fit(spark, sf):
+    """Scaler + K-Means fitted once per session; labelled rows written to scratch."""
+    key = facts._key(spark, sf)
+    with _LOCK:
+        hit = _FITS.get(key)
+        if hit is None:
+            scaler, scaled = sg.scale(_rf(spark, sf))
+            model, clustered = sg.fit_clusters(scaled, K, SEED, MAX_ITER)
+            path = fresh_path(spark, "clusters")
+            clustered.write.parquet(path)
+            hit = (scaler, model, path)
+            _FITS[key] = hit
+    scaler, model, path = hit
+    return scaler, model, spark.read.parquet(path)
+
+
+_Z_CTES = (
+    """rf AS (SELECT ID_Tienda, ID_Transaccion,
+      CAST(date_diff('day', max(Fecha), (SELECT max(Fecha) + 1 FROM sales)) AS INTEGER) AS Recencia_Dias,
+      count(*) AS Productos_Comprados FROM sales GROUP BY ID_Tienda, ID_Transaccion)""",
+    """z AS (SELECT *, (Recencia_Dias - (SELECT avg(Recencia_Dias) FROM rf)) / (SELECT stddev_samp(Recencia_Dias) FROM rf)
+          AS zr, (Productos_Comprados - (SELECT avg(Productos_Comprados) FROM rf))
+          / (SELECT stddev_samp(Productos_Comprados) FROM rf) AS zp FROM rf)""",
+)
+
+
+def _dist(j: int) -> str:
+    cr, cp = FIXED_CENTERS[j]
+    return f"((zr - ({cr})) * (zr - ({cr})) + (zp - ({cp})) * (zp - ({cp})))"
+
+
+_ASSIGN_CTE = f"""asg AS (SELECT *, CAST(CASE
+      WHEN {_dist(0)} <= {_dist(1)} AND {_dist(0)} <= {_dist(2)} AND {_dist(0)} <= {_dist(3)} THEN 0
+      WHEN {_dist(1)} <= {_dist(2)} AND {_dist(1)} <= {_dist(3)} THEN 1
+      WHEN {_dist(2)} <= {_dist(3)} THEN 2 ELSE 3 END AS INTEGER) AS Cluster FROM z)"""
+_PROFILE_CTE = """prof AS (SELECT Cluster, count(*) AS Num_Clientes, round(avg(Recencia_Dias), 2) AS Recencia_Media,
+      round(quantile_cont(Recencia_Dias, 0.5), 2) AS Recencia_Mediana,
+      round(avg(Productos_Comprados), 2) AS Productos_Media,
+      round(quantile_cont(Productos_Comprados, 0.5), 2) AS Productos_Mediana FROM asg GROUP BY Cluster)"""
+
+
+@register("scaled_features", with_sales(*_Z_CTES, select="""
+SELECT ID_Tienda, ID_Transaccion, round(zr, 6) AS Z_Recencia_Dias, round(zp, 6) AS Z_Productos_Comprados FROM z"""),
+          "J6")
+def scaled_features(spark, sf):
+    _, scaled = sg.scale(_rf(spark, sf))
+    z = sg.zscores(scaled)
+    return z.select("ID_Tienda", "ID_Transaccion", *[F.round(f"Z_{c}", 6).alias(f"Z_{c}") for c in sg.FEATURES])
+
+
+@register("assign_fixed_centroids", with_sales(*_Z_CTES, _ASSIGN_CTE, select="""
+SELECT ID_Tienda, ID_Transaccion, Cluster FROM asg"""), "J13")
+def assign_fixed_centroids(spark, sf):
+    return sg.assign(_rf(spark, sf), FIXED_CENTERS).select("ID_Tienda", "ID_Transaccion", "Cluster")
+
+
+@register("cluster_profile_fixed", with_sales(*_Z_CTES, _ASSIGN_CTE, _PROFILE_CTE, select="SELECT * FROM prof"),
+          "J9")
+def cluster_profile_fixed(spark, sf):
+    return sg.cluster_profile(sg.assign(_rf(spark, sf), FIXED_CENTERS))
+
+
+_ADVICE_SQL = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in sg.ADVICE.items())
+_R, _U, _N = sg.DASHBOARD_RULE
+
+
+@register("segment_labels", with_sales(*_Z_CTES, _ASSIGN_CTE, _PROFILE_CTE, select=f"""
+SELECT *, CASE Segmento {_ADVICE_SQL} END AS Accion FROM (SELECT *, CASE
+    WHEN Recencia_Media < {_R} AND Productos_Media > {_U} THEN '{_N[0]}'
+    WHEN Recencia_Media < {_R} AND Productos_Media <= {_U} THEN '{_N[1]}'
+    WHEN Recencia_Media >= {_R} AND Productos_Media > {_U} THEN '{_N[2]}'
+    ELSE '{_N[3]}' END AS Segmento FROM prof) x"""), "J10 L6")
+def segment_labels(spark, sf):
+    return sg.label_clusters(sg.cluster_profile(sg.assign(_rf(spark, sf), FIXED_CENTERS)))
+
+
+@register("kmeans_elbow", None, "J7")
+def kmeans_elbow(spark, sf):
+    _, scaled = sg.scale(_rf(spark, sf))
+    return sg.elbow(scaled, ELBOW_KS, SEED, MAX_ITER)
+
+
+@register("kmeans_clusters", None, "J8")
+def kmeans_clusters(spark, sf):
+    _, _, clustered = _fit(spark, sf)
+    return clustered.select("ID_Tienda", "ID_Transaccion", *sg.FEATURES, "Cluster")
+
+
+@register("cluster_profile", None, "J9")
+def cluster_profile(spark, sf):
+    _, _, clustered = _fit(spark, sf)
+    return sg.label_clusters(sg.cluster_profile(clustered))
+
+
+@register("kmeans_centroids", None, "J11")
+def kmeans_centroids(spark, sf):
+    scaler, model, _ = _fit(spark, sf)
+    return sg.centroids(spark, model, scaler)
+
+
+@register("kmeans_silhouette", None, "J12")
+def kmeans_silhouette(spark, sf):
+    _, _, clustered = _fit(spark, sf)
+    return spark.createDataFrame([(K, sg.silhouette(clustered))], "K int, Silhouette double")
+
+
+@register("cluster_points", None, "J14")
+def cluster_points(spark, sf):
+    _, _, clustered = _fit(spark, sf)
+    return sg.cluster_points(clustered, POINTS_FRACTION, SEED)
