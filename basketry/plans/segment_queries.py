@@ -137,3 +137,13 @@ def kmeans_silhouette(spark, sf):
 def cluster_points(spark, sf):
     _, _, clustered = _fit(spark, sf)
     return sg.cluster_points(clustered, POINTS_FRACTION, SEED)
+
+
+@register("verify_outputs", None, "I13")
+def verify_outputs(spark, sf):
+    from basketry.operators import basket as bk
+    from basketry.operators import profile as pf
+    its, rules = facts.mined(spark, sf)
+    _, _, clustered = _fit(spark, sf)
+    return pf.verify_outputs({"sales": sales(spark, sf), "clusters": clustered.select("Cluster"),
+                              "rules": bk.rules_report(rules), "itemsets": its})

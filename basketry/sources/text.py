@@ -84,8 +84,8 @@ def raw_transactions(lines: DataFrame, trailing_space: bool = False) -> DataFram
                       text.alias("ID_Productos_Raw"))
 
 
-def write_pipe(df: DataFrame, path: str, header: bool = False, partition_by=()) -> str:
-    w = df.write.mode("overwrite").option("sep", PIPE).option("header", header)
+def write_pipe(df: DataFrame, path: str, header: bool = False, partition_by=(), mode: str = "overwrite") -> str:
+    w = df.write.mode(mode).option("sep", PIPE).option("header", header)
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.csv(path)
