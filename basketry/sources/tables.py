@@ -58,12 +58,12 @@ def categories(spark: SparkSession, sf_dir: str) -> DataFrame:
         "Nombre_Categoria")
 
 
-def product_category(spark: SparkSession, sf_dir: str) -> DataFrame:
+def product_category(spark: SparkSession, sf_dir: str, cats: DataFrame | None = None) -> DataFrame:
     """Product -> category id map (parts above the size limit have none)."""
     part = (read_table(spark, sf_dir, "part")
             .where(F.col("p_size") <= CATEGORY_MAX_SIZE)
             .select(F.col("p_partkey").alias("ID_Producto"), F.col("p_type").alias("Nombre_Categoria")))
-    cats = categories(spark, sf_dir)
+    cats = categories(spark, sf_dir) if cats is None else cats
     return part.join(F.broadcast(cats), "Nombre_Categoria").select("ID_Producto", "ID_Categoria")
 
 
@@ -83,6 +83,6 @@ def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 def sales_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The sales fact computed from the driver tables (lazy, no write)."""
     lines = order_lines(spark, sf_dir)
-    enriched = en.enrich(lines, product_category(spark, sf_dir), categories(spark, sf_dir),
-                         default=UNKNOWN_CATEGORY)
+    cats = categories(spark, sf_dir)
+    enriched = en.enrich(lines, product_category(spark, sf_dir, cats), cats, default=UNKNOWN_CATEGORY)
     return cal.sales_calendar(enriched).select(*SALES_COLUMNS)
