@@ -24,48 +24,64 @@ def for_product(rules: DataFrame, product, n: int = 10) -> DataFrame:
             .orderBy(F.col("_l").desc(), "Antecedente_Str", "Consecuente_Str").limit(n).drop("_l"))
 
 
-def _rule_ids(rules: DataFrame) -> DataFrame:
-    return rules.select(_txt("antecedent").alias("Antecedente_Str"), _txt("consequent").alias("Consecuente_Str"),
-                        "antecedent", "consequent", "confidence", "lift", "support")
+def ranked_rules(rules: DataFrame) -> DataFrame:
+    """Rules with a rank by (lift desc, antecedent text, consequent text).
+
+    The rank is computed on the rule table, whose size is set by the mining
+    thresholds, not by the number of baskets; matches are then grouped by
+    this integer instead of by text, and the best ``n`` rules of a basket
+    are simply its ``n`` smallest ranks.
+    """
+    r = rules.select(_txt("antecedent").alias("Antecedente_Str"), _txt("consequent").alias("Consecuente_Str"),
+                     "antecedent", "consequent", "confidence", "lift", "support")
+    w = Window.orderBy(F.col("lift").desc(), F.col("Antecedente_Str"), F.col("Consecuente_Str"))
+    return r.withColumn("_rk", F.row_number().over(w))
+
+
+def _report(top: DataFrame, rules: DataFrame, keys, with_support: bool = True) -> DataFrame:
+    """Expand per-basket rank arrays into rows and attach the rule columns."""
+    rows = top.select(*keys, F.posexplode("_top").alias("_p", "_rk"))
+    cols = [*keys, (F.col("_p") + 1).alias("Posicion"), "Antecedente_Str", "Consecuente_Str",
+            F.round("confidence", 6).alias("Confianza"), F.round("lift", 6).alias("Lift")]
+    if with_support:
+        cols.append(F.round("support", 6).alias("Soporte"))
+    return rows.join(rules.drop("antecedent", "consequent"), "_rk").select(*cols)
 
 
 def for_baskets(rules: DataFrame, baskets: DataFrame, n: int = 10, keys=("ID_Tienda", "ID_Transaccion")) -> DataFrame:
-    """For every basket, the distinct rules with any antecedent item in it, top ``n`` by lift."""
+    """For every basket, the distinct rules with any antecedent item in it, top ``n`` by lift.
+
+    Basket items meet exploded antecedent items in an equi join; each basket
+    keeps the set of matched rule ranks (bounded by the number of rules),
+    whose ``n`` smallest are its recommendations.
+    """
     keys = list(keys)
-    r = _rule_ids(rules)
-    r_items = r.select("Antecedente_Str", "Consecuente_Str", "confidence", "lift", "support",
-                       F.explode("antecedent").alias("item"))
+    r = ranked_rules(rules)
+    r_items = r.select("_rk", F.explode("antecedent").alias("item"))
     b_items = baskets.select(*keys, F.explode("items").alias("item"))
-    hits = b_items.join(r_items, "item").drop("item").dropDuplicates([*keys, "Antecedente_Str", "Consecuente_Str"])
-    w = Window.partitionBy(*keys).orderBy(F.col("lift").desc(), F.col("Antecedente_Str"), F.col("Consecuente_Str"))
-    return (hits.withColumn("Posicion", F.row_number().over(w)).where(F.col("Posicion") <= n)
-            .select(*keys, "Posicion", "Antecedente_Str", "Consecuente_Str",
-                    F.round("confidence", 6).alias("Confianza"), F.round("lift", 6).alias("Lift"),
-                    F.round("support", 6).alias("Soporte")))
+    top = (b_items.join(r_items, "item").groupBy(*keys)
+           .agg(F.slice(F.array_sort(F.collect_set("_rk")), 1, n).alias("_top")))
+    return _report(top, r, keys)
 
 
 def next_items(rules: DataFrame, baskets: DataFrame, n: int = 10, keys=("ID_Tienda", "ID_Transaccion")) -> DataFrame:
     """L3: rules whose whole antecedent is in the basket and whose consequent is not yet bought.
 
-    Counts matched antecedent items per (basket, rule) from the item join;
-    a rule fires when the count equals the antecedent size.
+    Antecedent and consequent items are exploded with a role flag and met
+    with the basket items in one equi join; per (basket, rule) the matched
+    antecedent items must equal the antecedent size and no consequent item
+    may match.
     """
     keys = list(keys)
-    r = _rule_ids(rules).withColumn("_na", F.size("antecedent"))
-    r_items = r.select("Antecedente_Str", "Consecuente_Str", "consequent", "_na", "confidence", "lift", "support",
-                       F.explode("antecedent").alias("item"))
+    r = ranked_rules(rules).withColumn("_na", F.size("antecedent"))
+    r_items = (r.select("_rk", "_na", F.explode("antecedent").alias("item"), F.lit(1).alias("_a"))
+               .unionByName(r.select("_rk", "_na", F.explode("consequent").alias("item"), F.lit(0).alias("_a"))))
     b_items = baskets.select(*keys, F.explode("items").alias("item"))
-    matched = (b_items.join(r_items, "item")
-               .groupBy(*keys, "Antecedente_Str", "Consecuente_Str", "consequent", "_na", "confidence", "lift",
-                        "support")
-               .agg(F.count(F.lit(1)).alias("_m"))
-               .where(F.col("_m") == F.col("_na")))
-    fired = matched.join(baskets.select(*keys, "items"), keys)
-    fresh = fired.where(F.size(F.array_intersect("consequent", "items")) == 0)
-    w = Window.partitionBy(*keys).orderBy(F.col("lift").desc(), F.col("Antecedente_Str"), F.col("Consecuente_Str"))
-    return (fresh.withColumn("Posicion", F.row_number().over(w)).where(F.col("Posicion") <= n)
-            .select(*keys, "Posicion", "Antecedente_Str", "Consecuente_Str",
-                    F.round("confidence", 6).alias("Confianza"), F.round("lift", 6).alias("Lift")))
+    per_rule = (b_items.join(r_items, "item").groupBy(*keys, "_rk", "_na")
+                .agg(F.sum("_a").alias("_ma"), F.sum(1 - F.col("_a")).alias("_mc")))
+    fired = per_rule.where((F.col("_ma") == F.col("_na")) & (F.col("_mc") == 0))
+    top = fired.groupBy(*keys).agg(F.slice(F.array_sort(F.collect_list("_rk")), 1, n).alias("_top"))
+    return _report(top, r, keys, with_support=False)
 
 
 def hub_items(rules: DataFrame) -> DataFrame:
