@@ -177,6 +177,36 @@ def largest_baskets(spark, sf):
     return cu.largest_baskets(sales(spark, sf), 10)
 
 
-@register("executive_summary", None, "D28")
+def _metric(name: str, expr: str, src: str) -> str:
+    return f"SELECT '{name}' AS Metrica, round(CAST(({expr}) AS DOUBLE), 6) AS Valor FROM {src}"
+
+
+_EXEC_SQL = with_sales(
+    "d AS (SELECT Fecha, count(*) AS v FROM sales GROUP BY Fecha)",
+    """g AS (SELECT Fecha_Compra - lag(Fecha_Compra) OVER (ORDER BY Fecha_Compra, ID_Tienda, ID_Transaccion) AS gap
+         FROM baskets)""",
+    "p AS (SELECT ID_Producto, count(*) AS u FROM sales GROUP BY 1)",
+    "tp AS (SELECT ID_Producto, u FROM p ORDER BY u DESC, ID_Producto LIMIT 1)",
+    """pc AS (SELECT sum(u) OVER (ORDER BY u DESC, ID_Producto ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum,
+          sum(u) OVER () AS n FROM p)""",
+    "wd AS (SELECT DiaSemana_L0 AS k, count(*) AS v FROM sales GROUP BY 1 ORDER BY v DESC, k LIMIT 1)",
+    "mo AS (SELECT Mes AS k, count(*) AS v FROM sales GROUP BY 1 ORDER BY v DESC, k LIMIT 1)",
+    select="\nUNION ALL ".join([
+        _metric("Registros", "count(*)", "sales"),
+        _metric("Productos_Unicos", "count(DISTINCT ID_Producto)", "sales"),
+        _metric("Tiendas", "count(DISTINCT ID_Tienda)", "sales"),
+        _metric("Transacciones", "count(*)", "baskets"),
+        _metric("Promedio_Ventas_Diarias", "avg(v)", "d"),
+        _metric("Promedio_Productos_Por_Compra", "avg(Productos_Comprados)", "baskets"),
+        _metric("Promedio_Dias_Entre_Compras", "avg(gap)", "g"),
+        _metric("Producto_Mas_Vendido", "ID_Producto", "tp"),
+        _metric("Unidades_Producto_Mas_Vendido", "u", "tp"),
+        _metric("Productos_Pareto_80", "sum(CASE WHEN CAST(cum AS DOUBLE) / n * 100 <= 80 THEN 1 ELSE 0 END)", "pc"),
+        _metric("Dia_Semana_Top", "k", "wd"),
+        _metric("Mes_Top", "k", "mo"),
+    ]))
+
+
+@register("executive_summary", _EXEC_SQL, "D28")
 def executive_summary(spark, sf):
     return kpi.executive_summary(sales(spark, sf))
