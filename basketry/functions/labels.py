@@ -37,14 +37,18 @@ def histogram(df: DataFrame, col: str, bins: int = 50) -> DataFrame:
     Bin i covers [min + i*w, min + (i+1)*w); the maximum falls in the last
     bin (numpy convention).  min / max are scalar subqueries.
     """
-    lo = df.agg(F.min(col).cast("double")).scalar()
-    hi = df.agg(F.max(col).cast("double")).scalar()
-    width = (hi - lo) / F.lit(bins)
-    raw = F.when(hi == lo, F.lit(0)).otherwise(F.floor((F.col(col) - lo) / width))
+    lo_q = df.agg(F.min(col).cast("double")).scalar()
+    hi_q = df.agg(F.max(col).cast("double")).scalar()
+    # each scalar subquery is referenced once, then used by name
+    base = df.where(F.col(col).isNotNull()).select(F.col(col).alias("_x"), lo_q.alias("_lo"), hi_q.alias("_hi"))
+    lo, hi = F.col("_lo"), F.col("_hi")
+    width = F.when(hi == lo, F.lit(0.0)).otherwise((hi - lo) / F.lit(bins))
+    raw = F.when(hi == lo, F.lit(0)).otherwise(F.floor((F.col("_x") - lo) / width))
     b = F.least(raw, F.lit(bins - 1)).cast("int")
-    counts = df.where(F.col(col).isNotNull()).groupBy(b.alias("Bin")).agg(F.count(F.lit(1)).alias("Frecuencia"))
+    counts = base.groupBy(b.alias("Bin"), "_lo", "_hi").agg(F.count(F.lit(1)).alias("Frecuencia"))
+    width = F.when(hi == lo, F.lit(0.0)).otherwise((hi - lo) / F.lit(bins))
     return counts.select(
         "Bin",
-        F.round(lo + F.col("Bin") * F.when(hi == lo, F.lit(0.0)).otherwise(width), 6).alias("Desde"),
-        F.round(lo + (F.col("Bin") + 1) * F.when(hi == lo, F.lit(0.0)).otherwise(width), 6).alias("Hasta"),
+        F.round(lo + F.col("Bin") * width, 6).alias("Desde"),
+        F.round(lo + (F.col("Bin") + 1) * width, 6).alias("Hasta"),
         "Frecuencia")

@@ -157,8 +157,9 @@ def rules_full(itemsets: DataFrame, n_baskets, min_lift: float | None = 1.0, max
         F.expr("filter(items, (x, i) -> ((m >> i) & 1) = 0)").alias("cons"))
     a = fi.select(F.col("items").alias("ant"), F.col("freq").alias("f_ant"))
     c = fi.select(F.col("items").alias("cons"), F.col("freq").alias("f_cons"))
-    r = split.join(a, "ant").join(c, "cons")
-    n = n_baskets
+    # the basket count (often a scalar subquery) is projected once and used by name
+    r = split.join(a, "ant").join(c, "cons").withColumn("_n", n_baskets)
+    n = F.col("_n")
     sup = F.col("f_all") / n
     sa = F.col("f_ant") / n
     sc = F.col("f_cons") / n

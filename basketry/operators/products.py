@@ -85,7 +85,8 @@ def top_plus_others(sales: DataFrame, n: int = 15) -> DataFrame:
     top = _ranked(counts, "Unidades_Vendidas", "Nombre_Categoria", n).select(
         "Posicion", "Nombre_Categoria", "Unidades_Vendidas")
     total = sales.agg(F.count(F.lit(1))).scalar()
-    rest = top.agg((F.lit(total) - F.coalesce(F.sum("Unidades_Vendidas"), F.lit(0))).alias("Unidades_Vendidas"))
+    rest = top.agg(F.coalesce(F.sum("Unidades_Vendidas"), F.lit(0)).alias("_top")).select(
+        (total - F.col("_top")).alias("Unidades_Vendidas"))
     others = rest.where(F.col("Unidades_Vendidas") > 0).select(
         F.lit(n + 1).alias("Posicion"), F.lit("Otros").alias("Nombre_Categoria"), "Unidades_Vendidas")
     return top.unionByName(others)

@@ -98,14 +98,14 @@ def boxplot(df: DataFrame, col: str, keys=(), limit: float | None = None) -> Dat
     keys = list(keys)
     x = F.col(col)
     if keys:
-        q = df.groupBy(*keys).agg(F.percentile(x, 0.25).alias("Q1"), F.percentile(x, 0.75).alias("Q3"))
+        q = df.groupBy(*keys).agg(F.percentile(x, 0.25).alias("_q1"), F.percentile(x, 0.75).alias("_q3"))
         j = df.select(*keys, x.alias("_v")).join(q, keys, "inner")
-        q1, q3 = F.col("Q1"), F.col("Q3")
     else:
-        # one group: the quartiles are scalar subqueries, no join needed
+        # one group: the quartiles are two scalar subqueries, each referenced once
         q1 = df.agg(F.percentile(x, 0.25)).scalar()
         q3 = df.agg(F.percentile(x, 0.75)).scalar()
-        j = df.select(x.alias("_v"))
+        j = df.select(x.alias("_v"), q1.alias("_q1"), q3.alias("_q3"))
+    q1, q3 = F.col("_q1"), F.col("_q3")
     iqr = q3 - q1
     lo, hi = q1 - 1.5 * iqr, q3 + 1.5 * iqr
     inside = (F.col("_v") >= lo) & (F.col("_v") <= hi)

@@ -139,7 +139,9 @@ UNION ALL SELECT 'productos_multicategoria', count(*), count(*) = 0
 UNION ALL SELECT 'lineas_fecha_nula', count(*) FILTER (WHERE Fecha IS NULL),
   count(*) FILTER (WHERE Fecha IS NULL) = 0 FROM lines"""), "I14")
 def check_integrity(spark, sf):
-    return pf.check_integrity(tb.order_lines(spark, sf), tb.product_category(spark, sf), tb.categories(spark, sf))
+    cats = tb.categories(spark, sf)
+    lines = sales(spark, sf).select("ID_Producto", "Fecha")
+    return pf.check_integrity(lines, tb.product_category(spark, sf, cats), cats)
 
 
 @register("calendar_features", with_sales(select="""

@@ -105,7 +105,8 @@ SELECT Nombre_Categoria, count(*) AS Filas, count(DISTINCT ID_Producto) AS Num_P
          AS Porcentaje
 FROM pcat GROUP BY Nombre_Categoria"""), "D19 I12 G3")
 def catalog_counts(spark, sf):
-    return pr.catalog_counts(en.catalog(tb.product_category(spark, sf), tb.categories(spark, sf)))
+    cats = tb.categories(spark, sf)
+    return pr.catalog_counts(en.catalog(tb.product_category(spark, sf, cats), cats))
 
 
 @register("enrich_sales", with_sales(select=f"SELECT {', '.join(tb.SALES_COLUMNS)} FROM sales"), "C1 C2 B7 H1 H5")
