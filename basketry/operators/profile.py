@@ -43,30 +43,29 @@ def duplicate_rows(df: DataFrame, cols=None) -> DataFrame:
 
 
 def describe(df: DataFrame, cols, keys=(), approx: bool = False) -> DataFrame:
-    """Count, mean, std, min, 25/50/75 %, max per column (and per ``keys``)."""
+    """Count, mean, std, min, 25/50/75 %, max per column (and per ``keys``).
+
+    The columns are unpivoted to (Columna, value) rows and described in one
+    aggregation, so the input is scanned once whatever the number of columns.
+    """
     keys = list(keys)
+    long = df.select(*keys, *[F.col(c).cast("double").alias(c) for c in cols]).unpivot(
+        keys, list(cols), "Columna", "_x")
+    x = F.col("_x")
 
-    def q(c, p):
-        return F.percentile_approx(c, p, 10000).cast("double") if approx else F.percentile(c, p)
-
-    parts = []
-    for c in cols:
-        x = F.col(c)
-        parts.append(df.groupBy(*keys).agg(
-            F.lit(c).alias("Columna"),
-            F.count(x).alias("Cuenta"),
-            F.round(F.avg(x), 6).alias("Media"),
-            F.round(F.stddev_samp(x), 6).alias("Desv_Std"),
-            F.min(x).cast("double").alias("Minimo"),
-            F.round(q(x, 0.25), 6).alias("P25"),
-            F.round(q(x, 0.5), 6).alias("P50"),
-            F.round(q(x, 0.75), 6).alias("P75"),
-            F.max(x).cast("double").alias("Maximo"),
-        ))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    def q(p):
+        return F.percentile_approx(x, p, 10000).cast("double") if approx else F.percentile(x, p)
+
+    return long.groupBy(*keys, "Columna").agg(
+        F.count(x).alias("Cuenta"),
+        F.round(F.avg(x), 6).alias("Media"),
+        F.round(F.stddev_samp(x), 6).alias("Desv_Std"),
+        F.min(x).alias("Minimo"),
+        F.round(q(0.25), 6).alias("P25"),
+        F.round(q(0.5), 6).alias("P50"),
+        F.round(q(0.75), 6).alias("P75"),
+        F.max(x).alias("Maximo"),
+    )
 
 
 def basket_stats(baskets: DataFrame, col: str = "Productos_Comprados", keys=()) -> DataFrame:

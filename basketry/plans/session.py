@@ -49,6 +49,9 @@ def scratch_dir(spark: SparkSession) -> str:
     if not d:
         d = sc.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
         if not d:
+            if not sc.master.startswith("local"):
+                raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS, object store); "
+                                   "a machine-local temporary folder is not valid on a cluster")
             d = tempfile.mkdtemp(prefix="basketry-ckpt-")
         sc.setCheckpointDir(d)
         d = sc.getCheckpointDir() or d
