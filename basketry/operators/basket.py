@@ -50,13 +50,18 @@ def keep_top_items(lines: DataFrame, n: int, item: str = "Item", keys=BASKET_KEY
 
 
 def sample_baskets(b: DataFrame, fraction: float | None = None, seed: int = 42, cap: int | None = None,
-                   keys=BASKET_KEYS) -> DataFrame:
+                   keys=BASKET_KEYS, unit: str = "basket") -> DataFrame:
     """B13/F4 (Q4, Q5): stable hash sample of whole baskets, optional hash-ordered cap.
 
     The hash of the basket key decides membership, so the sample does not
     depend on partitioning or task retries; the cap keeps the baskets with
     the smallest hash (a deterministic ``limit``).
     """
+    if unit == "line":
+        # Q4: the reference's row sample thins baskets; kept as an option
+        return sample_lines(b, fraction if fraction is not None else 1.0, seed)
+    if unit != "basket":
+        raise ValueError("unit must be 'basket' or 'line'")
     h = F.xxhash64(F.lit(seed), *[F.col(k) for k in keys])
     out = b.withColumn("_h", h)
     if fraction is not None:

@@ -49,6 +49,33 @@ def top_products(sales: DataFrame, n: int = 10, measure: str = "units", share: b
     return out.select(*cols)
 
 
+def top_n(sales: DataFrame, key: str = "ID_Producto", n: int = 10, measure: str = "units",
+          share: bool = False, ascending: bool = False) -> DataFrame:
+    """F1/F2/F6 for any key (product, category, store): units or reach, ties on the key.
+
+    ``measure='units'`` counts rows, ``'reach'`` distinct transactions;
+    ``share`` adds the % of the total as a scalar subquery.
+    """
+    if measure == "units":
+        value, agg = "Unidades_Vendidas", F.count(F.lit(1))
+        total = sales.agg(F.count(F.lit(1))).scalar() if share else None
+    elif measure == "reach":
+        value, agg = "Num_Transacciones", F.count_distinct("ID_Transaccion")
+        total = sales.agg(F.count_distinct("ID_Transaccion")).scalar() if share else None
+    else:
+        raise ValueError(f"measure must be 'units' or 'reach', got {measure!r}")
+    counts = sales.groupBy(key).agg(agg.alias(value))
+    out = _ranked(counts, value, key, n, ascending=ascending).select("Posicion", key, value)
+    if share:
+        out = out.withColumn("Porcentaje", F.round(F.col(value) * 100.0 / total, 6))
+    return out
+
+
+def bottom_n(sales: DataFrame, key: str = "ID_Producto", n: int = 10, measure: str = "units") -> DataFrame:
+    """F6 for any key: the ``n`` smallest (ties on the key)."""
+    return top_n(sales, key, n, measure, ascending=True)
+
+
 def bottom_products(sales: DataFrame, n: int = 10) -> DataFrame:
     """least sold products (ties on the smallest id)."""
     counts = product_counts(sales, "units")

@@ -79,6 +79,23 @@ def extremes(df: DataFrame, key: str, value: str, label: str | None = None) -> D
     return w_best.unionByName(w_worst)
 
 
+def heatmap(sales: DataFrame, row: str, col: str, values, rows=None, prefix: str = "C",
+            measure: str = "units") -> DataFrame:
+    """D14/D15 generic: ``row`` x ``col`` counts with a fixed column list and zero fill.
+
+    ``rows`` (optional) is a fixed list of row values kept even when absent
+    (a small literal dimension left-joined with the pivot).
+    """
+    agg = F.count(F.lit(1)) if measure == "units" else F.count_distinct("ID_Transaccion")
+    values = list(values)
+    piv = sales.groupBy(row).pivot(col, values).agg(agg)
+    if rows is not None:
+        dim = sales.sparkSession.createDataFrame([(r,) for r in rows], [row])
+        piv = dim.join(piv, row, "left")
+    return piv.select(row, *[F.coalesce(F.col(f"`{v}`"), F.lit(0)).cast("long").alias(f"{prefix}{v}")
+                             for v in values])
+
+
 def heatmap_dow_hour(sales: DataFrame) -> DataFrame:
     """rows = weekday 1..7 (1 = Sunday), columns H00..H23, zero fill."""
     hours = list(range(cal.HOURS_PER_DAY))

@@ -236,3 +236,18 @@ def test_sample_is_stable(spark):
     a2 = sorted(r.ID_Transaccion for r in bk.sample_baskets(b.repartition(3), 0.5, seed=7).collect())
     assert a1 == a2
     assert bk.sample_baskets(b, None, cap=4).count() == 4
+
+
+def test_generic_top_n_and_heatmap(spark):
+    d = dt.date(2020, 1, 1)
+    rows = [(i, s, p, d, c) for i, (s, p, c) in enumerate([(1, 5, "A"), (1, 5, "A"), (2, 3, "B"), (2, 3, "B"),
+                                                           (2, 9, "B"), (3, 1, "C")])]
+    s = _sales(spark, rows)
+    top = pr.top_n(s, "Nombre_Categoria", 2, share=True).collect()
+    assert [(r.Nombre_Categoria, r.Unidades_Vendidas) for r in top] == [("B", 3), ("A", 2)]
+    assert top[0].Porcentaje == 50.0
+    low = pr.bottom_n(s, "ID_Tienda", 1, measure="reach").collect()
+    assert (low[0].ID_Tienda, low[0].Num_Transacciones) == (3, 1)
+    hm = {r.ID_Tienda: (r.C5, r.C3) for r in tm.heatmap(s, "ID_Tienda", "ID_Producto", [5, 3], rows=[1, 2, 3, 4])
+          .collect()}
+    assert hm == {1: (2, 0), 2: (0, 2), 3: (0, 0), 4: (0, 0)}
