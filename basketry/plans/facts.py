@@ -23,7 +23,7 @@ from basketry.sources import sinks
 from basketry.sources import tables as tb
 
 _LOCK = threading.RLock()
-_STAGES: dict[tuple[str, str], str] = {}
+_STAGES: dict[tuple[str, str], tuple[str, DataFrame]] = {}
 
 
 def _key(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
@@ -32,20 +32,27 @@ def _key(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
 
 def build_sales(spark: SparkSession, sf_dir: str) -> str:
     """Write the sales fact stage and return its path."""
-    root = fresh_path(spark, "stages")
+    path = fresh_path(spark, "sales")
     df = tb.sales_view(spark, sf_dir).hint("rebalance", "Anio", "Mes")
-    return sinks.write_stage(df, root, "sales", partition_by=("Anio", "Mes"))
+    # the session keeps the path itself, so no pointer-table entry is published
+    df.write.mode("overwrite").option("compression", "snappy").partitionBy("Anio", "Mes").parquet(path)
+    return path
 
 
 def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The sales fact for ``sf_dir``: written on first use, then read back."""
+    """The sales fact for ``sf_dir``: written on first use, then read back.
+
+    The DataFrame over the stage is kept with its path, so the partition
+    directories are listed once per session, not once per query.
+    """
     key = _key(spark, sf_dir)
     with _LOCK:
-        path = _STAGES.get(key)
-        if path is None or not sinks.path_exists(spark, path):
+        hit = _STAGES.get(key)
+        if hit is None or not sinks.path_exists(spark, hit[0]):
             path = build_sales(spark, sf_dir)
-            _STAGES[key] = path
-    return spark.read.parquet(path).select(*tb.SALES_COLUMNS)
+            hit = (path, spark.read.parquet(path).select(*tb.SALES_COLUMNS))
+            _STAGES[key] = hit
+    return hit[1]
 
 
 def forget(spark: SparkSession | None = None) -> None:
