@@ -47,3 +47,30 @@ def test_result_independent_of_partitioning(spark, sf):
     a = sorted(cu.purchase_gaps(cu.basket_table(s)).collect())
     b = sorted(cu.purchase_gaps(cu.basket_table(s.repartition(7))).collect())
     assert a == b
+
+
+def test_explode_count_equals_tokens(spark, sf):
+    from basketry.operators import clean as cl
+    from basketry.sources import text as tx
+    raw = tx.raw_transactions(sales(spark, sf).select("Fecha", "ID_Tienda", "ID_Transaccion", "ID_Producto"))
+    tokens = raw.agg(F.sum(F.size(F.split("ID_Productos_Raw", " ")))).first()[0]
+    assert cl.explode_units(raw).count() == tokens == sales(spark, sf).count()
+
+
+def test_itemset_support_not_above_subsets(spark, sf):
+    from basketry.plans import facts
+    its, _ = facts.mined(spark, sf)
+    rows = {tuple(r["items"]): r["freq"] for r in its.collect()}
+    for items, f in rows.items():
+        for i in range(len(items)):
+            sub = items[:i] + items[i + 1:]
+            if sub:
+                assert rows[sub] >= f
+
+
+def test_pareto_within_catalogue(spark, sf):
+    from basketry.operators import products as pr
+    r = pr.pareto(sales(spark, sf)).first()
+    assert 0 <= r.Productos_Pareto <= r.Productos_Total
+    by_store = pr.pareto(sales(spark, sf), keys=["ID_Tienda"]).collect()
+    assert all(0 <= x.Productos_Pareto <= x.Productos_Total for x in by_store)
