@@ -24,11 +24,22 @@ def cut(c: Column, bins, labels) -> Column:
     return expr
 
 
+def rnd(c, digits: int = 6) -> Column:
+    """Round to ``digits`` decimals on the binary value: x * 10^d rounded half away
+    from zero, divided back.  This is the convention of most SQL engines;
+    Spark's ``round`` instead rounds the shortest decimal form, which differs
+    on exact binary ties.  ``round(y, 0)`` is exact for |y| < 2^52.
+    """
+    c = F.col(c) if isinstance(c, str) else c
+    m = float(10 ** digits)
+    return F.round(c * F.lit(m), 0) / F.lit(m)
+
+
 def ratio(num, den, scale: float = 1.0, digits: int | None = None) -> Column:
     """``num / den * scale``; null when ``den`` is 0 or null."""
     r = F.try_divide(F.col(num) if isinstance(num, str) else num,
                      F.col(den) if isinstance(den, str) else den) * F.lit(scale)
-    return F.round(r, digits) if digits is not None else r
+    return rnd(r, digits) if digits is not None else r
 
 
 def histogram(df: DataFrame, col: str, bins: int = 50) -> DataFrame:
@@ -49,6 +60,6 @@ def histogram(df: DataFrame, col: str, bins: int = 50) -> DataFrame:
     width = F.when(hi == lo, F.lit(0.0)).otherwise((hi - lo) / F.lit(bins))
     return counts.select(
         "Bin",
-        F.round(lo + F.col("Bin") * width, 6).alias("Desde"),
-        F.round(lo + (F.col("Bin") + 1) * width, 6).alias("Hasta"),
+        rnd(lo + F.col("Bin") * width, 6).alias("Desde"),
+        rnd(lo + (F.col("Bin") + 1) * width, 6).alias("Hasta"),
         "Frecuencia")

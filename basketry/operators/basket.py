@@ -23,6 +23,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from basketry.functions.labels import rnd
+
 BASKET_KEYS = ("ID_Tienda", "ID_Transaccion")
 MIN_BASKETS = 10
 
@@ -117,15 +119,15 @@ def itemsets_report(itemsets: DataFrame, n_baskets) -> DataFrame:
     """K2/K3: itemsets as text with length, frequency and support (freq / N)."""
     return itemsets.select(
         _txt("items").alias("Productos"), F.size("items").alias("Longitud"), F.col("freq").alias("Frecuencia"),
-        F.round(F.col("freq") / n_baskets, 6).alias("Soporte"))
+        rnd(F.col("freq") / n_baskets, 6).alias("Soporte"))
 
 
 def rules_report(rules: DataFrame) -> DataFrame:
     """K4: rules with text antecedent / consequent (the reference's export columns)."""
     return rules.select(
         _txt("antecedent").alias("Antecedente_Str"), _txt("consequent").alias("Consecuente_Str"),
-        F.round("confidence", 6).alias("Confianza"), F.round("lift", 6).alias("Lift"),
-        F.round("support", 6).alias("Soporte"))
+        rnd("confidence", 6).alias("Confianza"), rnd("lift", 6).alias("Lift"),
+        rnd("support", 6).alias("Soporte"))
 
 
 def top_itemsets(itemsets: DataFrame, n: int = 100) -> DataFrame:
@@ -172,10 +174,10 @@ def rules_full(itemsets: DataFrame, n_baskets, min_lift: float | None = 1.0, max
     out = r.select(
         _txt("ant").alias("Antecedente_Str"), _txt("cons").alias("Consecuente_Str"),
         F.size("ant").alias("Long_Antecedente"), F.size("cons").alias("Long_Consecuente"),
-        F.round(sa, 6).alias("Soporte_Antecedente"), F.round(sc, 6).alias("Soporte_Consecuente"),
-        F.round(sup, 6).alias("Soporte"), F.round(conf, 6).alias("Confianza"),
-        F.round(conf / sc, 6).alias("Lift"), F.round(sup - sa * sc, 6).alias("Leverage"),
-        F.round(F.when(conf < 1, (1 - sc) / (1 - conf)), 6).alias("Conviction"),
+        rnd(sa, 6).alias("Soporte_Antecedente"), rnd(sc, 6).alias("Soporte_Consecuente"),
+        rnd(sup, 6).alias("Soporte"), rnd(conf, 6).alias("Confianza"),
+        rnd(conf / sc, 6).alias("Lift"), rnd(sup - sa * sc, 6).alias("Leverage"),
+        rnd(F.when(conf < 1, (1 - sc) / (1 - conf)), 6).alias("Conviction"),
         (conf / sc).alias("_lift"))
     if min_lift is not None:
         out = out.where(F.col("_lift") >= min_lift)
@@ -207,11 +209,11 @@ def lift_distribution(rules_rep: DataFrame, bins: int = 50) -> DataFrame:
 
     stats = rules_rep.agg(
         F.count(F.lit(1)).alias("Reglas"),
-        F.round(F.avg("Lift"), 6).alias("Lift_Media"),
-        F.round(F.percentile("Lift", 0.5), 6).alias("Lift_Mediana"),
+        rnd(F.avg("Lift"), 6).alias("Lift_Media"),
+        rnd(F.percentile("Lift", 0.5), 6).alias("Lift_Mediana"),
         F.min("Lift").alias("Lift_Min"), F.max("Lift").alias("Lift_Max"),
-        F.round(F.percentile("Confianza", 0.25), 6).alias("Confianza_P25"),
-        F.round(F.percentile("Confianza", 0.75), 6).alias("Confianza_P75"))
+        rnd(F.percentile("Confianza", 0.25), 6).alias("Confianza_P25"),
+        rnd(F.percentile("Confianza", 0.75), 6).alias("Confianza_P75"))
     return stats, histogram(rules_rep, "Lift", bins)
 
 
@@ -257,3 +259,63 @@ def cooccurrence(b: DataFrame, min_count: int = 1, n: int | None = None, keys=()
         else:
             out = out.orderBy(*order).limit(n)
     return out
+
+
+_KEY_SEP = "\u0001"
+
+
+def mine_by_key(b: DataFrame, key: str, min_support: float = 0.10, min_confidence: float = 0.5,
+                max_len: int | None = None):
+    """FP-Growth per value of ``key`` (e.g. per store) in one distributed fit.
+
+    Every item is prefixed with its basket's key value, so no itemset can mix
+    two keys and each key's counts are its own.  One FP-Growth runs at the
+    smallest per-key minimum count; each key's itemsets are then kept when
+    they reach ``ceil(min_support * baskets of that key)``, and rule support
+    and lift are recomputed against that key's basket count.  Returns
+    ``(itemsets, rules)`` with a ``key`` column and un-prefixed items.
+    """
+    import math
+
+    from pyspark.ml.fpm import FPGrowth
+
+    spark = b.sparkSession
+    sep = F.lit(_KEY_SEP)
+    pref = b.select(key, F.transform("items", lambda x: F.concat(F.col(key).cast("string"), sep,
+                                                                 x.cast("string"))).alias("items"))
+    n_key = b.groupBy(key).agg(F.count(F.lit(1)).alias("_nk"))
+    # two numbers reach the driver: the total and the smallest per-key basket count
+    stats = n_key.agg(F.sum("_nk").alias("n"), F.min("_nk").alias("mn")).first()
+    if stats is None or stats["n"] is None or stats["n"] < MIN_BASKETS:
+        return spark.createDataFrame([], ITEMSET_SCHEMA), spark.createDataFrame([], RULE_SCHEMA)
+    n_total, n_min = stats["n"], stats["mn"]
+    min_count = max(1, math.ceil(min_support * n_min))
+    model = FPGrowth(itemsCol="items", minSupport=(min_count - 0.5) / n_total,
+                     minConfidence=min_confidence).fit(pref)
+
+    def unprefix(c):
+        return F.array_sort(F.transform(c, lambda x: F.substring_index(x, _KEY_SEP, -1)))
+
+    def key_of(c):
+        return F.substring_index(F.element_at(c, 1), _KEY_SEP, 1)
+
+    thr = n_key.select(F.col(key).cast("string").alias("_k"), "_nk",
+                       F.ceil(F.lit(min_support) * F.col("_nk")).alias("_min"))
+    its = (model.freqItemsets.select(key_of("items").alias("_k"), unprefix("items").alias("items"), "freq")
+           .join(F.broadcast(thr), "_k").where(F.col("freq") >= F.col("_min")))
+    if max_len is not None:
+        its = its.where(F.size("items") <= max_len)
+    ktype = b.schema[key].dataType
+    freq = its.select("_k", F.col("items").alias("consequent"), F.col("freq").alias("_fc"))
+    full = its.select("_k", F.col("items").alias("_all"), F.col("freq").alias("_fa"), "_nk")
+    rules = (model.associationRules.select(key_of("antecedent").alias("_k"),
+                                           unprefix("antecedent").alias("antecedent"),
+                                           unprefix("consequent").alias("consequent"), "confidence")
+             .withColumn("_all", F.array_sort(F.array_union("antecedent", "consequent")))
+             .join(full, ["_k", "_all"]).join(freq, ["_k", "consequent"]))
+    rules = rules.select(F.col("_k").cast(ktype).alias(key), "antecedent", "consequent", "confidence",
+                         (F.col("confidence") / (F.col("_fc") / F.col("_nk"))).alias("lift"),
+                         (F.col("_fa") / F.col("_nk")).alias("support"))
+    itemsets = its.select(F.col("_k").cast(ktype).alias(key), "items", "freq",
+                          (F.col("freq") / F.col("_nk")).alias("support"))
+    return itemsets, rules

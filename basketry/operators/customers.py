@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from basketry.functions.labels import cut
+from basketry.functions.labels import cut, rnd
 
 BASKET_KEYS = ("ID_Tienda", "ID_Transaccion")
 
@@ -68,11 +68,11 @@ def store_summary(sales: DataFrame) -> DataFrame:
     b = basket_table(sales)
     s = b.groupBy("Tienda").agg(
         F.count(F.lit(1)).alias("Total_Transacciones"),
-        F.round(F.avg("Productos_Comprados"), 2).alias("Promedio_Productos_Transaccion"),
+        rnd(F.avg("Productos_Comprados"), 2).alias("Promedio_Productos_Transaccion"),
         F.sum("Productos_Comprados").alias("Total_Productos_Vendidos"))
     w = Window.partitionBy(F.lit(0))
     return (s.withColumn("Participacion_Pct",
-                         F.round(F.col("Total_Transacciones") * 100.0 / F.sum("Total_Transacciones").over(w), 2))
+                         rnd(F.col("Total_Transacciones") * 100.0 / F.sum("Total_Transacciones").over(w), 2))
             .withColumn("Ranking", F.rank().over(w.orderBy(F.col("Total_Transacciones").desc()))))
 
 
@@ -86,7 +86,7 @@ def monthly_baskets(baskets: DataFrame) -> DataFrame:
     per = baskets.groupBy(F.date_format("Fecha_Compra", "yyyy-MM").alias("Periodo")).agg(
         F.count(F.lit(1)).alias("n"))
     return per.agg(F.count(F.lit(1)).alias("Meses"),
-                   F.round(F.avg("n"), 6).alias("Promedio_Transacciones_Mes"))
+                   rnd(F.avg("n"), 6).alias("Promedio_Transacciones_Mes"))
 
 
 def purchase_gaps(baskets: DataFrame, keys=(), date: str = "Fecha_Compra") -> DataFrame:
@@ -116,13 +116,13 @@ def gap_stats(gaps: DataFrame, quantiles=(0.25, 0.5, 0.75, 0.9), keys=()) -> Dat
     s2 = F.sum(F.col("Dias") * F.col("Dias") * F.col("Peso"))
     aggs = [
         n.alias("Num_Intervalos"),
-        F.round(s1 / n, 6).alias("Media"),
-        F.round(F.sqrt((s2 - s1 * s1 / n) / (n - 1)), 6).alias("Desv_Std"),
+        rnd(s1 / n, 6).alias("Media"),
+        rnd(F.sqrt((s2 - s1 * s1 / n) / (n - 1)), 6).alias("Desv_Std"),
         F.min("Dias").alias("Minimo"),
         F.max("Dias").alias("Maximo"),
     ]
     for q in quantiles:
-        aggs.append(F.round(F.percentile(F.col("Dias"), q, F.col("Peso")), 6).alias(f"P{int(round(q * 100))}"))
+        aggs.append(rnd(F.percentile(F.col("Dias"), q, F.col("Peso")), 6).alias(f"P{int(round(q * 100))}"))
     return gaps.groupBy(*keys).agg(*aggs)
 
 
@@ -137,7 +137,7 @@ def gap_ranges(gaps: DataFrame, keys=()) -> DataFrame:
     agg = gaps.groupBy(*keys).agg(F.array(*rows).alias("r"), F.sum("Peso").alias("_t"))
     out = agg.select(*keys, "_t", F.inline("r"))
     return out.select(*keys, "Orden", "Rango", "Cantidad",
-                      F.round(F.col("Cantidad") * 100.0 / F.col("_t"), 6).alias("Porcentaje"))
+                      rnd(F.col("Cantidad") * 100.0 / F.col("_t"), 6).alias("Porcentaje"))
 
 
 def gap_cdf(gaps: DataFrame, max_days: int = 60, keys=()) -> DataFrame:
@@ -149,7 +149,7 @@ def gap_cdf(gaps: DataFrame, max_days: int = 60, keys=()) -> DataFrame:
                     F.sum("Peso").over(w.orderBy("Dias").rowsBetween(Window.unboundedPreceding, 0)).alias("Acumulado"),
                     F.sum("Peso").over(w).alias("_t")).select(
         *keys, "Dias", "Frecuencia", "Acumulado",
-        F.round(F.col("Acumulado") * 100.0 / F.col("_t"), 6).alias("Porcentaje_Acumulado"))
+        rnd(F.col("Acumulado") * 100.0 / F.col("_t"), 6).alias("Porcentaje_Acumulado"))
 
 
 def as_of_date(sales: DataFrame) -> Column:
@@ -210,8 +210,8 @@ def size_segments(baskets: DataFrame, col: str = "Productos_Comprados") -> DataF
     total = baskets.agg(F.count(F.lit(1))).scalar()
     return baskets.groupBy(seg.alias("Segmento_Tamano")).agg(
         F.count(F.lit(1)).alias("Total_Transacciones"),
-        F.round(F.avg(c), 6).alias("Promedio"),
-        F.round(F.median(c), 6).alias("Mediana"),
+        rnd(F.avg(c), 6).alias("Promedio"),
+        rnd(F.median(c), 6).alias("Mediana"),
         F.min(c).alias("Minimo"),
         F.max(c).alias("Maximo"),
-    ).withColumn("Porcentaje", F.round(F.col("Total_Transacciones") * 100.0 / total, 6))
+    ).withColumn("Porcentaje", rnd(F.col("Total_Transacciones") * 100.0 / total, 6))

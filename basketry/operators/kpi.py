@@ -14,6 +14,8 @@ import datetime as _dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from basketry.functions.labels import rnd
+
 
 def slice_sales(sales: DataFrame, stores=None, start=None, end=None, categories=None,
                 products=None) -> DataFrame:
@@ -50,7 +52,7 @@ def kpi_summary(sales: DataFrame) -> DataFrame:
     )
     return out.withColumn(
         "Promedio_Productos_Transaccion",
-        F.coalesce(F.round(F.try_divide(F.col("Total_Productos_Vendidos").cast("double"),
+        F.coalesce(rnd(F.try_divide(F.col("Total_Productos_Vendidos").cast("double"),
                                         F.col("Total_Transacciones")), 6), F.lit(0.0)))
 
 
@@ -85,7 +87,7 @@ def executive_summary(sales: DataFrame, limit: float = 0.8) -> DataFrame:
     from basketry.operators import temporal as tm
 
     def metric(df: DataFrame, name: str, value) -> DataFrame:
-        return df.select(F.lit(name).alias("Metrica"), F.round(value.cast("double"), 6).alias("Valor"))
+        return df.select(F.lit(name).alias("Metrica"), rnd(value.cast("double"), 6).alias("Valor"))
 
     basket = cu.basket_table(sales)
     daily = tm.period_sales(sales, "day")

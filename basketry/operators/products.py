@@ -13,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from basketry.functions.labels import rnd
+
 from basketry.operators.enrich import one_category_per_product
 
 
@@ -44,7 +46,7 @@ def top_products(sales: DataFrame, n: int = 10, measure: str = "units", share: b
             total = sales.agg(F.count(F.lit(1))).scalar()
         else:
             total = sales.agg(F.count_distinct("ID_Transaccion")).scalar()
-        out = out.withColumn("Porcentaje", F.round(F.col(value) * 100.0 / total, 6))
+        out = out.withColumn("Porcentaje", rnd(F.col(value) * 100.0 / total, 6))
         cols.append("Porcentaje")
     return out.select(*cols)
 
@@ -67,7 +69,7 @@ def top_n(sales: DataFrame, key: str = "ID_Producto", n: int = 10, measure: str
     counts = sales.groupBy(key).agg(agg.alias(value))
     out = _ranked(counts, value, key, n, ascending=ascending).select("Posicion", key, value)
     if share:
-        out = out.withColumn("Porcentaje", F.round(F.col(value) * 100.0 / total, 6))
+        out = out.withColumn("Porcentaje", rnd(F.col(value) * 100.0 / total, 6))
     return out
 
 
@@ -92,7 +94,7 @@ def top_categories(sales: DataFrame, n: int = 10, share: bool = True) -> DataFra
     cols = ["Posicion", "Nombre_Categoria", "Unidades_Vendidas", "Num_Productos"]
     if share:
         total = sales.agg(F.count(F.lit(1))).scalar()
-        out = out.withColumn("Porcentaje", F.round(F.col("Unidades_Vendidas") * 100.0 / total, 6))
+        out = out.withColumn("Porcentaje", rnd(F.col("Unidades_Vendidas") * 100.0 / total, 6))
         cols.append("Porcentaje")
     return out.select(*cols)
 
@@ -144,7 +146,7 @@ def pareto(sales: DataFrame, limit: float = 0.8, keys=()) -> DataFrame:
         F.max("P").alias("Productos_Total"),
         F.max("N").alias("Unidades_Total"))
     return out.withColumn("Porcentaje_Catalogo",
-                          F.round(F.col("Productos_Pareto") * 100.0 / F.col("Productos_Total"), 6))
+                          rnd(F.col("Productos_Pareto") * 100.0 / F.col("Productos_Total"), 6))
 
 
 def pareto_curve(sales: DataFrame, keys=()) -> DataFrame:
@@ -164,7 +166,7 @@ def pareto_curve(sales: DataFrame, keys=()) -> DataFrame:
     return levels.select(
         *keys, F.col("u").alias("Unidades_Por_Producto"), "Num_Productos",
         F.sum("Num_Productos").over(wc).alias("Productos_Acumulados"),
-        F.round(F.sum(F.col("u") * F.col("Num_Productos")).over(wc) * 100.0
+        rnd(F.sum(F.col("u") * F.col("Num_Productos")).over(wc) * 100.0
                 / F.sum(F.col("u") * F.col("Num_Productos")).over(w), 6).alias("Porcentaje_Acumulado"))
 
 
@@ -181,7 +183,7 @@ def catalog_counts(catalog: DataFrame) -> DataFrame:
         F.count_distinct("ID_Producto").alias("Num_Productos"),
         F.min("ID_Producto").alias("Producto_Min"),
         F.max("ID_Producto").alias("Producto_Max"),
-    ).withColumn("Porcentaje", F.round(F.col("Num_Productos") * 100.0 / total, 6))
+    ).withColumn("Porcentaje", rnd(F.col("Num_Productos") * 100.0 / total, 6))
 
 
 def distinct_values(df: DataFrame, *cols: str) -> DataFrame:

@@ -13,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from basketry.functions.labels import rnd
+
 
 def profile_table(df: DataFrame, name: str = "tabla") -> DataFrame:
     """Per column: type, rows, non-null and null counts (one pass)."""
@@ -58,12 +60,12 @@ def describe(df: DataFrame, cols, keys=(), approx: bool = False) -> DataFrame:
 
     return long.groupBy(*keys, "Columna").agg(
         F.count(x).alias("Cuenta"),
-        F.round(F.avg(x), 6).alias("Media"),
-        F.round(F.stddev_samp(x), 6).alias("Desv_Std"),
+        rnd(F.avg(x), 6).alias("Media"),
+        rnd(F.stddev_samp(x), 6).alias("Desv_Std"),
         F.min(x).alias("Minimo"),
-        F.round(q(0.25), 6).alias("P25"),
-        F.round(q(0.5), 6).alias("P50"),
-        F.round(q(0.75), 6).alias("P75"),
+        rnd(q(0.25), 6).alias("P25"),
+        rnd(q(0.5), 6).alias("P50"),
+        rnd(q(0.75), 6).alias("P75"),
         F.max(x).alias("Maximo"),
     )
 
@@ -73,10 +75,10 @@ def basket_stats(baskets: DataFrame, col: str = "Productos_Comprados", keys=())
     x = F.col(col)
     return baskets.groupBy(*keys).agg(
         F.count(x).alias("Num_Transacciones"),
-        F.round(F.avg(x), 6).alias("Media"),
-        F.round(F.percentile(x, 0.5), 6).alias("Mediana"),
+        rnd(F.avg(x), 6).alias("Media"),
+        rnd(F.percentile(x, 0.5), 6).alias("Mediana"),
         F.mode(x, True).alias("Moda"),
-        F.round(F.stddev_samp(x), 6).alias("Desv_Std"),
+        rnd(F.stddev_samp(x), 6).alias("Desv_Std"),
     )
 
 
@@ -117,9 +119,9 @@ def boxplot(df: DataFrame, col: str, keys=(), limit: float | None = None) -> Dat
         F.count(F.lit(1)).alias("Total"),
     ]
     if limit is not None:
-        aggs.append(F.round(F.avg((F.col("_v") > limit).cast("int")) * 100.0, 6).alias("Pct_Sobre_Limite"))
+        aggs.append(rnd(F.avg((F.col("_v") > limit).cast("int")) * 100.0, 6).alias("Pct_Sobre_Limite"))
     out = j.groupBy(*keys).agg(*aggs)
-    return out.withColumn("Pct_Atipicos", F.round(F.col("Atipicos") * 100.0 / F.col("Total"), 6))
+    return out.withColumn("Pct_Atipicos", rnd(F.col("Atipicos") * 100.0 / F.col("Total"), 6))
 
 
 def check_integrity(lines: DataFrame, product_category: DataFrame, categories: DataFrame,

@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from basketry.functions.labels import rnd
+
 from basketry.operators.basket import _txt
 
 
@@ -19,8 +21,8 @@ def for_product(rules: DataFrame, product, n: int = 10) -> DataFrame:
     """L1: rules whose antecedent holds ``product``, best lift first (ties: text)."""
     hit = rules.where(F.array_contains("antecedent", F.lit(product)))
     return (hit.select(_txt("antecedent").alias("Antecedente_Str"), _txt("consequent").alias("Consecuente_Str"),
-                       F.round("confidence", 6).alias("Confianza"), F.round("lift", 6).alias("Lift"),
-                       F.round("support", 6).alias("Soporte"), F.col("lift").alias("_l"))
+                       rnd("confidence", 6).alias("Confianza"), rnd("lift", 6).alias("Lift"),
+                       rnd("support", 6).alias("Soporte"), F.col("lift").alias("_l"))
             .orderBy(F.col("_l").desc(), "Antecedente_Str", "Consecuente_Str").limit(n).drop("_l"))
 
 
@@ -42,9 +44,9 @@ def _report(top: DataFrame, rules: DataFrame, keys, with_support: bool = True) -
     """Expand per-basket rank arrays into rows and attach the rule columns."""
     rows = top.select(*keys, F.posexplode("_top").alias("_p", "_rk"))
     cols = [*keys, (F.col("_p") + 1).alias("Posicion"), "Antecedente_Str", "Consecuente_Str",
-            F.round("confidence", 6).alias("Confianza"), F.round("lift", 6).alias("Lift")]
+            rnd("confidence", 6).alias("Confianza"), rnd("lift", 6).alias("Lift")]
     if with_support:
-        cols.append(F.round("support", 6).alias("Soporte"))
+        cols.append(rnd("support", 6).alias("Soporte"))
     return rows.join(rules.drop("antecedent", "consequent"), "_rk").select(*cols)
 
 
@@ -93,5 +95,5 @@ def hub_items(rules: DataFrame) -> DataFrame:
     return a.unionByName(c).groupBy("Item").agg(
         F.sum("ea").cast("long").alias("Como_Antecedente"), F.sum("ec").cast("long").alias("Como_Consecuente"),
         F.count(F.lit(1)).alias("Reglas"),
-        F.round(F.avg("support"), 6).alias("Soporte_Medio"), F.round(F.avg("confidence"), 6).alias("Confianza_Media"),
-        F.round(F.avg("lift"), 6).alias("Lift_Medio"))
+        rnd(F.avg("support"), 6).alias("Soporte_Medio"), rnd(F.avg("confidence"), 6).alias("Confianza_Media"),
+        rnd(F.avg("lift"), 6).alias("Lift_Medio"))

@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from basketry.functions.labels import rnd
+
 FEATURES = ("Recencia_Dias", "Productos_Comprados")
 
 # Cluster naming rules.  Dashboard rule (recency days, units).
@@ -115,10 +117,10 @@ def cluster_profile(df: DataFrame, digits: int = 2) -> DataFrame:
     """J9 (Q1 fixed: real means): size, mean / median recency and units per cluster."""
     return df.groupBy("Cluster").agg(
         F.count(F.lit(1)).alias("Num_Clientes"),
-        F.round(F.avg("Recencia_Dias"), digits).alias("Recencia_Media"),
-        F.round(F.percentile("Recencia_Dias", 0.5), digits).alias("Recencia_Mediana"),
-        F.round(F.avg("Productos_Comprados"), digits).alias("Productos_Media"),
-        F.round(F.percentile("Productos_Comprados", 0.5), digits).alias("Productos_Mediana"))
+        rnd(F.avg("Recencia_Dias"), digits).alias("Recencia_Media"),
+        rnd(F.percentile("Recencia_Dias", 0.5), digits).alias("Recencia_Mediana"),
+        rnd(F.avg("Productos_Comprados"), digits).alias("Productos_Media"),
+        rnd(F.percentile("Productos_Comprados", 0.5), digits).alias("Productos_Mediana"))
 
 
 def label_clusters(profile: DataFrame, rule=DASHBOARD_RULE, advice: dict | None = ADVICE) -> DataFrame:

@@ -14,6 +14,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from basketry.functions.labels import rnd
+
 from basketry.functions import calendar as cal
 
 _PERIODS = ("day", "week", "month", "year")
@@ -121,7 +123,7 @@ def weekday_peak_hour(sales: DataFrame) -> DataFrame:
         F.max_by("Hora", F.struct(F.col("t"), -F.col("Hora"))).alias("Hora_Pico"),
         F.max("t").alias("Transacciones_Pico"),
         F.sum("t").alias("Transacciones_Dia"),
-    ).withColumn("Porcentaje_Pico", F.round(F.col("Transacciones_Pico") * 100.0 / F.col("Transacciones_Dia"), 6))
+    ).withColumn("Porcentaje_Pico", rnd(F.col("Transacciones_Pico") * 100.0 / F.col("Transacciones_Dia"), 6))
 
 
 def weekday_uplift(sales: DataFrame) -> DataFrame:
@@ -135,8 +137,8 @@ def weekday_uplift(sales: DataFrame) -> DataFrame:
     overall = daily.agg(F.avg("Total_Productos_Vendidos")).scalar()
     return daily.groupBy("DiaSemana").agg(
         F.count(F.lit(1)).alias("Dias"),
-        F.round(F.avg("Total_Productos_Vendidos"), 6).alias("Promedio_Diario"),
-    ).withColumn("Uplift_Pct", F.round((F.col("Promedio_Diario") / overall - 1.0) * 100.0, 6))
+        rnd(F.avg("Total_Productos_Vendidos"), 6).alias("Promedio_Diario"),
+    ).withColumn("Uplift_Pct", rnd((F.col("Promedio_Diario") / overall - 1.0) * 100.0, 6))
 
 
 def period_summary(sales: DataFrame) -> DataFrame:
@@ -147,11 +149,11 @@ def period_summary(sales: DataFrame) -> DataFrame:
         parts.append(p.agg(
             F.lit(label).alias("Periodo"),
             F.count(F.lit(1)).alias("Num_Periodos"),
-            F.round(F.avg("Total_Productos_Vendidos"), 6).alias("Promedio"),
+            rnd(F.avg("Total_Productos_Vendidos"), 6).alias("Promedio"),
             F.max("Total_Productos_Vendidos").alias("Maximo"),
             F.min("Total_Productos_Vendidos").alias("Minimo"),
-            F.round(F.stddev_samp("Total_Productos_Vendidos"), 6).alias("Desv_Std"),
-            F.round(F.avg("Numero_Transacciones"), 6).alias("Promedio_Transacciones"),
+            rnd(F.stddev_samp("Total_Productos_Vendidos"), 6).alias("Desv_Std"),
+            rnd(F.avg("Numero_Transacciones"), 6).alias("Promedio_Transacciones"),
         ))
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
@@ -163,7 +165,7 @@ def moving_average(series: DataFrame, value: str = "Total_Productos_Vendidos", o
     cols = {}
     for k in windows:
         wk = w.rowsBetween(-(k - 1), 0)
-        cols[f"MA_{k}"] = F.when(F.count(F.col(value)).over(wk) == k, F.round(F.avg(value).over(wk), 6))
+        cols[f"MA_{k}"] = F.when(F.count(F.col(value)).over(wk) == k, rnd(F.avg(value).over(wk), 6))
     return series.withColumns(cols)
 
 
@@ -175,7 +177,7 @@ def growth(series: DataFrame, values=("Total_Productos_Vendidos", "Numero_Transa
     cols = {}
     for v, n in zip(values, names):
         prev = F.lag(v).over(w)
-        cols[n] = F.round(F.try_divide((F.col(v) - prev) * 100.0, prev), 6)
+        cols[n] = rnd(F.try_divide((F.col(v) - prev) * 100.0, prev), 6)
     return series.withColumns(cols)
 
 
@@ -185,7 +187,7 @@ def trend_verdict(series: DataFrame, value: str = "Total_Productos_Vendidos", or
     out = series.groupBy(*keys).agg(
         F.min_by(value, order).alias("Primero"),
         F.max_by(value, order).alias("Ultimo"))
-    change = F.round((F.col("Ultimo") - F.col("Primero")) * 100.0 / F.col("Primero"), 6)
+    change = rnd((F.col("Ultimo") - F.col("Primero")) * 100.0 / F.col("Primero"), 6)
     return out.withColumn("Cambio_Pct", change).withColumn(
         "Tendencia", F.when(F.col("Cambio_Pct") > 0, "CRECIENTE")
         .when(F.col("Cambio_Pct") < 0, "DECRECIENTE").otherwise("ESTABLE"))
@@ -241,9 +243,9 @@ def seasonal_decompose(series: DataFrame, value: str = "Total_Productos_Vendidos
     out = df.join(phase, [*keys, "_phase"], "left")
     return out.select(
         *keys, order, value,
-        F.round("Tendencia", 6).alias("Tendencia"),
-        F.round("_s", 6).alias("Estacionalidad"),
-        F.round(F.col(value) - F.col("Tendencia") - F.col("_s"), 6).alias("Residuo"))
+        rnd("Tendencia", 6).alias("Tendencia"),
+        rnd("_s", 6).alias("Estacionalidad"),
+        rnd(F.col(value) - F.col("Tendencia") - F.col("_s"), 6).alias("Residuo"))
 
 
 def unusual_days(parts: DataFrame, k: float = 2.0, order: str = "Fecha", keys=()) -> DataFrame:
@@ -252,5 +254,5 @@ def unusual_days(parts: DataFrame, k: float = 2.0, order: str = "Fecha", keys=()
     sd = F.stddev_samp("Residuo").over(_win(keys))
     flagged = parts.withColumn("_sd", sd)
     return (flagged.where(F.abs(F.col("Residuo")) > F.lit(k) * F.col("_sd"))
-            .select(*keys, order, "Residuo", F.round("_sd", 6).alias("Desv_Residuo"),
+            .select(*keys, order, "Residuo", rnd("_sd", 6).alias("Desv_Residuo"),
                     F.when(F.col("Residuo") < 0, "CAIDA").otherwise("PICO").alias("Tipo")))

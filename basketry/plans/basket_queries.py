@@ -10,6 +10,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from basketry.functions.labels import rnd
+
 from basketry.operators import basket as bk
 from basketry.operators import recommend as rc
 from basketry.plans import facts
@@ -243,3 +245,56 @@ def predict_next_items(spark, sf):
 def hub_items(spark, sf):
     _, r = facts.mined(spark, sf)
     return rc.hub_items(r)
+
+
+_STORE_CTES = (
+    """bi AS (SELECT DISTINCT s.ID_Tienda, s.ID_Transaccion, p.p_brand AS item
+           FROM sales s JOIN part p ON s.ID_Producto = p.p_partkey)""",
+    "bsz AS (SELECT ID_Tienda, ID_Transaccion FROM bi GROUP BY 1, 2 HAVING count(*) >= 2)",
+    "bb AS (SELECT bi.* FROM bi JOIN bsz USING (ID_Tienda, ID_Transaccion))",
+    f"""mk AS (SELECT ID_Tienda, count(*) AS N, CAST(ceil({SUP} * count(*)) AS BIGINT) AS m
+           FROM bsz GROUP BY ID_Tienda)""",
+    """s1 AS (SELECT bb.ID_Tienda, item AS a, count(*) AS f FROM bb GROUP BY 1, 2)""",
+    f"""s2 AS (SELECT x.ID_Tienda, x.item AS a, y.item AS b, count(*) AS f FROM bb x JOIN bb y
+           ON {_SAME.format(x='x', y='y')} AND x.item < y.item GROUP BY 1, 2, 3)""",
+    f"""s3 AS (SELECT x.ID_Tienda, x.item AS a, y.item AS b, z.item AS c, count(*) AS f FROM bb x
+           JOIN bb y ON {_SAME.format(x='x', y='y')} AND x.item < y.item
+           JOIN bb z ON {_SAME.format(x='y', y='z')} AND y.item < z.item GROUP BY 1, 2, 3, 4)""",
+    """sits AS (SELECT t.ID_Tienda, t.Productos, t.Longitud, t.f, mk.N FROM (
+             SELECT ID_Tienda, a AS Productos, 1 AS Longitud, f FROM s1
+             UNION ALL SELECT ID_Tienda, a || ',' || b, 2, f FROM s2
+             UNION ALL SELECT ID_Tienda, a || ',' || b || ',' || c, 3, f FROM s3) t
+           JOIN mk USING (ID_Tienda) WHERE t.f >= mk.m)""",
+    """ssp AS (SELECT ID_Tienda, a AS ant, b AS cons, f FROM s2 UNION ALL SELECT ID_Tienda, b, a, f FROM s2
+           UNION ALL SELECT ID_Tienda, a || ',' || b, c, f FROM s3 UNION ALL SELECT ID_Tienda, a || ',' || c, b, f FROM s3
+           UNION ALL SELECT ID_Tienda, b || ',' || c, a, f FROM s3)""",
+    f"""srules AS (SELECT ssp.ID_Tienda, ssp.ant, ssp.cons, CAST(full_.f AS DOUBLE) / fa.f AS conf,
+           CAST(full_.f AS DOUBLE) / fa.f / (CAST(fc.f AS DOUBLE) / full_.N) AS lift, CAST(full_.f AS DOUBLE) / full_.N AS sup
+           FROM ssp JOIN sits full_ ON full_.ID_Tienda = ssp.ID_Tienda
+             AND full_.Productos = list_aggregate(list_sort(string_split(ssp.ant || ',' || ssp.cons, ',')), 'string_agg', ',')
+           JOIN sits fa ON fa.ID_Tienda = ssp.ID_Tienda AND fa.Productos = ssp.ant
+           JOIN sits fc ON fc.ID_Tienda = ssp.ID_Tienda AND fc.Productos = ssp.cons
+           WHERE CAST(full_.f AS DOUBLE) / fa.f >= {CONF})""",
+)
+
+
+def _store_mined(spark, sf):
+    return bk.mine_by_key(facts.mining_baskets(spark, sf), "ID_Tienda", SUP, CONF, max_len=facts.MINING_MAX_LEN)
+
+
+@register("itemsets_by_store", with_sales(*_STORE_CTES, select="""
+SELECT ID_Tienda, Productos, Longitud, f AS Frecuencia, round(CAST(f AS DOUBLE) / N, 6) AS Soporte FROM sits"""), "K11")
+def itemsets_by_store(spark, sf):
+    its, _ = _store_mined(spark, sf)
+    return its.select("ID_Tienda", bk._txt("items").alias("Productos"), F.size("items").alias("Longitud"),
+                      F.col("freq").alias("Frecuencia"), rnd("support", 6).alias("Soporte"))
+
+
+@register("rules_by_store", with_sales(*_STORE_CTES, select="""
+SELECT ID_Tienda, ant AS Antecedente_Str, cons AS Consecuente_Str, round(conf, 6) AS Confianza, round(lift, 6) AS Lift,
+       round(sup, 6) AS Soporte FROM srules"""), "K11")
+def rules_by_store(spark, sf):
+    _, rules = _store_mined(spark, sf)
+    return rules.select("ID_Tienda", bk._txt("antecedent").alias("Antecedente_Str"),
+                        bk._txt("consequent").alias("Consecuente_Str"), rnd("confidence", 6).alias("Confianza"),
+                        rnd("lift", 6).alias("Lift"), rnd("support", 6).alias("Soporte"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from basketry.functions import calendar as cal
-from basketry.functions.labels import cut, histogram, ratio
+from basketry.functions.labels import cut, histogram, ratio, rnd
 from basketry.operators import customers as cu
 from basketry.operators import profile as pf
 from basketry.plans.facts import sales
@@ -204,7 +204,7 @@ def label_functions(spark, sf):
         F.array_contains("items", LABEL_PRODUCT).alias("Contiene_Producto"),
         F.split(txt, ", ").getItem(0).try_cast("bigint").alias("Primer_Producto"),
         cal.simulated_hour("ID_Transaccion").alias("Hora"),
-        F.round(ratio(c.cast("double"), F.size("items")), 2).alias("Unidades_Por_Item"),
+        rnd(ratio(c.cast("double"), F.size("items")), 2).alias("Unidades_Por_Item"),
         seg.alias("Segmento_Tamano"),
         band.alias("Banda"),
         F.concat_ws(" / ", F.coalesce(band, F.lit("nan")), F.size("items").cast("string")).alias("Etiqueta"),

@@ -6,6 +6,8 @@ import threading
 
 from pyspark.sql import functions as F
 
+from basketry.functions.labels import rnd
+
 from basketry.operators import customers as cu
 from basketry.operators import segment as sg
 from basketry.plans import facts
@@ -74,7 +76,7 @@ SELECT ID_Tienda, ID_Transaccion, round(zr, 6) AS Z_Recencia_Dias, round(zp, 6)
 def scaled_features(spark, sf):
     _, scaled = sg.scale(_rf(spark, sf))
     z = sg.zscores(scaled)
-    return z.select("ID_Tienda", "ID_Transaccion", *[F.round(f"Z_{c}", 6).alias(f"Z_{c}") for c in sg.FEATURES])
+    return z.select("ID_Tienda", "ID_Transaccion", *[rnd(f"Z_{c}", 6).alias(f"Z_{c}") for c in sg.FEATURES])
 
 
 @register("assign_fixed_centroids", with_sales(*_Z_CTES, _ASSIGN_CTE, select="""
