@@ -54,7 +54,7 @@ def elbow(scaled: DataFrame, ks=range(2, 7), seed: int = 42, max_iter: int = 20)
     from pyspark.ml.clustering import KMeans
 
     spark = scaled.sparkSession
-    data = scaled.select("features").cache()
+    data = _training_set(scaled)
     try:
         rows = [(int(k), float(KMeans(k=k, seed=seed, maxIter=max_iter).fit(data).summary.trainingCost))
                 for k in ks]
@@ -63,11 +63,27 @@ def elbow(scaled: DataFrame, ks=range(2, 7), seed: int = 42, max_iter: int = 20)
     return spark.createDataFrame(rows, "K int, Costo double")
 
 
+def _training_set(scaled: DataFrame) -> DataFrame:
+    """Features cached for iterative fitting, one partition per core.
+
+    Adaptive execution may coalesce a small feature table into a couple of
+    partitions; every K-Means iteration is a job over this table, so it is
+    spread over all cores (round-robin, which Spark keeps deterministic under
+    task retries) before caching.
+    """
+    cores = scaled.sparkSession.sparkContext.defaultParallelism
+    return scaled.select("features").repartition(cores).cache()
+
+
 def fit_clusters(scaled: DataFrame, k: int = 4, seed: int = 42, max_iter: int = 20):
     """Fit K-Means and label every row; returns (model, frame with ``Cluster``)."""
     from pyspark.ml.clustering import KMeans
 
-    model = KMeans(k=k, seed=seed, maxIter=max_iter, featuresCol="features").fit(scaled)
+    data = _training_set(scaled)
+    try:
+        model = KMeans(k=k, seed=seed, maxIter=max_iter, featuresCol="features").fit(data)
+    finally:
+        data.unpersist()
     return model, model.transform(scaled).withColumnRenamed("prediction", "Cluster")
 
 
