@@ -251,3 +251,25 @@ def test_generic_top_n_and_heatmap(spark):
     hm = {r.ID_Tienda: (r.C5, r.C3) for r in tm.heatmap(s, "ID_Tienda", "ID_Producto", [5, 3], rows=[1, 2, 3, 4])
           .collect()}
     assert hm == {1: (2, 0), 2: (0, 2), 3: (0, 0), 4: (0, 0)}
+
+
+def test_mine_by_key_equals_per_key_mining(spark):
+    store1 = [[1, 2, 3]] * 6 + [[1, 2]] * 4 + [[3, 4]] * 5
+    store2 = [[1, 2]] * 3 + [[2, 5]] * 9 + [[5, 6, 2]] * 4 + [[7, 8]] * 2
+    rows = [(i, s, it) for s, bs in ((1, store1), (2, store2)) for i, b in enumerate(bs) for it in b]
+    lines = spark.createDataFrame(rows, "ID_Transaccion long, ID_Tienda int, Item int")
+    b = bk.baskets(lines, "Item")
+    its, rules = bk.mine_by_key(b, "ID_Tienda", min_support=0.2, min_confidence=0.5)
+    got_its = {(r.ID_Tienda, tuple(r["items"])): r.freq for r in its.collect()}
+    got_rules = {(r.ID_Tienda, tuple(r.antecedent), tuple(r.consequent)): (round(r.confidence, 9), round(r.lift, 9),
+                                                                          round(r.support, 9))
+                 for r in rules.collect()}
+    want_its, want_rules = {}, {}
+    for s in (1, 2):
+        i_s, r_s = bk.mine(b.where(F.col("ID_Tienda") == s), min_support=0.2, min_confidence=0.5)
+        want_its.update({(s, tuple(r["items"])): r.freq for r in i_s.collect()})
+        want_rules.update({(s, tuple(r.antecedent), tuple(r.consequent)): (round(r.confidence, 9), round(r.lift, 9),
+                                                                           round(r.support, 9))
+                           for r in r_s.collect()})
+    assert got_its == want_its
+    assert got_rules == want_rules
