@@ -302,7 +302,7 @@ def mine_by_key(b: DataFrame, key: str, min_support: float = 0.10, min_confidenc
     thr = n_key.select(F.col(key).cast("string").alias("_k"), "_nk",
                        F.ceil(F.lit(min_support) * F.col("_nk")).alias("_min"))
     its = (model.freqItemsets.select(key_of("items").alias("_k"), unprefix("items").alias("items"), "freq")
-           .join(F.broadcast(thr), "_k").where(F.col("freq") >= F.col("_min")))
+           .join(thr, "_k").where(F.col("freq") >= F.col("_min")))
     if max_len is not None:
         its = its.where(F.size("items") <= max_len)
     ktype = b.schema[key].dataType
