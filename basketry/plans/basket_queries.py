@@ -279,7 +279,7 @@ _STORE_CTES = (
 
 
 def _store_mined(spark, sf):
-    return bk.mine_by_key(facts.mining_baskets(spark, sf), "ID_Tienda", SUP, CONF, max_len=facts.MINING_MAX_LEN)
+    return facts.mined_by(spark, sf, "ID_Tienda")
 
 
 @register("itemsets_by_store", with_sales(*_STORE_CTES, select="""

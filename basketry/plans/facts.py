@@ -115,3 +115,23 @@ def mined(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
             paths = (f"{root}/itemsets", f"{root}/rules")
             _MINED[key] = paths
     return spark.read.parquet(paths[0]), spark.read.parquet(paths[1])
+
+
+_MINED_BY: dict[tuple[str, str, str], tuple[str, str]] = {}
+
+
+def mined_by(spark: SparkSession, sf_dir: str, key: str = "ID_Tienda") -> tuple[DataFrame, DataFrame]:
+    """Per-key FP-Growth itemsets and rules (one fit), written once per session."""
+    from basketry.operators import basket as bk
+    k = (*_key(spark, sf_dir), key)
+    with _LOCK:
+        paths = _MINED_BY.get(k)
+        if paths is None or not all(sinks.path_exists(spark, p) for p in paths):
+            its, rules = bk.mine_by_key(mining_baskets(spark, sf_dir), key, MINING_MIN_SUPPORT,
+                                        MINING_MIN_CONFIDENCE, max_len=MINING_MAX_LEN)
+            root = fresh_path(spark, "mining-by")
+            its.write.parquet(f"{root}/itemsets")
+            rules.write.parquet(f"{root}/rules")
+            paths = (f"{root}/itemsets", f"{root}/rules")
+            _MINED_BY[k] = paths
+    return spark.read.parquet(paths[0]), spark.read.parquet(paths[1])
