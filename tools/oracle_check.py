@@ -3,7 +3,8 @@
     python tools/oracle_check.py [--sf /root/testdata/sf0.01] [names...]
 
 Compares row count, column names and types, and an order-insensitive
-hash of the rows (doubles rounded to 6 places).  Prints one line per query.
+hash of the rows (doubles rounded to 6 places; ORACLE_STRICT=1 compares exact
+float representations).  Prints one line per query.
 """
 
 from __future__ import annotations
@@ -29,13 +30,16 @@ _TYPES = {"IntegerType": "INTEGER", "LongType": "BIGINT", "DoubleType": "DOUBLE"
           "TimestampType": "TIMESTAMP", "TimestampNTZType": "TIMESTAMP"}
 
 
+STRICT = os.environ.get("ORACLE_STRICT") == "1"
+
+
 def norm(v):
     if v is None:
         return "∅"
     if isinstance(v, float):
         if math.isnan(v):
             return "nan"
-        return f"{round(v, 6):.6f}"
+        return repr(v) if STRICT else f"{round(v, 6):.6f}"
     if isinstance(v, decimal.Decimal):
         return f"{float(v):.6f}"
     if isinstance(v, (dt.date, dt.datetime)):
