@@ -69,19 +69,21 @@ def for_baskets(rules: DataFrame, baskets: DataFrame, n: int = 10, keys=("ID_Tie
 def next_items(rules: DataFrame, baskets: DataFrame, n: int = 10, keys=("ID_Tienda", "ID_Transaccion")) -> DataFrame:
     """L3: rules whose whole antecedent is in the basket and whose consequent is not yet bought.
 
-    Antecedent and consequent items are exploded with a role flag and met
-    with the basket items in one equi join; per (basket, rule) the matched
-    antecedent items must equal the antecedent size and no consequent item
-    may match.
+    A rule can only fire in a basket that holds its first (smallest)
+    antecedent item, so each basket item meets just the rules keyed by that
+    item (an equi join); containment of the whole antecedent and absence of
+    the consequent are then checked on the basket's own item array.  Each
+    (basket, rule) pair is produced at most once, so no counting pass is
+    needed before the per-basket top ``n``.
     """
     keys = list(keys)
-    r = ranked_rules(rules).withColumn("_na", F.size("antecedent"))
-    r_items = (r.select("_rk", "_na", F.explode("antecedent").alias("item"), F.lit(1).alias("_a"))
-               .unionByName(r.select("_rk", "_na", F.explode("consequent").alias("item"), F.lit(0).alias("_a"))))
-    b_items = baskets.select(*keys, F.explode("items").alias("item"))
-    per_rule = (b_items.join(r_items, "item").groupBy(*keys, "_rk", "_na")
-                .agg(F.sum("_a").alias("_ma"), F.sum(1 - F.col("_a")).alias("_mc")))
-    fired = per_rule.where((F.col("_ma") == F.col("_na")) & (F.col("_mc") == 0))
+    r = ranked_rules(rules)
+    r_first = r.select("_rk", "antecedent", "consequent",
+                       F.element_at(F.array_sort("antecedent"), 1).alias("item"))
+    b_items = baskets.select(*keys, "items", F.explode("items").alias("item"))
+    fired = (b_items.join(r_first, "item")
+             .where((F.size(F.array_except("antecedent", "items")) == 0)
+                    & (F.size(F.array_intersect("consequent", "items")) == 0)))
     top = fired.groupBy(*keys).agg(F.slice(F.array_sort(F.collect_list("_rk")), 1, n).alias("_top"))
     return _report(top, r, keys, with_support=False)
 
