@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 
 from basketry.functions.labels import rnd
 
-from basketry.operators.enrich import one_category_per_product
 
 
 def product_counts(sales: DataFrame, measure: str = "units") -> DataFrame:

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import threading
 
-from pyspark.sql import functions as F
 
 from basketry.functions.labels import rnd
 
