@@ -17,12 +17,17 @@ from basketry.functions.labels import rnd
 
 
 
-def product_counts(sales: DataFrame, measure: str = "units") -> DataFrame:
-    """Per product: units (rows) or reach (distinct transactions), plus one category."""
+def product_counts(sales: DataFrame, measure: str = "units", approx: bool = False) -> DataFrame:
+    """Per product: units (rows) or reach (distinct transactions), plus one category.
+
+    ``approx=True`` counts reach with HyperLogLog++ (``approx_count_distinct``,
+    fixed memory per product) instead of the exact distinct aggregate.
+    """
     if measure == "units":
         value = F.count(F.lit(1)).alias("Unidades_Vendidas")
     elif measure == "reach":
-        value = F.count_distinct("ID_Transaccion").alias("Num_Transacciones")
+        value = (F.approx_count_distinct("ID_Transaccion") if approx
+                 else F.count_distinct("ID_Transaccion")).alias("Num_Transacciones")
     else:
         raise ValueError(f"measure must be 'units' or 'reach', got {measure!r}")
     return sales.groupBy("ID_Producto").agg(value, F.min("Nombre_Categoria").alias("Nombre_Categoria"))
@@ -34,9 +39,10 @@ def _ranked(df: DataFrame, value: str, key: str, n: int, ascending: bool = False
     return top.withColumn("Posicion", F.row_number().over(Window.orderBy(*order)))
 
 
-def top_products(sales: DataFrame, n: int = 10, measure: str = "units", share: bool = False) -> DataFrame:
+def top_products(sales: DataFrame, n: int = 10, measure: str = "units", share: bool = False,
+                 approx: bool = False) -> DataFrame:
     """D3/D4 + C5 + F1/F2 (+ D6/E12 with ``share``)."""
-    counts = product_counts(sales, measure)
+    counts = product_counts(sales, measure, approx)
     value = "Unidades_Vendidas" if measure == "units" else "Num_Transacciones"
     out = _ranked(counts, value, "ID_Producto", n)
     cols = ["Posicion", "ID_Producto", "Nombre_Categoria", value]
