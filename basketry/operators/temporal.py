@@ -38,10 +38,15 @@ def _win(keys) -> Window:
     return Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
 
 
+def _dated(sales: DataFrame) -> DataFrame:
+    """Lines with a date (an unparsable raw date is null and has no period)."""
+    return sales.where(F.col("Fecha").isNotNull())
+
+
 def period_sales(sales: DataFrame, period: str = "day", keys=()) -> DataFrame:
     """Units, distinct transactions, active stores per period."""
     name, expr = _period_col(period)
-    return sales.groupBy(*keys, expr.alias(name)).agg(
+    return _dated(sales).groupBy(*keys, expr.alias(name)).agg(
         F.count(F.lit(1)).alias("Total_Productos_Vendidos"),
         F.count_distinct("ID_Transaccion").alias("Numero_Transacciones"),
         F.count_distinct("ID_Tienda").alias("Tiendas_Activas"),
@@ -50,7 +55,7 @@ def period_sales(sales: DataFrame, period: str = "day", keys=()) -> DataFrame:
 
 def by_weekday(sales: DataFrame) -> DataFrame:
     """Units and transactions per weekday, Monday..Sunday, absent days kept as 0."""
-    agg = sales.groupBy(F.col("DiaSemana_L0").alias("Dia_Num")).agg(
+    agg = _dated(sales).groupBy(F.col("DiaSemana_L0").alias("Dia_Num")).agg(
         F.count(F.lit(1)).alias("Total_Productos"),
         F.count_distinct("ID_Transaccion").alias("Numero_Transacciones"))
     days = sales.sparkSession.range(7).select(
@@ -63,7 +68,7 @@ def by_weekday(sales: DataFrame) -> DataFrame:
 
 def by_month(sales: DataFrame) -> DataFrame:
     """Units and transactions per calendar month over all years, Spanish names."""
-    return (sales.groupBy("Mes").agg(
+    return (_dated(sales).groupBy("Mes").agg(
         F.count(F.lit(1)).alias("Total_Productos"),
         F.count_distinct("ID_Transaccion").alias("Numero_Transacciones"))
         .withColumn("Nombre_Mes", cal.month_name_es(F.col("Mes"))))
@@ -101,7 +106,7 @@ def heatmap(sales: DataFrame, row: str, col: str, values, rows=None, prefix: str
 def heatmap_dow_hour(sales: DataFrame) -> DataFrame:
     """rows = weekday 1..7 (1 = Sunday), columns H00..H23, zero fill."""
     hours = list(range(cal.HOURS_PER_DAY))
-    piv = sales.groupBy("DiaSemana").pivot("Hora", hours).agg(F.count(F.lit(1)))
+    piv = _dated(sales).groupBy("DiaSemana").pivot("Hora", hours).agg(F.count(F.lit(1)))
     days = sales.sparkSession.range(1, 8).select(F.col("id").cast("int").alias("DiaSemana"))
     out = days.join(piv, "DiaSemana", "left")
     return out.select("DiaSemana", *[F.coalesce(F.col(str(h)), F.lit(0)).cast("long").alias(f"H{h:02d}")
@@ -111,14 +116,14 @@ def heatmap_dow_hour(sales: DataFrame) -> DataFrame:
 def heatmap_week_dow(sales: DataFrame) -> DataFrame:
     """rows = ISO week, columns D0..D6 (0 = Monday), zero fill."""
     days = list(range(7))
-    piv = sales.groupBy("Semana_Anio").pivot("DiaSemana_L0", days).agg(F.count(F.lit(1)))
+    piv = _dated(sales).groupBy("Semana_Anio").pivot("DiaSemana_L0", days).agg(F.count(F.lit(1)))
     return piv.select("Semana_Anio", *[F.coalesce(F.col(str(d)), F.lit(0)).cast("long").alias(f"D{d}")
                                        for d in days])
 
 
 def weekday_peak_hour(sales: DataFrame) -> DataFrame:
     """Per weekday, the hour with most transactions (ties: earliest hour) and % of the day."""
-    per = sales.groupBy("DiaSemana", "Hora").agg(F.count_distinct("ID_Transaccion").alias("t"))
+    per = _dated(sales).groupBy("DiaSemana", "Hora").agg(F.count_distinct("ID_Transaccion").alias("t"))
     return per.groupBy("DiaSemana").agg(
         F.max_by("Hora", F.struct(F.col("t"), -F.col("Hora"))).alias("Hora_Pico"),
         F.max("t").alias("Transacciones_Pico"),

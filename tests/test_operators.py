@@ -273,3 +273,11 @@ def test_mine_by_key_equals_per_key_mining(spark):
                            for r in r_s.collect()})
     assert got_its == want_its
     assert got_rules == want_rules
+
+
+def test_undated_lines_have_no_period(spark):
+    rows = [(1, 1, 5, dt.date(2020, 1, 1), "X"), (2, 1, 5, None, "X")]
+    s = _sales(spark, rows).withColumn("DiaSemana_L0", F.weekday("Fecha")).withColumn("Mes", F.month("Fecha"))
+    assert [r.Fecha for r in tm.period_sales(s, "day").collect()] == [dt.date(2020, 1, 1)]
+    assert sum(r.Total_Productos for r in tm.by_weekday(s).collect()) == 1
+    assert [r.Mes for r in tm.by_month(s).collect()] == [1]
