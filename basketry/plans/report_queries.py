@@ -116,6 +116,16 @@ def pareto_curve(spark, sf):
     return pr.pareto_curve(sales(spark, sf))
 
 
+@register("pareto_ranks", with_sales(
+    "p AS (SELECT ID_Producto, count(*) AS u FROM sales GROUP BY 1)",
+    select="""SELECT ID_Producto, u AS Unidades_Vendidas,
+       row_number() OVER (ORDER BY u DESC, ID_Producto) AS Posicion,
+       round(CAST(sum(u) OVER (ORDER BY u DESC, ID_Producto ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+             AS DOUBLE) * 100.0 / sum(u) OVER (), 6) AS Porcentaje_Acumulado FROM p"""), "E9")
+def pareto_ranks(spark, sf):
+    return pr.pareto_ranks(sales(spark, sf))
+
+
 @register("kpi_summary", with_sales(select=_KPI_SELECT.format(src="sales")), "D1")
 def kpi_summary(spark, sf):
     return kpi.kpi_summary(sales(spark, sf))

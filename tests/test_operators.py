@@ -281,3 +281,20 @@ def test_undated_lines_have_no_period(spark):
     assert [r.Fecha for r in tm.period_sales(s, "day").collect()] == [dt.date(2020, 1, 1)]
     assert sum(r.Total_Productos for r in tm.by_weekday(s).collect()) == 1
     assert [r.Mes for r in tm.by_month(s).collect()] == [1]
+
+
+def test_pareto_ranks_bucketed_equals_brute_force(spark):
+    import random as _r
+    rng = _r.Random(5)
+    d = dt.date(2020, 1, 1)
+    units = {p: rng.choice([1, 1, 1, 2, 2, 3, 7]) for p in range(1, 200)}
+    rows = [(i, 1, p, d, "X") for i, (p, u) in enumerate((p, u) for p, u in units.items() for _ in range(u))]
+    got = {r.ID_Producto: (r.Posicion, r.Porcentaje_Acumulado)
+           for r in pr.pareto_ranks(_sales(spark, rows), bucket=7).collect()}
+    order = sorted(units, key=lambda p: (-units[p], p))
+    total, cum, want = sum(units.values()), 0, {}
+    for i, p in enumerate(order, 1):
+        cum += units[p]
+        want[p] = (i, round(cum * 100.0 / total, 6))
+    assert {p: g[0] for p, g in got.items()} == {p: w[0] for p, w in want.items()}
+    assert all(abs(got[p][1] - want[p][1]) < 1e-9 for p in want)
