@@ -41,7 +41,10 @@ def main():
     a = ap.parse_args()
     spark = local_session()
     qs = all_queries()
-    print(f"# Physical plans at {a.sf}\n")
+    intro = os.path.join(os.path.dirname(os.path.abspath(__file__)), "plans_intro.md")
+    if os.path.exists(intro):
+        print(open(intro).read())
+    print(f"## Per-query audit at {a.sf}\n")
     print("Final adaptive plans (each query run once). `shuffle` = hash/range/rebalance exchanges, "
           "`single` = exchanges into one partition (partial results of global aggregates, one row per task, "
           "or calendar-, store- or model-sized tables), `subquery` = scalar subqueries, "
