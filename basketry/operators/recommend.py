@@ -13,7 +13,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from basketry.functions.labels import rnd
-
 from basketry.operators.basket import _txt
 
 

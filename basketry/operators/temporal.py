@@ -14,9 +14,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from basketry.functions.labels import rnd
-
 from basketry.functions import calendar as cal
+from basketry.functions.labels import rnd
 
 _PERIODS = ("day", "week", "month", "year")
 
@@ -146,6 +145,18 @@ def weekday_uplift(sales: DataFrame) -> DataFrame:
     ).withColumn("Uplift_Pct", rnd((F.col("Promedio_Diario") / overall - 1.0) * 100.0, 6))
 
 
+def weekend_hour_profile(sales: DataFrame) -> DataFrame:
+    """Share of units per hour, weekdays vs weekend (Saturday, Sunday), in %.
+
+    One aggregate over (day type, hour); the per-type totals are a window
+    over that 48-row table.
+    """
+    kind = F.when(F.col("DiaSemana").isin(1, 7), "Fin de semana").otherwise("Entre semana")
+    per = _dated(sales).groupBy(kind.alias("Tipo_Dia"), "Hora").agg(F.count(F.lit(1)).alias("Unidades"))
+    total = F.sum("Unidades").over(Window.partitionBy("Tipo_Dia"))
+    return per.withColumn("Porcentaje", rnd(F.col("Unidades") * 100.0 / total, 6))
+
+
 def period_summary(sales: DataFrame) -> DataFrame:
     """Mean, max, min, sample std of units per day / week / month."""
     parts = []

@@ -11,7 +11,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from basketry.functions.labels import rnd
-
 from basketry.operators import basket as bk
 from basketry.operators import recommend as rc
 from basketry.plans import facts

@@ -4,9 +4,7 @@ from __future__ import annotations
 
 import threading
 
-
 from basketry.functions.labels import rnd
-
 from basketry.operators import customers as cu
 from basketry.operators import segment as sg
 from basketry.plans import facts

@@ -114,6 +114,16 @@ def weekday_uplift(spark, sf):
     return tm.weekday_uplift(sales(spark, sf))
 
 
+@register("weekend_hour_profile", with_sales(
+    """p AS (SELECT CASE WHEN DiaSemana IN (1, 7) THEN 'Fin de semana' ELSE 'Entre semana' END AS Tipo_Dia, Hora,
+          count(*) AS Unidades FROM sales GROUP BY 1, 2)""",
+    select="""SELECT Tipo_Dia, Hora, Unidades,
+       round(CAST(Unidades AS DOUBLE) * 100.0 / sum(Unidades) OVER (PARTITION BY Tipo_Dia), 6) AS Porcentaje FROM p"""),
+    "D25")
+def weekend_hour_profile(spark, sf):
+    return tm.weekend_hour_profile(sales(spark, sf))
+
+
 def _summary_sql(label: str, cte: str) -> str:
     return f"""SELECT '{label}' AS Periodo, count(*) AS Num_Periodos, round(avg(Total_Productos_Vendidos), 6) AS Promedio,
        max(Total_Productos_Vendidos) AS Maximo, min(Total_Productos_Vendidos) AS Minimo,
