@@ -74,3 +74,28 @@ def test_pareto_within_catalogue(spark, sf):
     assert 0 <= r.Productos_Pareto <= r.Productos_Total
     by_store = pr.pareto(sales(spark, sf), keys=["ID_Tienda"]).collect()
     assert all(0 <= x.Productos_Pareto <= x.Productos_Total for x in by_store)
+
+
+def test_same_results_without_automatic_broadcasts(spark, sf):
+    """At 100 TB the size checks pick shuffle joins; the answers must not change."""
+    from basketry.sources import tables as tb
+    names = ["top_products_volume", "recommend_for_basket", "predict_next_items", "rules_full",
+             "check_integrity", "cooccurrence_by_store", "seasonal_decompose", "store_summary"]
+    before = {n: sorted(map(repr, QUERIES[n](spark, sf).collect())) for n in names}
+    fact_before = sorted(map(repr, tb.sales_view(spark, sf).collect()))
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    old = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        for k in keys:
+            spark.conf.set(k, "-1")
+        plan = tb.sales_view(spark, sf)._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan
+        assert sorted(map(repr, tb.sales_view(spark, sf).collect())) == fact_before
+        for n in names:
+            assert sorted(map(repr, QUERIES[n](spark, sf).collect())) == before[n], n
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
