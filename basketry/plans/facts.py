@@ -23,7 +23,8 @@ from basketry.sources import sinks
 from basketry.sources import tables as tb
 
 _LOCK = threading.RLock()
-_STAGES: dict[tuple[str, str], tuple[str, DataFrame]] = {}
+_STAGES: dict[tuple[str, str], str] = {}
+_FRAMES: dict[tuple[str, str, int], tuple[str, DataFrame]] = {}
 
 
 def _key(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
@@ -47,11 +48,16 @@ def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     key = _key(spark, sf_dir)
     with _LOCK:
-        hit = _STAGES.get(key)
-        if hit is None or not sinks.path_exists(spark, hit[0]):
+        path = _STAGES.get(key)
+        if path is None or not sinks.path_exists(spark, path):
             path = build_sales(spark, sf_dir)
+            _STAGES[key] = path
+        # the stage is shared by the application; the DataFrame belongs to one session
+        fkey = (*key, id(spark))
+        hit = _FRAMES.get(fkey)
+        if hit is None or hit[0] != path:
             hit = (path, spark.read.parquet(path).select(*tb.SALES_COLUMNS))
-            _STAGES[key] = hit
+            _FRAMES[fkey] = hit
     return hit[1]
 
 
@@ -60,9 +66,12 @@ def forget(spark: SparkSession | None = None) -> None:
     with _LOCK:
         if spark is None:
             _STAGES.clear()
+            _FRAMES.clear()
         else:
-            for k in [k for k in _STAGES if k[0] == spark.sparkContext.applicationId]:
-                del _STAGES[k]
+            app = spark.sparkContext.applicationId
+            for d in (_STAGES, _FRAMES):
+                for k in [k for k in d if k[0] == app]:
+                    del d[k]
 
 
 def baskets_by_key(spark: SparkSession, sf_dir: str, keys=("ID_Tienda", "ID_Transaccion")) -> DataFrame:
