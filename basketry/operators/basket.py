@@ -203,7 +203,7 @@ def by_length(itemsets_rep: DataFrame, n_pairs: int = 15, n_triples: int = 10) -
     return counts.unionByName(top)
 
 
-def lift_distribution(rules_rep: DataFrame, bins: int = 50) -> DataFrame:
+def lift_distribution(rules_rep: DataFrame, bins: int = 50) -> tuple[DataFrame, DataFrame]:
     """K8: lift mean / median / min / max and confidence quartiles, plus a lift histogram."""
     from basketry.functions.labels import histogram
 

@@ -42,13 +42,18 @@ def slice_sales(sales: DataFrame, stores=None, start=None, end=None, categories=
     return sales.where(cond)
 
 
-def kpi_summary(sales: DataFrame) -> DataFrame:
+def _distinct(col: str, approx: bool):
+    """Exact distinct count, or HyperLogLog++ (fixed memory, ~1 % error) with ``approx``."""
+    return F.approx_count_distinct(col) if approx else F.count_distinct(col)
+
+
+def kpi_summary(sales: DataFrame, approx: bool = False) -> DataFrame:
     """Transactions, units, products, categories, units per transaction."""
     out = sales.agg(
-        F.count_distinct("ID_Transaccion").alias("Total_Transacciones"),
+        _distinct("ID_Transaccion", approx).alias("Total_Transacciones"),
         F.count(F.lit(1)).alias("Total_Productos_Vendidos"),
-        F.count_distinct("ID_Producto").alias("Productos_Unicos"),
-        F.count_distinct("Nombre_Categoria").alias("Categorias_Activas"),
+        _distinct("ID_Producto", approx).alias("Productos_Unicos"),
+        _distinct("Nombre_Categoria", approx).alias("Categorias_Activas"),
     )
     return out.withColumn(
         "Promedio_Productos_Transaccion",
@@ -56,14 +61,14 @@ def kpi_summary(sales: DataFrame) -> DataFrame:
                                         F.col("Total_Transacciones")), 6), F.lit(0.0)))
 
 
-def dataset_dimensions(sales: DataFrame) -> DataFrame:
+def dataset_dimensions(sales: DataFrame, approx: bool = False) -> DataFrame:
     """Rows, transactions, products, categories, stores, date range and span."""
     return sales.agg(
         F.count(F.lit(1)).alias("Registros"),
-        F.count_distinct("ID_Transaccion").alias("Transacciones"),
-        F.count_distinct("ID_Producto").alias("Productos"),
-        F.count_distinct("Nombre_Categoria").alias("Categorias"),
-        F.count_distinct("ID_Tienda").alias("Tiendas"),
+        _distinct("ID_Transaccion", approx).alias("Transacciones"),
+        _distinct("ID_Producto", approx).alias("Productos"),
+        _distinct("Nombre_Categoria", approx).alias("Categorias"),
+        _distinct("ID_Tienda", approx).alias("Tiendas"),
         F.min("Fecha").alias("Fecha_Min"),
         F.max("Fecha").alias("Fecha_Max"),
     ).withColumn("Dias_Rango", F.datediff("Fecha_Max", "Fecha_Min"))

@@ -298,3 +298,15 @@ def test_pareto_ranks_bucketed_equals_brute_force(spark):
         want[p] = (i, round(cum * 100.0 / total, 6))
     assert {p: g[0] for p, g in got.items()} == {p: w[0] for p, w in want.items()}
     assert all(abs(got[p][1] - want[p][1]) < 1e-9 for p in want)
+
+
+def test_approx_distinct_options(spark):
+    from basketry.operators import kpi
+    d = dt.date(2020, 1, 1)
+    rows = [(i % 50, 1, i % 37, d, "X") for i in range(500)]
+    s = _sales(spark, rows)
+    exact = kpi.kpi_summary(s).first()
+    approx = kpi.kpi_summary(s, approx=True).first()
+    assert (exact.Total_Transacciones, exact.Productos_Unicos) == (50, 37)
+    assert abs(approx.Total_Transacciones - 50) <= 2 and abs(approx.Productos_Unicos - 37) <= 2
+    assert kpi.dataset_dimensions(s, approx=True).first().Tiendas == 1
