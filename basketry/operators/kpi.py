@@ -85,35 +85,39 @@ def product_lookup(sales: DataFrame, product: int) -> DataFrame:
 def executive_summary(sales: DataFrame, limit: float = 0.8) -> DataFrame:
     """(Metrica, Valor) rows put together from one-row aggregates.
 
-    Each metric is a one-row aggregate; they are unioned, never collected.
+    Metrics over the same input share one aggregate (unpivoted with
+    ``inline``); the parts are unioned, never collected.
     """
     from basketry.operators import customers as cu
     from basketry.operators import products as pr
     from basketry.operators import temporal as tm
 
-    def metric(df: DataFrame, name: str, value) -> DataFrame:
-        return df.select(F.lit(name).alias("Metrica"), rnd(value.cast("double"), 6).alias("Valor"))
+    def metrics(df: DataFrame, **values) -> DataFrame:
+        """One aggregate (or row) -> one (Metrica, Valor) row per named value."""
+        one = df.select(*[v.alias(k) for k, v in values.items()])
+        rows = [F.struct(F.lit(k).alias("Metrica"), rnd(F.col(k).cast("double"), 6).alias("Valor")) for k in values]
+        return one.select(F.inline(F.array(*rows)))
 
     basket = cu.basket_table(sales)
     daily = tm.period_sales(sales, "day")
     gaps = cu.purchase_gaps(basket)
     top = pr.top_products(sales, 1)
+    fact = sales.agg(F.count(F.lit(1)).alias("r"), F.count_distinct("ID_Producto").alias("p"),
+                     F.count_distinct("ID_Tienda").alias("t"))
+    bsk = basket.agg(F.count(F.lit(1)).alias("n"), F.avg("Productos_Comprados").alias("m"))
     parts = [
-        metric(sales.agg(F.count(F.lit(1)).alias("v")), "Registros", F.col("v")),
-        metric(sales.agg(F.count_distinct("ID_Producto").alias("v")), "Productos_Unicos", F.col("v")),
-        metric(sales.agg(F.count_distinct("ID_Tienda").alias("v")), "Tiendas", F.col("v")),
-        metric(basket.agg(F.count(F.lit(1)).alias("v")), "Transacciones", F.col("v")),
-        metric(daily.agg(F.avg("Total_Productos_Vendidos").alias("v")), "Promedio_Ventas_Diarias", F.col("v")),
-        metric(basket.agg(F.avg("Productos_Comprados").alias("v")), "Promedio_Productos_Por_Compra", F.col("v")),
-        metric(gaps.agg((F.sum(F.col("Dias") * F.col("Peso")) / F.sum("Peso")).alias("v")),
-               "Promedio_Dias_Entre_Compras", F.col("v")),
-        metric(top, "Producto_Mas_Vendido", F.col("ID_Producto")),
-        metric(top, "Unidades_Producto_Mas_Vendido", F.col("Unidades_Vendidas")),
-        metric(pr.pareto(sales, limit), "Productos_Pareto_80", F.col("Productos_Pareto")),
-        metric(tm.by_weekday(sales).orderBy(F.col("Total_Productos").desc(), F.col("Dia_Num").asc()).limit(1),
-               "Dia_Semana_Top", F.col("Dia_Num")),
-        metric(tm.by_month(sales).orderBy(F.col("Total_Productos").desc(), F.col("Mes").asc()).limit(1),
-               "Mes_Top", F.col("Mes")),
+        metrics(fact, Registros=F.col("r"), Productos_Unicos=F.col("p"), Tiendas=F.col("t")),
+        metrics(bsk, Transacciones=F.col("n"), Promedio_Productos_Por_Compra=F.col("m")),
+        metrics(daily.agg(F.avg("Total_Productos_Vendidos").alias("v")), Promedio_Ventas_Diarias=F.col("v")),
+        metrics(gaps.agg((F.sum(F.col("Dias") * F.col("Peso")) / F.sum("Peso")).alias("v")),
+                Promedio_Dias_Entre_Compras=F.col("v")),
+        metrics(top, Producto_Mas_Vendido=F.col("ID_Producto"),
+                Unidades_Producto_Mas_Vendido=F.col("Unidades_Vendidas")),
+        metrics(pr.pareto(sales, limit), Productos_Pareto_80=F.col("Productos_Pareto")),
+        metrics(tm.by_weekday(sales).orderBy(F.col("Total_Productos").desc(), F.col("Dia_Num").asc()).limit(1),
+                Dia_Semana_Top=F.col("Dia_Num")),
+        metrics(tm.by_month(sales).orderBy(F.col("Total_Productos").desc(), F.col("Mes").asc()).limit(1),
+                Mes_Top=F.col("Mes")),
     ]
     out = parts[0]
     for p in parts[1:]:
