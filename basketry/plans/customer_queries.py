@@ -44,6 +44,17 @@ def purchase_gaps(spark, sf):
     return cu.purchase_gaps(cu.basket_table(sales(spark, sf)))
 
 
+@register("purchase_gaps_by_store", with_sales(select="""
+SELECT Tienda AS ID_Tienda, Dias, count(*) AS Peso FROM (
+  SELECT Tienda, CAST(Fecha_Compra - lag(Fecha_Compra) OVER (PARTITION BY Tienda ORDER BY Fecha_Compra, ID_Transaccion)
+         AS INTEGER) AS Dias FROM baskets) g
+WHERE Dias IS NOT NULL GROUP BY 1, 2"""), "E5")
+def purchase_gaps_by_store(spark, sf):
+    """E5 per store in one job (per-date compression partitioned by store)."""
+    b = cu.basket_table(sales(spark, sf))
+    return cu.purchase_gaps(b, keys=["ID_Tienda"])
+
+
 @register("purchase_gap_stats", with_sales(_GAPS_CTE, select="""
 SELECT count(*) AS Num_Intervalos, round(avg(Dias), 6) AS Media, round(stddev_samp(Dias), 6) AS Desv_Std,
        min(Dias) AS Minimo, max(Dias) AS Maximo,

@@ -150,6 +150,20 @@ def moving_average(spark, sf):
     return tm.moving_average(tm.period_sales(sales(spark, sf), "day"))
 
 
+@register("moving_average_by_store", with_sales(
+    f"ds AS (SELECT ID_Tienda, Fecha, {_PERIOD_AGG} FROM sales GROUP BY ID_Tienda, Fecha)", select="""
+SELECT *, CASE WHEN count(*) OVER w7 = 7 THEN round(avg(Total_Productos_Vendidos) OVER w7, 6) END AS MA_7,
+       CASE WHEN count(*) OVER w14 = 14 THEN round(avg(Total_Productos_Vendidos) OVER w14, 6) END AS MA_14,
+       CASE WHEN count(*) OVER w30 = 30 THEN round(avg(Total_Productos_Vendidos) OVER w30, 6) END AS MA_30
+FROM ds WINDOW w7 AS (PARTITION BY ID_Tienda ORDER BY Fecha ROWS BETWEEN 6 PRECEDING AND CURRENT ROW),
+               w14 AS (PARTITION BY ID_Tienda ORDER BY Fecha ROWS BETWEEN 13 PRECEDING AND CURRENT ROW),
+               w30 AS (PARTITION BY ID_Tienda ORDER BY Fecha ROWS BETWEEN 29 PRECEDING AND CURRENT ROW)"""), "E1")
+def moving_average_by_store(spark, sf):
+    """E1 for every store in one job: windows partitioned by store."""
+    series = tm.period_sales(sales(spark, sf), "day", keys=["ID_Tienda"])
+    return tm.moving_average(series, keys=["ID_Tienda"])
+
+
 _GROWTH = """round((Total_Productos_Vendidos - lag(Total_Productos_Vendidos) OVER o) * 100.0
              / nullif(lag(Total_Productos_Vendidos) OVER o, 0), 6) AS Crecimiento_Mensual,
        round((Numero_Transacciones - lag(Numero_Transacciones) OVER o) * 100.0
