@@ -217,6 +217,21 @@ def seasonal_decompose(spark, sf):
     return tm.seasonal_decompose(daily, period=7)
 
 
+@register("seasonal_decompose_by_store", with_sales(
+    "dd AS (SELECT ID_Tienda, Fecha, count(*) AS v FROM sales GROUP BY ID_Tienda, Fecha)",
+    "p AS (SELECT *, row_number() OVER (PARTITION BY ID_Tienda ORDER BY Fecha) - 1 AS pos FROM dd)",
+    """t AS (SELECT *, CASE WHEN count(*) OVER w = 7 THEN avg(v) OVER w END AS tr, pos % 7 AS ph FROM p
+          WINDOW w AS (PARTITION BY ID_Tienda ORDER BY pos ROWS BETWEEN 3 PRECEDING AND 3 FOLLOWING))""",
+    "s0 AS (SELECT ID_Tienda, ph, avg(v - tr) AS s FROM t GROUP BY 1, 2)",
+    "s1 AS (SELECT ID_Tienda, ph, s - avg(s) OVER (PARTITION BY ID_Tienda) AS s FROM s0)",
+    select="""SELECT ID_Tienda, Fecha, v AS Total_Productos_Vendidos, round(tr, 6) AS Tendencia,
+       round(s, 6) AS Estacionalidad, round(v - tr - s, 6) AS Residuo FROM t JOIN s1 USING (ID_Tienda, ph)"""), "E4")
+def seasonal_decompose_by_store(spark, sf):
+    """E4 for every store in one job: windows and phase means partitioned by store."""
+    daily = sales(spark, sf).groupBy("ID_Tienda", "Fecha").agg(F.count(F.lit(1)).alias("Total_Productos_Vendidos"))
+    return tm.seasonal_decompose(daily, period=7, keys=["ID_Tienda"])
+
+
 @register("unusual_days", with_sales(*_DECOMP_CTES, select=f"""
 SELECT Fecha, Residuo, round(sd, 6) AS Desv_Residuo, CASE WHEN Residuo < 0 THEN 'CAIDA' ELSE 'PICO' END AS Tipo
 FROM (SELECT *, stddev_samp(Residuo) OVER () AS sd FROM dec) x WHERE abs(Residuo) > {UNUSUAL_K} * sd"""), "E14")
