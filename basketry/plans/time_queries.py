@@ -196,6 +196,20 @@ def trend_verdict(spark, sf):
     return tm.trend_verdict(tm.period_sales(sales(spark, sf), "week"))
 
 
+@register("trend_verdict_by_store", with_sales(
+    f"ws AS (SELECT ID_Tienda, {_WEEK_SQL} AS Periodo, count(*) AS Total_Productos_Vendidos FROM sales GROUP BY 1, 2)",
+    select="""
+SELECT ID_Tienda, arg_min(Total_Productos_Vendidos, Periodo) AS Primero, arg_max(Total_Productos_Vendidos, Periodo) AS Ultimo,
+       round((arg_max(Total_Productos_Vendidos, Periodo) - arg_min(Total_Productos_Vendidos, Periodo)) * 100.0
+             / arg_min(Total_Productos_Vendidos, Periodo), 6) AS Cambio_Pct,
+       CASE WHEN arg_max(Total_Productos_Vendidos, Periodo) > arg_min(Total_Productos_Vendidos, Periodo) THEN 'CRECIENTE'
+            WHEN arg_max(Total_Productos_Vendidos, Periodo) < arg_min(Total_Productos_Vendidos, Periodo) THEN 'DECRECIENTE'
+            ELSE 'ESTABLE' END AS Tendencia FROM ws GROUP BY ID_Tienda"""), "E3")
+def trend_verdict_by_store(spark, sf):
+    """E3 for every store in one aggregation."""
+    return tm.trend_verdict(tm.period_sales(sales(spark, sf), "week", keys=["ID_Tienda"]), keys=["ID_Tienda"])
+
+
 _DECOMP_CTES = (
     "dd AS (SELECT Fecha, count(*) AS Total_Productos_Vendidos FROM sales GROUP BY Fecha)",
     """p AS (SELECT *, row_number() OVER (ORDER BY Fecha) - 1 AS pos FROM dd)""",
