@@ -7,6 +7,10 @@ lost executor costs a re-read, never a rebuild of the plan above it.
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -16,6 +20,26 @@ from basketry.plans.session import fresh_path
 WORD_RE = r"[^\x20\x09-\x0D]+"
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(df: DataFrame) -> DataFrame:
+    """Send this package's source to the Python workers (once an application), as
+    ``--py-files`` would, so that functions which run there can be imported."""
+    sc = df.sparkSession.sparkContext
+    if sc.applicationId not in _SHIPPED:
+        root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+        path = os.path.join(os.path.realpath(tempfile.mkdtemp(prefix="basketry-src-")), "basketry_src.zip")
+        with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+            for folder, _, names in os.walk(root):
+                for n in names:
+                    if n.endswith(".py"):
+                        z.write(os.path.join(folder, n), os.path.relpath(os.path.join(folder, n), os.path.dirname(root)))
+        sc.addPyFile(path)  # the driver serves it to the executors
+        _SHIPPED.add(sc.applicationId)
+    return df
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the driver tables, through Spark's reader."""
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")

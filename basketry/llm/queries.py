@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.llm import chat, common, mixing, sharding
+from basketry.llm import chat, common, langid, mixing, quality, secrets, sharding, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -142,3 +142,38 @@ FROM d JOIN g ON d.source IS NOT DISTINCT FROM g.source LEFT JOIN t ON d.doc_id
 def op7_fair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, rows = mixing.mix(common.table(spark, sf_dir, "documents"))
     return rows.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
+
+
+@query("op1_language_id")
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = common.table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = langid.train(docs.filter(~langid.held_out(F.col("doc_id"))), "doc_id", "text", "lang")
+    return langid.predict(docs.select("doc_id", "text"), model, "text", "found").select(
+        "doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), F.col("found.lang").alias("lang_pred"),
+        F.col("found.score").alias("score"))
+
+
+@query("op2_simhash_components")
+def op2_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = simhash.near_duplicates(common.table(spark, sf_dir, "documents"), shingle=4, bits=4)
+    return out.select(F.col("id").alias("doc_id"), simhash.hex16("fingerprint").alias("fingerprint"),
+                      F.col("component").alias("component_id"))
+
+
+@query("op8_fertility_rules")
+def op8_fertility_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = common.table(spark, sf_dir, "documents")
+    return quality.judged(docs, "text", "lang", ["doc_id"]).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
+        "n_tokens", "chars_per_token", "byte_share", "entropy")
+
+
+@query("op10_entropy_secrets")
+def op10_entropy_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.find_secrets(common.table(spark, sf_dir, "documents").select("doc_id", "text"), "text", "found")
+    base = F.filter("found", lambda s: s["kind"].isin("assign", "access", "hex"))
+    count = lambda kind: F.size(F.filter("found", lambda s: s["kind"] == kind)).cast("bigint")
+    return found.select("doc_id", count("assign").alias("n_assign"), count("access").alias("n_access"),
+                        count("hex").alias("n_hex"),
+                        F.sha2(secrets.listed(base).cast("binary"), 256).alias("base_sha256"),
+                        secrets.listed(F.col("found")).alias("spans"))
