@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.llm import chat, common, langid, mixing, quality, secrets, sharding, simhash
+from basketry.llm import chat, common, langid, mixing, quality, secrets, sharding, simhash, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -177,3 +177,13 @@ def op10_entropy_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
                         count("hex").alias("n_hex"),
                         F.sha2(secrets.listed(base).cast("binary"), 256).alias("base_sha256"),
                         secrets.listed(F.col("found")).alias("spans"))
+
+
+@query("op6_kernel_toxicity")
+def op6_kernel_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = common.table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = common.table(spark, sf_dir, "labels")
+    held = common.bucket_crc(F.col("doc_id"), 3) == 1
+    model = toxicity.train(docs, labels.filter(~held))
+    return toxicity.score(docs, model, "text", "score").select(
+        "doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
