@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.llm import chat, common, langid, mixing, quality, secrets, sharding, simhash, toxicity
+from basketry.llm import chat, common, decontam, langid, mixing, quality, secrets, sharding, simhash, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -187,3 +187,12 @@ def op6_kernel_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = toxicity.train(docs, labels.filter(~held))
     return toxicity.score(docs, model, "text", "score").select(
         "doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+@query("op9_latent_leaks")
+def op9_latent_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = common.table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontam.find_leaks(docs, common.table(spark, sf_dir, "benchmark"), out="leaks")
+    hit = found.select("doc_id", F.explode("leaks").alias("m"))
+    return hit.select("doc_id", F.col("m.item_id").cast("bigint").alias("item_id"), "m.part", "m.start", "m.end",
+                      "m.cosine", "m.lcs", "m.answer")
