@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.llm import chat, common, decontam, langid, mixing, quality, secrets, sharding, simhash, toxicity
+from basketry.llm import chaining, chat, common, decontam, langid, mixing, quality, secrets, sharding, simhash, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -196,3 +196,8 @@ def op9_latent_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     hit = found.select("doc_id", F.explode("leaks").alias("m"))
     return hit.select("doc_id", F.col("m.item_id").cast("bigint").alias("item_id"), "m.part", "m.start", "m.end",
                       "m.cosine", "m.lcs", "m.answer")
+
+
+@query("op4_chained_passages")
+def op4_chained_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chaining.repeated_passages(common.table(spark, sf_dir, "documents"))
