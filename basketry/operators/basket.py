@@ -10,11 +10,14 @@ Scale notes
   No sampling and no basket cap are applied unless asked for.
 * Multi-item consequents (``rules_full``) expand each frequent itemset into
   its 2^n - 2 antecedent/consequent splits with a bitmask and higher-order
-  ``filter``; ``max_len`` bounds n, so the expansion is bounded per itemset.
-* Pair counting first drops infrequent items (Apriori pruning): a basket
-  then emits pairs only among frequent items, whose number is bounded by
-  mean basket size / min support, independent of the data volume.  Hot
-  pairs are combined map-side by the partial aggregate.
+  ``filter``; every subset of a frequent itemset is frequent, so there are
+  never more splits than pairs of frequent itemsets.
+* Mining per key (``mine_by_key``) counts level by level, each key with its
+  own threshold; a level is pruned against the one before and staged.
+* Pair counting first drops infrequent items (Apriori pruning).  A basket is
+  exploded by position, then each position against the rest of its basket:
+  no row ever holds all pairs of a basket.  Hot pairs are combined map-side
+  by the partial aggregate.
 """
 
 from __future__ import annotations
@@ -26,7 +29,6 @@ from pyspark.sql import types as T
 from basketry.functions.labels import rnd
 
 BASKET_KEYS = ("ID_Tienda", "ID_Transaccion")
-MIN_BASKETS = 10
 
 
 def _txt(c) -> Column:
@@ -51,26 +53,25 @@ def keep_top_items(lines: DataFrame, n: int, item: str = "Item", keys=BASKET_KEY
     return lines.join(F.broadcast(top), item, "left_semi")
 
 
-def sample_baskets(b: DataFrame, fraction: float | None = None, seed: int = 42, cap: int | None = None,
-                   keys=BASKET_KEYS, unit: str = "basket") -> DataFrame:
-    """B13/F4 (Q4, Q5): stable hash sample of whole baskets, optional hash-ordered cap.
+def sample_baskets(b: DataFrame, fraction: float | None = None, seed: int = 42, keys=BASKET_KEYS,
+                   unit: str = "basket", modulo: int | None = None) -> DataFrame:
+    """B13 (Q4, Q5): stable sample of whole baskets.
 
-    The hash of the basket key decides membership, so the sample does not
-    depend on partitioning or task retries; the cap keeps the baskets with
-    the smallest hash (a deterministic ``limit``).
+    Membership depends on the basket key alone, so the sample does not depend
+    on partitioning or task retries: either ``fraction`` of the hash range, or
+    every ``modulo``-th transaction number.
     """
     if unit == "line":
         # Q4: the reference's row sample thins baskets; kept as an option
         return sample_lines(b, fraction if fraction is not None else 1.0, seed)
     if unit != "basket":
         raise ValueError("unit must be 'basket' or 'line'")
+    if modulo is not None:
+        return b.where(F.pmod(F.col(keys[-1]), F.lit(modulo)) == 0)
+    if fraction is None:
+        return b
     h = F.xxhash64(F.lit(seed), *[F.col(k) for k in keys])
-    out = b.withColumn("_h", h)
-    if fraction is not None:
-        out = out.where(F.pmod(F.col("_h"), F.lit(1_000_000)) < F.lit(int(round(fraction * 1_000_000))))
-    if cap is not None:
-        out = out.orderBy("_h", *keys).limit(cap)
-    return out.drop("_h")
+    return b.where(F.pmod(h, F.lit(1_000_000)) < F.lit(int(round(fraction * 1_000_000))))
 
 
 def sample_lines(lines: DataFrame, fraction: float, seed: int = 42) -> DataFrame:
@@ -87,19 +88,17 @@ RULE_SCHEMA = T.StructType([
     T.StructField("support", T.DoubleType())])
 
 
-def mine(b: DataFrame, min_support: float = 0.10, min_confidence: float = 0.5, max_len: int | None = None,
-         num_partitions: int | None = None, min_baskets: int = MIN_BASKETS):
-    """FP-Growth itemsets and single-consequent rules.
+def mine(b: DataFrame, min_support: float = 0.10, min_confidence: float = 0.5, num_partitions: int | None = None):
+    """K2/K4/K9: FP-Growth itemsets (of every length) and single-consequent rules.
 
-    Returns ``(itemsets, rules)`` with sorted item arrays.  With fewer than
-    ``min_baskets`` baskets both are typed empty frames (one schema for both
-    cases, Q7).  ``max_len`` drops longer itemsets and rules built on them.
+    Returns ``(itemsets, rules)`` with sorted item arrays.  Whatever baskets
+    there are get mined; without any, both are typed empty frames (Q7).
     """
     from pyspark.ml.fpm import FPGrowth
 
     spark = b.sparkSession
     items = b.select(F.col("items").cast(T.ArrayType(T.StringType())).alias("items"))
-    if items.limit(min_baskets).count() < min_baskets:
+    if items.isEmpty():
         return spark.createDataFrame([], ITEMSET_SCHEMA), spark.createDataFrame([], RULE_SCHEMA)
     fp = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence)
     if num_partitions:
@@ -109,12 +108,28 @@ def mine(b: DataFrame, min_support: float = 0.10, min_confidence: float = 0.5, m
     rules = model.associationRules.select(
         F.array_sort("antecedent").alias("antecedent"), F.array_sort("consequent").alias("consequent"),
         "confidence", "lift", "support")
-    if max_len is not None:
-        itemsets = itemsets.where(F.size("items") <= max_len)
-        rules = rules.where(F.size("antecedent") + F.size("consequent") <= max_len)
     return itemsets, rules
 
 
+def rules_from(itemsets: DataFrame, n_baskets, min_confidence: float = 0.5, keys=()) -> DataFrame:
+    """K4: single-consequent rules read off staged itemsets (no second pass over the FP-tree).
+
+    ``n_baskets`` is a column over the itemsets frame (a scalar, or a count per key).
+    """
+    keys = list(keys)
+    its = itemsets.select(*keys, F.array_sort("items").alias("_all"), F.col("freq").alias("_f"), n_baskets.alias("_n"))
+    split = its.where(F.size("_all") >= 2).select("*", F.explode("_all").alias("_c")) \
+        .select(*keys, "_f", "_n", F.array_except("_all", F.array("_c")).alias("antecedent"),
+                F.array("_c").alias("consequent"))
+    ant = its.select(*keys, F.col("_all").alias("antecedent"), F.col("_f").alias("_fa"))
+    con = its.where(F.size("_all") == 1).select(*keys, F.col("_all").alias("consequent"), F.col("_f").alias("_fc"))
+    r = split.join(ant, [*keys, "antecedent"]).join(con, [*keys, "consequent"])
+    conf = F.col("_f") / F.col("_fa")
+    return r.where(conf >= min_confidence).select(
+        *keys, "antecedent", "consequent", conf.alias("confidence"),
+        (conf / (F.col("_fc") / F.col("_n"))).alias("lift"), (F.col("_f") / F.col("_n")).alias("support"))
+
+
 def itemsets_report(itemsets: DataFrame, n_baskets) -> DataFrame:
     """K2/K3: itemsets as text with length, frequency and support (freq / N)."""
     return itemsets.select(
@@ -142,7 +157,7 @@ def top_rules(rules: DataFrame, n: int = 50, by: str = "lift") -> DataFrame:
             .orderBy(F.col(by).desc(), F.col("_a").asc(), F.col("_c").asc()).limit(n).drop("_a", "_c"))
 
 
-def rules_full(itemsets: DataFrame, n_baskets, min_lift: float | None = 1.0, max_len: int | None = None) -> DataFrame:
+def rules_full(itemsets: DataFrame, n_baskets, min_lift: float | None = 1.0) -> DataFrame:
     """Rules with multi-item consequents, all splits of every itemset.
 
     For an itemset of size n, mask m in 1..2^n-2 puts item i in the
@@ -152,16 +167,14 @@ def rules_full(itemsets: DataFrame, n_baskets, min_lift: float | None = 1.0, max
     conviction (null when confidence is 1).
     """
     fi = itemsets.select(F.array_sort("items").alias("items"), "freq")
-    if max_len is not None:
-        fi = fi.where(F.size("items") <= max_len)
     multi = fi.where(F.size("items") >= 2).withColumn("n", F.size("items"))
     split = multi.select(
         "items", F.col("freq").alias("f_all"),
-        F.explode(F.expr("sequence(1, (1 << n) - 2)")).alias("m"))
+        F.explode(F.expr("sequence(1L, shiftleft(1L, n) - 2L)")).alias("m"))
     split = split.select(
         "f_all",
-        F.expr("filter(items, (x, i) -> ((m >> i) & 1) = 1)").alias("ant"),
-        F.expr("filter(items, (x, i) -> ((m >> i) & 1) = 0)").alias("cons"))
+        F.expr("filter(items, (x, i) -> (shiftright(m, i) & 1L) = 1L)").alias("ant"),
+        F.expr("filter(items, (x, i) -> (shiftright(m, i) & 1L) = 0L)").alias("cons"))
     a = fi.select(F.col("items").alias("ant"), F.col("freq").alias("f_ant"))
     c = fi.select(F.col("items").alias("cons"), F.col("freq").alias("f_cons"))
     # the basket count (often a scalar subquery) is projected once and used by name
@@ -195,11 +208,15 @@ def by_length(itemsets_rep: DataFrame, n_pairs: int = 15, n_triples: int = 10) -
     counts = itemsets_rep.groupBy("Longitud").agg(F.count(F.lit(1)).alias("Valor")).select(
         F.lit("conteo").alias("Tipo"), "Longitud", F.lit(None).cast("int").alias("Posicion"),
         F.lit(None).cast("string").alias("Productos"), "Valor")
-    w = Window.partitionBy("Longitud").orderBy(F.col("Frecuencia").desc(), F.col("Productos").asc())
-    ranked = itemsets_rep.where(F.col("Longitud").isin(2, 3)).withColumn("Posicion", F.row_number().over(w))
-    top = ranked.where(((F.col("Longitud") == 2) & (F.col("Posicion") <= n_pairs))
-                       | ((F.col("Longitud") == 3) & (F.col("Posicion") <= n_triples))).select(
-        F.lit("top").alias("Tipo"), "Longitud", "Posicion", "Productos", F.col("Frecuencia").alias("Valor"))
+    order = [F.col("Frecuencia").desc(), F.col("Productos").asc()]
+
+    def best(size: int, n: int) -> DataFrame:
+        # a limit per length (top-k in every task) before the position is numbered
+        first = itemsets_rep.where(F.col("Longitud") == size).orderBy(*order).limit(n)
+        return first.select(F.lit("top").alias("Tipo"), "Longitud", F.row_number().over(Window.orderBy(*order)).alias("Posicion"),
+                            "Productos", F.col("Frecuencia").alias("Valor"))
+
+    top = best(2, n_pairs).unionByName(best(3, n_triples))
     return counts.unionByName(top)
 
 
@@ -217,40 +234,27 @@ def lift_distribution(rules_rep: DataFrame, bins: int = 50) -> tuple[DataFrame,
     return stats, histogram(rules_rep, "Lift", bins)
 
 
-def frequent_items(b: DataFrame, min_count) -> DataFrame:
-    """Items present in at least ``min_count`` baskets."""
-    return (b.select(F.explode("items").alias("item")).groupBy("item").agg(F.count(F.lit(1)).alias("c"))
-            .where(F.col("c") >= min_count).select("item"))
-
-
-def cooccurrence(b: DataFrame, min_count: int = 1, n: int | None = None, keys=(),
+def cooccurrence(b: DataFrame, min_count: int = 2, n: int | None = None, keys=(),
                  basket_keys=BASKET_KEYS) -> DataFrame:
     """Baskets holding each item pair (a < b), per ``keys``, count >= ``min_count``.
 
     Items below ``min_count`` (within their ``keys`` group) cannot be in a
-    pair that reaches it, so they are removed before the pairs are
-    generated; the pairs of a basket come from higher-order functions over
-    its sorted item array (no self-join), and all groups run in one
-    aggregation.  ``n`` keeps the top pairs per group.
+    pair that reaches it, so they are removed before the pairs are generated.
+    A basket's row carries its items once for each position, and every position
+    is exploded against the items after it, so the largest row is a basket and
+    the pairs stream into the map-side count.  ``n`` keeps the top pairs per group.
     """
     keys = list(keys)
     bk = list(dict.fromkeys([*keys, *basket_keys]))
-    its = b.select(*bk, "items")
-    if min_count > 1:
-        exploded = its.select(*bk, F.explode("items").alias("item"))
-        freq = exploded.groupBy(*keys, "item").agg(F.count(F.lit(1)).alias("_c")) \
-            .where(F.col("_c") >= min_count).select(*keys, "item")
-        its = exploded.join(freq, [*keys, "item"], "left_semi") \
-            .groupBy(*bk).agg(F.array_sort(F.collect_set("item")).alias("items"))
-    k = F.size("items")
-    pair_list = F.flatten(F.transform(
-        F.sequence(F.lit(0), k - 2),
-        lambda i: F.transform(F.slice("items", i + 2, k),
-                              lambda y: F.struct(F.element_at("items", i + 1).alias("a"), y.alias("b")))))
-    pairs = its.where(k >= 2).select(*keys, F.explode(pair_list).alias("p"))
-    counts = pairs.groupBy(*keys, F.col("p.a").alias("Item_A"), F.col("p.b").alias("Item_B")).agg(
-        F.count(F.lit(1)).alias("Transacciones"))
-    out = counts.where(F.col("Transacciones") >= min_count)
+    exploded = b.select(*bk, F.explode("items").alias("item"))
+    freq = exploded.groupBy(*keys, "item").agg(F.count(F.lit(1)).alias("_c")) \
+        .where(F.col("_c") >= min_count).select(*keys, "item")
+    its = exploded.join(freq, [*keys, "item"], "left_semi") \
+        .groupBy(*bk).agg(F.array_sort(F.collect_set("item")).alias("items"))
+    heads = its.where(F.size("items") >= 2).select(*keys, "items", F.posexplode("items").alias("_p", "Item_A"))
+    pairs = heads.select(*keys, "Item_A", F.explode(F.slice("items", F.col("_p") + 2, F.size("items"))).alias("Item_B"))
+    out = pairs.groupBy(*keys, "Item_A", "Item_B").agg(F.count(F.lit(1)).alias("Transacciones")) \
+        .where(F.col("Transacciones") >= min_count)
     if n is not None:
         order = [F.col("Transacciones").desc(), F.col("Item_A").asc(), F.col("Item_B").asc()]
         if keys:
@@ -261,61 +265,58 @@ def cooccurrence(b: DataFrame, min_count: int = 1, n: int | None = None, keys=()
     return out
 
 
-_KEY_SEP = "\u0001"
-
+def mine_by_key(b: DataFrame, key: str, min_support: float = 0.10, min_confidence: float = 0.5, min_count: int = 1,
+                stage=None, basket_keys=BASKET_KEYS):
+    """Itemsets and single-consequent rules per value of ``key`` (e.g. per store).
 
-def mine_by_key(b: DataFrame, key: str, min_support: float = 0.10, min_confidence: float = 0.5,
-                max_len: int | None = None):
-    """FP-Growth per value of ``key`` (e.g. per store) in one distributed fit.
+    Frequent means: in at least ``min_support`` of that key's baskets and in at
+    least ``min_count`` of them (the same floor for every key; with a support
+    alone, single occurrences would be frequent in a key of few baskets).  Level
+    by level: the occurrences (key, basket, itemset) of the frequent itemsets of
+    one size are extended inside their basket by pairing those that differ in
+    their last item only, counted per key, and cut to the frequent ones.  A key
+    of few baskets costs its own few rows; nothing is mined at another key's
+    threshold.  ``stage`` (frame, name -> frame) writes each level once, so that
+    the next one does not compute it again.  Ends when a level is empty.
 
-    Every item is prefixed with its basket's key value, so no itemset can mix
-    two keys and each key's counts are its own.  One FP-Growth runs at the
-    smallest per-key minimum count; each key's itemsets are then kept when
-    they reach ``ceil(min_support * baskets of that key)``, and rule support
-    and lift are recomputed against that key's basket count.  Returns
-    ``(itemsets, rules)`` with a ``key`` column and un-prefixed items.
+    Returns ``(itemsets, rules)``: (key, items, freq, support) and (key,
+    antecedent, consequent, confidence, lift, support).
     """
-    import math
-
-    from pyspark.ml.fpm import FPGrowth
-
-    spark = b.sparkSession
-    sep = F.lit(_KEY_SEP)
-    pref = b.select(key, F.transform("items", lambda x: F.concat(F.col(key).cast("string"), sep,
-                                                                 x.cast("string"))).alias("items"))
-    n_key = b.groupBy(key).agg(F.count(F.lit(1)).alias("_nk"))
-    # two numbers reach the driver: the total and the smallest per-key basket count
-    stats = n_key.agg(F.sum("_nk").alias("n"), F.min("_nk").alias("mn")).first()
-    if stats is None or stats["n"] is None or stats["n"] < MIN_BASKETS:
-        return spark.createDataFrame([], ITEMSET_SCHEMA), spark.createDataFrame([], RULE_SCHEMA)
-    n_total, n_min = stats["n"], stats["mn"]
-    min_count = max(1, math.ceil(min_support * n_min))
-    model = FPGrowth(itemsCol="items", minSupport=(min_count - 0.5) / n_total,
-                     minConfidence=min_confidence).fit(pref)
-
-    def unprefix(c):
-        return F.array_sort(F.transform(c, lambda x: F.substring_index(x, _KEY_SEP, -1)))
-
-    def key_of(c):
-        return F.substring_index(F.element_at(c, 1), _KEY_SEP, 1)
-
-    thr = n_key.select(F.col(key).cast("string").alias("_k"), "_nk",
-                       F.ceil(F.lit(min_support) * F.col("_nk")).alias("_min"))
-    its = (model.freqItemsets.select(key_of("items").alias("_k"), unprefix("items").alias("items"), "freq")
-           .join(thr, "_k").where(F.col("freq") >= F.col("_min")))
-    if max_len is not None:
-        its = its.where(F.size("items") <= max_len)
-    ktype = b.schema[key].dataType
-    freq = its.select("_k", F.col("items").alias("consequent"), F.col("freq").alias("_fc"))
-    full = its.select("_k", F.col("items").alias("_all"), F.col("freq").alias("_fa"), "_nk")
-    rules = (model.associationRules.select(key_of("antecedent").alias("_k"),
-                                           unprefix("antecedent").alias("antecedent"),
-                                           unprefix("consequent").alias("consequent"), "confidence")
-             .withColumn("_all", F.array_sort(F.array_union("antecedent", "consequent")))
-             .join(full, ["_k", "_all"]).join(freq, ["_k", "consequent"]))
-    rules = rules.select(F.col("_k").cast(ktype).alias(key), "antecedent", "consequent", "confidence",
-                         (F.col("confidence") / (F.col("_fc") / F.col("_nk"))).alias("lift"),
-                         (F.col("_fa") / F.col("_nk")).alias("support"))
-    itemsets = its.select(F.col("_k").cast(ktype).alias(key), "items", "freq",
-                          (F.col("freq") / F.col("_nk")).alias("support"))
-    return itemsets, rules
+    stage = stage or (lambda df, name: df)
+    rest = [k for k in basket_keys if k != key]
+    limit = b.groupBy(key).agg(F.count(F.lit(1)).alias("_nk")) \
+        .withColumn("_min", F.greatest(F.ceil(F.lit(min_support) * F.col("_nk")), F.lit(min_count)))
+    limit = stage(limit, "limits")
+
+    def frequent(occ: DataFrame) -> DataFrame:
+        return occ.groupBy(key, "items").agg(F.count(F.lit(1)).alias("freq")).join(limit, key) \
+            .where(F.col("freq") >= F.col("_min")).select(key, "items", "freq", "_nk")
+
+    occ = stage(b.select(key, *rest, F.explode("items").alias("_i"))
+                .select(key, *rest, F.array(F.col("_i").cast("string")).alias("items")), "occurrences-1")
+    levels, size = [], 1
+    while True:
+        found = stage(frequent(occ), f"level-{size}")
+        if found.isEmpty():
+            break
+        levels.append(found)
+        size += 1
+        kept = occ.join(found.select(key, "items"), [key, "items"], "left_semi")
+        # itemsets of a basket that share all but the last item: their last items, at most the basket's size
+        tails = kept.groupBy(key, *rest, F.slice("items", 1, size - 2).alias("_head") if size > 2
+                             else F.array().cast("array<string>").alias("_head")) \
+            .agg(F.array_sort(F.collect_list(F.element_at("items", -1))).alias("_t")).where(F.size("_t") >= 2)
+        first = tails.select(key, *rest, "_head", "_t", F.posexplode("_t").alias("_p", "_a"))
+        occ = stage(first.select(key, *rest, "_head", "_a", F.explode(F.slice("_t", F.col("_p") + 2, F.size("_t"))).alias("_b"))
+                    .select(key, *rest, F.concat("_head", F.array("_a", "_b")).alias("items")), f"occurrences-{size}")
+    if not levels:
+        ktype = b.schema[key].dataType.simpleString()
+        spark = b.sparkSession
+        return (spark.createDataFrame([], f"{key} {ktype}, items array<string>, freq long, support double"),
+                spark.createDataFrame([], f"{key} {ktype}, antecedent array<string>, consequent array<string>, "
+                                          "confidence double, lift double, support double"))
+    its = levels[0]
+    for x in levels[1:]:
+        its = its.unionByName(x)
+    rules = rules_from(its, F.col("_nk"), min_confidence, keys=[key])
+    return its.select(key, "items", "freq", (F.col("freq") / F.col("_nk")).alias("support")), rules

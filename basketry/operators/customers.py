@@ -47,11 +47,11 @@ def basket_table(sales: DataFrame, keys=BASKET_KEYS) -> DataFrame:
     return out
 
 
-def largest_baskets(sales: DataFrame, n: int = 10) -> DataFrame:
-    """D7 + F2: the ``n`` largest baskets (ties: smallest transaction id)."""
-    b = sales.groupBy("ID_Transaccion").agg(
-        F.count(F.lit(1)).alias("Num_Productos"), F.min("Fecha").alias("Fecha"), F.min("ID_Tienda").alias("Tienda"))
-    return b.orderBy(F.col("Num_Productos").desc(), F.col("ID_Transaccion").asc()).limit(n)
+def largest_baskets(sales: DataFrame, n: int = 10, keys=BASKET_KEYS) -> DataFrame:
+    """D7 + F2: the ``n`` largest baskets (ties: smallest transaction id, then store)."""
+    b = basket_table(sales, keys).select("ID_Transaccion", F.col("Productos_Comprados").alias("Num_Productos"),
+                                         F.col("Fecha_Compra").alias("Fecha"), "Tienda")
+    return b.orderBy(F.col("Num_Productos").desc(), F.col("ID_Transaccion").asc(), F.col("Tienda").asc()).limit(n)
 
 
 def store_units(sales: DataFrame) -> DataFrame:
@@ -117,7 +117,7 @@ def gap_stats(gaps: DataFrame, quantiles=(0.25, 0.5, 0.75, 0.9), keys=()) -> Dat
     aggs = [
         n.alias("Num_Intervalos"),
         rnd(s1 / n, 6).alias("Media"),
-        rnd(F.sqrt((s2 - s1 * s1 / n) / (n - 1)), 6).alias("Desv_Std"),
+        rnd(F.sqrt(F.try_divide(s2 - s1 * s1 / n, n - 1)), 6).alias("Desv_Std"),  # null for one gap
         F.min("Dias").alias("Minimo"),
         F.max("Dias").alias("Maximo"),
     ]
@@ -140,10 +140,10 @@ def gap_ranges(gaps: DataFrame, keys=()) -> DataFrame:
                       rnd(F.col("Cantidad") * 100.0 / F.col("_t"), 6).alias("Porcentaje"))
 
 
-def gap_cdf(gaps: DataFrame, max_days: int = 60, keys=()) -> DataFrame:
-    """Cumulative % of gaps up to each distinct gap value, gaps <= ``max_days``."""
+def gap_cdf(gaps: DataFrame, keys=()) -> DataFrame:
+    """Cumulative % of all gaps up to each distinct gap value (a plot may stop where it likes)."""
     keys = list(keys)
-    g = gaps.where(F.col("Dias") <= max_days)
+    g = gaps
     w = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
     return g.select(*keys, "Dias", F.col("Peso").alias("Frecuencia"),
                     F.sum("Peso").over(w.orderBy("Dias").rowsBetween(Window.unboundedPreceding, 0)).alias("Acumulado"),

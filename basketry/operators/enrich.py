@@ -1,10 +1,8 @@
 """Catalogue joins.
 
-The category dimension is bounded by the number of category names, so it
-is broadcast.  The product map has one row per product and grows with the
-catalogue: it is joined without a hint, so Spark's size check
-(``autoBroadcastJoinThreshold``, and AQE at run time) picks broadcast only
-while it is small and a shuffle join beyond that.
+Category dimension and product map come from a user's files and are joined
+without a hint: Spark's size check (``autoBroadcastJoinThreshold``, and AQE at
+run time) picks broadcast only while they are small.
 """
 
 from __future__ import annotations
@@ -15,13 +13,13 @@ from pyspark.sql import functions as F
 
 def catalog(product_category: DataFrame, categories: DataFrame) -> DataFrame:
     """Inner join product -> category id -> category name."""
-    return (product_category.join(F.broadcast(categories), "ID_Categoria", "inner")
+    return (product_category.join(categories, "ID_Categoria", "inner")
             .select("ID_Producto", "ID_Categoria", "Nombre_Categoria"))
 
 
 def product_catalog(product_category: DataFrame, categories: DataFrame) -> DataFrame:
     """Product map with names attached, keeping products whose category has no name."""
-    return (product_category.join(F.broadcast(categories), "ID_Categoria", "left")
+    return (product_category.join(categories, "ID_Categoria", "left")
             .select("ID_Producto", "ID_Categoria", "Nombre_Categoria"))
 
 

@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 
 from basketry.functions.labels import rnd
 
+BASKET_KEYS = ("ID_Tienda", "ID_Transaccion")  # what a transaction is
+
 
 
 def product_counts(sales: DataFrame, measure: str = "units", approx: bool = False) -> DataFrame:
@@ -26,8 +28,8 @@ def product_counts(sales: DataFrame, measure: str = "units", approx: bool = Fals
     if measure == "units":
         value = F.count(F.lit(1)).alias("Unidades_Vendidas")
     elif measure == "reach":
-        value = (F.approx_count_distinct("ID_Transaccion") if approx
-                 else F.count_distinct("ID_Transaccion")).alias("Num_Transacciones")
+        value = (F.approx_count_distinct(F.struct(*BASKET_KEYS)) if approx
+                 else F.count_distinct(*BASKET_KEYS)).alias("Num_Transacciones")
     else:
         raise ValueError(f"measure must be 'units' or 'reach', got {measure!r}")
     return sales.groupBy("ID_Producto").agg(value, F.min("Nombre_Categoria").alias("Nombre_Categoria"))
@@ -50,7 +52,7 @@ def top_products(sales: DataFrame, n: int = 10, measure: str = "units", share: b
         if measure == "units":
             total = sales.agg(F.count(F.lit(1))).scalar()
         else:
-            total = sales.agg(F.count_distinct("ID_Transaccion")).scalar()
+            total = sales.agg(F.count_distinct(*BASKET_KEYS)).scalar()
         out = out.withColumn("Porcentaje", rnd(F.col(value) * 100.0 / total, 6))
         cols.append("Porcentaje")
     return out.select(*cols)
@@ -67,8 +69,8 @@ def top_n(sales: DataFrame, key: str = "ID_Producto", n: int = 10, measure: str
         value, agg = "Unidades_Vendidas", F.count(F.lit(1))
         total = sales.agg(F.count(F.lit(1))).scalar() if share else None
     elif measure == "reach":
-        value, agg = "Num_Transacciones", F.count_distinct("ID_Transaccion")
-        total = sales.agg(F.count_distinct("ID_Transaccion")).scalar() if share else None
+        value, agg = "Num_Transacciones", F.count_distinct(*BASKET_KEYS)
+        total = sales.agg(F.count_distinct(*BASKET_KEYS)).scalar() if share else None
     else:
         raise ValueError(f"measure must be 'units' or 'reach', got {measure!r}")
     counts = sales.groupBy(key).agg(agg.alias(value))
@@ -114,15 +116,15 @@ def top_per_store(sales: DataFrame, n: int = 10) -> DataFrame:
 
 
 def top_plus_others(sales: DataFrame, n: int = 15) -> DataFrame:
-    """top ``n`` categories plus one 'Otros' row holding the remainder."""
-    counts = sales.groupBy("Nombre_Categoria").agg(F.count(F.lit(1)).alias("Unidades_Vendidas"))
-    top = _ranked(counts, "Unidades_Vendidas", "Nombre_Categoria", n).select(
-        "Posicion", "Nombre_Categoria", "Unidades_Vendidas")
+    """top ``n`` products plus one 'Otros' row holding the remainder."""
+    counts = sales.groupBy("ID_Producto").agg(F.count(F.lit(1)).alias("Unidades_Vendidas"))
+    top = _ranked(counts, "Unidades_Vendidas", "ID_Producto", n).select(
+        "Posicion", F.col("ID_Producto").cast("string").alias("Producto"), "Unidades_Vendidas")
     total = sales.agg(F.count(F.lit(1))).scalar()
     rest = top.agg(F.coalesce(F.sum("Unidades_Vendidas"), F.lit(0)).alias("_top")).select(
         (total - F.col("_top")).alias("Unidades_Vendidas"))
     others = rest.where(F.col("Unidades_Vendidas") > 0).select(
-        F.lit(n + 1).alias("Posicion"), F.lit("Otros").alias("Nombre_Categoria"), "Unidades_Vendidas")
+        F.lit(n + 1).alias("Posicion"), F.lit("Otros").alias("Producto"), "Unidades_Vendidas")
     return top.unionByName(others)
 
 
@@ -137,7 +139,12 @@ def pareto(sales: DataFrame, limit: float = 0.8, keys=()) -> DataFrame:
     product whose units would cross the limit is not counted.
     """
     keys = list(keys)
-    per_product = sales.groupBy(*keys, "ID_Producto").agg(F.count(F.lit(1)).alias("u"))
+    return pareto_of(sales.groupBy(*keys, "ID_Producto").agg(F.count(F.lit(1)).alias("u")), limit, keys)
+
+
+def pareto_of(per_product: DataFrame, limit: float = 0.8, keys=()) -> DataFrame:
+    """``pareto`` from units per product: (keys, ID_Producto, u)."""
+    keys = list(keys)
     levels = per_product.groupBy(*keys, "u").agg(F.count(F.lit(1)).alias("h"))
     w_all = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
     w_cum = w_all.orderBy(F.col("u").desc()).rowsBetween(Window.unboundedPreceding, -1)

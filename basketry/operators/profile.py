@@ -156,6 +156,9 @@ def check_integrity(lines: DataFrame, product_category: DataFrame, categories: D
     return out
 
 
+TOP_RULES, TOP_ITEMSETS = 10, 15  # rows of the verification report
+
+
 def verify_outputs(stages: dict[str, DataFrame]) -> DataFrame:
     """Counts per stage plus cluster and rule checks; one failure does not stop the rest.
 
@@ -171,12 +174,20 @@ def verify_outputs(stages: dict[str, DataFrame]) -> DataFrame:
             if "Cluster" in df.columns:
                 k = df.select("Cluster").distinct().count()
                 rows.append((name, "clusters", float(k), k > 0))
+                sizes = df.groupBy("Cluster").count().orderBy("Cluster").collect()  # one row per cluster
+                rows.extend((name, f"cluster {r['Cluster']}", float(r["count"]), r["count"] > 0) for r in sizes)
             if "Lift" in df.columns:
                 mx = df.agg(F.max("Lift")).first()[0]
                 rows.append((name, "lift_max", float(mx) if mx is not None else None, mx is not None))
+                best = df.orderBy(F.col("Lift").desc(), "Antecedente_Str", "Consecuente_Str").limit(TOP_RULES).collect()
+                rows.extend((name, f"top {i}: {r['Antecedente_Str']} -> {r['Consecuente_Str']}", float(r["Lift"]), True)
+                            for i, r in enumerate(best, 1))
             if "freq" in df.columns:
                 mx = df.agg(F.max("freq")).first()[0]
                 rows.append((name, "freq_max", float(mx) if mx is not None else None, mx is not None))
+                text = F.concat_ws(",", F.array_sort("items")).alias("t")
+                best = df.select(text, "freq").orderBy(F.col("freq").desc(), "t").limit(TOP_ITEMSETS).collect()
+                rows.extend((name, f"top {i}: {r['t']}", float(r["freq"]), True) for i, r in enumerate(best, 1))
         except Exception as exc:  # noqa: BLE001 - reported as a failed check
             rows.append((name, f"error: {type(exc).__name__}", None, False))
     return spark.createDataFrame(rows, "Etapa string, Chequeo string, Valor double, OK boolean")

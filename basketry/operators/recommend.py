@@ -1,10 +1,11 @@
 """Recommendations from association rules (C6, G2, L1-L5, L6 via segment).
 
 Rules are matched by item containment, never by substring (Q8: product 7
-must not match 17 or 70).  Matching many baskets at once is an equi join
-on the item between exploded basket items and exploded rule antecedents,
-followed by a per-basket top-n (Spark plans a per-group limit before the
-sort); there is no nested loop.
+must not match 17 or 70).  Matching many baskets at once is an equi join on
+one item, kept narrow before it happens: for L2 only the best n rules of each
+antecedent item can be among a basket's best n; for L3 a rule waits at its
+rarest antecedent item.  The best n of a basket come from a window per basket,
+which Spark limits early in every task; no list of matches is gathered.
 """
 
 from __future__ import annotations
@@ -25,66 +26,62 @@ def for_product(rules: DataFrame, product, n: int = 10) -> DataFrame:
             .orderBy(F.col("_l").desc(), "Antecedente_Str", "Consecuente_Str").limit(n).drop("_l"))
 
 
-def ranked_rules(rules: DataFrame) -> DataFrame:
-    """Rules with a rank by (lift desc, antecedent text, consequent text).
-
-    The rank is computed on the rule table, whose size is set by the mining
-    thresholds, not by the number of baskets; matches are then grouped by
-    this integer instead of by text, and the best ``n`` rules of a basket
-    are simply its ``n`` smallest ranks.
-    """
-    r = rules.select(_txt("antecedent").alias("Antecedente_Str"), _txt("consequent").alias("Consecuente_Str"),
-                     "antecedent", "consequent", "confidence", "lift", "support")
-    w = Window.orderBy(F.col("lift").desc(), F.col("Antecedente_Str"), F.col("Consecuente_Str"))
-    return r.withColumn("_rk", F.row_number().over(w))
+def _order():
+    return [F.col("lift").desc(), F.col("Antecedente_Str").asc(), F.col("Consecuente_Str").asc()]
 
 
-def _report(top: DataFrame, rules: DataFrame, keys, with_support: bool = True) -> DataFrame:
-    """Expand per-basket rank arrays into rows and attach the rule columns."""
-    rows = top.select(*keys, F.posexplode("_top").alias("_p", "_rk"))
-    cols = [*keys, (F.col("_p") + 1).alias("Posicion"), "Antecedente_Str", "Consecuente_Str",
-            rnd("confidence", 6).alias("Confianza"), rnd("lift", 6).alias("Lift")]
-    if with_support:
-        cols.append(rnd("support", 6).alias("Soporte"))
-    return rows.join(rules.drop("antecedent", "consequent"), "_rk").select(*cols)
+def _texts(rules: DataFrame) -> DataFrame:
+    return rules.withColumn("Antecedente_Str", _txt("antecedent")).withColumn("Consecuente_Str", _txt("consequent"))
 
 
 def for_baskets(rules: DataFrame, baskets: DataFrame, n: int = 10, keys=("ID_Tienda", "ID_Transaccion")) -> DataFrame:
-    """For every basket, the distinct rules with any antecedent item in it, top ``n`` by lift.
+    """For every basket, the distinct rules with any antecedent item in it, top ``n`` by lift,
+    beside the basket's own items (``Historial``).
 
-    Basket items meet exploded antecedent items in an equi join; each basket
-    keeps the set of matched rule ranks (bounded by the number of rules),
-    whose ``n`` smallest are its recommendations.
+    A rule among a basket's best ``n`` is also among the best ``n`` of the item
+    that matched it, so only those are joined: fan-out is n times basket size.
     """
     keys = list(keys)
-    r = ranked_rules(rules)
-    r_items = r.select("_rk", F.explode("antecedent").alias("item"))
+    per_item = Window.partitionBy("item").orderBy(*_order())
+    best = _texts(rules).select("*", F.explode("antecedent").alias("item")) \
+        .withColumn("_r", F.row_number().over(per_item)).where(F.col("_r") <= n) \
+        .select("item", "Antecedente_Str", "Consecuente_Str", "confidence", "lift", "support")
     b_items = baskets.select(*keys, F.explode("items").alias("item"))
-    top = (b_items.join(r_items, "item").groupBy(*keys)
-           .agg(F.slice(F.array_sort(F.collect_set("_rk")), 1, n).alias("_top")))
-    return _report(top, r, keys)
+    w = Window.partitionBy(*keys).orderBy(*_order())
+    # a rule met through several items has one rank: dense_rank numbers the distinct rules
+    top = b_items.join(best, "item").withColumn("Posicion", F.dense_rank().over(w)) \
+        .where(F.col("Posicion") <= n).dropDuplicates([*keys, "Posicion"])
+    history = baskets.select(*keys, _txt("items").alias("Historial"))
+    return top.join(history, keys).select(
+        *keys, "Posicion", "Antecedente_Str", "Consecuente_Str", rnd("confidence", 6).alias("Confianza"),
+        rnd("lift", 6).alias("Lift"), rnd("support", 6).alias("Soporte"), "Historial")
 
 
 def next_items(rules: DataFrame, baskets: DataFrame, n: int = 10, keys=("ID_Tienda", "ID_Transaccion")) -> DataFrame:
     """L3: rules whose whole antecedent is in the basket and whose consequent is not yet bought.
 
-    A rule can only fire in a basket that holds its first (smallest)
-    antecedent item, so each basket item meets just the rules keyed by that
-    item (an equi join); containment of the whole antecedent and absence of
-    the consequent are then checked on the basket's own item array.  Each
-    (basket, rule) pair is produced at most once, so no counting pass is
-    needed before the per-basket top ``n``.
+    A rule can only fire in a basket that holds its rarest antecedent item, so
+    it is joined there and nowhere else; containment of the whole antecedent and
+    absence of the consequent are then checked on the basket's own items.  Each
+    (basket, rule) pair is produced at most once.
     """
     keys = list(keys)
-    r = ranked_rules(rules)
-    r_first = r.select("_rk", "antecedent", "consequent",
-                       F.element_at(F.array_sort("antecedent"), 1).alias("item"))
+    common = baskets.select(F.explode("items").alias("item")).groupBy("item").agg(F.count(F.lit(1)).alias("_c"))
+    r = _texts(rules)
+    parts = r.select("Antecedente_Str", "Consecuente_Str", F.explode("antecedent").alias("item")) \
+        .join(common, "item", "left") \
+        .groupBy("Antecedente_Str", "Consecuente_Str") \
+        .agg(F.min(F.struct(F.coalesce("_c", F.lit(0)).alias("c"), "item")).alias("_rare"))
+    keyed = r.join(parts, ["Antecedente_Str", "Consecuente_Str"]).select(
+        F.col("_rare.item").alias("item"), "antecedent", "consequent", "Antecedente_Str", "Consecuente_Str",
+        "confidence", "lift")
     b_items = baskets.select(*keys, "items", F.explode("items").alias("item"))
-    fired = (b_items.join(r_first, "item")
-             .where((F.size(F.array_except("antecedent", "items")) == 0)
-                    & (F.size(F.array_intersect("consequent", "items")) == 0)))
-    top = fired.groupBy(*keys).agg(F.slice(F.array_sort(F.collect_list("_rk")), 1, n).alias("_top"))
-    return _report(top, r, keys, with_support=False)
+    fired = b_items.join(keyed, "item").where(
+        (F.size(F.array_except("antecedent", "items")) == 0) & ~F.arrays_overlap("consequent", "items"))
+    w = Window.partitionBy(*keys).orderBy(*_order())
+    return fired.withColumn("Posicion", F.row_number().over(w)).where(F.col("Posicion") <= n).select(
+        *keys, "Posicion", "Antecedente_Str", "Consecuente_Str", rnd("confidence", 6).alias("Confianza"),
+        rnd("lift", 6).alias("Lift"))
 
 
 def hub_items(rules: DataFrame) -> DataFrame:

@@ -66,13 +66,14 @@ def elbow(scaled: DataFrame, ks=range(2, 7), seed: int = 42, max_iter: int = 20)
 def _training_set(scaled: DataFrame) -> DataFrame:
     """Features cached for iterative fitting, one partition per core.
 
-    Adaptive execution may coalesce a small feature table into a couple of
-    partitions; every K-Means iteration is a job over this table, so it is
-    spread over all cores (round-robin, which Spark keeps deterministic under
-    task retries) before caching.
+    Every K-Means iteration is a job over this table.  It has at least one
+    partition per core, and keeps the partitions it has where those are more.
     """
+    data = scaled.select("features")
     cores = scaled.sparkSession.sparkContext.defaultParallelism
-    return scaled.select("features").repartition(cores).cache()
+    if data.rdd.getNumPartitions() < cores:
+        data = data.repartition(cores)
+    return data.cache()
 
 
 def fit_clusters(scaled: DataFrame, k: int = 4, seed: int = 42, max_iter: int = 20):
@@ -108,12 +109,14 @@ def silhouette(clustered: DataFrame) -> float:
 
 def zscore_columns(rf: DataFrame, cols=FEATURES) -> DataFrame:
     """Native z-scores (sample std) with scalar-subquery means and stds."""
-    out = rf
+    # one aggregate gives all means and deviations, as one struct
+    stats = rf.agg(F.struct(*[f(c).alias(f"{n}_{c}") for c in cols
+                              for n, f in (("m", F.avg), ("s", F.stddev_samp))])).scalar()
+    out = rf.withColumn("_st", stats)
     for c in cols:
-        mu = rf.agg(F.avg(c)).scalar()
-        sd = rf.agg(F.stddev_samp(c)).scalar()
-        out = out.withColumn(f"Z_{c}", (F.col(c) - mu) / sd)
-    return out
+        z = F.try_divide(F.col(c) - F.col(f"_st.m_{c}"), F.col(f"_st.s_{c}"))
+        out = out.withColumn(f"Z_{c}", F.coalesce(z, F.lit(0.0)))  # a constant feature is 0, as in MLlib
+    return out.drop("_st")
 
 
 def assign(rf: DataFrame, centers, cols=FEATURES) -> DataFrame:
@@ -152,8 +155,65 @@ def label_clusters(profile: DataFrame, rule=DASHBOARD_RULE, advice: dict | None
     return out
 
 
-def cluster_points(clustered: DataFrame, fraction: float = 0.1, seed: int = 42) -> DataFrame:
-    """Plot-sized stratified sample (same fraction in every cluster)."""
-    ids = [r["Cluster"] for r in clustered.select("Cluster").distinct().collect()]
-    return clustered.sampleBy("Cluster", {i: fraction for i in ids}, seed).select(
-        "Recencia_Dias", "Productos_Comprados", "Cluster")
+def cluster_points(clustered: DataFrame, keys=("ID_Tienda", "ID_Transaccion")) -> DataFrame:
+    """Every basket's point with its keys."""
+    return clustered.select(*keys, "Recencia_Dias", "Productos_Comprados", "Cluster")
+
+
+def cluster_cost(assigned: DataFrame, centers, cols=FEATURES) -> DataFrame:
+    """J7 for given centres: sum of squared z-distances to the own centre, and baskets, per cluster."""
+    at = F.array(*[F.array(*[F.lit(float(v)) for v in ctr]) for ctr in centers])
+    own = F.element_at(at, F.col("Cluster") + 1)
+    d = sum(((F.col(f"Z_{c}") - own[i]) * (F.col(f"Z_{c}") - own[i]) for i, c in enumerate(cols)), F.lit(0.0))
+    return assigned.groupBy("Cluster").agg(F.count(F.lit(1)).alias("Num_Clientes"), rnd(F.sum(d), 4).alias("Costo"))
+
+
+def unscale(rf: DataFrame, centers, cols=FEATURES) -> DataFrame:
+    """J11 for given z-space centres: centre * deviation + mean, one row per centre."""
+    one = rf.agg(*[f(c).alias(f"{n}_{c}") for c in cols for n, f in (("m", F.avg), ("s", F.stddev_samp))])
+    rows = F.array(*[F.struct(F.lit(i).alias("Cluster"), *[
+        rnd(F.lit(float(v)) * F.coalesce(f"s_{c}", F.lit(0.0)) + F.col(f"m_{c}"), 6).alias(c) for c, v in zip(cols, ctr)])
+        for i, ctr in enumerate(centers)])
+    return one.select(F.inline(rows))
+
+
+def silhouette_native(assigned: DataFrame, cols=FEATURES) -> DataFrame:
+    """J12 without MLlib: mean silhouette with squared Euclidean distance in z-space.
+
+    A cluster is summed up by its size, its sum and its sum of squares; a point's mean
+    squared distance to a cluster follows from those, so there is one row per cluster to
+    meet each point.  Baskets alone in their cluster count 0.
+    """
+    z = [F.col(f"Z_{c}") for c in cols]
+    sq = sum((x * x for x in z), F.lit(0.0))
+    cl = assigned.groupBy("Cluster").agg(F.count(F.lit(1)).alias("n"), F.array(*[F.sum(x) for x in z]).alias("s"),
+                                         F.sum(sq).alias("q"))
+    table = cl.agg(F.collect_list(F.struct("Cluster", "n", "s", "q"))).scalar()  # one entry per cluster
+
+    def mean_d(c, less):
+        dot = sum((c["s"][i] * x for i, x in enumerate(z)), F.lit(0.0))
+        return F.try_divide(c["n"] * sq + c["q"] - 2 * dot, c["n"] - less)
+
+    p = assigned.withColumn("_t", table)
+    own = F.filter("_t", lambda c: c["Cluster"] == F.col("Cluster"))[0]
+    a = mean_d(own, F.lit(1))
+    b = F.array_min(F.transform(F.filter("_t", lambda c: c["Cluster"] != F.col("Cluster")), lambda c: mean_d(c, F.lit(0))))
+    s = F.when(own["n"] == 1, F.lit(0.0)).otherwise(F.coalesce(F.try_divide(b - a, F.greatest(a, b)), F.lit(0.0)))
+    return p.select(s.alias("_s")).agg(F.count(F.lit(1)).alias("Clientes"), rnd(F.avg("_s"), 6).alias("Silhouette"))
+
+
+def fit_checks(clustered: DataFrame, model, cols=FEATURES) -> DataFrame:
+    """Facts that any right fit has: baskets that a strictly nearer centre exists for (0),
+    rows labelled, and clusters used."""
+    from pyspark.ml.functions import vector_to_array
+
+    f = vector_to_array(F.col("features"))
+
+    def dist(ctr):
+        return sum(((f[i] - F.lit(float(v))) * (f[i] - F.lit(float(v))) for i, v in enumerate(ctr)), F.lit(0.0))
+
+    d = F.array(*[dist(c) for c in model.clusterCenters()])
+    wrong = F.array_min("_d") < F.element_at("_d", F.col("Cluster") + 1) - 1e-9
+    return clustered.withColumn("_d", d).agg(
+        F.sum(F.when(wrong, 1).otherwise(0)).alias("Mal_Asignados"), F.count(F.lit(1)).alias("Clientes"),
+        F.count_distinct("Cluster").alias("Clusters"))

@@ -47,7 +47,7 @@ def period_sales(sales: DataFrame, period: str = "day", keys=()) -> DataFrame:
     name, expr = _period_col(period)
     return _dated(sales).groupBy(*keys, expr.alias(name)).agg(
         F.count(F.lit(1)).alias("Total_Productos_Vendidos"),
-        F.count_distinct("ID_Transaccion").alias("Numero_Transacciones"),
+        F.count_distinct("ID_Tienda", "ID_Transaccion").alias("Numero_Transacciones"),
         F.count_distinct("ID_Tienda").alias("Tiendas_Activas"),
     )
 
@@ -56,7 +56,7 @@ def by_weekday(sales: DataFrame) -> DataFrame:
     """Units and transactions per weekday, Monday..Sunday, absent days kept as 0."""
     agg = _dated(sales).groupBy(F.col("DiaSemana_L0").alias("Dia_Num")).agg(
         F.count(F.lit(1)).alias("Total_Productos"),
-        F.count_distinct("ID_Transaccion").alias("Numero_Transacciones"))
+        F.count_distinct("ID_Tienda", "ID_Transaccion").alias("Numero_Transacciones"))
     days = sales.sparkSession.range(7).select(
         F.col("id").cast("int").alias("Dia_Num"),
         F.element_at(F.array(*[F.lit(n) for n in cal.DAY_NAMES_ES]), F.col("id").cast("int") + 1).alias("Dia"))
@@ -69,7 +69,7 @@ def by_month(sales: DataFrame) -> DataFrame:
     """Units and transactions per calendar month over all years, Spanish names."""
     return (_dated(sales).groupBy("Mes").agg(
         F.count(F.lit(1)).alias("Total_Productos"),
-        F.count_distinct("ID_Transaccion").alias("Numero_Transacciones"))
+        F.count_distinct("ID_Tienda", "ID_Transaccion").alias("Numero_Transacciones"))
         .withColumn("Nombre_Mes", cal.month_name_es(F.col("Mes"))))
 
 
@@ -92,7 +92,7 @@ def heatmap(sales: DataFrame, row: str, col: str, values, rows=None, prefix: str
     ``rows`` (optional) is a fixed list of row values kept even when absent
     (a small literal dimension left-joined with the pivot).
     """
-    agg = F.count(F.lit(1)) if measure == "units" else F.count_distinct("ID_Transaccion")
+    agg = F.count(F.lit(1)) if measure == "units" else F.count_distinct("ID_Tienda", "ID_Transaccion")
     values = list(values)
     piv = sales.groupBy(row).pivot(col, values).agg(agg)
     if rows is not None:
@@ -122,7 +122,7 @@ def heatmap_week_dow(sales: DataFrame) -> DataFrame:
 
 def weekday_peak_hour(sales: DataFrame) -> DataFrame:
     """Per weekday, the hour with most transactions (ties: earliest hour) and % of the day."""
-    per = _dated(sales).groupBy("DiaSemana", "Hora").agg(F.count_distinct("ID_Transaccion").alias("t"))
+    per = _dated(sales).groupBy("DiaSemana", "Hora").agg(F.count_distinct("ID_Tienda", "ID_Transaccion").alias("t"))
     return per.groupBy("DiaSemana").agg(
         F.max_by("Hora", F.struct(F.col("t"), -F.col("Hora"))).alias("Hora_Pico"),
         F.max("t").alias("Transacciones_Pico"),

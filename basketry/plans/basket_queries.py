@@ -1,9 +1,11 @@
 """Registered basket-mining and recommendation queries.
 
-Items are part brands; baskets hold at least two distinct items.  The
-oracle SQL counts itemsets of size 1-3 by self-joins (no FP-Growth) and
-enumerates the antecedent/consequent splits explicitly, so it checks the
-Spark results independently.
+Items are part brands, and part types where larger itemsets are wanted;
+baskets hold at least two distinct items.  The oracle SQL counts brand
+itemsets of size 1-3 by self-joins (no FP-Growth) and enumerates the splits
+explicitly.  There are six part types, so the type oracle lists all 63
+possible itemsets as bit masks and counts the baskets that hold each: no
+length limit on either side.
 """
 
 from __future__ import annotations
@@ -20,6 +22,8 @@ SUP, CONF = facts.MINING_MIN_SUPPORT, facts.MINING_MIN_CONFIDENCE
 TOP_ITEMSETS, TOP_RULES = 100, 50
 FILTER_CONF, FILTER_LIFT = 0.05, 1.0
 PAIR_TOP, PAIR_TOP_STORE = 100, 10
+PAIR_MIN, PAIR_MIN_STORE = 10, 3  # baskets a pair has to be in
+SAMPLE_MODULO = 10
 TOP_ITEMS = 10
 RECOMMEND_PRODUCT = "Brand#13"
 RECOMMEND_N = 10
@@ -93,14 +97,16 @@ def baskets_topn(spark, sf):
     return b.select("ID_Tienda", "ID_Transaccion", bk._txt("items").alias("Items"), F.size("items").alias("Num_Items"))
 
 
-@register("sample_baskets", None, "B13 F4")
+@register("sample_baskets", _mining_sql(select=f"""
+SELECT ID_Tienda, ID_Transaccion, string_agg(item, ',' ORDER BY item) AS Items FROM bb
+WHERE ID_Transaccion % {SAMPLE_MODULO} = 0 GROUP BY 1, 2"""), "B13")
 def sample_baskets(spark, sf):
-    b = facts.mining_baskets(spark, sf)
-    s = bk.sample_baskets(b, fraction=0.10, seed=42, cap=5000)
+    """The sample is the feature: every tenth transaction number."""
+    s = bk.sample_baskets(facts.mining_baskets(spark, sf), modulo=SAMPLE_MODULO)
     return s.select("ID_Tienda", "ID_Transaccion", bk._txt("items").alias("Items"))
 
 
-@register("itemsets", _mining_sql(select=_ITEMSETS_SELECT), "K2 K3 K12")
+@register("itemsets", _mining_sql(select=_ITEMSETS_SELECT), "K2 K3")
 def itemsets(spark, sf):
     its, _ = facts.mined(spark, sf)
     return bk.itemsets_report(its, _n(spark, sf))
@@ -129,14 +135,14 @@ def top_rules(spark, sf):
 @register("rules_full", _mining_sql(select=_FULL_SELECT), "K5 C7")
 def rules_full(spark, sf):
     its, _ = facts.mined(spark, sf)
-    return bk.rules_full(its, _n(spark, sf), min_lift=1.0, max_len=facts.MINING_MAX_LEN)
+    return bk.rules_full(its, _n(spark, sf), min_lift=1.0)
 
 
 @register("rules_filtered", _mining_sql(f"rfull AS ({_FULL_SELECT})", select=f"""
 SELECT * FROM rfull WHERE Confianza > {FILTER_CONF} AND Lift > {FILTER_LIFT}"""), "K6")
 def rules_filtered(spark, sf):
     its, _ = facts.mined(spark, sf)
-    full = bk.rules_full(its, _n(spark, sf), min_lift=1.0, max_len=facts.MINING_MAX_LEN)
+    full = bk.rules_full(its, _n(spark, sf), min_lift=1.0)
     return bk.filter_rules(full, FILTER_CONF, FILTER_LIFT)
 
 
@@ -147,7 +153,7 @@ def rules_filtered(spark, sf):
     select="""SELECT 'conteo' AS Tipo, Longitud, CAST(NULL AS INTEGER) AS Posicion, CAST(NULL AS VARCHAR) AS Productos,
        count(*) AS Valor FROM rep GROUP BY Longitud
 UNION ALL SELECT 'top', Longitud, Posicion, Productos, Frecuencia FROM rk
-  WHERE (Longitud = 2 AND Posicion <= 15) OR (Longitud = 3 AND Posicion <= 10)"""), "K7 K12")
+  WHERE (Longitud = 2 AND Posicion <= 15) OR (Longitud = 3 AND Posicion <= 10)"""), "K7")
 def itemsets_by_length(spark, sf):
     its, _ = facts.mined(spark, sf)
     return bk.by_length(bk.itemsets_report(its, _n(spark, sf)))
@@ -180,18 +186,19 @@ def lift_histogram(spark, sf):
 @register("cooccurrence", _mining_sql(select=f"""
 SELECT x.item AS Item_A, y.item AS Item_B, count(*) AS Transacciones FROM bb x JOIN bb y
   ON {_SAME.format(x='x', y='y')} AND x.item < y.item GROUP BY 1, 2
-ORDER BY Transacciones DESC, Item_A, Item_B LIMIT {PAIR_TOP}"""), "K10")
+HAVING count(*) >= {PAIR_MIN} ORDER BY Transacciones DESC, Item_A, Item_B LIMIT {PAIR_TOP}"""), "K10")
 def cooccurrence(spark, sf):
-    return bk.cooccurrence(facts.mining_baskets(spark, sf), min_count=1, n=PAIR_TOP)
+    return bk.cooccurrence(facts.mining_baskets(spark, sf), min_count=PAIR_MIN, n=PAIR_TOP)
 
 
 @register("cooccurrence_by_store", _mining_sql(
     f"""pc AS (SELECT x.ID_Tienda, x.item AS Item_A, y.item AS Item_B, count(*) AS Transacciones FROM bb x JOIN bb y
-          ON {_SAME.format(x='x', y='y')} AND x.item < y.item GROUP BY 1, 2, 3)""",
+          ON {_SAME.format(x='x', y='y')} AND x.item < y.item GROUP BY 1, 2, 3
+          HAVING count(*) >= {PAIR_MIN_STORE})""",
     select=f"""SELECT * FROM (SELECT *, CAST(row_number() OVER (PARTITION BY ID_Tienda ORDER BY Transacciones DESC,
        Item_A, Item_B) AS INTEGER) AS Posicion FROM pc) x WHERE Posicion <= {PAIR_TOP_STORE}"""), "K11")
 def cooccurrence_by_store(spark, sf):
-    return bk.cooccurrence(facts.mining_baskets(spark, sf), min_count=1, n=PAIR_TOP_STORE, keys=["ID_Tienda"])
+    return bk.cooccurrence(facts.mining_baskets(spark, sf), min_count=PAIR_MIN_STORE, n=PAIR_TOP_STORE, keys=["ID_Tienda"])
 
 
 @register("recommend_for_product", _mining_sql(select=f"""
@@ -208,9 +215,10 @@ def recommend_for_product(spark, sf):
            unnest(string_split(Antecedente_Str, ',')) AS item FROM rules)""",
     """hits AS (SELECT DISTINCT bb.ID_Tienda, bb.ID_Transaccion, ri.Antecedente_Str, ri.Consecuente_Str, ri.conf,
            ri.lift, ri.sup FROM bb JOIN ri ON bb.item = ri.item)""",
+    "hist AS (SELECT ID_Tienda, ID_Transaccion, string_agg(item, ',' ORDER BY item) AS Historial FROM bb GROUP BY 1, 2)",
     select=f"""SELECT ID_Tienda, ID_Transaccion, Posicion, Antecedente_Str, Consecuente_Str, round(conf, 6) AS Confianza,
-       round(lift, 6) AS Lift, round(sup, 6) AS Soporte FROM (SELECT *, CAST(row_number() OVER (PARTITION BY ID_Tienda,
-       ID_Transaccion ORDER BY lift DESC, Antecedente_Str, Consecuente_Str) AS INTEGER) AS Posicion FROM hits) x
+       round(lift, 6) AS Lift, round(sup, 6) AS Soporte, Historial FROM (SELECT *, CAST(row_number() OVER (PARTITION BY ID_Tienda,
+       ID_Transaccion ORDER BY lift DESC, Antecedente_Str, Consecuente_Str) AS INTEGER) AS Posicion FROM hits) x JOIN hist USING (ID_Tienda, ID_Transaccion)
 WHERE Posicion <= {RECOMMEND_N}"""), "L2 C6 G2")
 def recommend_for_basket(spark, sf):
     _, r = facts.mined(spark, sf)
@@ -251,29 +259,38 @@ _STORE_CTES = (
            FROM sales s JOIN part p ON s.ID_Producto = p.p_partkey)""",
     "bsz AS (SELECT ID_Tienda, ID_Transaccion FROM bi GROUP BY 1, 2 HAVING count(*) >= 2)",
     "bb AS (SELECT bi.* FROM bi JOIN bsz USING (ID_Tienda, ID_Transaccion))",
-    f"""mk AS (SELECT ID_Tienda, count(*) AS N, CAST(ceil({SUP} * count(*)) AS BIGINT) AS m
+    f"""mk AS (SELECT ID_Tienda, count(*) AS N, greatest(CAST(ceil({SUP} * count(*)) AS BIGINT), {facts.STORE_MIN_COUNT}) AS m
            FROM bsz GROUP BY ID_Tienda)""",
-    """s1 AS (SELECT bb.ID_Tienda, item AS a, count(*) AS f FROM bb GROUP BY 1, 2)""",
-    f"""s2 AS (SELECT x.ID_Tienda, x.item AS a, y.item AS b, count(*) AS f FROM bb x JOIN bb y
-           ON {_SAME.format(x='x', y='y')} AND x.item < y.item GROUP BY 1, 2, 3)""",
-    f"""s3 AS (SELECT x.ID_Tienda, x.item AS a, y.item AS b, z.item AS c, count(*) AS f FROM bb x
-           JOIN bb y ON {_SAME.format(x='x', y='y')} AND x.item < y.item
-           JOIN bb z ON {_SAME.format(x='y', y='z')} AND y.item < z.item GROUP BY 1, 2, 3, 4)""",
+    """s1 AS (SELECT ID_Tienda, a, f FROM (SELECT ID_Tienda, item AS a, count(*) AS f FROM bb GROUP BY 1, 2) t
+           JOIN mk USING (ID_Tienda) WHERE f >= m)""",
+    f"""s2 AS (SELECT ID_Tienda, a, b, f FROM (SELECT x.ID_Tienda, x.item AS a, y.item AS b, count(*) AS f FROM bb x JOIN bb y
+           ON {_SAME.format(x='x', y='y')} AND x.item < y.item GROUP BY 1, 2, 3) t JOIN mk USING (ID_Tienda) WHERE f >= m)""",
+    f"""s3 AS (SELECT ID_Tienda, a, b, c, f FROM (SELECT x.ID_Tienda, x.item AS a, y.item AS b, z.item AS c, count(*) AS f
+           FROM bb x JOIN bb y ON {_SAME.format(x='x', y='y')} AND x.item < y.item
+           JOIN bb z ON {_SAME.format(x='y', y='z')} AND y.item < z.item GROUP BY 1, 2, 3, 4) t
+           JOIN mk USING (ID_Tienda) WHERE f >= m)""",
+    f"""s4 AS (SELECT ID_Tienda, a, b, c, d, f FROM (SELECT x.ID_Tienda, s3.a, s3.b, s3.c, w.item AS d, count(*) AS f
+           FROM s3 JOIN bb x ON x.ID_Tienda = s3.ID_Tienda AND x.item = s3.a
+           JOIN bb y ON {_SAME.format(x='x', y='y')} AND y.item = s3.b JOIN bb z ON {_SAME.format(x='y', y='z')} AND z.item = s3.c
+           JOIN bb w ON {_SAME.format(x='z', y='w')} AND w.item > s3.c GROUP BY 1, 2, 3, 4, 5) t
+           JOIN mk USING (ID_Tienda) WHERE f >= m)""",
     """sits AS (SELECT t.ID_Tienda, t.Productos, t.Longitud, t.f, mk.N FROM (
              SELECT ID_Tienda, a AS Productos, 1 AS Longitud, f FROM s1
              UNION ALL SELECT ID_Tienda, a || ',' || b, 2, f FROM s2
-             UNION ALL SELECT ID_Tienda, a || ',' || b || ',' || c, 3, f FROM s3) t
-           JOIN mk USING (ID_Tienda) WHERE t.f >= mk.m)""",
+             UNION ALL SELECT ID_Tienda, a || ',' || b || ',' || c, 3, f FROM s3
+             UNION ALL SELECT ID_Tienda, a || ',' || b || ',' || c || ',' || d, 4, f FROM s4) t JOIN mk USING (ID_Tienda))""",
     """ssp AS (SELECT ID_Tienda, a AS ant, b AS cons, f FROM s2 UNION ALL SELECT ID_Tienda, b, a, f FROM s2
            UNION ALL SELECT ID_Tienda, a || ',' || b, c, f FROM s3 UNION ALL SELECT ID_Tienda, a || ',' || c, b, f FROM s3
-           UNION ALL SELECT ID_Tienda, b || ',' || c, a, f FROM s3)""",
-    f"""srules AS (SELECT ssp.ID_Tienda, ssp.ant, ssp.cons, CAST(full_.f AS DOUBLE) / fa.f AS conf,
-           CAST(full_.f AS DOUBLE) / fa.f / (CAST(fc.f AS DOUBLE) / full_.N) AS lift, CAST(full_.f AS DOUBLE) / full_.N AS sup
-           FROM ssp JOIN sits full_ ON full_.ID_Tienda = ssp.ID_Tienda
-             AND full_.Productos = list_aggregate(list_sort(string_split(ssp.ant || ',' || ssp.cons, ',')), 'string_agg', ',')
-           JOIN sits fa ON fa.ID_Tienda = ssp.ID_Tienda AND fa.Productos = ssp.ant
+           UNION ALL SELECT ID_Tienda, b || ',' || c, a, f FROM s3
+           UNION ALL SELECT ID_Tienda, a || ',' || b || ',' || c, d, f FROM s4
+           UNION ALL SELECT ID_Tienda, a || ',' || b || ',' || d, c, f FROM s4
+           UNION ALL SELECT ID_Tienda, a || ',' || c || ',' || d, b, f FROM s4
+           UNION ALL SELECT ID_Tienda, b || ',' || c || ',' || d, a, f FROM s4)""",
+    f"""srules AS (SELECT ssp.ID_Tienda, ssp.ant, ssp.cons, CAST(ssp.f AS DOUBLE) / fa.f AS conf,
+           CAST(ssp.f AS DOUBLE) / fa.f / (CAST(fc.f AS DOUBLE) / fa.N) AS lift, CAST(ssp.f AS DOUBLE) / fa.N AS sup
+           FROM ssp JOIN sits fa ON fa.ID_Tienda = ssp.ID_Tienda AND fa.Productos = ssp.ant
            JOIN sits fc ON fc.ID_Tienda = ssp.ID_Tienda AND fc.Productos = ssp.cons
-           WHERE CAST(full_.f AS DOUBLE) / fa.f >= {CONF})""",
+           WHERE CAST(ssp.f AS DOUBLE) / fa.f >= {CONF})""",
 )
 
 
@@ -297,3 +314,81 @@ def rules_by_store(spark, sf):
     return rules.select("ID_Tienda", bk._txt("antecedent").alias("Antecedente_Str"),
                         bk._txt("consequent").alias("Consecuente_Str"), rnd("confidence", 6).alias("Confianza"),
                         rnd("lift", 6).alias("Lift"), rnd("support", 6).alias("Soporte"))
+
+
+# ------------------------------------------------------------------ part types
+# Six types: a basket is a bit mask over the types in text order, an itemset one of 63 masks.
+_TYPE_CTES = (
+    "ty AS (SELECT p_type AS item, row_number() OVER (ORDER BY p_type) - 1 AS i FROM (SELECT DISTINCT p_type FROM part) x)",
+    """tb AS (SELECT ID_Tienda, ID_Transaccion, CAST(sum(1 << CAST(i AS INTEGER)) AS BIGINT) AS bm FROM (
+           SELECT DISTINCT s.ID_Tienda, s.ID_Transaccion, ty.i FROM sales s JOIN part p ON s.ID_Producto = p.p_partkey
+           JOIN ty ON ty.item = p.p_type) x GROUP BY 1, 2 HAVING count(*) >= 2)""",
+    "tm AS (SELECT bm, count(*) AS k FROM tb GROUP BY bm)",
+    f"tc AS (SELECT count(*) AS N, CAST(ceil({SUP} * count(*)) AS BIGINT) AS m FROM tb)",
+    "masks AS (SELECT CAST(r AS BIGINT) AS mask FROM range(1, (SELECT 1 << CAST(count(*) AS INTEGER) FROM ty)) t(r))",
+    """fi AS (SELECT mask, CAST(sum(k) AS BIGINT) AS f, CAST(bit_count(mask) AS INTEGER) AS len FROM masks
+           JOIN tm ON bm & mask = mask GROUP BY mask HAVING sum(k) >= (SELECT m FROM tc))""",
+    """nm AS (SELECT mask, string_agg(item, ',' ORDER BY item) AS txt FROM masks
+           JOIN ty ON (mask >> CAST(i AS INTEGER)) & 1 = 1 GROUP BY mask)""",
+    """tr AS (SELECT a.mask AS am, c.mask AS cm, na.txt AS ant, nc.txt AS cons, a.len AS la, c.len AS lc,
+           CAST(w.f AS DOUBLE) / tc.N AS sup, CAST(w.f AS DOUBLE) / a.f AS conf, CAST(a.f AS DOUBLE) / tc.N AS sa,
+           CAST(c.f AS DOUBLE) / tc.N AS sc
+           FROM fi a JOIN fi c ON a.mask & c.mask = 0 JOIN fi w ON w.mask = a.mask | c.mask
+           JOIN nm na ON na.mask = a.mask JOIN nm nc ON nc.mask = c.mask, tc)""",
+    f"trules AS (SELECT ant, cons, am, cm, conf, conf / sc AS lift, sup FROM tr WHERE lc = 1 AND conf >= {CONF})",
+)
+
+
+def _type_sql(*ctes: str, select: str) -> str:
+    return with_sales(*_TYPE_CTES, *ctes, select=select)
+
+
+_TYPE_ITEMSETS = """SELECT txt AS Productos, len AS Longitud, f AS Frecuencia,
+       round(CAST(f AS DOUBLE) / (SELECT N FROM tc), 6) AS Soporte FROM fi JOIN nm USING (mask)"""
+
+
+@register("itemsets_by_type", _type_sql(select=_TYPE_ITEMSETS), "K2 K3")
+def itemsets_by_type(spark, sf):
+    its, _ = facts.mined(spark, sf, facts.MINING_TYPE)
+    return bk.itemsets_report(its, facts.n_mining_baskets(spark, sf, facts.MINING_TYPE))
+
+
+@register("itemsets_by_type_length", _type_sql(
+    f"rep AS ({_TYPE_ITEMSETS})",
+    """rk AS (SELECT *, CAST(row_number() OVER (PARTITION BY Longitud ORDER BY Frecuencia DESC, Productos) AS INTEGER)
+           AS Posicion FROM rep WHERE Longitud IN (2, 3))""",
+    select="""SELECT 'conteo' AS Tipo, Longitud, CAST(NULL AS INTEGER) AS Posicion, CAST(NULL AS VARCHAR) AS Productos,
+       count(*) AS Valor FROM rep GROUP BY Longitud
+UNION ALL SELECT 'top', Longitud, Posicion, Productos, Frecuencia FROM rk
+  WHERE (Longitud = 2 AND Posicion <= 15) OR (Longitud = 3 AND Posicion <= 10)"""), "K7")
+def itemsets_by_type_length(spark, sf):
+    its, _ = facts.mined(spark, sf, facts.MINING_TYPE)
+    return bk.by_length(bk.itemsets_report(its, facts.n_mining_baskets(spark, sf, facts.MINING_TYPE)))
+
+
+@register("rules_by_type", _type_sql(select="""SELECT ant AS Antecedente_Str, cons AS Consecuente_Str,
+       round(conf, 6) AS Confianza, round(lift, 6) AS Lift, round(sup, 6) AS Soporte FROM trules"""), "K4")
+def rules_by_type(spark, sf):
+    return bk.rules_report(facts.mined(spark, sf, facts.MINING_TYPE)[1])
+
+
+@register("rules_full_by_type", _type_sql(select="""SELECT ant AS Antecedente_Str, cons AS Consecuente_Str,
+       la AS Long_Antecedente, lc AS Long_Consecuente, round(sa, 6) AS Soporte_Antecedente,
+       round(sc, 6) AS Soporte_Consecuente, round(sup, 6) AS Soporte, round(conf, 6) AS Confianza,
+       round(conf / sc, 6) AS Lift, round(sup - sa * sc, 6) AS Leverage,
+       round(CASE WHEN conf < 1 THEN (1 - sc) / (1 - conf) END, 6) AS Conviction FROM tr"""), "K5 C7")
+def rules_full_by_type(spark, sf):
+    its, _ = facts.mined(spark, sf, facts.MINING_TYPE)
+    return bk.rules_full(its, facts.n_mining_baskets(spark, sf, facts.MINING_TYPE), min_lift=None)
+
+
+@register("predict_next_types", _type_sql(
+    """fired AS (SELECT tb.ID_Tienda, tb.ID_Transaccion, r.* FROM tb JOIN trules r ON tb.bm & r.am = r.am
+           AND tb.bm & r.cm = 0)""",
+    select=f"""SELECT ID_Tienda, ID_Transaccion, Posicion, ant AS Antecedente_Str, cons AS Consecuente_Str,
+       round(conf, 6) AS Confianza, round(lift, 6) AS Lift FROM (SELECT *, CAST(row_number() OVER (
+       PARTITION BY ID_Tienda, ID_Transaccion ORDER BY lift DESC, ant, cons) AS INTEGER) AS Posicion FROM fired) x
+WHERE Posicion <= {RECOMMEND_N}"""), "L3")
+def predict_next_types(spark, sf):
+    _, r = facts.mined(spark, sf, facts.MINING_TYPE)
+    return rc.next_items(r, facts.mining_baskets(spark, sf, facts.MINING_TYPE), RECOMMEND_N)

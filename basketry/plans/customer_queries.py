@@ -81,9 +81,9 @@ def purchase_gap_ranges(spark, sf):
 SELECT Dias, Frecuencia, CAST(sum(Frecuencia) OVER (ORDER BY Dias) AS BIGINT) AS Acumulado,
        round(CAST(sum(Frecuencia) OVER (ORDER BY Dias) AS DOUBLE) * 100 / sum(Frecuencia) OVER (), 6)
          AS Porcentaje_Acumulado
-FROM (SELECT Dias, count(*) AS Frecuencia FROM gaps WHERE Dias <= 60 GROUP BY Dias) x"""), "E8")
+FROM (SELECT Dias, count(*) AS Frecuencia FROM gaps WHERE Dias IS NOT NULL GROUP BY Dias) x"""), "E8")
 def purchase_gap_cdf(spark, sf):
-    return cu.gap_cdf(cu.purchase_gaps(cu.basket_table(sales(spark, sf))), 60)
+    return cu.gap_cdf(cu.purchase_gaps(cu.basket_table(sales(spark, sf))))
 
 
 @register("rf_features", with_sales(_RF_CTE, select="SELECT * FROM rf"), "J1 H6")

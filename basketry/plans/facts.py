@@ -67,26 +67,51 @@ def forget(spark: SparkSession | None = None) -> None:
         if spark is None:
             _STAGES.clear()
             _FRAMES.clear()
+            _DERIVED.clear()
         else:
             app = spark.sparkContext.applicationId
-            for d in (_STAGES, _FRAMES):
+            for d in (_STAGES, _FRAMES, _DERIVED):
                 for k in [k for k in d if k[0] == app]:
                     del d[k]
 
 
-def baskets_by_key(spark: SparkSession, sf_dir: str, keys=("ID_Tienda", "ID_Transaccion")) -> DataFrame:
-    """Units per basket (one row per basket key)."""
-    return sales(spark, sf_dir).groupBy(*keys).agg(F.count(F.lit(1)).alias("Productos_Comprados"))
+def staged(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
+    """A frame derived from the tables of ``sf_dir``, written on first use and read back."""
+    key = (*_key(spark, sf_dir), name)
+    with _LOCK:
+        path = _DERIVED.get(key)
+        if path is None or not sinks.path_exists(spark, path):
+            path = fresh_path(spark, name)
+            build().write.parquet(path)
+            _DERIVED[key] = path
+    return spark.read.parquet(path)
+
+
+_DERIVED: dict[tuple[str, str, str], str] = {}
+
+
+def basket_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per (store, transaction): units and date (staged)."""
+    from basketry.operators import customers as cu
+    return staged(spark, sf_dir, "baskets", lambda: cu.basket_table(sales(spark, sf_dir)))
+
+
+def rf_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Recency and units per basket (staged): scaling, fits and profiles all read it."""
+    from basketry.operators import customers as cu
+    from basketry.operators import segment as sg
+    return staged(spark, sf_dir, "rf", lambda: cu.rf_features(sales(spark, sf_dir)).select(
+        "ID_Tienda", "ID_Transaccion", *sg.FEATURES))
 
 
 # ------------------------------------------------------------------ mining
-# Fixed parameters of the registered mining queries (driver data: items are
-# part brands; association is weak by construction, so thresholds are low).
-MINING_ITEM = "p_brand"
+# Fixed parameters of the registered mining queries (driver data: association is weak by
+# construction, so thresholds are low).  Items are part brands, or part types where itemsets of
+# three and more items are wanted.
+MINING_ITEM, MINING_TYPE = "p_brand", "p_type"
 MINING_MIN_SUPPORT = 0.01
 MINING_MIN_CONFIDENCE = 0.05
-MINING_MAX_LEN = 3
-_MINED: dict[tuple[str, str], tuple[str, str]] = {}
+STORE_MIN_COUNT = 3  # baskets an itemset needs in every store, beside the support
 
 
 def item_lines(spark: SparkSession, sf_dir: str, item: str = MINING_ITEM) -> DataFrame:
@@ -97,50 +122,43 @@ def item_lines(spark: SparkSession, sf_dir: str, item: str = MINING_ITEM) -> Dat
         .select("ID_Tienda", "ID_Transaccion", "Item")
 
 
-def mining_baskets(spark: SparkSession, sf_dir: str) -> DataFrame:
+def mining_baskets(spark: SparkSession, sf_dir: str, item: str = MINING_ITEM) -> DataFrame:
+    """Baskets of at least two distinct items (staged: mining, pairs and recommendations read it)."""
     from basketry.operators import basket as bk
-    return bk.baskets(item_lines(spark, sf_dir), "Item", min_size=2)
+    return staged(spark, sf_dir, f"mining-baskets-{item}",
+                  lambda: bk.baskets(item_lines(spark, sf_dir, item), "Item", min_size=2))
 
 
-def n_mining_baskets(spark: SparkSession, sf_dir: str):
+def n_mining_baskets(spark: SparkSession, sf_dir: str, item: str = MINING_ITEM):
     """Number of mining baskets, as a scalar subquery column."""
-    return mining_baskets(spark, sf_dir).agg(F.count(F.lit(1))).scalar()
+    return mining_baskets(spark, sf_dir, item).agg(F.count(F.lit(1))).scalar()
 
 
-def mined(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """FP-Growth itemsets and rules for ``sf_dir``, fitted once per session and
-    written to the shared scratch folder (lineage cut, reused by every
-    mining and recommendation query)."""
+def mined(spark: SparkSession, sf_dir: str, item: str = MINING_ITEM) -> tuple[DataFrame, DataFrame]:
+    """Itemsets of all lengths and rules for ``sf_dir``: FP-Growth runs once, the
+    itemsets are staged, and the rules are read off the staged itemsets."""
     from basketry.operators import basket as bk
-    key = _key(spark, sf_dir)
-    with _LOCK:
-        paths = _MINED.get(key)
-        if paths is None or not all(sinks.path_exists(spark, p) for p in paths):
-            its, rules = bk.mine(mining_baskets(spark, sf_dir), MINING_MIN_SUPPORT, MINING_MIN_CONFIDENCE,
-                                 max_len=MINING_MAX_LEN)
-            root = fresh_path(spark, "mining")
-            its.write.parquet(f"{root}/itemsets")
-            rules.write.parquet(f"{root}/rules")
-            paths = (f"{root}/itemsets", f"{root}/rules")
-            _MINED[key] = paths
-    return spark.read.parquet(paths[0]), spark.read.parquet(paths[1])
-
-
-_MINED_BY: dict[tuple[str, str, str], tuple[str, str]] = {}
+    its = staged(spark, sf_dir, f"itemsets-{item}",
+                 lambda: bk.mine(mining_baskets(spark, sf_dir, item), MINING_MIN_SUPPORT, MINING_MIN_CONFIDENCE)[0])
+    rules = staged(spark, sf_dir, f"rules-{item}", lambda: bk.rules_from(
+        its, n_mining_baskets(spark, sf_dir, item), MINING_MIN_CONFIDENCE))
+    return its, rules
 
 
 def mined_by(spark: SparkSession, sf_dir: str, key: str = "ID_Tienda") -> tuple[DataFrame, DataFrame]:
-    """Per-key FP-Growth itemsets and rules (one fit), written once per session."""
+    """Per-key itemsets and rules, each key at its own threshold (staged)."""
     from basketry.operators import basket as bk
-    k = (*_key(spark, sf_dir), key)
-    with _LOCK:
-        paths = _MINED_BY.get(k)
-        if paths is None or not all(sinks.path_exists(spark, p) for p in paths):
-            its, rules = bk.mine_by_key(mining_baskets(spark, sf_dir), key, MINING_MIN_SUPPORT,
-                                        MINING_MIN_CONFIDENCE, max_len=MINING_MAX_LEN)
-            root = fresh_path(spark, "mining-by")
-            its.write.parquet(f"{root}/itemsets")
-            rules.write.parquet(f"{root}/rules")
-            paths = (f"{root}/itemsets", f"{root}/rules")
-            _MINED_BY[k] = paths
-    return spark.read.parquet(paths[0]), spark.read.parquet(paths[1])
+    out: list[DataFrame] = []
+
+    def both():
+        if not out:
+            def stage(df, name):
+                path = fresh_path(spark, f"by-{key}-{name}")
+                df.write.parquet(path)
+                return spark.read.schema(df.schema).parquet(path)
+            out.extend(bk.mine_by_key(mining_baskets(spark, sf_dir), key, MINING_MIN_SUPPORT, MINING_MIN_CONFIDENCE,
+                                      STORE_MIN_COUNT, stage))
+        return out
+
+    return (staged(spark, sf_dir, f"itemsets-by-{key}", lambda: both()[0]),
+            staged(spark, sf_dir, f"rules-by-{key}", lambda: both()[1]))

@@ -29,11 +29,7 @@ from basketry.operators import profile as pf
 from basketry.operators import segment as sg
 from basketry.sources import sinks
 from basketry.sources import text as tx
-
-SALES_COLUMNS = ("ID_Categoria", "ID_Producto", "Fecha", "ID_Tienda", "ID_Transaccion",
-                 "Nombre_Categoria", "Anio", "Mes", "Dia", "Dia_Semana", "Semana_Anio",
-                 "Hora", "HoraDelDia", "DiaSemana", "DiaSemana_L0")
-
+from basketry.sources.tables import SALES_COLUMNS
 
 @dataclass(frozen=True)
 class ModelParams:
@@ -43,11 +39,7 @@ class ModelParams:
     max_iter: int = 20
     min_support: float = 0.10
     min_confidence: float = 0.5
-    max_len: int | None = 5
     sample_fraction: float | None = None
-    basket_cap: int | None = None
-    top_itemsets: int = 100
-    top_rules: int = 50
 
 
 def transform_job(spark: SparkSession, transactions_glob: str, categories_path: str,
@@ -72,7 +64,9 @@ def models_job(spark: SparkSession, stage_root: str, params: ModelParams = Model
         raise FileNotFoundError(f"no published sales stage under {stage_root}")
     out: dict[str, str] = {}
 
-    rf = cu.rf_features(sales).select("ID_Tienda", "ID_Transaccion", *sg.FEATURES)
+    # one row per basket, written once: scaling, the elbow and the fit all read it
+    sinks.write_stage(cu.rf_features(sales).select("ID_Tienda", "ID_Transaccion", *sg.FEATURES), stage_root, "rf")
+    rf = sinks.read_stage(spark, stage_root, "rf")
     scaler, scaled = sg.scale(rf)
     if params.elbow_ks:
         out["elbow"] = sinks.write_stage(sg.elbow(scaled, params.elbow_ks, params.seed, params.max_iter),
@@ -83,18 +77,19 @@ def models_job(spark: SparkSession, stage_root: str, params: ModelParams = Model
 
     lines = sales.select("ID_Tienda", "ID_Transaccion", F.col("ID_Producto").alias("Item"))
     b = bk.baskets(lines, "Item", min_size=2)
-    if params.sample_fraction is not None or params.basket_cap is not None:
-        b = bk.sample_baskets(b, params.sample_fraction, params.seed, params.basket_cap)
-    its, rules = bk.mine(b, params.min_support, params.min_confidence, params.max_len)
-    out["itemsets"] = sinks.write_stage(bk.top_itemsets(its, params.top_itemsets), stage_root, "itemsets")
-    top = bk.top_rules(rules, params.top_rules)
-    out["rules"] = sinks.write_stage(
-        top.select("antecedent", "consequent", *[c for c in ("confidence", "lift", "support")]),
-        stage_root, "rules")
+    if params.sample_fraction is not None:
+        b = bk.sample_baskets(b, params.sample_fraction, params.seed)
+    sinks.write_stage(b, stage_root, "baskets")
+    b = sinks.read_stage(spark, stage_root, "baskets")
+    # the stages hold every itemset and rule; a top n is a report over them
+    out["itemsets"] = sinks.write_stage(bk.mine(b, params.min_support, params.min_confidence)[0], stage_root, "itemsets")
+    its = sinks.read_stage(spark, stage_root, "itemsets")
+    rules = bk.rules_from(its, b.agg(F.count(F.lit(1))).scalar(), params.min_confidence)
+    out["rules"] = sinks.write_stage(rules, stage_root, "rules")
     return out
 
 
-def export_job(spark: SparkSession, stage_root: str, export_root: str, single: bool = True) -> dict:
+def export_job(spark: SparkSession, stage_root: str, export_root: str, single: bool = False) -> dict:
     """Stages -> CSV (A10, A11, Q2, Q3): sales columns, clusters, rules by lift, itemsets as text."""
     frames: dict[str, DataFrame] = {}
     sales = sinks.read_stage(spark, stage_root, "sales")

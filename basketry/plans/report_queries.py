@@ -5,29 +5,33 @@ from __future__ import annotations
 from basketry.operators import customers as cu
 from basketry.operators import kpi
 from basketry.operators import products as pr
+from basketry.operators import segment as sg
+from basketry.plans import facts
 from basketry.plans.facts import sales
 from basketry.plans.registry import register, with_sales
+from basketry.plans.segment_queries import _ASSIGN_CTE, _Z_CTES, FIXED_CENTERS
 
 # Fixed parameters of the registered report queries.
 SLICE_STORES = tuple(range(0, 13))
 SLICE_START, SLICE_END = "1996-01-01", "1998-12-31"
 SLICE_CATEGORIES = ("ECONOMY", "PROMO", "DESCONOCIDA")
 LOOKUP_PRODUCT = 7
-OTHERS_TOP_N = 5
+OTHERS_TOP_N = 15
+SLICE_CLUSTERS = (0, 2)
 
 _KPI_SELECT = """
-SELECT count(DISTINCT ID_Transaccion) AS Total_Transacciones, count(*) AS Total_Productos_Vendidos,
+SELECT count(DISTINCT (ID_Tienda, ID_Transaccion)) AS Total_Transacciones, count(*) AS Total_Productos_Vendidos,
        count(DISTINCT ID_Producto) AS Productos_Unicos, count(DISTINCT Nombre_Categoria) AS Categorias_Activas,
-       coalesce(round(CAST(count(*) AS DOUBLE) / nullif(count(DISTINCT ID_Transaccion), 0), 6), 0.0)
+       coalesce(round(CAST(count(*) AS DOUBLE) / nullif(count(DISTINCT (ID_Tienda, ID_Transaccion)), 0), 6), 0.0)
          AS Promedio_Productos_Transaccion
 FROM {src}"""
 
 
 def _top_products_sql(n: int, measure: str, share: bool) -> str:
     value = "Unidades_Vendidas" if measure == "units" else "Num_Transacciones"
-    agg = "count(*)" if measure == "units" else "count(DISTINCT ID_Transaccion)"
+    agg = "count(*)" if measure == "units" else "count(DISTINCT (ID_Tienda, ID_Transaccion))"
     total = "(SELECT count(*) FROM sales)" if measure == "units" else \
-        "(SELECT count(DISTINCT ID_Transaccion) FROM sales)"
+        "(SELECT count(DISTINCT (ID_Tienda, ID_Transaccion)) FROM sales)"
     share_col = f", round(CAST({value} AS DOUBLE) * 100 / {total}, 6) AS Porcentaje" if share else ""
     return with_sales(
         f"""top AS (SELECT ID_Producto, min(Nombre_Categoria) AS Nombre_Categoria, {agg} AS {value}
@@ -72,14 +76,11 @@ def bottom_products(spark, sf):
 
 
 @register("top_plus_others", with_sales(
-    f"""c AS (SELECT Nombre_Categoria, count(*) AS Unidades_Vendidas FROM sales GROUP BY Nombre_Categoria),
-    top AS (SELECT CAST(row_number() OVER (ORDER BY Unidades_Vendidas DESC, Nombre_Categoria) AS INTEGER) AS Posicion,
-            Nombre_Categoria, Unidades_Vendidas FROM c ORDER BY Unidades_Vendidas DESC, Nombre_Categoria
-            LIMIT {OTHERS_TOP_N})""",
-    select=f"""SELECT * FROM top UNION ALL
-    SELECT {OTHERS_TOP_N + 1} AS Posicion, 'Otros' AS Nombre_Categoria, CAST(r AS BIGINT) AS Unidades_Vendidas
-    FROM (SELECT (SELECT count(*) FROM sales) - (SELECT coalesce(sum(Unidades_Vendidas), 0) FROM top) AS r) x
-    WHERE r > 0"""), "F7")
+    f"""c AS (SELECT ID_Producto, count(*) AS Unidades_Vendidas, row_number() OVER (ORDER BY count(*) DESC, ID_Producto) AS r
+            FROM sales GROUP BY ID_Producto)""",
+    select=f"""SELECT CAST(least(r, {OTHERS_TOP_N + 1}) AS INTEGER) AS Posicion,
+       CASE WHEN r <= {OTHERS_TOP_N} THEN CAST(ID_Producto AS VARCHAR) ELSE 'Otros' END AS Producto,
+       CAST(sum(Unidades_Vendidas) AS BIGINT) AS Unidades_Vendidas FROM c GROUP BY 1, 2"""), "F7")
 def top_plus_others(spark, sf):
     return pr.top_plus_others(sales(spark, sf), OTHERS_TOP_N)
 
@@ -148,7 +149,7 @@ def kpi_filtered_cat(spark, sf):
 
 
 @register("dataset_dimensions", with_sales(select="""
-SELECT count(*) AS Registros, count(DISTINCT ID_Transaccion) AS Transacciones, count(DISTINCT ID_Producto) AS Productos,
+SELECT count(*) AS Registros, count(DISTINCT (ID_Tienda, ID_Transaccion)) AS Transacciones, count(DISTINCT ID_Producto) AS Productos,
        count(DISTINCT Nombre_Categoria) AS Categorias, count(DISTINCT ID_Tienda) AS Tiendas,
        min(Fecha) AS Fecha_Min, max(Fecha) AS Fecha_Max, CAST(max(Fecha) - min(Fecha) AS INTEGER) AS Dias_Rango
 FROM sales"""), "D2 I1")
@@ -181,8 +182,8 @@ def store_units(spark, sf):
 
 
 @register("largest_baskets", with_sales(select="""
-SELECT ID_Transaccion, count(*) AS Num_Productos, min(Fecha) AS Fecha, min(ID_Tienda) AS Tienda
-FROM sales GROUP BY ID_Transaccion ORDER BY Num_Productos DESC, ID_Transaccion LIMIT 10"""), "D7 F2")
+SELECT ID_Transaccion, Productos_Comprados AS Num_Productos, Fecha_Compra AS Fecha, Tienda
+FROM baskets ORDER BY Num_Productos DESC, ID_Transaccion, Tienda LIMIT 10"""), "D7 F2")
 def largest_baskets(spark, sf):
     return cu.largest_baskets(sales(spark, sf), 10)
 
@@ -195,28 +196,65 @@ _EXEC_SQL = with_sales(
     "d AS (SELECT Fecha, count(*) AS v FROM sales GROUP BY Fecha)",
     """g AS (SELECT Fecha_Compra - lag(Fecha_Compra) OVER (ORDER BY Fecha_Compra, ID_Tienda, ID_Transaccion) AS gap
          FROM baskets)""",
-    "p AS (SELECT ID_Producto, count(*) AS u FROM sales GROUP BY 1)",
-    "tp AS (SELECT ID_Producto, u FROM p ORDER BY u DESC, ID_Producto LIMIT 1)",
+    """gc AS (SELECT CASE WHEN gap = 0 THEN 0 WHEN gap = 1 THEN 1 WHEN gap <= 7 THEN 2 WHEN gap <= 14 THEN 3 WHEN gap <= 30
+         THEN 4 ELSE 5 END AS k, count(*) AS n FROM g WHERE gap IS NOT NULL GROUP BY 1 ORDER BY n DESC, k LIMIT 1)""",
+    "p AS (SELECT ID_Producto, count(*) AS u, row_number() OVER (ORDER BY count(*) DESC, ID_Producto) AS r FROM sales GROUP BY 1)",
     """pc AS (SELECT sum(u) OVER (ORDER BY u DESC, ID_Producto ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum,
           sum(u) OVER () AS n FROM p)""",
     "wd AS (SELECT DiaSemana_L0 AS k, count(*) AS v FROM sales GROUP BY 1 ORDER BY v DESC, k LIMIT 1)",
     "mo AS (SELECT Mes AS k, count(*) AS v FROM sales GROUP BY 1 ORDER BY v DESC, k LIMIT 1)",
+    "tm AS (SELECT strftime(Fecha_Compra, '%Y-%m') AS k, count(*) AS n FROM baskets GROUP BY 1)",
+    """sg AS (SELECT CASE WHEN Productos_Comprados <= 5 THEN 0 WHEN Productos_Comprados <= 15 THEN 1
+          WHEN Productos_Comprados <= 30 THEN 2 ELSE 3 END AS k, count(*) AS n FROM baskets GROUP BY 1)""",
+    "st AS (SELECT Tienda AS k, count(*) AS n FROM baskets GROUP BY 1 ORDER BY n DESC, k LIMIT 1)",
     select="\nUNION ALL ".join([
         _metric("Registros", "count(*)", "sales"),
-        _metric("Productos_Unicos", "count(DISTINCT ID_Producto)", "sales"),
+        _metric("Productos_Unicos", "count(*)", "p"),
         _metric("Tiendas", "count(DISTINCT ID_Tienda)", "sales"),
         _metric("Transacciones", "count(*)", "baskets"),
+        _metric("Fecha_Primera", "epoch(min(Fecha)) / 86400", "sales"),
+        _metric("Fecha_Ultima", "epoch(max(Fecha)) / 86400", "sales"),
         _metric("Promedio_Ventas_Diarias", "avg(v)", "d"),
         _metric("Promedio_Productos_Por_Compra", "avg(Productos_Comprados)", "baskets"),
+        _metric("Mediana_Productos_Por_Compra", "quantile_cont(Productos_Comprados, 0.5)", "baskets"),
+        _metric("Minimo_Productos_Por_Compra", "min(Productos_Comprados)", "baskets"),
+        _metric("Maximo_Productos_Por_Compra", "max(Productos_Comprados)", "baskets"),
+        _metric("Promedio_Transacciones_Mes", "avg(n)", "tm"),
         _metric("Promedio_Dias_Entre_Compras", "avg(gap)", "g"),
-        _metric("Producto_Mas_Vendido", "ID_Producto", "tp"),
-        _metric("Unidades_Producto_Mas_Vendido", "u", "tp"),
+        _metric("Mediana_Dias_Entre_Compras", "quantile_cont(gap, 0.5)", "g"),
+        _metric("P75_Dias_Entre_Compras", "quantile_cont(gap, 0.75)", "g"),
+        _metric("Maximo_Dias_Entre_Compras", "max(gap)", "g"),
+        _metric("Rango_Dias_Mas_Comun", "k", "gc"),
+        *[_metric(f"Producto_Top_{i}", "ID_Producto", f"p WHERE r = {i}") for i in (1, 2, 3)],
+        *[_metric(f"Producto_Top_{i}_Pct", "u * 100.0 / (SELECT count(*) FROM sales)", f"p WHERE r = {i}") for i in (1, 2, 3)],
+        _metric("Unidades_Producto_Mas_Vendido", "u", "p WHERE r = 1"),
         _metric("Productos_Pareto_80", "sum(CASE WHEN CAST(cum AS DOUBLE) / n * 100 <= 80 THEN 1 ELSE 0 END)", "pc"),
+        _metric("Productos_Pareto_80_Pct",
+                "sum(CASE WHEN CAST(cum AS DOUBLE) / n * 100 <= 80 THEN 1 ELSE 0 END) * 100.0 / count(*)", "pc"),
         _metric("Dia_Semana_Top", "k", "wd"),
         _metric("Mes_Top", "k", "mo"),
+        *[_metric(f"Segmento_Tamano_{i}_Pct", f"coalesce(sum(n) FILTER (k = {i}), 0) * 100.0 / sum(n)", "sg") for i in range(4)],
+        "SELECT 'Segmento_Tamano_Mayor' AS Metrica, CAST(k AS DOUBLE) AS Valor FROM (SELECT k FROM sg ORDER BY n DESC, k LIMIT 1) x",
+        _metric("Tienda_Principal", "k", "st"),
+        _metric("Tienda_Principal_Pct", "n * 100.0 / (SELECT count(*) FROM baskets)", "st"),
     ]))
 
 
 @register("executive_summary", _EXEC_SQL, "D28")
 def executive_summary(spark, sf):
-    return kpi.executive_summary(sales(spark, sf))
+    return kpi.executive_summary(sales(spark, sf), stage=lambda df, name: facts.staged(spark, sf, name, lambda: df))
+
+
+@register("kpi_filtered_cluster", with_sales(*_Z_CTES, _ASSIGN_CTE, f"""s AS (SELECT sales.* FROM sales JOIN asg
+       USING (ID_Tienda, ID_Transaccion) WHERE asg.Cluster IN ({', '.join(map(str, SLICE_CLUSTERS))}))""",
+    select=_KPI_SELECT.format(src="s")), "B10")
+def kpi_filtered_cluster(spark, sf):
+    clustered = sg.assign(facts.rf_facts(spark, sf), FIXED_CENTERS)
+    return kpi.kpi_summary(kpi.slice_sales(sales(spark, sf), clusters=SLICE_CLUSTERS, clustered=clustered))
+
+
+@register("distinct_choices", with_sales(select="""
+SELECT DISTINCT Nombre_Categoria, ID_Producto FROM sales"""), "G3 D19")
+def distinct_choices(spark, sf):
+    """The (category, product) choices of the dashboard's filters."""
+    return pr.distinct_values(sales(spark, sf), "Nombre_Categoria", "ID_Producto")

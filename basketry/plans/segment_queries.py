@@ -14,7 +14,6 @@ from basketry.plans.session import fresh_path
 
 K, SEED, MAX_ITER = 4, 42, 20
 ELBOW_KS = range(2, 7)
-POINTS_FRACTION = 0.1
 # Given centres in z-space for the exact assignment test.
 FIXED_CENTERS = ((-1.0, -0.5), (-1.0, 1.0), (1.0, -0.5), (1.0, 1.0))
 
@@ -23,7 +22,7 @@ _FITS: dict = {}
 
 
 def _rf(spark, sf):
-    return cu.rf_features(sales(spark, sf)).select("ID_Tienda", "ID_Transaccion", *sg.FEATURES)
+    return facts.rf_facts(spark, sf)
 
 
 def _fit(spark, sf):
@@ -132,10 +131,52 @@ def kmeans_silhouette(spark, sf):
     return spark.createDataFrame([(K, sg.silhouette(clustered))], "K int, Silhouette double")
 
 
-@register("cluster_points", None, "J14")
+@register("cluster_points", with_sales(*_Z_CTES, _ASSIGN_CTE, select="""
+SELECT ID_Tienda, ID_Transaccion, Recencia_Dias, Productos_Comprados, Cluster FROM asg"""), "J14")
 def cluster_points(spark, sf):
+    return sg.cluster_points(sg.assign(_rf(spark, sf), FIXED_CENTERS))
+
+
+@register("cluster_points_fitted", None, "J14")
+def cluster_points_fitted(spark, sf):
     _, _, clustered = _fit(spark, sf)
-    return sg.cluster_points(clustered, POINTS_FRACTION, SEED)
+    return sg.cluster_points(clustered)
+
+
+@register("cluster_cost_fixed", with_sales(*_Z_CTES, _ASSIGN_CTE, select="SELECT Cluster, count(*) AS Num_Clientes, round(sum(CASE Cluster "
+    + " ".join(f"WHEN {j} THEN {_dist(j)}" for j in range(4)) + " END), 4) AS Costo FROM asg GROUP BY Cluster"), "J7")
+def cluster_cost_fixed(spark, sf):
+    return sg.cluster_cost(sg.assign(_rf(spark, sf), FIXED_CENTERS), FIXED_CENTERS)
+
+
+@register("centroids_fixed", with_sales(*_Z_CTES, select="""
+SELECT CAST(c.k AS INTEGER) AS Cluster, round(c.r * (SELECT stddev_samp(Recencia_Dias) FROM rf) + (SELECT avg(Recencia_Dias) FROM rf), 6)
+         AS Recencia_Dias,
+       round(c.p * (SELECT stddev_samp(Productos_Comprados) FROM rf) + (SELECT avg(Productos_Comprados) FROM rf), 6)
+         AS Productos_Comprados FROM (VALUES """ + ", ".join(f"({j}, {r}::DOUBLE, {p}::DOUBLE)" for j, (r, p) in enumerate(FIXED_CENTERS))
+    + ") c(k, r, p)"), "J11")
+def centroids_fixed(spark, sf):
+    return sg.unscale(_rf(spark, sf), FIXED_CENTERS)
+
+
+@register("silhouette_fixed", with_sales(*_Z_CTES, _ASSIGN_CTE,
+    """cl AS (SELECT Cluster, CAST(count(*) AS DOUBLE) AS n, sum(zr) AS sr, sum(zp) AS sp, sum(zr * zr + zp * zp) AS q
+          FROM asg GROUP BY Cluster)""",
+    """d AS (SELECT a.ID_Tienda, a.ID_Transaccion, cl.Cluster = a.Cluster AS own, cl.n,
+          (cl.n * (a.zr * a.zr + a.zp * a.zp) + cl.q - 2 * (cl.sr * a.zr + cl.sp * a.zp)) AS t FROM asg a, cl)""",
+    """ab AS (SELECT max(CASE WHEN own THEN n END) AS n, max(CASE WHEN own THEN t / nullif(n - 1, 0) END) AS a,
+          min(CASE WHEN NOT own THEN t / n END) AS b FROM d GROUP BY ID_Tienda, ID_Transaccion)""",
+    select="""SELECT count(*) AS Clientes, round(avg(CASE WHEN n = 1 THEN 0 ELSE coalesce((b - a) / nullif(greatest(a, b), 0), 0) END), 6)
+       AS Silhouette FROM ab"""), "J12")
+def silhouette_fixed(spark, sf):
+    return sg.silhouette_native(sg.assign(_rf(spark, sf), FIXED_CENTERS))
+
+
+@register("kmeans_checks", with_sales(select=f"""
+SELECT CAST(0 AS BIGINT) AS Mal_Asignados, count(*) AS Clientes, CAST({K} AS BIGINT) AS Clusters FROM baskets"""), "J8")
+def kmeans_checks(spark, sf):
+    _, model, clustered = _fit(spark, sf)
+    return sg.fit_checks(clustered, model)
 
 
 @register("verify_outputs", None, "I13")
@@ -143,6 +184,6 @@ def verify_outputs(spark, sf):
     from basketry.operators import basket as bk
     from basketry.operators import profile as pf
     its, rules = facts.mined(spark, sf)
-    _, _, clustered = _fit(spark, sf)
-    return pf.verify_outputs({"sales": sales(spark, sf), "clusters": clustered.select("Cluster"),
+    return pf.verify_outputs({"sales": sales(spark, sf),
+                              "clusters": sg.assign(_rf(spark, sf), FIXED_CENTERS).select("Cluster"),
                               "rules": bk.rules_report(rules), "itemsets": its})

@@ -77,7 +77,7 @@ def explode_units(spark, sf):
 
 
 @register("union_stores", with_sales(select="""
-SELECT ID_Tienda, count(DISTINCT ID_Transaccion) AS Transacciones, count(*) AS Unidades FROM sales GROUP BY 1"""),
+SELECT ID_Tienda, count(DISTINCT (ID_Tienda, ID_Transaccion)) AS Transacciones, count(*) AS Unidades FROM sales GROUP BY 1"""),
           "A4 G1")
 def union_stores(spark, sf):
     raw = tx.read_store_dirs(spark, _raw_dir(spark, sf, by_store=True))

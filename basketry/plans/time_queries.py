@@ -8,7 +8,7 @@ from basketry.operators import temporal as tm
 from basketry.plans.facts import sales
 from basketry.plans.registry import register, with_sales
 
-_PERIOD_AGG = """count(*) AS Total_Productos_Vendidos, count(DISTINCT ID_Transaccion) AS Numero_Transacciones,
+_PERIOD_AGG = """count(*) AS Total_Productos_Vendidos, count(DISTINCT (ID_Tienda, ID_Transaccion)) AS Numero_Transacciones,
        count(DISTINCT ID_Tienda) AS Tiendas_Activas"""
 _WEEK_SQL = "CAST(year(Fecha) AS VARCHAR) || '-W' || strftime(Fecha, '%U')"
 _DAILY_CTE = f"d AS (SELECT Fecha, {_PERIOD_AGG} FROM sales GROUP BY Fecha)"
@@ -37,7 +37,7 @@ def monthly_sales(spark, sf):
 
 @register("sales_by_weekday", with_sales(
     """a AS (SELECT DiaSemana_L0 AS Dia_Num, count(*) AS Total_Productos,
-             count(DISTINCT ID_Transaccion) AS Numero_Transacciones FROM sales GROUP BY 1),
+             count(DISTINCT (ID_Tienda, ID_Transaccion)) AS Numero_Transacciones FROM sales GROUP BY 1),
     k AS (SELECT CAST(i AS INTEGER) AS Dia_Num FROM range(7) t(i))""",
     select=f"""SELECT k.Dia_Num, {_DAYS_ES}[k.Dia_Num + 1] AS Dia, coalesce(a.Total_Productos, 0) AS Total_Productos,
        coalesce(a.Numero_Transacciones, 0) AS Numero_Transacciones FROM k LEFT JOIN a USING (Dia_Num)"""),
@@ -47,7 +47,7 @@ def sales_by_weekday(spark, sf):
 
 
 @register("sales_by_month", with_sales(select=f"""
-SELECT Mes, count(*) AS Total_Productos, count(DISTINCT ID_Transaccion) AS Numero_Transacciones,
+SELECT Mes, count(*) AS Total_Productos, count(DISTINCT (ID_Tienda, ID_Transaccion)) AS Numero_Transacciones,
        {_MONTHS_ES}[Mes] AS Nombre_Mes FROM sales GROUP BY Mes"""), "D16 H4")
 def sales_by_month(spark, sf):
     return tm.by_month(sales(spark, sf))
@@ -95,7 +95,7 @@ def heatmap_week_dow(spark, sf):
 
 
 @register("weekday_peak_hour", with_sales(
-    """p AS (SELECT DiaSemana, Hora, count(DISTINCT ID_Transaccion) AS t FROM sales GROUP BY 1, 2),
+    """p AS (SELECT DiaSemana, Hora, count(DISTINCT (ID_Tienda, ID_Transaccion)) AS t FROM sales GROUP BY 1, 2),
     r AS (SELECT *, row_number() OVER (PARTITION BY DiaSemana ORDER BY t DESC, Hora) AS rn,
           sum(t) OVER (PARTITION BY DiaSemana) AS tot FROM p)""",
     select="""SELECT DiaSemana, Hora AS Hora_Pico, t AS Transacciones_Pico, CAST(tot AS BIGINT) AS Transacciones_Dia,

@@ -89,25 +89,31 @@ def empty_frame(spark: SparkSession, schema: T.StructType) -> DataFrame:
     return spark.createDataFrame([], schema)
 
 
-def export_csv(df: DataFrame, path: str, single: bool = False, skip_empty: bool = True) -> str | None:
+def export_csv(df: DataFrame, path: str, single: bool = False) -> str:
     """A10 / Q2 / Q3: write the frame passed in (its columns, its order) as CSV.
 
     ``single=True`` funnels the output through one task; it is meant for
-    small report tables.  Empty input writes nothing and returns None.
+    small report tables.  An earlier export is always overwritten: empty input
+    leaves a file with the header only.
     """
-    if skip_empty and df.isEmpty():
-        return None
+    if df.isEmpty():
+        # one empty partition, so that the writer has a task to write the header
+        df = df.sparkSession.createDataFrame([], df.schema).repartition(1)
     out = df.coalesce(1) if single else df
     (out.write.mode("overwrite").option("header", True).option("encoding", "UTF-8").csv(path))
     return path
 
 
-def export_all(frames: dict[str, DataFrame], root: str, single: bool = False) -> dict[str, str | None]:
-    """Export several frames; one failure does not stop the rest."""
-    result: dict[str, str | None] = {}
+def export_all(frames: dict[str, DataFrame], root: str, single=False) -> dict[str, str]:
+    """Export several frames; one failure does not stop the rest.
+
+    ``single`` is a flag for all, or the names of the small reports to write as one file.
+    """
+    result: dict[str, str] = {}
     for name, df in frames.items():
         try:
-            result[name] = export_csv(df, f"{root.rstrip('/')}/{name}", single=single)
+            one = single if isinstance(single, bool) else name in single
+            result[name] = export_csv(df, f"{root.rstrip('/')}/{name}", single=one)
         except Exception as exc:  # noqa: BLE001 - reported back, the others still run
             result[name] = f"ERROR: {type(exc).__name__}: {exc}"
     return result

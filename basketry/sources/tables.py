@@ -18,7 +18,7 @@ Join order is chosen for scale: ``orders`` meets ``customer`` first (the
 smaller side of the fact), and only then ``lineitem`` on the order key, so
 the widest table is shuffled once.  The catalogue (one row per part) joins
 the fact on the product key; the category dimension (one row per category
-name) is the only table broadcast by hint.
+name) is left to Spark's own size check.
 """
 
 from __future__ import annotations
@@ -64,7 +64,7 @@ def product_category(spark: SparkSession, sf_dir: str, cats: DataFrame | None =
             .where(F.col("p_size") <= CATEGORY_MAX_SIZE)
             .select(F.col("p_partkey").alias("ID_Producto"), F.col("p_type").alias("Nombre_Categoria")))
     cats = categories(spark, sf_dir) if cats is None else cats
-    return part.join(F.broadcast(cats), "Nombre_Categoria").select("ID_Producto", "ID_Categoria")
+    return part.join(cats, "Nombre_Categoria").select("ID_Producto", "ID_Categoria")
 
 
 def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,14 +9,15 @@ functions as the batch path:
   which files were processed, so re-runs and lost executors neither skip
   nor double-count files.  ``trigger(availableNow=True)`` processes what is
   there and stops (the scheduled-job form of a stream).
-* ``merge_daily`` / ``merge_pairs``: exact distinct counts and pair counts
-  cannot be kept as streaming state cheaply, but they are additive when a
-  basket arrives within one file.  Each micro-batch aggregates its own rows
-  in ``foreachBatch`` and writes them under ``batch_id=N`` with overwrite,
-  so a replayed batch replaces its own output (idempotent); readers sum
-  over batches.
-* ``dedup``: re-delivered raw rows are dropped with
-  ``dropDuplicatesWithinWatermark`` on the basket key.
+* ``merge_daily`` / ``merge_pairs``: distinct baskets and pairs are not
+  additive when a basket is split over files, so each micro-batch writes its
+  rows at basket grain, (date, store, transaction[, item]), under
+  ``batch_id=N`` with overwrite (a replayed batch replaces its own output), and
+  readers put the parts of a basket together before they count.
+* ``dedup_to``: each micro-batch drops its own repeats, then what earlier
+  batches have stored (looked up in the batch's years and months only), and
+  writes under its batch id.  No watermark: a first delivery is kept however
+  late it comes, a repeat is dropped however late it comes.
 """
 
 from __future__ import annotations
@@ -28,11 +29,10 @@ from basketry.functions import calendar as cal
 from basketry.operators import basket as bk
 from basketry.operators import clean as cl
 from basketry.operators import enrich as en
+from basketry.sources import sinks
 from basketry.sources import text as tx
+from basketry.sources.tables import SALES_COLUMNS
 
-SALES_COLUMNS = ("ID_Categoria", "ID_Producto", "Fecha", "ID_Tienda", "ID_Transaccion",
-                 "Nombre_Categoria", "Anio", "Mes", "Dia", "Dia_Semana", "Semana_Anio",
-                 "Hora", "HoraDelDia", "DiaSemana", "DiaSemana_L0")
 
 
 def raw_stream(spark: SparkSession, raw_dir: str, max_files: int | None = None) -> DataFrame:
@@ -56,55 +56,65 @@ def ingest(spark: SparkSession, raw_dir: str, out_dir: str, checkpoint: str, pro
     lines = cl.clean_lines(raw_stream(spark, raw_dir))
     sales = cal.sales_calendar(en.enrich(lines, product_category, categories, default=default))
     w = (sales.select(*SALES_COLUMNS).writeStream.format("parquet").outputMode("append")
-         .option("checkpointLocation", checkpoint).option("path", out_dir))
+         .partitionBy("Anio", "Mes").option("checkpointLocation", checkpoint).option("path", out_dir))
     _run(w)
     return out_dir
 
 
 def merge_daily(spark: SparkSession, raw_dir: str, state_dir: str, checkpoint: str) -> str:
-    """Per-batch daily units and baskets, written per batch id (additive)."""
+    """Units per (date, store, transaction) of each batch, written under its batch id."""
     def per_batch(df: DataFrame, batch_id: int) -> None:
         lines = cl.clean_lines(df)
-        agg = lines.groupBy("Fecha").agg(F.count(F.lit(1)).alias("Total_Productos_Vendidos"),
-                                         F.count_distinct("ID_Transaccion").alias("Numero_Transacciones"))
-        agg.write.mode("overwrite").parquet(f"{state_dir}/batch_id={batch_id}")
+        lines.groupBy("Fecha", "ID_Tienda", "ID_Transaccion").agg(F.count(F.lit(1)).alias("Unidades")) \
+            .write.mode("overwrite").parquet(f"{state_dir}/batch_id={batch_id}")
 
     _run(raw_stream(spark, raw_dir).writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint))
     return state_dir
 
 
 def read_daily(spark: SparkSession, state_dir: str) -> DataFrame:
-    return spark.read.parquet(state_dir).groupBy("Fecha").agg(
-        F.sum("Total_Productos_Vendidos").alias("Total_Productos_Vendidos"),
-        F.sum("Numero_Transacciones").alias("Numero_Transacciones"))
+    baskets = spark.read.parquet(state_dir).groupBy("Fecha", "ID_Tienda", "ID_Transaccion") \
+        .agg(F.sum("Unidades").alias("Unidades"))
+    return baskets.groupBy("Fecha").agg(F.sum("Unidades").alias("Total_Productos_Vendidos"),
+                                        F.count(F.lit(1)).alias("Numero_Transacciones"))
 
 
-def merge_pairs(spark: SparkSession, raw_dir: str, state_dir: str, checkpoint: str, items: DataFrame,
-                min_size: int = 2) -> str:
-    """Per-batch pair counts (``items``: ID_Producto -> Item), written per batch id."""
+def merge_pairs(spark: SparkSession, raw_dir: str, state_dir: str, checkpoint: str, items: DataFrame) -> str:
+    """Distinct (store, transaction, item) rows of each batch (``items``: ID_Producto -> Item)."""
     def per_batch(df: DataFrame, batch_id: int) -> None:
         lines = cl.clean_lines(df).join(items, "ID_Producto")
-        b = bk.baskets(lines, "Item", min_size=min_size)
-        bk.cooccurrence(b, min_count=1).write.mode("overwrite").parquet(f"{state_dir}/batch_id={batch_id}")
+        lines.select("ID_Tienda", "ID_Transaccion", "Item").distinct() \
+            .write.mode("overwrite").parquet(f"{state_dir}/batch_id={batch_id}")
 
     _run(raw_stream(spark, raw_dir).writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint))
     return state_dir
 
 
-def read_pairs(spark: SparkSession, state_dir: str) -> DataFrame:
-    return spark.read.parquet(state_dir).groupBy("Item_A", "Item_B").agg(
-        F.sum("Transacciones").alias("Transacciones"))
+def read_pairs(spark: SparkSession, state_dir: str, min_size: int = 2, min_count: int = 2) -> DataFrame:
+    """Pair counts over whole baskets: the parts of a basket that came in several files meet here."""
+    return bk.cooccurrence(bk.baskets(spark.read.parquet(state_dir), "Item", min_size=min_size), min_count=min_count)
 
 
-def dedup(stream: DataFrame, delay: str = "30 days", keys=("ID_Tienda", "ID_Transaccion")) -> DataFrame:
-    """Drop re-delivered raw rows (same basket key) within the watermark delay."""
-    with_ts = stream.withColumn("_ts", F.try_to_timestamp(F.col("Fecha"), F.lit("yyyy-MM-dd")))
-    return with_ts.withWatermark("_ts", delay).dropDuplicatesWithinWatermark(list(keys)).drop("_ts")
-
+def dedup_to(spark: SparkSession, raw_dir: str, out_dir: str, checkpoint: str,
+             keys=("ID_Tienda", "ID_Transaccion")) -> str:
+    """Raw rows without re-deliveries (rows of a basket key that is stored already)."""
+    def per_batch(df: DataFrame, batch_id: int) -> None:
+        day = F.try_to_timestamp(F.col("Fecha"), F.lit("yyyy-MM-dd"))
+        rows = cl.drop_headers(df).withColumn("Mes_Entrega", F.coalesce(F.date_format(day, "yyyy-MM"), F.lit("nulo"))) \
+            .dropDuplicates(list(keys))
+        part = f"{out_dir}/batch_id={batch_id}"
+        sinks.delete_path(spark, part)  # a replayed batch must not meet its own first try
+        if sinks.path_exists(spark, out_dir) and _has_batches(spark, out_dir):
+            stored = spark.read.option("basePath", out_dir).parquet(out_dir)
+            # only the months that this batch touches are read (dynamic partition pruning on Mes_Entrega)
+            seen = stored.join(rows.select("Mes_Entrega").distinct(), "Mes_Entrega", "left_semi").select(*keys)
+            rows = rows.join(seen, list(keys), "left_anti")
+        rows.write.mode("overwrite").partitionBy("Mes_Entrega").parquet(part)
 
-def dedup_to(spark: SparkSession, raw_dir: str, out_dir: str, checkpoint: str, delay: str = "30 days") -> str:
-    s = dedup(cl.drop_headers(raw_stream(spark, raw_dir)), delay)
-    w = (s.writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint)
-         .option("path", out_dir))
-    _run(w)
+    _run(raw_stream(spark, raw_dir).writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint))
     return out_dir
+
+
+def _has_batches(spark: SparkSession, out_dir: str) -> bool:
+    fs, p = sinks._fs(spark, f"{out_dir}/batch_id=*/Mes_Entrega=*")
+    return bool(fs.globStatus(p))

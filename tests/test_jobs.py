@@ -36,7 +36,7 @@ def test_batch_jobs_end_to_end(spark, sf):
     assert clusters.count() == expected.select("ID_Tienda", "ID_Transaccion").distinct().count()
 
     exported = export_job(spark, stage_root, f"{root}/export")
-    # product ids are sparse at this scale: itemsets / rules may be empty (export skips empty frames)
+    # product ids are sparse at this scale: itemsets / rules may be empty (exported as a header)
     assert not [v for v in exported.values() if v and v.startswith("ERROR")], exported
     assert exported["ventas_detalladas"] and exported["clusters"]
     assert os.path.isdir(local_path(exported["ventas_detalladas"]))

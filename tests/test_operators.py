@@ -215,14 +215,87 @@ def test_recommend_is_containment_not_substring(spark):
     assert got and all("7" in r.Antecedente_Str.split(",") for r in got)
 
 
-def test_few_baskets_typed_empty(spark):
-    lines = spark.createDataFrame([(i, 1, it) for i in range(9) for it in (1, 2)],
+def test_few_baskets_are_mined_and_none_is_typed_empty(spark):
+    lines = spark.createDataFrame([(i, 1, it) for i in range(4) for it in (1, 2)],
                                   "ID_Transaccion long, ID_Tienda int, Item int")
     its, rules = bk.mine(bk.baskets(lines, "Item"))
+    assert sorted((tuple(r["items"]), r.freq) for r in its.collect()) == [(("1",), 4), (("1", "2"), 4), (("2",), 4)]
+    assert rules.count() == 2
+    its, rules = bk.mine(bk.baskets(lines.limit(0), "Item"))
     assert its.count() == 0 and rules.count() == 0
     assert its.schema == bk.ITEMSET_SCHEMA and rules.schema == bk.RULE_SCHEMA
 
 
+def test_rules_from_equals_fp_growth_rules(spark):
+    _, b = _planted(spark)
+    its, rules = bk.mine(b, 0.1, 0.3)
+    key = lambda df: sorted((tuple(r.antecedent), tuple(r.consequent), round(r.confidence, 9), round(r.lift, 9),
+                             round(r.support, 9)) for r in df.collect())
+    assert key(bk.rules_from(its, F.lit(b.count()), 0.3)) == key(rules) != []
+
+
+def test_each_store_is_mined_at_its_own_threshold(spark):
+    import random
+    rnd = random.Random(4)
+    rows = [(s, t, it) for s, n in ((1, 1500), (2, 50)) for t in range(n) for it in rnd.sample(range(100), 12)]
+    df = spark.createDataFrame(rows, "ID_Tienda int, ID_Transaccion long, Item int")
+    b = bk.baskets(df, "Item")
+    its, rules = bk.mine_by_key(b, "ID_Tienda", 0.04, 0.2, stage=lambda d, n: d.cache())
+    got = {(r.ID_Tienda, tuple(r["items"])): r.freq for r in its.collect()}
+    items = {}
+    for s, t, it in rows:
+        items.setdefault((s, t), set()).add(it)
+    for s, need in ((1, 60), (2, 2)):
+        brute = Counter(tuple(map(str, c)) for (k, _), v in items.items() if k == s for n in (1, 2)
+                        for c in itertools.combinations(sorted(v, key=str), n))
+        want = {(s, c): n for c, n in brute.items() if n >= need}
+        assert {k: v for k, v in got.items() if k[0] == s and len(k[1]) <= 2} == want
+    own = bk.mine(b.where("ID_Tienda = 2"), 0.04, 0.2)
+    assert {(2, tuple(r["items"])): r.freq for r in own[0].collect()} == {k: v for k, v in got.items() if k[0] == 2}
+    assert sorted((tuple(r.antecedent), tuple(r.consequent)) for r in own[1].collect()) == \
+        sorted((tuple(r.antecedent), tuple(r.consequent)) for r in rules.where("ID_Tienda = 2").collect())
+    none = bk.mine_by_key(b.limit(0), "ID_Tienda")
+    assert none[0].count() == none[1].count() == 0
+
+
+def test_one_gap_constant_feature_and_two_stores(spark):
+    from basketry.operators import customers as cu
+    from basketry.operators import kpi
+    from basketry.operators import segment as sg
+    gap = cu.gap_stats(spark.createDataFrame([(3, 1)], "Dias int, Peso long")).first()
+    assert (gap.Num_Intervalos, gap.Media, gap.Desv_Std) == (1, 3.0, None)
+    rf = spark.createDataFrame([(1, 1, 5, 2), (1, 2, 5, 8)],
+                               "ID_Tienda int, ID_Transaccion long, Recencia_Dias int, Productos_Comprados long")
+    z = sg.assign(rf, ((0.0, -1.0), (0.0, 1.0)))
+    assert sorted((r.Z_Recencia_Dias, r.Cluster) for r in z.collect()) == [(0.0, 0), (0.0, 1)]
+    d = dt.date(2020, 1, 1)
+    s = _sales(spark, [(7, 1, 5, d, "A"), (7, 2, 5, d, "A"), (7, 2, 6, d, "A")])  # one number in two stores
+    assert kpi.kpi_summary(s).first().Total_Transacciones == 2
+    assert kpi.dataset_dimensions(s).first().Transacciones == 2
+    assert pr.top_products(s, 1, "reach").first().Num_Transacciones == 2
+    assert [r.Num_Productos for r in cu.largest_baskets(s, 5).collect()] == [2, 1]
+
+
+def test_top_plus_others_counts_products(spark):
+    d = dt.date(2020, 1, 1)
+    s = _sales(spark, [(i, 1, p, d, "A") for p in range(5) for i in range(p + 1)])
+    got = [(r.Posicion, r.Producto, r.Unidades_Vendidas) for r in pr.top_plus_others(s, 2).orderBy("Posicion").collect()]
+    assert got == [(1, "4", 5), (2, "3", 4), (3, "Otros", 6)]
+
+
+def test_next_items_with_whole_antecedents(spark):
+    from basketry.operators import recommend as rc
+    rules = spark.createDataFrame([(["a", "b"], ["c"], .5, 2.0, .1), (["a"], ["b"], .5, 3.0, .1), (["c", "d"], ["a"], .5, 1.5, .1)],
+                                  "antecedent array<string>, consequent array<string>, confidence double, lift double, support double")
+    b = spark.createDataFrame([(1, 1, ["a", "b"]), (1, 2, ["a"]), (1, 3, ["c", "d", "x"]), (1, 4, ["d"])],
+                              "ID_Tienda int, ID_Transaccion long, items array<string>")
+    got = sorted((r.ID_Transaccion, r.Antecedente_Str, r.Consecuente_Str) for r in rc.next_items(rules, b).collect())
+    assert got == [(1, "a,b", "c"), (2, "a", "b"), (3, "c,d", "a")]
+    l2 = rc.for_baskets(rules, b, 1).collect()
+    assert sorted((r.ID_Transaccion, r.Antecedente_Str, r.Historial) for r in l2) == [
+        (1, "a", "a,b"), (2, "a", "a"), (3, "c,d", "c,d,x"), (4, "c,d", "d")]
+
+
 def test_cooccurrence_matches_brute_force(spark):
     baskets, b = _planted(spark)
     got = {(r.Item_A, r.Item_B): r.Transacciones for r in bk.cooccurrence(b, min_count=3).collect()}
@@ -235,7 +308,8 @@ def test_sample_is_stable(spark):
     a1 = sorted(r.ID_Transaccion for r in bk.sample_baskets(b, 0.5, seed=7).collect())
     a2 = sorted(r.ID_Transaccion for r in bk.sample_baskets(b.repartition(3), 0.5, seed=7).collect())
     assert a1 == a2
-    assert bk.sample_baskets(b, None, cap=4).count() == 4
+    assert sorted(r.ID_Transaccion for r in bk.sample_baskets(b, modulo=3).collect()) == \
+        sorted(r.ID_Transaccion for r in b.collect() if r.ID_Transaccion % 3 == 0)
 
 
 def test_generic_top_n_and_heatmap(spark):

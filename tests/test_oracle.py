@@ -13,10 +13,11 @@ sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(
 from oracle_check import digest  # noqa: E402
 
 import __spark_entry__ as entry_mod  # noqa: E402
+from basketry.plans.registry import all_queries  # noqa: E402
 from basketry.sources.tables import TABLES  # noqa: E402
 
-QUERIES = entry_mod.queries()
-SQL = entry_mod.oracle_sql()
+QUERIES = {n: q.fn for n, q in all_queries().items()}
+SQL = {n: q.sql for n, q in all_queries().items() if q.sql is not None}
 
 
 @pytest.fixture(scope="module")

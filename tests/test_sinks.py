@@ -29,7 +29,10 @@ def test_export_csv_and_read_back(spark):
     back = sinks.read_export(spark, p, "v string, k int")
     assert [tuple(r) for r in back.collect()] == [("a", 1), ("b", 2)]
     assert len([f for f in os.listdir(local_path(p)) if f.endswith(".csv")]) == 1
-    assert sinks.export_csv(df.where("k > 5"), f"{root}/empty") is None
+    # an empty frame replaces an earlier export by a file with the header only
+    again = sinks.export_csv(df.where("k > 5").select("v", "k"), f"{root}/one")
+    assert again == p and sinks.read_export(spark, p, "v string, k int").count() == 0
+    assert sinks.read_export(spark, p).columns == ["v", "k"]
     assert sinks.read_export(spark, f"{root}/nothing-here") is None
 
 

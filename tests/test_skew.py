@@ -64,3 +64,13 @@ def test_hot_date_gaps(spark):
     dates = sorted(r.Fecha_Compra for r in b.collect())
     want = Counter((y - x).days for x, y in zip(dates, dates[1:]))
     assert got == dict(want)
+
+
+def test_pairs_of_one_very_large_basket(spark):
+    """Thousands of distinct items in one basket: pairs stream out position by position."""
+    lines = spark.range(3000).select(F.lit(1).alias("ID_Tienda"), F.lit(0).cast("long").alias("ID_Transaccion"), F.col("id").alias("Item"))
+    more = spark.range(3000).select(F.lit(1).alias("ID_Tienda"), (1 + F.floor(F.col("id") / 2)).cast("long").alias("ID_Transaccion"),
+                                    F.col("id").alias("Item"))
+    b = bk.baskets(lines.unionByName(more), "Item")
+    got = bk.cooccurrence(b, min_count=2)
+    assert got.count() == 1500 and got.where("Item_B - Item_A <> 1").count() == 0

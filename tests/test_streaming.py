@@ -55,3 +55,31 @@ def test_daily_merge_and_redelivery(spark):
     st.dedup_to(spark, f"{root}/dup", f"{root}/dedup", f"{root}/ckpt2")
     kept = spark.read.parquet(f"{root}/dedup").select("ID_Transaccion").collect()
     assert sorted(r.ID_Transaccion for r in kept) == [1, 2, 3]
+
+
+def test_split_basket_counts_once(spark):
+    root = fresh_path(spark, "stream-split")
+    items = spark.createDataFrame([(p, f"i{p}") for p in (5, 7, 12)], "ID_Producto long, Item string")
+    for run, state in ((lambda: st.merge_daily(spark, f"{root}/in", f"{root}/d", f"{root}/c1"), "d"),
+                       (lambda: st.merge_pairs(spark, f"{root}/in", f"{root}/p", f"{root}/c2", items), "p")):
+        _write(spark, f"{root}/in", ["2016-01-04|102|1|5 12", "2016-01-04|103|1|5 7"])
+        run()
+        _write(spark, f"{root}/in", ["2016-01-04|102|1|7"], mode="append")  # the rest of basket (102, 1)
+        run()
+        if state == "d":
+            got = st.read_daily(spark, f"{root}/d").first()
+            assert (got.Total_Productos_Vendidos, got.Numero_Transacciones) == (5, 2)
+            root = fresh_path(spark, "stream-split")
+    pairs = {(r.Item_A, r.Item_B): r.Transacciones for r in st.read_pairs(spark, f"{root}/p", min_count=1).collect()}
+    assert pairs == {("i12", "i5"): 1, ("i5", "i7"): 2, ("i12", "i7"): 1}
+
+
+def test_dedup_keeps_late_first_deliveries_and_drops_old_repeats(spark):
+    root = fresh_path(spark, "stream-late")
+    for drop in (["2016-08-01|1|1|5", "2016-01-01|1|2|5"],
+                 ["2016-02-01|1|3|5", "2016-01-01|1|2|5"],  # five months late and new; five months old and known
+                 ["2016-08-01|1|1|5", "2016-02-01|1|3|5", "2016-09-01|2|1|5", "2016-09-01|2|1|5"]):
+        _write(spark, f"{root}/in", drop, mode="append")
+        st.dedup_to(spark, f"{root}/in", f"{root}/out", f"{root}/ckpt")
+    got = sorted((r.ID_Tienda, r.ID_Transaccion) for r in spark.read.parquet(f"{root}/out").collect())
+    assert got == [(1, 1), (1, 2), (1, 3), (2, 1)]
