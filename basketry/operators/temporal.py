@@ -157,11 +157,20 @@ def weekend_hour_profile(sales: DataFrame) -> DataFrame:
     return per.withColumn("Porcentaje", rnd(F.col("Unidades") * 100.0 / total, 6))
 
 
-def period_summary(sales: DataFrame) -> DataFrame:
-    """Mean, max, min, sample std of units per day / week / month."""
+def period_summary(sales: DataFrame, stage=None) -> DataFrame:
+    """Mean, max, min, sample std of units per day / week / month.
+
+    The fact is read once, for units per (date, store, transaction); ``stage``
+    (frame, name -> frame) writes that table and the three periods are taken from it.
+    """
+    base = _dated(sales).groupBy("Fecha", "ID_Tienda", "ID_Transaccion").agg(F.count(F.lit(1)).alias("_u"))
+    base = stage(base, "basket-days") if stage else base
     parts = []
     for label, period in (("Diario", "day"), ("Semanal", "week"), ("Mensual", "month")):
-        p = period_sales(sales, period)
+        name, expr = _period_col(period)
+        p = base.groupBy(expr.alias(name)).agg(
+            F.sum("_u").alias("Total_Productos_Vendidos"),
+            F.count_distinct("ID_Tienda", "ID_Transaccion").alias("Numero_Transacciones"))
         parts.append(p.agg(
             F.lit(label).alias("Periodo"),
             F.count(F.lit(1)).alias("Num_Periodos"),

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from basketry.operators import temporal as tm
+from basketry.plans import facts
 from basketry.plans.facts import sales
 from basketry.plans.registry import register, with_sales
 
@@ -136,7 +137,7 @@ def _summary_sql(label: str, cte: str) -> str:
     select=" UNION ALL ".join([_summary_sql("Diario", "d"), _summary_sql("Semanal", "w"),
                                _summary_sql("Mensual", "m")])), "D27")
 def period_summary(spark, sf):
-    return tm.period_summary(sales(spark, sf))
+    return tm.period_summary(sales(spark, sf), lambda df, name: facts.staged(spark, sf, name, lambda: df))
 
 
 @register("moving_average", with_sales(_DAILY_CTE, select="""

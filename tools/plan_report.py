@@ -34,6 +34,21 @@ PATTERNS = {
 }
 
 
+def final_only(text: str) -> str:
+    """The plan text without the initial plans that adaptive execution prints beside the final ones."""
+    out, skip = [], None
+    for line in text.split("\n"):
+        depth = len(line) - len(line.lstrip(" :+-*|"))
+        if "== Initial Plan ==" in line:
+            skip = depth
+            continue
+        if skip is not None and (depth > skip or depth == skip and "== " not in line):
+            continue
+        skip = None
+        out.append(line)
+    return "\n".join(out)
+
+
 def main():
     ap = argparse.ArgumentParser()
     ap.add_argument("--sf", default="/root/testdata/sf0.1")
@@ -57,6 +72,7 @@ def main():
         df.collect()  # runs this QueryExecution, so its adaptive plan becomes final
         text = df._jdf.queryExecution().explainString(
             spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("simple"))
+        text = final_only(text)
         c = {k: len(re.findall(p, text)) for k, p in PATTERNS.items()}
         print(f"| {name} | {qs[name].ids} | {c['shuffle']} | {c['single']} | {c['subq']} | {c['bcast']} | {c['smj']} | "
               f"{c['bhj']} | "
