@@ -62,10 +62,6 @@ def buckets(cp: np.ndarray, bits: int = BITS):
             yield ((h * np.uint32(0x9E3779B1)) >> shift)[:size].astype(np.int64)
 
 
-def _null_und(lang: np.ndarray) -> dict:
-    return {x: i for i, x in enumerate(lang)}
-
-
 def train(rows: DataFrame, id_col: str, text_col: str, lang_col: str, sample_per_lang: int = 3000,
           alpha: float = 0.05, bits: int = BITS) -> tuple[list[str], np.ndarray, np.ndarray]:
     """(languages, log priors, log-probability matrix) from the labelled ``rows``."""
@@ -84,7 +80,7 @@ def train(rows: DataFrame, id_col: str, text_col: str, lang_col: str, sample_per
     limit = F.create_map(*[F.lit(x) for lang in langs for x in
                            (lang, min(space, -(-space * sample_per_lang // counts[lang])))])
     sample = rows.filter(F.pmod(F.xxhash64("id", F.lit("langid")), F.lit(space)) < limit[F.col("lang")])
-    index = _null_und(langs)
+    index = {x: i for i, x in enumerate(langs)}
 
     def count(batches):
         total = np.zeros((len(langs), 1 << bits), np.int64)
@@ -146,4 +142,5 @@ def predict(docs: DataFrame, model, text_col: str = "text", out: str = "language
 
 
 def held_out(id_col: Column) -> Column:
-    return bucket_crc(id_col, 4) == 2
+    """The fold rule of the registered query (a null id is not held out)."""
+    return F.coalesce(bucket_crc(id_col, 4) == 2, F.lit(False))

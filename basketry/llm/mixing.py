@@ -91,7 +91,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     queue = q.join(ahead, F.col("q.source").eqNullSafe(F.col("s.source")) & (F.col("q.epoch") == F.col("s.epoch"))
                    & (F.col("q.bucket") == F.col("s.bucket"))).select("q.*", "s.ahead").alias("q")
     g = goal.alias("g")
-    # a source's target meets all its rows: by a window-free join, hot sources are split by (source, bucket) ranges
+    # one row a source on the right: a broadcast by size, else AQE splits the rows of a hot source
     queue = queue.join(g, F.col("q.source").eqNullSafe(F.col("g.source"))).select("q.*", "g.target")
     end = F.col("ahead") + F.col("run")
     whole = F.round("target").cast("bigint")

@@ -183,7 +183,7 @@ def op10_entropy_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_kernel_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = common.table(spark, sf_dir, "documents").select("doc_id", "text")
     labels = common.table(spark, sf_dir, "labels")
-    held = common.bucket_crc(F.col("doc_id"), 3) == 1
+    held = F.coalesce(common.bucket_crc(F.col("doc_id"), 3) == 1, F.lit(False))
     model = toxicity.train(docs, labels.filter(~held))
     return toxicity.score(docs, model, "text", "score").select(
         "doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))

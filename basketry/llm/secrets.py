@@ -104,7 +104,7 @@ def scan(raw: bytes, limits=LIMITS, allow=None) -> list[tuple[str, int, int]]:
 
 def find_secrets(docs: DataFrame, text_col: str = "text", out: str = "secrets", limits: dict | None = None,
                  allow: tuple[str, ...] = ALLOW) -> DataFrame:
-    """``docs`` plus column ``out``: array of struct(kind, start, end), ordered."""
+    """``docs`` plus column ``out`` (replaced if there is one): array of struct(kind, start, end), ordered."""
     ship(docs)
     limits = dict(LIMITS, **(limits or {}))
 
@@ -120,8 +120,7 @@ def find_secrets(docs: DataFrame, text_col: str = "text", out: str = "secrets",
                                             pa.array(ends, pa.int32())], names=["kind", "start", "end"])
         return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), items)
 
-    return docs.select("*", spans(quoted(text_col)).alias(out)) if out.lower() not in {c.lower() for c in docs.columns} \
-        else docs.withColumn(out, spans(quoted(text_col)))
+    return docs.withColumn(out, spans(quoted(text_col)))
 
 
 def listed(spans: Column) -> Column:

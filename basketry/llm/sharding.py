@@ -24,7 +24,7 @@ from math import isqrt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.llm.common import free_name, global_rank, quoted, with_uid, stage
+from basketry.llm.common import free_name, global_rank, quoted, stage, with_uid
 
 ROUNDS = 4
 
@@ -38,9 +38,7 @@ def round_value(seed: int, j: int, x: Column) -> Column:
 def _network(df: DataFrame, p: str, a: int, b: int, seed: int) -> DataFrame:
     """One pass of the network over column ``p`` of ``df`` (0 <= p < a*b)."""
     keep = [quoted(c) for c in df.columns if c != p]
-    cur = df.select(*keep, F.pmod(F.col(p), F.lit(a)).alias("__l"), F.floor(F.col(p) / F.lit(a)).alias("__r")) \
-        if a * b < (1 << 52) else \
-        df.select(*keep, F.pmod(F.col(p), F.lit(a)).alias("__l"), F.expr(f"`{p}` div {a}L").alias("__r"))
+    cur = df.select(*keep, F.pmod(F.col(p), F.lit(a)).alias("__l"), F.expr(f"`{p}` div {a}L").alias("__r"))
     for j in range(ROUNDS):
         m = a if j % 2 == 0 else b
         cur = cur.select(*keep, F.col("__r").alias("__l"),
