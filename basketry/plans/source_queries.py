@@ -18,6 +18,7 @@ from basketry.operators import products as pr
 from basketry.plans.facts import sales
 from basketry.plans.registry import register, with_sales
 from basketry.plans.session import fresh_path
+from basketry.sources import sinks
 from basketry.sources import tables as tb
 from basketry.sources import text as tx
 
@@ -117,3 +118,28 @@ def enrich_sales(spark, sf):
     enriched = en.enrich(lines, tx.read_product_category(spark, pc), tx.read_categories(spark, cats),
                          default=tb.UNKNOWN_CATEGORY)
     return cal.sales_calendar(enriched).select(*tb.SALES_COLUMNS)
+
+
+_EXPORTED = ("ID_Transaccion", "ID_Tienda", "Fecha", "ID_Producto", "Nombre_Categoria", "Anio", "Mes", "DiaSemana", "Hora")
+
+
+@register("export_roundtrip", with_sales(select=f"SELECT {', '.join(_EXPORTED)} FROM sales"), "A6 A10 A11")
+def export_roundtrip(spark, sf):
+    """The sales export written as CSV parts over an earlier (empty) export, and read back."""
+    df = sales(spark, sf).select(*_EXPORTED)
+    root = fresh_path(spark, "export")
+    sinks.export_all({"ventas": df.limit(0)}, root)
+    path = sinks.export_all({"ventas": df}, root)["ventas"]
+    return sinks.read_export(spark, path, df.schema)
+
+
+@register("stage_roundtrip", with_sales(select="""
+SELECT ID_Tienda, ID_Transaccion, ID_Producto, Fecha, Anio, Mes FROM sales"""), "A5 A7 A8 A9 A12 A14")
+def stage_roundtrip(spark, sf):
+    """Two versions of a partitioned, snappy stage (the first one typed and empty); the older is dropped."""
+    df = sales(spark, sf).select("ID_Tienda", "ID_Transaccion", "ID_Producto", "Fecha", "Anio", "Mes")
+    root = fresh_path(spark, "stages")
+    sinks.write_stage(sinks.empty_frame(spark, df.schema), root, "t")
+    sinks.write_stage(df.hint("rebalance", "Anio", "Mes"), root, "t", partition_by=("Anio", "Mes"))
+    sinks.retain(spark, root, "t", keep=1)
+    return sinks.read_stage(spark, root, "t").select(df.columns)
