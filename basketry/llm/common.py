@@ -10,11 +10,13 @@ from __future__ import annotations
 import os
 import tempfile
 import zipfile
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from basketry.plans.session import fresh_path
+from basketry.sources.sinks import delete_path
 
 # A word is a run of characters other than ASCII white space.
 WORD_RE = r"[^\x20\x09-\x0D]+"
@@ -45,13 +47,35 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+_RECORDERS: list[list[str]] = []
+
+
 def stage(df: DataFrame, tag: str) -> DataFrame:
     """Write ``df`` to the shared folder and return a frame that reads it back."""
     path = fresh_path(df.sparkSession, f"llm-{tag}")
+    for r in _RECORDERS:
+        r.append(path)
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def recording():
+    """Collect the paths of the tables that ``stage`` writes meanwhile."""
+    paths: list[str] = []
+    _RECORDERS.append(paths)
+    try:
+        yield paths
+    finally:
+        _RECORDERS[:] = [r for r in _RECORDERS if r is not paths]
+
+
+def discard(spark: SparkSession, paths: list[str]) -> None:
+    """Delete staged tables that nothing reads any more."""
+    for p in paths:
+        delete_path(spark, p)
+
+
 def free_name(df: DataFrame, base: str) -> str:
     """A column name that ``df`` does not have (Spark compares without case)."""
     taken, name = {c.lower() for c in df.columns}, base
