@@ -117,7 +117,7 @@ class Kernel:
             norm = sum(x * x for x in total.values()) ** 0.5
             for c, x in total.items():
                 rows.setdefault(c, np.zeros(len(landmarks)))[m] = x / norm
-        self.rows = np.vstack([np.zeros((1, len(landmarks))), *[r[None] for r in rows.values()]])
+        self.rows = np.vstack([np.zeros((1, len(landmarks))), *[r[None] for r in rows.values()]]).astype(np.float32)
         self.slot[list(rows)] = np.arange(1, len(rows) + 1)
 
     def __call__(self, words: list[str]) -> np.ndarray:
@@ -127,6 +127,7 @@ class Kernel:
         for n in np.unique(size):
             at = np.flatnonzero(size == n)
             w = _triples(int(n))[3]
+            w32 = w.astype(np.float32)
             for part in np.array_split(at, -(-len(at) * len(w) // (1 << 20))):
                 code = _codes([words[i] for i in part])
                 slot = self.slot[code]
@@ -134,14 +135,16 @@ class Kernel:
                 if not len(r):
                     continue
                 some, begin = np.unique(r, return_index=True)
-                dot = np.add.reduceat(self.rows[slot[r, c]] * w[c, None], begin, axis=0)
-                # the word's own norm, only where it matters; a triple that occurs twice adds its weights first
+                dot = np.add.reduceat(self.rows[slot[r, c]] * w32[c, None], begin, axis=0)
+                # the word's own norm, only where it matters: weights of equal triples add up before they are squared
                 code = code[some]
-                norm = np.full(len(some), (w * w).sum())
-                ordered = np.sort(code, axis=1)
-                for x in np.flatnonzero((ordered[:, 1:] == ordered[:, :-1]).any(axis=1)):
-                    total = np.bincount(np.unique(code[x], return_inverse=True)[1], w)
-                    norm[x] = (total * total).sum()
+                order = np.argsort(code, axis=1)
+                code, weight = np.take_along_axis(code, order, 1), w[order]
+                new = np.ones(code.shape, bool)
+                new[:, 1:] = code[:, 1:] != code[:, :-1]
+                total = np.add.reduceat(weight.ravel(), np.flatnonzero(new))
+                owner = np.r_[0, np.cumsum(new.sum(axis=1))[:-1]]
+                norm = np.add.reduceat(total * total, owner)
                 out[part[some]] = (dot / np.sqrt(norm)[:, None]) ** POWER
         return out
 
@@ -286,6 +289,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
                                               pa.array(list(rows.values()), pa.int32())], names=["w", "c", "y"])
 
     words = stage(chosen.select("text", "y").mapInArrow(contexts, "w string, c long, y int")
+                  .repartition("w")  # one exchange serves both groupings
                   .groupBy("w", "c").agg(F.min("y").alias("y")).groupBy("w")
                   .agg(F.sum("y").alias("k1"), F.sum(1 - F.col("y")).alias("k0")), "toxicity-words")
     total = words.agg(F.coalesce(F.sum("k1"), F.lit(0)).alias("n1"), F.coalesce(F.sum("k0"), F.lit(0)).alias("n0")).first()
