@@ -6,7 +6,8 @@ base64-like characters) are classed by their characters, a window of 20
 characters slides along each with its character counts updated by one in and
 one out, and the stretches whose Shannon entropy reaches the class's limit are
 reported (kinds ``entropy_hex``, ``entropy_alnum``, ``entropy_base64``) unless an
-allow-list pattern covers the candidate or a base span already holds it.
+allow-list pattern covers the candidate.  Base spans and fill-ins are cut out of a
+candidate first; each part that remains and is a window long is a candidate of its own.
 
 Spans are (kind, start, end) in code points, end exclusive, over the whole text.
 
@@ -42,8 +43,9 @@ ALLOW = (
     r"[A-Za-z]*[-_=+/]+[A-Za-z-_=+/]*",                  # letters joined by punctuation: slugs, paths, rules
     r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}",  # UUIDs
     r"[0-9/_=+-]+",                                      # dates, phone numbers, number ranges
-    r"(?i).*(example|placeholder|x{6,}|0{8,}|1234567).*",   # fill-ins
 )
+#: stretches inside a candidate that are no secret
+FILL_IN = re.compile(r"(?i)example|placeholder|x{6,}|0{8,}|1234567")
 
 _IN = np.zeros(256, bool)
 _IN[np.frombuffer(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-", np.uint8)] = True
@@ -78,6 +80,16 @@ def random_stretches(s: str, limit: float) -> list[tuple[int, int]]:
     return out
 
 
+def outside(s: str, holes: list[tuple[int, int]]) -> list[tuple[int, str]]:
+    """(offset, text) of what the holes leave of ``s``, where it is a window long."""
+    at, out = 0, []
+    for i, j in [*sorted(holes), (len(s), len(s))]:
+        if i - at >= WINDOW:
+            out.append((at, s[at:i]))
+        at = max(at, j)
+    return out
+
+
 def scan(raw: bytes, limits=LIMITS, allow=None) -> list[tuple[str, int, int]]:
     """All spans of a UTF-8 text, ordered by start, then kind as listed."""
     arr, found = np.frombuffer(raw, np.uint8), []
@@ -94,11 +106,22 @@ def scan(raw: bytes, limits=LIMITS, allow=None) -> list[tuple[str, int, int]]:
         s = raw[b0:b1].decode("ascii")
         found += [("access", at + m.start(), at + m.end()) for m in ACCESS.finditer(s) if m.end() - m.start() >= 20]
         found += [("hex", at + m.start(), at + m.end()) for m in HEX.finditer(s) if m.end() - m.start() >= 24]
-        if not any(a.fullmatch(s) for a in allow or ()):
-            kind = kind_of(s)
-            extra += [(kind, at + i, at + j) for i, j in random_stretches(s, limits[kind])]
-    base = list(found)
-    found += [x for x in extra if not any(b[1] < x[2] and x[1] < b[2] for b in base)]
+        extra.append((at, s))
+    base, ok, seen, live = sorted(x[1:] for x in found), allow or (), 0, []
+    for at, s in extra:  # in order, as the base spans are
+        while seen < len(base) and base[seen][0] < at + len(s):
+            live.append(base[seen])
+            seen += 1
+        live = [x for x in live if x[1] > at]
+        if any(a.fullmatch(s) for a in ok):
+            continue
+        holes = [(i - at, j - at) for i, j in live]
+        if ok:
+            holes += [m.span() for m in FILL_IN.finditer(s)]
+        for k, part in outside(s, holes):  # each a candidate of its own
+            if part == s or not any(a.fullmatch(part) for a in ok):
+                kind = kind_of(part)
+                found += [(kind, at + k + i, at + k + j) for i, j in random_stretches(part, limits[kind])]
     return sorted(found, key=lambda x: (x[1], KINDS.index(x[0]), x[2]))
 
 

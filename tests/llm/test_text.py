@@ -255,6 +255,24 @@ def test_entropy_windows_match_brute_force_and_allow_list():
     assert kinds("123e4567-e89b-12d3-a456-426614174000") == []
 
 
+def test_random_parts_beside_base_spans_and_fill_ins_are_reported():
+    ok = [re.compile(p) for p in secrets.ALLOW]
+    rng = np.random.default_rng(3)
+    letters, found = list("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"), 0
+    for _ in range(100):
+        s = "".join(rng.choice(letters, 40))
+        hexes = "".join(rng.choice(list("0123456789abcdef"), 32))
+        for text, part in ((f"é {s}/token=abcdef ", s + "/"), (f"{hexes}/{s} ", "/" + s), (f"example_key={s} ", "_key=" + s),
+                           (f"{s}-placeholder ", s + "-"), (f"{s}/password={hexes}", s + "/")):
+            spans = [x for x in secrets.scan(text.encode(), allow=ok) if x[0].startswith("entropy")]
+            at, limit = text.index(part), secrets.LIMITS["entropy_base64"]
+            assert {k - at for _, i, j in spans for k in range(i, j)} == plain_entropy(part, limit), text
+            found += len(spans) > 0
+    assert found > 400  # of 500
+    kinds = lambda t: [x[0] for x in secrets.scan(t.encode(), allow=ok)]
+    assert kinds("k9Xq2LmZexampleRt4WbY7nPs") == kinds("k9Xq2LmZ8vRt1234567") == []
+
+
 def test_secrets_odd_rows(spark):
     d = docs(spark, [*ODD, (9, "é token=abcdefgh", "en")])
     got = secrets.find_secrets(d, out="found").select("doc_id", "found", secrets.listed(F.col("found")).alias("l")).collect()
