@@ -1,4 +1,4 @@
-"""Registered queries of the training-data operators: op1 .. op10 and the pipeline.
+"""Registered queries of the training-data operators: op1 .. op13.
 
 Each reads a whole driver table, runs its operator with the parameters meant for
 production and derives the digest columns that are returned.
@@ -11,7 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.llm import chaining, chat, common, decontam, langid, mixing, quality, secrets, sharding, simhash, toxicity
+from basketry.llm import (
+    chaining, chat, collocations, common, decontam, langid, mixing, packing, quality, secrets, sharding, simhash, toxicity, variants)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -201,3 +202,83 @@ def op9_latent_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op4_chained_passages")
 def op4_chained_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chaining.repeated_passages(common.table(spark, sf_dir, "documents"))
+
+
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+@query("op11_phrase_collocations", rf"""
+WITH piece AS (
+  SELECT lang, regexp_extract_all(p, '[^\x20\x09]+') AS w FROM (
+    SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array({_LOWER}, '[.,;:!?\x0A-\x0D]')) AS p FROM documents)),
+place AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM piece WHERE len(w) > 0),
+gram AS (
+  SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS g, count(*) AS f
+  FROM place, (VALUES (1), (2), (3), (4), (5)) ks(k) WHERE i + k - 1 <= len(w) GROUP BY ALL),
+total AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM gram WHERE k = 1 GROUP BY lang),
+cand AS (SELECT lang, k, g, f, string_split(g, ' ') AS w FROM gram WHERE k >= 2 AND f >= 100),
+cut AS (SELECT lang, g, f, j, array_to_string(w[1:j], ' ') AS x, array_to_string(w[j + 1:], ' ') AS y
+        FROM (SELECT *, unnest(range(1, k)) AS j FROM cand)),
+scored AS (
+  SELECT cut.lang, cut.g, cut.f AS a, j, x.f AS l, y.f AS r, total.n,
+         CAST((CAST(1000 AS HUGEINT) * cut.f * total.n) // (CAST(x.f AS HUGEINT) * y.f) AS BIGINT) AS score
+  FROM cut JOIN gram x ON x.lang = cut.lang AND x.g = cut.x JOIN gram y ON y.lang = cut.lang AND y.g = cut.y
+  JOIN total ON total.lang = cut.lang),
+best AS (SELECT *, row_number() OVER (PARTITION BY lang, g ORDER BY score, j) AS o FROM scored),
+part AS (
+  SELECT lang, array_to_string(w[i:i + m - 1], ' ') AS g, max(f) AS f FROM (
+    SELECT lang, w, f, k, m, unnest(range(1, k - m + 2)) AS i FROM cand, (VALUES (2), (3), (4)) ms(m) WHERE m < k)
+  GROUP BY ALL),
+kept AS (SELECT b.* FROM best b LEFT JOIN part p ON p.lang = b.lang AND p.g = b.g
+         WHERE b.o = 1 AND NOT coalesce(100 * p.f >= 100 * b.a, false)),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, g) AS rank FROM kept)
+SELECT lang, rank, g AS phrase, a, l, r, n, score FROM ranked WHERE rank <= 2000""")
+def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = common.table(spark, sf_dir, "documents").select("text", "lang")
+    return collocations.collocations(docs, min_count=100, top=2000).drop("cut")
+
+
+@query("op12_spelling_variants", rf"""
+WITH RECURSIVE bits(k, c) AS (
+  SELECT CAST(i AS BIGINT), CAST(i AS BIGINT) FROM range(256) t(i)),
+crc8(k, c, s) AS (
+  SELECT k, c, 0 FROM bits UNION ALL
+  SELECT k, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, s + 1 FROM crc8 WHERE s < 8),
+lut AS (SELECT list(c ORDER BY k) AS v FROM crc8 WHERE s = 8),
+run AS (
+  SELECT doc_id, x, count(*) AS c FROM (
+    SELECT doc_id, unnest(regexp_extract_all({_LOWER}, '[A-Za-z\x{{00C0}}-\x{{00FF}}]+')) AS x FROM documents)
+  WHERE length(x) >= 5 GROUP BY ALL),
+hashed AS (
+  SELECT x, c, xor(CAST(4294967295 AS BIGINT), list_reduce(list_prepend(CAST(4294967295 AS BIGINT),
+      list_transform(regexp_extract_all(hex(encode(doc_id || ':' || x)), '..'), lambda i: CAST('0x' || i AS BIGINT))),
+    lambda acc, b: xor(acc >> 8, v[CAST((xor(acc, b) & 255) + 1 AS BIGINT)]))) AS h FROM run, lut),
+voc AS (
+  SELECT w, length(w) AS len, CAST(sum(c) AS BIGINT) AS n FROM (
+    SELECT CASE WHEN h % 97 = 0 THEN substr(x, 1, h % length(x)) || substr(x, h % length(x) + 2) ELSE x END AS w, c FROM hashed)
+  WHERE length(w) >= 5 GROUP BY w HAVING sum(c) >= 3),
+del AS (SELECT w, len, n, i, substr(w, 1, i - 1) || substr(w, i + 1) AS d FROM (SELECT *, unnest(range(1, len + 1)) AS i FROM voc)),
+one AS (SELECT DISTINCT del.w AS x, voc.w AS y FROM del JOIN voc ON voc.w = del.d),
+pair AS (
+  SELECT a.w AS x, b.w AS y FROM del a JOIN del b ON a.len = b.len AND a.i = b.i AND a.d = b.d AND a.w <> b.w
+  UNION ALL SELECT x, y FROM one UNION ALL SELECT y, x FROM one),
+near AS (
+  SELECT x, y, voc.n AS m, row_number() OVER (PARTITION BY x ORDER BY voc.n DESC, y) AS o, count(*) OVER (PARTITION BY x) AS c
+  FROM pair JOIN voc ON voc.w = y),
+form AS (
+  SELECT voc.w, CASE WHEN m >= 2 * n THEN y END AS form, n, coalesce(c, 0) AS n_near, CASE WHEN m >= 2 * n THEN m END AS form_n
+  FROM voc LEFT JOIN near ON x = voc.w AND o = 1),
+walk(w, root, next) AS (
+  SELECT w, w, form FROM form UNION ALL
+  SELECT walk.w, form.w, form.form FROM walk JOIN form ON form.w = walk.next)
+SELECT form.w AS word, form.form, root, form.n, CAST(n_near AS BIGINT) AS n_near, form_n
+FROM form JOIN walk ON walk.w = form.w AND walk.next IS NULL""")
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.variants(common.table(spark, sf_dir, "documents"), min_length=5, min_count=3, factor=2)
+
+
+@query("op13_packed_sequences")
+def op13_packed_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pack(common.table(spark, sf_dir, "documents"), window=2048)
+    return pieces.select(F.col("id").alias("doc_id"), "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens",
+                         "sequence_id", "offset", "sequence_length", "sequence_padded")
