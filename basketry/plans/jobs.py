@@ -26,6 +26,7 @@ from basketry.operators import clean as cl
 from basketry.operators import customers as cu
 from basketry.operators import enrich as en
 from basketry.operators import profile as pf
+from basketry.operators import kmeans as km
 from basketry.operators import segment as sg
 from basketry.sources import sinks
 from basketry.sources import text as tx
@@ -67,12 +68,16 @@ def models_job(spark: SparkSession, stage_root: str, params: ModelParams = Model
     # one row per basket, written once: scaling, the elbow and the fit all read it
     sinks.write_stage(cu.rf_features(sales).select("ID_Tienda", "ID_Transaccion", *sg.FEATURES), stage_root, "rf")
     rf = sinks.read_stage(spark, stage_root, "rf")
-    scaler, scaled = sg.scale(rf)
+
+    def stage(df, name):
+        sinks.write_stage(df, stage_root, f"kmeans-{name}")
+        return sinks.read_stage(spark, stage_root, f"kmeans-{name}")
+
     if params.elbow_ks:
-        out["elbow"] = sinks.write_stage(sg.elbow(scaled, params.elbow_ks, params.seed, params.max_iter),
+        out["elbow"] = sinks.write_stage(km.elbow(rf, params.elbow_ks, sg.FEATURES, params.seed, params.max_iter, stage),
                                          stage_root, "elbow")
-    _, clustered = sg.fit_clusters(scaled, params.k, params.seed, params.max_iter)
-    clusters = clustered.select("ID_Transaccion", "ID_Tienda", *sg.FEATURES, "Cluster")
+    model = km.fit(rf, params.k, sg.FEATURES, params.seed, params.max_iter, stage)
+    clusters = km.assign(rf, model).select("ID_Transaccion", "ID_Tienda", *sg.FEATURES, "Cluster")
     out["clusters"] = sinks.write_stage(clusters, stage_root, "clusters")
 
     lines = sales.select("ID_Tienda", "ID_Transaccion", F.col("ID_Producto").alias("Item"))
