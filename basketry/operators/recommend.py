@@ -3,8 +3,8 @@
 Rules are matched by item containment, never by substring (Q8: product 7
 must not match 17 or 70).  Matching many baskets at once is an equi join on
 one item, kept narrow before it happens: for L2 only the best n rules of each
-antecedent item can be among a basket's best n; for L3 a rule waits at its
-rarest antecedent item.  The best n of a basket come from a window per basket,
+antecedent item can be among a basket's best n; for L3 an antecedent, with its
+consequents in order of lift, waits at its rarest item.  The best n of a basket come from a window per basket,
 which Spark limits early in every task; no list of matches is gathered.
 """
 
@@ -57,31 +57,56 @@ def for_baskets(rules: DataFrame, baskets: DataFrame, n: int = 10, keys=("ID_Tie
         rnd("lift", 6).alias("Lift"), rnd("support", 6).alias("Soporte"), "Historial")
 
 
+RUN = 1024  # consequents of two and more items, which have no bound per antecedent, go in runs of this length
+
+
+def antecedent_index(rules: DataFrame, keep) -> DataFrame:
+    """One row per antecedent with its consequents, best lift first: antecedent, Antecedente_Str, best.
+
+    A basket that holds the antecedent blocks at most as many of its single-item consequents as it has
+    other items.  So the first ``keep`` (n + the largest basket) of them hold the best n that any basket leaves
+    open, and the list is bounded.  Longer consequents are all kept, in runs.
+    """
+    single = F.size("consequent") == 1
+    w = Window.partitionBy("Antecedente_Str", "_single").orderBy(*_order())
+    ranked = _texts(rules).withColumn("_single", single).withColumn("_r", F.row_number().over(w)) \
+        .where(~F.col("_single") | (F.col("_r") <= keep))
+    run = F.when(F.col("_single"), F.lit(-1)).otherwise(F.floor((F.col("_r") - 1) / RUN))
+    entry = F.struct((-F.col("lift")).alias("_l"), "Consecuente_Str", "consequent", "confidence", "lift")
+    return ranked.groupBy("Antecedente_Str", "antecedent", run.alias("_run")) \
+        .agg(F.array_sort(F.collect_list(entry)).alias("best")).drop("_run")
+
+
 def next_items(rules: DataFrame, baskets: DataFrame, n: int = 10, keys=("ID_Tienda", "ID_Transaccion")) -> DataFrame:
     """L3: rules whose whole antecedent is in the basket and whose consequent is not yet bought.
 
-    A rule can only fire in a basket that holds its rarest antecedent item, so
-    it is joined there and nowhere else; containment of the whole antecedent and
-    absence of the consequent are then checked on the basket's own items.  Each
-    (basket, rule) pair is produced at most once.
+    Baskets of the same items get the same rules, so each set of items is looked at once.
+    Rules are indexed by antecedent (``antecedent_index``); an antecedent can only fire in a set
+    that holds its rarest item, so it is joined there and nowhere else, and its containment is checked once
+    for all its rules.  Each antecedent gives a set at most its best ``n`` open consequents.
     """
     keys = list(keys)
-    common = baskets.select(F.explode("items").alias("item")).groupBy("item").agg(F.count(F.lit(1)).alias("_c"))
-    r = _texts(rules)
-    parts = r.select("Antecedente_Str", "Consecuente_Str", F.explode("antecedent").alias("item")) \
-        .join(common, "item", "left") \
-        .groupBy("Antecedente_Str", "Consecuente_Str") \
-        .agg(F.min(F.struct(F.coalesce("_c", F.lit(0)).alias("c"), "item")).alias("_rare"))
-    keyed = r.join(parts, ["Antecedente_Str", "Consecuente_Str"]).select(
-        F.col("_rare.item").alias("item"), "antecedent", "consequent", "Antecedente_Str", "Consecuente_Str",
-        "confidence", "lift")
-    b_items = baskets.select(*keys, "items", F.explode("items").alias("item"))
-    fired = b_items.join(keyed, "item").where(
-        (F.size(F.array_except("antecedent", "items")) == 0) & ~F.arrays_overlap("consequent", "items"))
-    w = Window.partitionBy(*keys).orderBy(*_order())
-    return fired.withColumn("Posicion", F.row_number().over(w)).where(F.col("Posicion") <= n).select(
-        *keys, "Posicion", "Antecedente_Str", "Consecuente_Str", rnd("confidence", 6).alias("Confianza"),
-        rnd("lift", 6).alias("Lift"))
+    own = baskets.select(*keys, F.array_sort(F.array_distinct("items")).alias("items"))
+    sets = own.groupBy("items").agg(F.count(F.lit(1)).alias("_c"))
+    common = sets.select("_c", F.explode("items").alias("item")).groupBy("item").agg(F.sum("_c").alias("_c"))
+    largest = F.coalesce(sets.agg(F.max(F.size("items"))).scalar(), F.lit(0))
+    index = antecedent_index(rules, largest + F.lit(n))
+    rare = index.select("Antecedente_Str", "antecedent").distinct() \
+        .select("Antecedente_Str", F.explode("antecedent").alias("item")).join(common, "item") \
+        .groupBy("Antecedente_Str").agg(F.min(F.struct("_c", "item")).alias("_rare")) \
+        .select("Antecedente_Str", F.col("_rare.item").alias("item"))
+    waiting = index.join(rare, "Antecedente_Str")
+    fired = sets.select("items", F.explode("items").alias("item")).join(waiting, "item") \
+        .where(F.size(F.array_except("antecedent", "items")) == 0) \
+        .select("items", "Antecedente_Str", F.explode(F.slice(
+            F.filter("best", lambda r: ~F.arrays_overlap(r["consequent"], F.col("items"))), 1, n)).alias("r")) \
+        .select("items", "Antecedente_Str", "r.Consecuente_Str", "r.confidence", "r.lift")
+    w = Window.partitionBy("items").orderBy(*_order())
+    top = fired.withColumn("Posicion", F.row_number().over(w)).where(F.col("Posicion") <= n) \
+        .groupBy("items").agg(F.collect_list(F.struct(  # n entries at most
+            "Posicion", "Antecedente_Str", "Consecuente_Str", rnd("confidence", 6).alias("Confianza"),
+            rnd("lift", 6).alias("Lift"))).alias("_top"))
+    return own.join(top, "items").select(*keys, F.inline("_top"))
 
 
 def hub_items(rules: DataFrame) -> DataFrame:
