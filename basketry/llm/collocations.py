@@ -54,13 +54,12 @@ _K1, _K2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
 
 # ---------------------------------------------------------------- tokens and hashes
-def _encoded(tokens: list[bytes]) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+def _encoded(tokens: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
     """Code and 64-bit hash of every token, and the distinct tokens."""
-    arr = pa.array(tokens, pa.binary()).dictionary_encode()
-    words = arr.dictionary.to_pylist()
-    hashed = np.array([xxhash.xxh64_intdigest(w) for w in words], np.uint64)
+    arr = tokens.dictionary_encode()
+    hashed = np.array([xxhash.xxh64_intdigest(w) for w in arr.dictionary.to_pylist()], np.uint64)
     codes = arr.indices.to_numpy().astype(np.int64)
-    return codes, hashed[codes], words
+    return codes, hashed[codes], arr.dictionary
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -106,8 +105,8 @@ def parse(texts: list[bytes], period: int = PERIOD, overlap: int = MAX_WORDS - 1
     tokens = end.join([*(t.translate(_TABLE).replace(_BREAK, b" . ") for t in texts), b""]).split()
     if not tokens:
         return
-    codes, h, words = _encoded(tokens)
-    is_end = codes == words.index(_END)
+    codes, h, words = _encoded(pa.array(tokens, pa.binary()))
+    is_end = codes == words.index(pa.scalar(_END, pa.binary())).as_py()
     ends = np.flatnonzero(is_end)[::overlap]  # the first end token of each text
     starts = np.concatenate([[0], ends[:-1] + overlap])
     windows = _rolled(h, overlap)
@@ -160,68 +159,73 @@ def chunks(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", peri
 
 
 # ---------------------------------------------------------------- counts by level
-def _grams(langs: list[str], texts: list[bytes], times: np.ndarray, k: int, overlap: int, bitmap) -> pa.RecordBatch | None:
-    """Phrases of k words that begin in some chunks, with their weighted counts."""
-    tokens = b" ".join(texts).split()
-    codes, h, words = _encoded(tokens)
-    sizes = np.array([t.count(b" ") + 1 for t in texts])
-    chunk = np.repeat(np.arange(len(texts)), sizes)
-    left = np.repeat(np.cumsum(sizes), sizes) - np.arange(len(tokens))  # tokens to the end of the chunk
-    mark = np.isin(codes, [i for i, w in enumerate(words) if w in (_BREAK, _END)])
-    own = left > overlap  # the rest belongs to the next chunk
-    n = len(tokens) - k + 1
+def _grams(batch: pa.Table, k: int, overlap: int, bitmap) -> pa.RecordBatch | None:
+    """Phrases of k words that begin in some chunks (lang, chunk, n), with their weighted counts."""
+    split = pc.split_pattern(batch.column("chunk").combine_chunks(), pattern=b" ")
+    codes, h, words = _encoded(split.flatten())
+    sizes = np.diff(split.offsets.to_numpy())
+    chunk = np.repeat(np.arange(len(sizes)), sizes)
+    left = np.repeat(np.cumsum(sizes), sizes) - np.arange(len(codes))  # tokens to the end of the chunk
+    mark = pc.is_in(words, value_set=pa.array([_BREAK, _END], pa.binary())).to_numpy(zero_copy_only=False)[codes]
+    n = len(codes) - k + 1
     if n <= 0:
         return None
-    ok = own[:n].copy()
+    ok = left[:n] > overlap  # the rest belongs to the next chunk
     for j in range(k):
         ok &= ~mark[j:j + n]
-    names = sorted(set(langs))
-    number = {x: i for i, x in enumerate(names)}
-    lang = np.array([number[x] for x in langs])[chunk]
+    coded = batch.column("lang").combine_chunks().dictionary_encode()
+    names, lang, times = coded.dictionary, coded.indices.to_numpy().astype(np.int64)[chunk], batch.column("n").to_numpy()
+    at = np.flatnonzero(ok)
     if bitmap is not None:
-        salt = np.array([_lang_hash(x) for x in names], np.uint64)
-        at = np.flatnonzero(ok)
+        salt = np.array([_lang_hash(x) for x in names.to_pylist()], np.uint64)
         part = _rolled(h, k - 1)
         for j in (0, 1):
             bit = _bit_of(part[at + j], salt[lang[at]])
             at = at[(bitmap[bit >> 6] >> (bit & 63).astype(np.uint64)) & np.uint64(1) != 0]
-    else:
-        at = np.flatnonzero(ok)
     if not len(at):
         return None
-    # distinct phrases by their tokens, not by a hash
-    group = lang[at] * len(words) + codes[at]
+    # distinct phrases by their tokens, not by a hash; numbered anew where the next product would not fit
+    group, size = lang[at] * len(words) + codes[at], len(names) * len(words)
     for j in range(1, k):
-        group = np.unique(group, return_inverse=True)[1].astype(np.int64) * len(words) + codes[at + j]
+        if size > (1 << 62) // len(words):
+            distinct, group = np.unique(group, return_inverse=True)
+            size = len(distinct)
+        group, size = group * len(words) + codes[at + j], size * len(words)
     _, first, group = np.unique(group, return_index=True, return_inverse=True)
     total = np.zeros(len(first), np.int64)
     np.add.at(total, group, times[chunk[at]])
-    pos = at[first].tolist()
-    out_lang = [names[i] for i in lang[at[first]].tolist()]
-    grams = [b" ".join(tokens[i:i + k]) for i in pos]
+    pos = at[first]
+    grams = pc.binary_join_element_wise(*[words.take(pa.array(codes[pos + j])) for j in range(k)], b" ")
+    out_lang = names.take(pa.array(lang[pos]))
     if k == 1:  # the words of a language, under the empty phrase
         all_words = np.zeros(len(names), np.int64)
         np.add.at(all_words, lang[at], times[chunk[at]])
-        out_lang += names
-        grams += [b""] * len(names)
+        out_lang = pa.concat_arrays([out_lang, names])
+        grams = pa.concat_arrays([grams, pa.array([b""] * len(names), pa.binary())])
         total = np.concatenate([total, all_words])
-    return pa.RecordBatch.from_arrays([pa.array(out_lang, pa.string()), pa.array(grams, pa.binary()), pa.array(total)],
-                                      ["lang", "gram", "n"])
+    return pa.RecordBatch.from_arrays([out_lang, grams, pa.array(total)], ["lang", "gram", "n"])
 
 
 def _level(dictionary: DataFrame, k: int, overlap: int, bitmap) -> DataFrame:
     def count(batches):
         bits = None if bitmap is None else bitmap.value
+        held, size = [], 0
         for batch in batches:
-            size = pc.cumulative_sum(pc.binary_length(batch.column(1)).cast(pa.int64())).to_numpy()
-            cut = np.searchsorted(size, np.arange(0, size[-1] if len(size) else 0, BLOCK)).tolist()
-            for a, b in zip(cut, [*cut[1:], batch.num_rows]):
-                if b > a:
-                    part = batch.slice(a, b - a)
-                    out = _grams(part.column(0).to_pylist(), part.column(1).to_pylist(), part.column(2).to_numpy(),
-                                 k, overlap, bits)
-                    if out is not None:
-                        yield out
+            held.append(batch)
+            size += batch.nbytes
+            if size >= BLOCK:
+                yield from counted(held, bits)
+                held, size = [], 0
+        yield from counted(held, bits)
+
+    def counted(held, bits):
+        rows = pa.Table.from_batches(held) if held else None
+        # a batch of long chunks is taken apart again
+        step = max(1, int(rows.num_rows * BLOCK * 2 / max(1, rows.nbytes))) if rows else 1
+        for at in range(0, rows.num_rows if rows else 0, step):
+            out = _grams(rows.slice(at, step), k, overlap, bits)
+            if out is not None:
+                yield out
 
     return dictionary.select("lang", "chunk", "n").mapInArrow(count, "lang string, gram binary, n long") \
         .groupBy("lang", "gram").agg(F.sum("n").alias("f"))
