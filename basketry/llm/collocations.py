@@ -43,7 +43,7 @@ from basketry.llm.common import quoted, ship, stage
 
 MAX_WORDS = 5
 PERIOD = 32
-SALTS = 16
+SALTS = 16  # parts that a hot key is spread over
 BITS = 27  # the bitmap of frequent phrases has 2^BITS bits, at any size of the corpus
 BLOCK = 1 << 22  # bytes of text that are looked at together
 
@@ -330,6 +330,11 @@ def collocations(docs: DataFrame, text_col: str = "text", lang_col: str = "lang"
     """
     counts = frequent_phrases(docs, text_col, lang_col, min_count, max_words, period)
     scored = stage(score(counts), "phrase-scores")
-    w = Window.partitionBy("lang").orderBy(F.col("score").desc(), F.col("a").desc(), F.col("phrase"))
-    return not_contained(scored).withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= top).select(
+    order = [F.col("score").desc(), F.col("a").desc(), F.col("phrase")]
+    # a language may hold most phrases: the best of each of its SALTS parts first, so SALTS * top rows meet at most
+    part = F.pmod(F.xxhash64("phrase"), F.lit(SALTS))
+    best = not_contained(scored).withColumn("part", part).withColumn(
+        "rank", F.row_number().over(Window.partitionBy("lang", "part").orderBy(*order))).filter(F.col("rank") <= top)
+    final = F.row_number().over(Window.partitionBy("lang").orderBy(*order))
+    return best.withColumn("rank", final).filter(F.col("rank") <= top).select(
         "lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score", "cut")
