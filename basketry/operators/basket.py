@@ -22,6 +22,8 @@ Scale notes
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -157,24 +159,44 @@ def top_rules(rules: DataFrame, n: int = 50, by: str = "lift") -> DataFrame:
             .orderBy(F.col(by).desc(), F.col("_a").asc(), F.col("_c").asc()).limit(n).drop("_a", "_c"))
 
 
-def rules_full(itemsets: DataFrame, n_baskets, min_lift: float | None = 1.0) -> DataFrame:
-    """Rules with multi-item consequents, all splits of every itemset.
+def rule_splits(itemsets: DataFrame, min_confidence: float | None = None) -> DataFrame:
+    """Every split of every itemset into antecedent and consequent: f_all, ant, cons.
 
-    For an itemset of size n, mask m in 1..2^n-2 puts item i in the
-    antecedent when bit i is set, in the consequent otherwise.  Supports of
-    both sides come from an equi join with the itemsets themselves (every
-    subset of a frequent itemset is frequent).  Adds leverage and
-    conviction (null when confidence is 1).
+    Consequents grow level by level: one item at first, then by an item that stands behind the last one, so each is
+    made once and a row gives at most as many rows as its itemset has items.  With ``min_confidence`` the supports
+    of a level's antecedents are looked up and only consequents that reach it grow on: a larger consequent leaves a
+    smaller antecedent, whose support is no smaller, so nothing that reaches it is lost.  Those levels are written to
+    the checkpoint folder, since each one is the next one's input.
+    """
+    multi = itemsets.select(F.array_sort("items").alias("items"), F.col("freq").alias("f_all")).where(F.size("items") >= 2)
+    ants = itemsets.select(F.array_sort("items").alias("ant"), F.col("freq").alias("f_ant"))
+    largest = multi.agg(F.max(F.size("items"))).first()[0] or 0
+    n = F.size("items")
+    level = multi.select("items", "f_all", F.posexplode("items").alias("last", "c")) \
+        .select("items", "f_all", "last", F.array("c").alias("cons"))
+    levels = []
+    for size in range(1, largest):
+        level = level.withColumn("ant", F.array_except("items", "cons"))
+        if min_confidence is not None:
+            level = level.join(ants, "ant").where(F.col("f_all") / F.col("f_ant") >= min_confidence).drop("f_ant").checkpoint()
+        levels.append(level.select("f_all", "ant", "cons"))
+        level = level.where((n > size + 1) & (F.col("last") < n - 1)) \
+            .select("items", "f_all", "cons", F.explode(F.sequence(F.col("last") + 1, n - 1)).alias("last")) \
+            .select("items", "f_all", "last", F.concat("cons", F.array(F.get("items", F.col("last")))).alias("cons"))
+    empty = itemsets.where("false").select(F.col("freq").alias("f_all"), F.col("items").alias("ant"), F.col("items").alias("cons"))
+    return reduce(lambda a, b: a.unionByName(b), levels, empty)
+
+
+def rules_full(itemsets: DataFrame, n_baskets, min_lift: float | None = 1.0,
+               min_confidence: float | None = None) -> DataFrame:
+    """Rules with multi-item consequents, all splits of every itemset (``rule_splits``).
+
+    Supports of both sides come from an equi join with the itemsets themselves (every
+    subset of a frequent itemset is frequent).  Adds leverage and conviction (null when
+    confidence is 1).
     """
     fi = itemsets.select(F.array_sort("items").alias("items"), "freq")
-    multi = fi.where(F.size("items") >= 2).withColumn("n", F.size("items"))
-    split = multi.select(
-        "items", F.col("freq").alias("f_all"),
-        F.explode(F.expr("sequence(1L, shiftleft(1L, n) - 2L)")).alias("m"))
-    split = split.select(
-        "f_all",
-        F.expr("filter(items, (x, i) -> (shiftright(m, i) & 1L) = 1L)").alias("ant"),
-        F.expr("filter(items, (x, i) -> (shiftright(m, i) & 1L) = 0L)").alias("cons"))
+    split = rule_splits(itemsets, min_confidence)
     a = fi.select(F.col("items").alias("ant"), F.col("freq").alias("f_ant"))
     c = fi.select(F.col("items").alias("cons"), F.col("freq").alias("f_cons"))
     # the basket count (often a scalar subquery) is projected once and used by name

@@ -2,18 +2,21 @@
 
 Each profile is one aggregation pass over the input with one output row
 per column (unpivoted on the cluster), never a loop of jobs per column.
-Quantiles are exact (``percentile``, linear interpolation as pandas); that
-aggregate keeps a value -> count map per group, bounded by the number of
-distinct values (basket sizes, day counts).  ``approx=True`` switches to
-``percentile_approx`` for wide domains.
+Quantiles are exact with linear interpolation as in pandas: ``describe`` and
+``boxplot`` find them by distributed selection (``operators.quantiles``), the others keep a
+value -> count map per group (basket sizes).  ``approx=True`` switches to ``percentile_approx``.
 """
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from basketry.functions.labels import rnd
+from basketry.operators.quantiles import exact_quantiles, join_null_safe
+
+QUARTILES = (0.25, 0.5, 0.75)
 
 
 def profile_table(df: DataFrame, name: str = "tabla") -> DataFrame:
@@ -53,21 +56,15 @@ def describe(df: DataFrame, cols, keys=(), approx: bool = False) -> DataFrame:
     keys = list(keys)
     long = df.select(*keys, *[F.col(c).cast("double").alias(c) for c in cols]).unpivot(
         keys, list(cols), "Columna", "_x")
-    x = F.col("_x")
-
-    def q(p):
-        return F.percentile_approx(x, p, 10000).cast("double") if approx else F.percentile(x, p)
-
-    return long.groupBy(*keys, "Columna").agg(
-        F.count(x).alias("Cuenta"),
-        rnd(F.avg(x), 6).alias("Media"),
-        rnd(F.stddev_samp(x), 6).alias("Desv_Std"),
-        F.min(x).alias("Minimo"),
-        rnd(q(0.25), 6).alias("P25"),
-        rnd(q(0.5), 6).alias("P50"),
-        rnd(q(0.75), 6).alias("P75"),
-        F.max(x).alias("Maximo"),
-    )
+    x, by = F.col("_x"), [*keys, "Columna"]
+    plain = long.groupBy(*by).agg(
+        F.count(x).alias("Cuenta"), rnd(F.avg(x), 6).alias("Media"), rnd(F.stddev_samp(x), 6).alias("Desv_Std"),
+        F.min(x).alias("Minimo"), F.max(x).alias("Maximo"),
+        *([F.percentile_approx(x, p, 10000).cast("double").alias(f"q{i}") for i, p in enumerate(QUARTILES)] if approx else []))
+    if not approx:
+        plain = join_null_safe(plain, exact_quantiles(long, "_x", QUARTILES, by), by, "left")
+    return plain.select(*by, "Cuenta", "Media", "Desv_Std", "Minimo", rnd("q0", 6).alias("P25"), rnd("q1", 6).alias("P50"),
+                        rnd("q2", 6).alias("P75"), "Maximo")
 
 
 def basket_stats(baskets: DataFrame, col: str = "Productos_Comprados", keys=()) -> DataFrame:
@@ -98,14 +95,12 @@ def boxplot(df: DataFrame, col: str, keys=(), limit: float | None = None) -> Dat
     """
     keys = list(keys)
     x = F.col(col)
+    q = exact_quantiles(df, col, (0.25, 0.75), keys).withColumnsRenamed({"q0": "_q1", "q1": "_q3"})
     if keys:
-        q = df.groupBy(*keys).agg(F.percentile(x, 0.25).alias("_q1"), F.percentile(x, 0.75).alias("_q3"))
         j = df.select(*keys, x.alias("_v")).join(q, keys, "inner")
     else:
-        # one group: the quartiles are two scalar subqueries, each referenced once
-        q1 = df.agg(F.percentile(x, 0.25)).scalar()
-        q3 = df.agg(F.percentile(x, 0.75)).scalar()
-        j = df.select(x.alias("_v"), q1.alias("_q1"), q3.alias("_q3"))
+        # one group: its quartiles are one row, used as a scalar subquery
+        j = df.select(x.alias("_v"), q.select(F.struct("_q1", "_q3")).scalar().alias("_q")).select("_v", "_q._q1", "_q._q3")
     q1, q3 = F.col("_q1"), F.col("_q3")
     iqr = q3 - q1
     lo, hi = q1 - 1.5 * iqr, q3 + 1.5 * iqr
@@ -121,7 +116,7 @@ def boxplot(df: DataFrame, col: str, keys=(), limit: float | None = None) -> Dat
     if limit is not None:
         aggs.append(rnd(F.avg((F.col("_v") > limit).cast("int")) * 100.0, 6).alias("Pct_Sobre_Limite"))
     out = j.groupBy(*keys).agg(*aggs)
-    return out.withColumn("Pct_Atipicos", rnd(F.col("Atipicos") * 100.0 / F.col("Total"), 6))
+    return out.withColumn("Pct_Atipicos", rnd(F.try_divide(F.col("Atipicos") * 100.0, F.col("Total")), 6))
 
 
 def check_integrity(lines: DataFrame, product_category: DataFrame, categories: DataFrame,
@@ -163,7 +158,8 @@ def verify_outputs(stages: dict[str, DataFrame]) -> DataFrame:
     """Counts per stage plus cluster and rule checks; one failure does not stop the rest.
 
     Returns rows (Etapa, Chequeo, Valor, OK).  Each check is its own small
-    aggregate; an exception is reported as a row instead of raised.
+    aggregate; a stage that does not have the columns it should is reported as a row
+    instead of raised.  Failures of the cluster are raised: they say nothing about the data.
     """
     spark = next(iter(stages.values())).sparkSession
     rows = []
@@ -188,6 +184,6 @@ def verify_outputs(stages: dict[str, DataFrame]) -> DataFrame:
                 text = F.concat_ws(",", F.array_sort("items")).alias("t")
                 best = df.select(text, "freq").orderBy(F.col("freq").desc(), "t").limit(TOP_ITEMSETS).collect()
                 rows.extend((name, f"top {i}: {r['t']}", float(r["freq"]), True) for i, r in enumerate(best, 1))
-        except Exception as exc:  # noqa: BLE001 - reported as a failed check
+        except AnalysisException as exc:
             rows.append((name, f"error: {type(exc).__name__}", None, False))
     return spark.createDataFrame(rows, "Etapa string, Chequeo string, Valor double, OK boolean")

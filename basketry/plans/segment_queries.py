@@ -7,9 +7,12 @@ import threading
 from pyspark.sql import functions as F
 
 from basketry.functions.labels import rnd
+from basketry.operators import basket as bk
 from basketry.operators import kmeans as km
+from basketry.operators import profile as pf
 from basketry.operators import segment as sg
 from basketry.plans import facts
+from basketry.plans.basket_queries import _MINING_CTES
 from basketry.plans.facts import sales
 from basketry.plans.registry import register, with_sales
 from basketry.plans.session import fresh_path
@@ -276,10 +279,26 @@ def kmeans_checks(spark, sf):
     return km.checks(clustered, model)
 
 
-@register("verify_outputs", None, "I13")
+def _top(stage: str, text: str, value: str, source: str, n: int) -> str:
+    return f"""SELECT '{stage}', 'top ' || i || ': ' || t, v, true FROM (SELECT {text} AS t, CAST({value} AS DOUBLE) AS v,
+  row_number() OVER (ORDER BY {value} DESC, {text}) AS i FROM {source}) x WHERE i <= {n}"""
+
+
+_VERIFY_SELECT = f"""
+SELECT 'sales' AS Etapa, 'filas' AS Chequeo, CAST(count(*) AS DOUBLE) AS Valor, count(*) > 0 AS OK FROM sales
+UNION ALL SELECT 'clusters', 'filas', CAST(count(*) AS DOUBLE), count(*) > 0 FROM asg
+UNION ALL SELECT 'clusters', 'clusters', CAST(count(DISTINCT Cluster) AS DOUBLE), count(DISTINCT Cluster) > 0 FROM asg
+UNION ALL SELECT 'clusters', 'cluster ' || Cluster, CAST(count(*) AS DOUBLE), true FROM asg GROUP BY Cluster
+UNION ALL SELECT 'rules', 'filas', CAST(count(*) AS DOUBLE), count(*) > 0 FROM rules
+UNION ALL SELECT 'rules', 'lift_max', max(round(lift, 6)), max(lift) IS NOT NULL FROM rules
+UNION ALL {_top('rules', "Antecedente_Str || ' -> ' || Consecuente_Str", 'round(lift, 6)', 'rules', pf.TOP_RULES)}
+UNION ALL SELECT 'itemsets', 'filas', CAST(count(*) AS DOUBLE), count(*) > 0 FROM its
+UNION ALL SELECT 'itemsets', 'freq_max', CAST(max(f) AS DOUBLE), max(f) IS NOT NULL FROM its
+UNION ALL {_top('itemsets', 'Productos', 'f', 'its', pf.TOP_ITEMSETS)}"""
+
+
+@register("verify_outputs", with_sales(*_MINING_CTES, *_Z_CTES, _ASSIGN_CTE, select=_VERIFY_SELECT), "I13")
 def verify_outputs(spark, sf):
-    from basketry.operators import basket as bk
-    from basketry.operators import profile as pf
     its, rules = facts.mined(spark, sf)
     return pf.verify_outputs({"sales": sales(spark, sf),
                               "clusters": sg.assign(_rf(spark, sf), FIXED_CENTERS).select("Cluster"),
