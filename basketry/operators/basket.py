@@ -12,8 +12,9 @@ Scale notes
   its 2^n - 2 antecedent/consequent splits with a bitmask and higher-order
   ``filter``; every subset of a frequent itemset is frequent, so there are
   never more splits than pairs of frequent itemsets.
-* Mining per key (``mine_by_key``) counts level by level, each key with its
-  own threshold; a level is pruned against the one before and staged.
+* Mining per key (``mine_by_key``) intersects vertical bit maps level by level,
+  each key with its own threshold; a level is pruned against the one before and
+  staged, and its rows are candidates by blocks of baskets, not occurrences.
 * Pair counting first drops infrequent items (Apriori pruning).  A basket is
   exploded by position, then each position against the rest of its basket:
   no row ever holds all pairs of a basket.  Hot pairs are combined map-side
@@ -287,50 +288,106 @@ def cooccurrence(b: DataFrame, min_count: int = 2, n: int | None = None, keys=()
     return out
 
 
+#: baskets of one bit-map row (64 to a word); a block's size varies with the hash by a few per cent
+BLOCK = 4096
+
+
+def _written(df: DataFrame, name: str) -> DataFrame:
+    from basketry.plans.session import fresh_path
+
+    path = fresh_path(df.sparkSession, f"mining-{name}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def item_bitmaps(b: DataFrame, key: str, write=_written, basket_keys=BASKET_KEYS, block: int = BLOCK) -> DataFrame:
+    """Vertical layout of baskets: (key, block, items = [item], bits array<bigint>).
+
+    A key's baskets are hashed into blocks of about ``block``; inside its block a
+    basket has a position, by which it is one bit in the row of each of its items.
+    A row is at most some hundred words long whatever the number of baskets, and a
+    hot key is many blocks.
+    """
+    rest = [k for k in basket_keys if k != key]
+    blocks = b.groupBy(key).agg(F.ceil(F.count(F.lit(1)) / F.lit(float(block))).alias("_blocks"))
+    numbered = b.join(blocks, key).withColumn("block", F.pmod(F.xxhash64(*rest), F.col("_blocks")))
+    place = Window.partitionBy(key, "block").orderBy(*rest)
+    numbered = write(numbered.select(key, "block", "items", (F.row_number().over(place) - 1).alias("_pos")), "positions")
+    words = numbered.select(key, "block", F.explode("items").alias("_i"), (F.col("_pos") / 64).cast("int").alias("_w"),
+                            F.expr("shiftleft(1L, _pos % 64)").alias("_m")) \
+        .groupBy(key, "block", "_i", "_w").agg(F.bit_or("_m").alias("_m"))
+    by_word = words.groupBy(key, "block", "_i").agg(F.map_from_entries(F.collect_list(F.struct("_w", "_m"))).alias("_map"))
+    bits = F.transform(F.sequence(F.lit(0), F.array_max(F.map_keys("_map"))),
+                       lambda w: F.coalesce(F.try_element_at("_map", w), F.lit(0).cast("bigint")))
+    return by_word.select(key, "block", F.array(F.col("_i").cast("string")).alias("items"), bits.alias("bits"))
+
+
+def _candidates(found: DataFrame, key: str, size: int) -> DataFrame:
+    """Itemsets of ``size`` all of whose subsets one smaller are in ``found``, with two of them (left, right).
+
+    Itemsets that share all but the last item are paired position by position, so
+    the largest row is one head with its last items.
+    """
+    head = F.slice("items", 1, size - 2) if size > 2 else F.array().cast("array<string>")
+    tails = found.groupBy(key, head.alias("_head")).agg(F.array_sort(F.collect_list(F.element_at("items", -1))).alias("_t"))
+    first = tails.select(key, "_head", "_t", F.posexplode("_t").alias("_p", "_a"))
+    pairs = first.select(key, "_head", "_a", F.explode(F.slice("_t", F.col("_p") + 2, F.size("_t"))).alias("_b")) \
+        .select(key, F.concat("_head", F.array("_a", "_b")).alias("items"), F.concat("_head", F.array("_a")).alias("left"),
+                F.concat("_head", F.array("_b")).alias("right"))
+    if size == 2:
+        return pairs
+    subset = F.explode(F.transform("items", lambda x: F.array_except("items", F.array(x)))).alias("_sub")
+    whole = pairs.select(key, "items", "left", "right", subset) \
+        .join(found.select(key, F.col("items").alias("_sub")), [key, "_sub"], "left_semi")
+    return whole.groupBy(key, "items", "left", "right").agg(F.count(F.lit(1)).alias("_n")) \
+        .where(F.col("_n") == size).drop("_n")
+
+
 def mine_by_key(b: DataFrame, key: str, min_support: float = 0.10, min_confidence: float = 0.5, min_count: int = 1,
-                stage=None, basket_keys=BASKET_KEYS):
+                stage=None, basket_keys=BASKET_KEYS, block: int = BLOCK, write=_written):
     """Itemsets and single-consequent rules per value of ``key`` (e.g. per store).
 
     Frequent means: in at least ``min_support`` of that key's baskets and in at
     least ``min_count`` of them (the same floor for every key; with a support
     alone, single occurrences would be frequent in a key of few baskets).  Level
-    by level: the occurrences (key, basket, itemset) of the frequent itemsets of
-    one size are extended inside their basket by pairing those that differ in
-    their last item only, counted per key, and cut to the frequent ones.  A key
-    of few baskets costs its own few rows; nothing is mined at another key's
-    threshold.  ``stage`` (frame, name -> frame) writes each level once, so that
-    the next one does not compute it again.  Ends when a level is empty.
+    by level over vertical bit maps (``item_bitmaps``): candidates are made from the
+    frequent itemsets one smaller and pruned against them, and a candidate's bits in
+    a block are the AND of the bits of two of its subsets.  So a level holds one row
+    for each candidate and block that has such a basket, not one for each basket and
+    contained itemset.  A key of few baskets costs its own few rows; nothing is mined
+    at another key's threshold.  ``write`` (frame, name -> frame) writes the
+    bits of each level as a table, which cuts the plan (a cached frame would not: its
+    plan would grow fourfold a level); by default as Parquet under
+    ``spark.checkpoint.dir``.  ``stage`` does the same for the small tables of itemsets
+    and may cache.  Ends when a level is empty.
 
     Returns ``(itemsets, rules)``: (key, items, freq, support) and (key,
     antecedent, consequent, confidence, lift, support).
     """
-    stage = stage or (lambda df, name: df)
-    rest = [k for k in basket_keys if k != key]
+    stage = stage or write
     limit = b.groupBy(key).agg(F.count(F.lit(1)).alias("_nk")) \
         .withColumn("_min", F.greatest(F.ceil(F.lit(min_support) * F.col("_nk")), F.lit(min_count)))
     limit = stage(limit, "limits")
+    ones = F.aggregate("bits", F.lit(0).cast("bigint"), lambda n, w: n + F.bit_count(w))
 
-    def frequent(occ: DataFrame) -> DataFrame:
-        return occ.groupBy(key, "items").agg(F.count(F.lit(1)).alias("freq")).join(limit, key) \
+    def frequent(bits: DataFrame) -> DataFrame:
+        return bits.groupBy(key, "items").agg(F.sum(ones).alias("freq")).join(limit, key) \
             .where(F.col("freq") >= F.col("_min")).select(key, "items", "freq", "_nk")
 
-    occ = stage(b.select(key, *rest, F.explode("items").alias("_i"))
-                .select(key, *rest, F.array(F.col("_i").cast("string")).alias("items")), "occurrences-1")
+    bits = write(item_bitmaps(b, key, write, basket_keys, block), "bits-1")
     levels, size = [], 1
     while True:
-        found = stage(frequent(occ), f"level-{size}")
+        found = stage(frequent(bits), f"level-{size}")
         if found.isEmpty():
             break
         levels.append(found)
         size += 1
-        kept = occ.join(found.select(key, "items"), [key, "items"], "left_semi")
-        # itemsets of a basket that share all but the last item: their last items, at most the basket's size
-        tails = kept.groupBy(key, *rest, F.slice("items", 1, size - 2).alias("_head") if size > 2
-                             else F.array().cast("array<string>").alias("_head")) \
-            .agg(F.array_sort(F.collect_list(F.element_at("items", -1))).alias("_t")).where(F.size("_t") >= 2)
-        first = tails.select(key, *rest, "_head", "_t", F.posexplode("_t").alias("_p", "_a"))
-        occ = stage(first.select(key, *rest, "_head", "_a", F.explode(F.slice("_t", F.col("_p") + 2, F.size("_t"))).alias("_b"))
-                    .select(key, *rest, F.concat("_head", F.array("_a", "_b")).alias("items")), f"occurrences-{size}")
+        left = bits.select(key, F.col("items").alias("left"), "block", F.col("bits").alias("_lb"))
+        right = bits.select(key, F.col("items").alias("right"), "block", F.col("bits").alias("_rb"))
+        both = _candidates(found, key, size).join(left, [key, "left"]).join(right, [key, "block", "right"])
+        anded = F.zip_with("_lb", "_rb", lambda x, y: F.coalesce(x.bitwiseAND(y), F.lit(0).cast("bigint")))
+        bits = write(both.select(key, "block", "items", anded.alias("bits")).where(F.exists("bits", lambda w: w != 0)),
+                     f"bits-{size}")
     if not levels:
         ktype = b.schema[key].dataType.simpleString()
         spark = b.sparkSession
