@@ -133,6 +133,48 @@ def test_mix_order_is_by_finish_time_and_reruns_agree(spark, sf):
     assert key(mixing.mix(d)[1]) == key(mixing.mix(d.repartition(5))[1])
 
 
+def test_result_comes_from_the_global_sort_and_its_truncation(spark, sf):
+    items, rows = mixing.mix(table(spark, sf, "documents"))
+    for df in (rows, items):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "rangepartitioning(slot" in plan and "finish" in plan and "Python" not in plan
+    got, total = items.collect(), 0
+    for r in got:  # the words served so far, packet by packet
+        total += r["served"]
+        assert r["served_total"] == total
+    assert total == sum(round_half_up(r["target"]) for r in rows.select("source", "target").distinct().collect())
+    taken = {}
+    for r in got:
+        taken[r["id"]] = taken.get(r["id"], 0) + r["served"]
+    assert {r["id"]: r["taken"] for r in rows.collect() if r["taken"]} == taken
+
+
+def round_half_up(x):
+    return int(x + 0.5)
+
+
+def test_truncation_stops_at_the_budget_and_slots_do_not_matter(spark):
+    data = [(k, "s%d" % (k % 3), 0, 1 + k % 5, (k * 7 % 101 + 1) / 25.0) for k in range(300)]
+    p = spark.createDataFrame(data, "uid long, source string, epoch int, words long, finish double")
+    order, total, want = sorted(data, key=lambda r: (r[4], r[1], r[2], r[0])), 0, {}
+    for r in order:
+        total += r[3]
+        if total <= 411:
+            want[r[0]] = total
+    for slots in (1, 13, 1 << 14):
+        got = {r["uid"]: r["served_total"] for r in mixing.truncated(p, F.lit(411), slots).collect()}
+        assert got == want
+
+
+def test_rows_without_an_id_spread_over_buckets(spark):
+    df = spark.createDataFrame([(None, "a b c", "x")] * 400 + [(k, "a b", "y") for k in range(100)],
+                               "doc_id long, text string, source string")
+    _, rows = mixing.mix(df)
+    by = {r["source"]: r for r in rows.groupBy("source").agg(F.sum("taken").alias("t"), F.first("target").alias("g")).collect()}
+    assert all(abs(r["t"] - r["g"]) <= 1 for r in by.values())
+    assert rows.filter("taken > 2 * size").count() == 0
+
+
 def test_mix_odd_rows(spark):
     df = docs(spark, ODD)
     _, rows = mixing.mix(df)
