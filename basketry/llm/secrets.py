@@ -1,18 +1,21 @@
 """Secret scan: fixed patterns plus sliding-window entropy.
 
 Base patterns (kinds ``assign``, ``access``, ``hex``) are found leftmost and
-without overlap per kind.  Beside them, candidate strings (runs of 20 or more
-base64-like characters) are classed by their characters, a window of 20
-characters slides along each with its character counts updated by one in and
-one out, and the stretches whose Shannon entropy reaches the class's limit are
-reported (kinds ``entropy_hex``, ``entropy_alnum``, ``entropy_base64``) unless an
+without overlap per kind.  Beside them, a window of 20 characters slides along
+each candidate string (a run of 20 or more base64-like characters), its counts by
+character and by character class updated by one in and one out.  A window has the
+class of its own characters: ``entropy_hex`` (hex digits, at least one digit and one
+letter), ``entropy_alnum`` (letters and digits, at least one of each), else
+``entropy_base64``.  Windows whose Shannon entropy reaches the limit of their class
+are reported, those of one class that touch or overlap as one span, unless an
 allow-list pattern covers the candidate.  Base spans and fill-ins are cut out of a
 candidate first; each part that remains and is a window long is a candidate of its own.
 
 Spans are (kind, start, end) in code points, end exclusive, over the whole text.
 
 Cases: null reads as empty and has no spans; a candidate of any length is
-scanned to its end; equal rows give equal spans; other columns pass unread.
+scanned to its end, in time linear in the text; bytes that are no UTF-8 read as
+U+FFFD; equal rows give equal spans; other columns pass unread.
 """
 
 from __future__ import annotations
@@ -53,30 +56,48 @@ _NLOGN = [0.0] + [c * math.log2(c) for c in range(1, WINDOW + 1)]
 _NAMES = (b"password", b"passwd", b"secret", b"token", b"api")
 
 
-def kind_of(candidate: str) -> str:
-    if re.fullmatch(r"[0-9a-fA-F]+", candidate):
-        return "entropy_hex"
-    return "entropy_alnum" if candidate.isalnum() else "entropy_base64"
+def _classes(c: str) -> tuple[int, int, int]:
+    """(is digit, is letter, is hex digit) of an ASCII character."""
+    return int(c.isdigit()), int(c.isalpha()), int(c in "0123456789abcdefABCDEF")
 
 
-def random_stretches(s: str, limit: float) -> list[tuple[int, int]]:
-    """Unions of the windows of ``s`` whose entropy is at least ``limit``."""
-    count, total, out = {}, 0.0, []
+_CLASS = {chr(i): _classes(chr(i)) for i in range(128)}
+
+
+def random_stretches(s: str, limits=LIMITS) -> list[tuple[str, int, int]]:
+    """(kind, start, end): unions, by class, of the windows of ``s`` whose entropy reaches the limit of their class."""
+    count, total, out, last = {}, 0.0, [], {}
+    digits = letters = hexes = 0
+    lowest, full = min(limits.values()) - 1e-9, math.log2(WINDOW)
     for i, c in enumerate(s):
         if i >= WINDOW:
             old = s[i - WINDOW]
             n = count[old]
             count[old] = n - 1
             total += _NLOGN[n - 1] - _NLOGN[n]
+            d, a, h = _CLASS[old]
+            digits, letters, hexes = digits - d, letters - a, hexes - h
         n = count.get(c, 0)
         count[c] = n + 1
         total += _NLOGN[n + 1] - _NLOGN[n]
-        if i >= WINDOW - 1 and math.log2(WINDOW) - total / WINDOW >= limit - 1e-9:
-            start = i - WINDOW + 1
-            if out and start <= out[-1][1]:
-                out[-1] = (out[-1][0], i + 1)
+        d, a, h = _CLASS[c]
+        digits, letters, hexes = digits + d, letters + a, hexes + h
+        if i < WINDOW - 1:
+            continue
+        entropy = full - total / WINDOW
+        if entropy < lowest:
+            continue
+        if digits and letters and digits + letters == WINDOW:
+            kind = "entropy_hex" if hexes == WINDOW else "entropy_alnum"
+        else:
+            kind = "entropy_base64"
+        if entropy >= limits[kind] - 1e-9:
+            start, k = i - WINDOW + 1, last.get(kind)
+            if k is not None and start <= out[k][2]:
+                out[k] = (kind, out[k][1], i + 1)
             else:
-                out.append((start, i + 1))
+                last[kind] = len(out)
+                out.append((kind, start, i + 1))
     return out
 
 
@@ -92,17 +113,21 @@ def outside(s: str, holes: list[tuple[int, int]]) -> list[tuple[int, str]]:
 
 def scan(raw: bytes, limits=LIMITS, allow=None) -> list[tuple[str, int, int]]:
     """All spans of a UTF-8 text, ordered by start, then kind as listed."""
+    text = raw.decode("utf-8", "replace")
+    if "\ufffd" in text:
+        raw = text.encode()
     arr, found = np.frombuffer(raw, np.uint8), []
     low = raw.lower()
     if (b":" in raw or b"=" in raw) and any(n in low for n in _NAMES):
-        found += [("assign", m.start(), m.end()) for m in ASSIGN.finditer(raw.decode()) if m.end(2) - m.start(2) >= 6]
+        found += [("assign", m.start(), m.end()) for m in ASSIGN.finditer(text) if m.end(2) - m.start(2) >= 6]
     edges = np.flatnonzero(~_IN[arr])
     edges = np.concatenate(([-1], edges, [len(arr)]))
     runs = np.flatnonzero(np.diff(edges) > WINDOW)
-    extra = []
+    extra, at, seen_to = [], 0, 0
     for k in runs:  # every base hex or access match lies inside such a run of ASCII characters
         b0, b1 = int(edges[k]) + 1, int(edges[k + 1])
-        at = b0 - int(np.count_nonzero((arr[:b0] & 0xC0) == 0x80))
+        at += b0 - seen_to - int(np.count_nonzero((arr[seen_to:b0] & 0xC0) == 0x80))  # code points since the last run
+        seen_to = b0
         s = raw[b0:b1].decode("ascii")
         found += [("access", at + m.start(), at + m.end()) for m in ACCESS.finditer(s) if m.end() - m.start() >= 20]
         found += [("hex", at + m.start(), at + m.end()) for m in HEX.finditer(s) if m.end() - m.start() >= 24]
@@ -120,8 +145,7 @@ def scan(raw: bytes, limits=LIMITS, allow=None) -> list[tuple[str, int, int]]:
             holes += [m.span() for m in FILL_IN.finditer(s)]
         for k, part in outside(s, holes):  # each a candidate of its own
             if part == s or not any(a.fullmatch(part) for a in ok):
-                kind = kind_of(part)
-                found += [(kind, at + k + i, at + k + j) for i, j in random_stretches(part, limits[kind])]
+                found += [(kind, at + k + i, at + k + j) for kind, i, j in random_stretches(part, limits)]
     return sorted(found, key=lambda x: (x[1], KINDS.index(x[0]), x[2]))
 
 

@@ -3,6 +3,7 @@
 import hashlib
 import math
 import re
+import time
 from collections import Counter
 
 import numpy as np
@@ -230,24 +231,30 @@ def test_secret_base_spans_match_plain_regexes(small):
         assert [s for s in secrets.scan(t.encode()) if not s[0].startswith("entropy")] == plain_spans(t), t
 
 
-def plain_entropy(s, limit):
+def plain_entropy(s, limits=secrets.LIMITS):
+    """{(kind, position)} covered by windows that reach the limit of their own class."""
     hit = set()
     for i in range(len(s) - secrets.WINDOW + 1):
-        w = Counter(s[i:i + secrets.WINDOW])
-        if -sum(c / secrets.WINDOW * math.log2(c / secrets.WINDOW) for c in w.values()) >= limit - 1e-9:
-            hit |= set(range(i, i + secrets.WINDOW))
+        win = s[i:i + secrets.WINDOW]
+        mixed = re.search("[0-9]", win) and re.search("[A-Za-z]", win)
+        kind = "entropy_hex" if mixed and re.fullmatch("[0-9a-fA-F]+", win) else \
+            "entropy_alnum" if mixed and re.fullmatch("[0-9A-Za-z]+", win) else "entropy_base64"
+        if -sum(c / secrets.WINDOW * math.log2(c / secrets.WINDOW) for c in Counter(win).values()) >= limits[kind] - 1e-9:
+            hit |= {(kind, k) for k in range(i, i + secrets.WINDOW)}
     return hit
 
 
 def test_entropy_windows_match_brute_force_and_allow_list():
     rng = np.random.default_rng(1)
-    for alphabet in ("ab", "0123456789abcdef", "abcdefghijklmnopqrstuvwxyzABCDEFGHIJ0123456789+/"):
+    for alphabet in ("ab", "0123456789abcdef", "abcdefghijklmnopqrstuvwxyzABCDEFGHIJ0123456789+/", "0123456789ABCDEF-"):
         for n in (20, 21, 60, 200):
             s = "".join(rng.choice(list(alphabet), n)) + "a" * 25
-            for limit in (1.0, 3.0, 3.7):
-                got = secrets.random_stretches(s, limit)
-                assert {x for i, j in got for x in range(i, j)} == plain_entropy(s, limit)
-                assert all(a[1] < b[0] for a, b in zip(got, got[1:]))
+            for limits in (dict.fromkeys(secrets.LIMITS, 1.0), dict.fromkeys(secrets.LIMITS, 3.7), secrets.LIMITS):
+                got = secrets.random_stretches(s, limits)
+                assert {(k, x) for k, i, j in got for x in range(i, j)} == plain_entropy(s, limits)
+                for kind in secrets.LIMITS:
+                    own = [x for x in got if x[0] == kind]
+                    assert all(x[2] < y[1] for x, y in zip(own, own[1:]))
     ok = [re.compile(p) for p in secrets.ALLOW]
     kinds = lambda t: [s[0] for s in secrets.scan(t.encode(), allow=ok)]
     assert kinds("k9Xq2LmZ8vRt4WbY7nPs") == ["entropy_alnum"] and kinds("k9Xq2LmZ8+Rt4WbY/nPs") == ["entropy_base64"]
@@ -265,14 +272,52 @@ def test_random_parts_beside_base_spans_and_fill_ins_are_reported():
         for text, part in ((f"é {s}/token=abcdef ", s + "/"), (f"{hexes}/{s} ", "/" + s), (f"example_key={s} ", "_key=" + s),
                            (f"{s}-placeholder ", s + "-"), (f"{s}/password={hexes}", s + "/")):
             spans = [x for x in secrets.scan(text.encode(), allow=ok) if x[0].startswith("entropy")]
-            at, limit = text.index(part), secrets.LIMITS["entropy_base64"]
-            assert {k - at for _, i, j in spans for k in range(i, j)} == plain_entropy(part, limit), text
+            at = text.index(part)
+            assert {(x, k - at) for x, i, j in spans for k in range(i, j)} == plain_entropy(part), text
             found += len(spans) > 0
     assert found > 400  # of 500
     kinds = lambda t: [x[0] for x in secrets.scan(t.encode(), allow=ok)]
     assert kinds("k9Xq2LmZexampleRt4WbY7nPs") == kinds("k9Xq2LmZ8vRt1234567") == []
 
 
+def test_a_key_is_found_behind_any_prefix():
+    ok = [re.compile(p) for p in secrets.ALLOW]
+    rng = np.random.default_rng(7)
+    keys = ["".join(rng.choice(list("0123456789ABCDEF"), 40)) for _ in range(500)]
+    found = {pre: sum(any(k.startswith("entropy") and i <= len(pre) + 4 and j >= len(pre) + 36
+                          for k, i, j in secrets.scan((pre + key).encode(), allow=ok)) for key in keys)
+             for pre in ("", "id=", "key/", "x_")}
+    assert found[""] >= 450
+    assert all(n >= found[""] for n in found.values()), found
+    prose = "see docs/getting-started/installation-guide and src_main_java_org_example_service/ImplementationFactory"
+    assert secrets.scan(prose.encode(), allow=ok) == []
+
+
+def test_time_grows_with_the_text():
+    ok = [re.compile(p) for p in secrets.ALLOW]
+    line = "é" + "abcdefgh" * 9 + "abc\n"  # 76 characters, each line one allowed run
+
+    def seconds(mb):
+        raw = (line * (mb * 1_000_000 // len(line))).encode()
+        best = []
+        for _ in range(2):
+            t0 = time.process_time()
+            assert secrets.scan(raw, allow=ok) == []
+            best.append(time.process_time() - t0)
+        return min(best)
+
+    assert seconds(8) < 16 * seconds(1)  # quadratic time: 55 times
+
+
+def test_spans_count_code_points_and_bad_bytes_read_as_replacement():
+    key = "k9Xq2LmZ8vRt4WbY7nPs"
+    text = "é日本 " + key + " 😀é " + key + "\n" + "é" * 30 + key
+    at = [m.start() for m in re.finditer(key, text)]
+    assert [x[1] for x in secrets.scan(text.encode())] == at
+    bad = b"\xff\xfe abc \xc3 " + key.encode()
+    assert [x[1:] for x in secrets.scan(bad)] == [(bad.decode("utf-8", "replace").index(key), len(bad.decode("utf-8", "replace")))]
+
+
 def test_secrets_odd_rows(spark):
     d = docs(spark, [*ODD, (9, "é token=abcdefgh", "en")])
     got = secrets.find_secrets(d, out="found").select("doc_id", "found", secrets.listed(F.col("found")).alias("l")).collect()
