@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from basketry.operators import customers as cu
+from basketry.plans import facts
 from basketry.plans.facts import sales
 from basketry.plans.registry import register, with_sales
 
@@ -88,7 +89,7 @@ def purchase_gap_cdf(spark, sf):
 
 @register("rf_features", with_sales(_RF_CTE, select="SELECT * FROM rf"), "J1 H6")
 def rf_features(spark, sf):
-    return cu.rf_features(sales(spark, sf))
+    return cu.rf_features(facts.sales_by_basket(spark, sf), as_of=cu.as_of_date(sales(spark, sf)))
 
 
 @register("rfm_bands", with_sales(_RF_CTE, _RF_LABELS_CTE, select="""

@@ -68,9 +68,10 @@ def forget(spark: SparkSession | None = None) -> None:
             _STAGES.clear()
             _FRAMES.clear()
             _DERIVED.clear()
+            _BUCKETED.clear()
         else:
             app = spark.sparkContext.applicationId
-            for d in (_STAGES, _FRAMES, _DERIVED):
+            for d in (_STAGES, _FRAMES, _DERIVED, _BUCKETED):
                 for k in [k for k in d if k[0] == app]:
                     del d[k]
 
@@ -96,11 +97,42 @@ def basket_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return staged(spark, sf_dir, "baskets", lambda: cu.basket_table(sales(spark, sf_dir)))
 
 
+def sketch_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Units and distinct-count sketches by day and store (staged): any slice is a union of its rows."""
+    from basketry.operators import sketches as sk
+    return staged(spark, sf_dir, "sketches", lambda: sk.daily_sketches(sales(spark, sf_dir)))
+
+
+BUCKETED_COLUMNS = ("ID_Tienda", "ID_Transaccion", "ID_Producto", "Fecha")
+_BUCKETED: dict[tuple[str, str], tuple[str, str]] = {}
+
+
+def sales_by_basket(spark: SparkSession, sf_dir: str, buckets: int | None = None) -> DataFrame:
+    """The fact bucketed and sorted by (store, transaction), written on first use.
+
+    Grouping by basket (baskets, recency and units) needs no shuffle of it: all
+    units of a basket lie in one bucket.  ``buckets`` is the number of tasks of
+    such a stage (``spark.sql.shuffle.partitions`` unless given).  The files lie
+    in the shared folder; the table's entry belongs to the session's catalogue.
+    """
+    key = _key(spark, sf_dir)
+    with _LOCK:
+        name, path = _BUCKETED.get(key, ("", ""))
+        if not name or not sinks.path_exists(spark, path):
+            path = fresh_path(spark, "sales-by-basket")
+            name = "basketry_" + path.rsplit("/", 1)[1].replace("-", "_")
+            n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+            sinks.write_bucketed(sales(spark, sf_dir).select(*BUCKETED_COLUMNS), name, path,
+                                 ("ID_Tienda", "ID_Transaccion"), n)
+            _BUCKETED[key] = (name, path)
+    return spark.table(name)
+
+
 def rf_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Recency and units per basket (staged): scaling, fits and profiles all read it."""
     from basketry.operators import customers as cu
     from basketry.operators import segment as sg
-    return staged(spark, sf_dir, "rf", lambda: cu.rf_features(sales(spark, sf_dir)).select(
+    return staged(spark, sf_dir, "rf", lambda: cu.rf_features(sales_by_basket(spark, sf_dir)).select(
         "ID_Tienda", "ID_Transaccion", *sg.FEATURES))
 
 
@@ -115,10 +147,11 @@ STORE_MIN_COUNT = 3  # baskets an itemset needs in every store, beside the suppo
 
 
 def item_lines(spark: SparkSession, sf_dir: str, item: str = MINING_ITEM) -> DataFrame:
-    """Basket key + item per unit line (item = an attribute of the part)."""
+    """Basket key + item per unit line (item = an attribute of the part), off the bucketed fact:
+    while the parts pass Spark's size check for a broadcast, baskets need no shuffle."""
     part = tb.read_table(spark, sf_dir, "part").select(F.col("p_partkey").alias("ID_Producto"),
                                                        F.col(item).alias("Item"))
-    return sales(spark, sf_dir).select("ID_Tienda", "ID_Transaccion", "ID_Producto").join(part, "ID_Producto") \
+    return sales_by_basket(spark, sf_dir).select("ID_Tienda", "ID_Transaccion", "ID_Producto").join(part, "ID_Producto") \
         .select("ID_Tienda", "ID_Transaccion", "Item")
 
 

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from basketry.operators import customers as cu
 from basketry.operators import kpi
 from basketry.operators import products as pr
 from basketry.operators import segment as sg
+from basketry.operators import sketches as sk
 from basketry.plans import facts
 from basketry.plans.facts import sales
 from basketry.plans.registry import register, with_sales
@@ -140,6 +143,39 @@ def kpi_filtered(spark, sf):
     return kpi.kpi_summary(kpi.slice_sales(sales(spark, sf), SLICE_STORES, SLICE_START, SLICE_END))
 
 
+_SKETCH_COUNTS = """count(*) AS Unidades, count(DISTINCT ID_Producto) AS Productos, count(DISTINCT Nombre_Categoria) AS Categorias,
+       count(DISTINCT (ID_Tienda, ID_Transaccion)) AS Transacciones,
+       true AS Productos_En_Cota, true AS Categorias_En_Cota, true AS Transacciones_En_Cota"""
+
+
+@register("kpi_sketch_bounds", with_sales(select=f"""
+SELECT 'total' AS Corte, {_SKETCH_COUNTS} FROM sales
+UNION ALL SELECT 'tienda ' || ID_Tienda, {_SKETCH_COUNTS} FROM sales GROUP BY ID_Tienda
+UNION ALL SELECT 'mes ' || strftime(Fecha, '%Y-%m'), {_SKETCH_COUNTS} FROM sales GROUP BY strftime(Fecha, '%Y-%m')
+UNION ALL SELECT 'corte', {_SKETCH_COUNTS} FROM sales WHERE ID_Tienda IN ({', '.join(map(str, SLICE_STORES))})
+  AND Fecha BETWEEN DATE '{SLICE_START}' AND DATE '{SLICE_END}'"""), "D1 D2 D4 B9")
+def kpi_sketch_bounds(spark, sf):
+    """Exact distinct counts of many slices, and whether the sketches of the same slices keep their bound."""
+    s, daily = sales(spark, sf), facts.sketch_facts(spark, sf)
+    month, store = F.date_format("Fecha", "yyyy-MM"), F.col("ID_Tienda").cast("string")
+    cuts = F.array(F.lit("total"), F.concat(F.lit("tienda "), store), F.concat(F.lit("mes "), month),
+                   F.when(F.col("ID_Tienda").isin(list(SLICE_STORES)) &
+                          F.col("Fecha").between(F.lit(SLICE_START).cast("date"), F.lit(SLICE_END).cast("date")), "corte"))
+    corte = F.explode(F.filter(cuts, lambda c: c.isNotNull())).alias("Corte")
+    rolled = sk.merged(daily.select(corte, "Unidades", *sk.SKETCHES), "Corte")
+    est = sk.estimates(rolled, "Corte").select("Corte", "Unidades", *[F.col(c).alias(f"e_{c}") for c in sk.SKETCHES])
+
+    def exact(name, *cols):  # distinct pairs first, so that a slice is no single task
+        return s.select(corte, *cols).dropna("any").distinct().groupBy("Corte").agg(F.count(F.lit(1)).alias(name))
+
+    out = est.join(exact("Productos", "ID_Producto"), "Corte", "left") \
+        .join(exact("Categorias", "Nombre_Categoria"), "Corte", "left") \
+        .join(exact("Transacciones", "ID_Tienda", "ID_Transaccion"), "Corte", "left")
+    counts = {c: F.coalesce(F.col(c), F.lit(0)) for c in sk.SKETCHES}
+    return out.select("Corte", "Unidades", *[v.alias(c) for c, v in counts.items()],
+                      *[sk.within(F.col(f"e_{c}"), v).alias(f"{c}_En_Cota") for c, v in counts.items()])
+
+
 @register("kpi_filtered_cat", with_sales(
     f"""s AS (SELECT * FROM sales WHERE ID_Tienda IN ({', '.join(map(str, SLICE_STORES))})
           AND Nombre_Categoria IN ({', '.join(repr(c) for c in SLICE_CATEGORIES)}))""",

@@ -57,6 +57,20 @@ def write_stage(df: DataFrame, root: str, name: str, partition_by=(), compressio
     return path
 
 
+def write_bucketed(df: DataFrame, table: str, path: str, keys, buckets: int) -> DataFrame:
+    """``df`` as Parquet table ``table`` at ``path``, hash-bucketed and sorted by ``keys``.
+
+    Rows are first partitioned as the buckets are, so a task writes one file of one
+    bucket (``buckets`` files in all).  A grouping or join by ``keys`` then reads the
+    buckets side by side without an exchange.  ``keys`` ought to be many and even:
+    a key's rows lie in one bucket.  Null keys make a bucket entry like any other.
+    """
+    keys = list(keys)
+    df.repartition(buckets, *keys).write.format("parquet").bucketBy(buckets, *keys).sortBy(*keys) \
+        .option("path", path).mode("overwrite").saveAsTable(table)
+    return df.sparkSession.table(table)
+
+
 def stage_versions(spark: SparkSession, root: str, name: str) -> DataFrame:
     """Published versions of a stage, newest first."""
     ptr_path = f"{root.rstrip('/')}/_pointers"
