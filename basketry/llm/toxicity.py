@@ -37,8 +37,7 @@ from __future__ import annotations
 
 import unicodedata
 from functools import lru_cache
-from heapq import nlargest
-from itertools import combinations
+from itertools import chain, combinations
 
 import numpy as np
 import pyarrow as pa
@@ -61,11 +60,15 @@ _WORKER: dict = {}
 
 
 # ---------------------------------------------------------------- words
-def letters(token: str) -> str:
-    """The letters of a token in lower case, everything else left out."""
-    if not token.isascii():
-        token = unicodedata.normalize("NFC", token)
-    return "".join(c for c in token.lower() if c.isalpha())
+_LOWER = bytes(range(256)).lower()
+_NO_LETTER = bytes(c for c in range(128) if not chr(c).isalpha())
+
+
+def letters(token: bytes) -> str:
+    """The letters of a token in lower case, everything else left out; bytes that are no UTF-8 read as no letter."""
+    if token.isascii():
+        return token.translate(_LOWER, _NO_LETTER).decode()
+    return "".join(c for c in unicodedata.normalize("NFC", token.decode("utf-8", "replace")).lower() if c.isalpha())
 
 
 def spaced_out(raw: bytes) -> list[bytes]:
@@ -107,8 +110,10 @@ class Kernel:
     """Normalised kernel values of words against fixed landmarks."""
 
     def __init__(self, landmarks: list[str]):
-        self.slot = np.zeros(1 << 18, np.int32)  # code -> row of the landmarks' weights, 0 for none
-        rows: dict[int, np.ndarray] = {}
+        # code -> where its landmarks begin in ``mark`` and ``share``, and how many they are
+        self.first, self.many = np.zeros(1 << 18, np.int32), np.zeros(1 << 18, np.int32)
+        self.landmarks = len(landmarks)
+        rows: dict[int, list[tuple[int, float]]] = {}
         for m, z in enumerate(landmarks):
             code, w = _codes([z])[0], _triples(len(z))[3]
             total = {}
@@ -116,36 +121,50 @@ class Kernel:
                 total[c] = total.get(c, 0.0) + x
             norm = sum(x * x for x in total.values()) ** 0.5
             for c, x in total.items():
-                rows.setdefault(c, np.zeros(len(landmarks)))[m] = x / norm
-        self.rows = np.vstack([np.zeros((1, len(landmarks))), *[r[None] for r in rows.values()]]).astype(np.float32)
-        self.slot[list(rows)] = np.arange(1, len(rows) + 1)
+                rows.setdefault(c, []).append((m, x / norm))
+        self.mark = np.array([m for r in rows.values() for m, _ in r], np.int64)
+        self.share = np.array([x for r in rows.values() for _, x in r])
+        many = np.array([len(r) for r in rows.values()], np.int32)
+        self.first[list(rows)], self.many[list(rows)] = np.cumsum(many) - many, many
 
     def __call__(self, words: list[str]) -> np.ndarray:
         """(len(words), landmarks); words have 3 to ``STRETCH`` letters."""
-        out = np.zeros((len(words), self.rows.shape[1]))
+        out = np.zeros((len(words), self.landmarks))
         size = np.fromiter(map(len, words), np.int64, len(words))
         for n in np.unique(size):
             at = np.flatnonzero(size == n)
             w = _triples(int(n))[3]
-            w32 = w.astype(np.float32)
             for part in np.array_split(at, -(-len(at) * len(w) // (1 << 20))):
                 code = _codes([words[i] for i in part])
-                slot = self.slot[code]
-                r, c = np.nonzero(slot)
+                many = self.many[code]
+                r, c = np.nonzero(many)
                 if not len(r):
                     continue
-                some, begin = np.unique(r, return_index=True)
-                dot = np.add.reduceat(self.rows[slot[r, c]] * w32[c, None], begin, axis=0)
-                # the word's own norm, only where it matters: weights of equal triples add up before they are squared
-                code = code[some]
-                order = np.argsort(code, axis=1)
-                code, weight = np.take_along_axis(code, order, 1), w[order]
-                new = np.ones(code.shape, bool)
-                new[:, 1:] = code[:, 1:] != code[:, :-1]
-                total = np.add.reduceat(weight.ravel(), np.flatnonzero(new))
-                owner = np.r_[0, np.cumsum(new.sum(axis=1))[:-1]]
-                norm = np.add.reduceat(total * total, owner)
-                out[part[some]] = (dot / np.sqrt(norm)[:, None]) ** POWER
+                # each triple meets the few landmarks that have it
+                many = many[r, c]
+                end = np.cumsum(many)
+                at_landmark = np.arange(end[-1]) + np.repeat(self.first[code[r, c]] - (end - many), many)
+                dot = np.bincount(np.repeat(r, many) * self.landmarks + self.mark[at_landmark],
+                                  np.repeat(w[c], many) * self.share[at_landmark], len(part) * self.landmarks)
+                dot = dot.reshape(len(part), self.landmarks)
+                some = np.flatnonzero(dot.any(axis=1))
+                out[part[some]] = (dot[some] / self.norms(code[some], w)[:, None]) ** POWER
+        return out
+
+    @staticmethod
+    def norms(code: np.ndarray, w: np.ndarray) -> np.ndarray:
+        """The words' own norms: weights of equal triples add up before they are squared."""
+        out = np.full(len(code), np.sqrt((w * w).sum()))
+        tidy = np.sort(code, axis=1)
+        twice = np.flatnonzero((tidy[:, 1:] == tidy[:, :-1]).any(axis=1))  # words that hold a triple twice
+        if len(twice):
+            order = np.argsort(code[twice], axis=1)
+            code, weight = tidy[twice], w[order]
+            new = np.ones(code.shape, bool)
+            new[:, 1:] = code[:, 1:] != code[:, :-1]
+            total = np.add.reduceat(weight.ravel(), np.flatnonzero(new))
+            owner = np.r_[0, np.cumsum(new.sum(axis=1))[:-1]]
+            out[twice] = np.sqrt(np.add.reduceat(total * total, owner))
         return out
 
 
@@ -161,7 +180,8 @@ class Model:
     def __init__(self, landmarks, weights, bias, curve=None, base=0.0):
         self.landmarks, self.weights, self.bias, self.curve, self.base = landmarks, weights, bias, curve, base
         self.kernel = Kernel(landmarks) if landmarks else None
-        self.cache: dict[bytes, float] = {}
+        self.cache: dict[bytes, float] = {}  # token -> value
+        self.known: dict[str, float] = {}  # its letters -> value
 
     def values(self, words: list[str]) -> np.ndarray:
         """Raw value of each word (letters only)."""
@@ -182,21 +202,27 @@ class Model:
     def features(self, texts: list[bytes]) -> np.ndarray:
         """(texts, TOP + 1): values of the most toxic words, log of the number of words."""
         words = [raw.split() + spaced_out(raw) for raw in texts]
-        units, cache = [set(w) for w in words], self.cache
-        new = set().union(*units).difference(cache)
+        flat, cache, known = list(chain.from_iterable(words)), self.cache, self.known
+        new = set(flat).difference(cache)
         if len(cache) + len(new) > CACHE_WORDS:
-            cache.clear()
-            new = set().union(*units)
+            cache.clear(), known.clear()
+            new = set(flat)
         new = list(new)
         for at in range(0, len(new), 1 << 14):
             part = new[at:at + (1 << 14)]
-            cache.update(zip(part, self.values([letters(w.decode("utf-8", "replace")) for w in part]).tolist(), strict=True))
+            read = [letters(w) for w in part]
+            fresh = list(set(read).difference(known))
+            known.update(zip(fresh, self.values(fresh).tolist(), strict=True))
+            cache.update(zip(part, map(known.__getitem__, read), strict=True))
+        value = np.fromiter(map(cache.__getitem__, flat), float, len(flat))
         out = np.full((len(texts), TOP + 1), self.bias)
-        for i, (w, u) in enumerate(zip(words, units, strict=True)):
-            best: list[float] = []
-            for x in nlargest(TOP, u, key=lambda x: (cache[x], x)):
-                best += [cache[x]] * (min(TOP, w.count(x)) if len(best) < TOP else 0)
-            out[i, :min(TOP, len(best))] = best[:TOP]
+        end = 0
+        for i, w in enumerate(words):
+            begin, end = end, end + len(w)
+            best = value[begin:end]
+            if len(w) > TOP:
+                best = np.partition(best, len(w) - TOP)[len(w) - TOP:]
+            out[i, :len(best)] = np.sort(best)[::-1]
             out[i, TOP] = np.log1p(len(w))
         return out
 
@@ -280,7 +306,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
                 for s in sentences(t.as_py()):
                     line = [b"", *s.split(), *spaced_out(s), b""]
                     for before, w, after in zip(line, line[1:], line[2:]):
-                        word = letters(w.decode("utf-8", "replace"))
+                        word = letters(w)
                         if 3 <= len(word) <= STRETCH:
                             key = word, xxhash.xxh64_intdigest(b" ".join((before, w, after))) >> 1
                             rows[key] = min(y, rows.get(key, y))

@@ -34,7 +34,7 @@ def test_kernel_matches_brute_force():
 
 def test_units():
     assert tx.spaced_out(b"a b you i d i o t now x y") == [b"idiot"]
-    assert tx.letters("I.d-i0oT!") == "idioT".lower() and tx.letters("É1") == "é"
+    assert tx.letters(b"I.d-i0oT!") == "idioT".lower() and tx.letters("É1".encode()) == "é" and tx.letters(b"\xffab\xfe") == "ab"
     assert all(len(s) <= tx.STRETCH for s in tx.stretches("x" * 1000)) and "".join(
         s[:tx.STEP] for s in tx.stretches("abcdefgh" * 50)).startswith("abcdefgh" * 40)
 
