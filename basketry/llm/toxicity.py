@@ -11,8 +11,8 @@ for each distinct pair of neighbours it is seen between (so that exact and near
 copies of a text add nothing), as toxic only if all texts that hold it there are:
 
 1. words found in toxic sentences far more often than chance allows (likelihood
-   ratio) are the insults seen; the strongest are the landmarks, and they and
-   their spellings with one letter inserted are the positive examples;
+   ratio) are the insults seen; the ``landmarks`` strongest are the landmarks, and all of
+   them and their spellings with one letter inserted are the positive examples;
 2. an SVM with squared hinge loss over the Nystroem features (kernel to the
    landmarks times the inverse root of their kernel matrix) parts them from words
    of clean sentences; then the clean words it finds most toxic join the training
@@ -22,12 +22,13 @@ copies of a text add nothing), as toxic only if all texts that hold it there are
    never falling in a word's value, which gives the score: one chance likeness in a
    long text weighs less than several in a short one.
 
-The model learns from a bounded sample of labelled rows (``sample`` texts a class
-expected, drawn by the hash of the id).  Scoring reads whole texts.
+The model learns from a bounded sample of labelled rows (``sample`` toxic and twice as many
+clean texts expected, drawn by the hash of the id); of the sample's clean words, ``negatives``
+drawn by hash and as many of the most toxic are the negative examples.  Scoring reads whole texts.
 
 Cases: texts that are null, empty or without a word of three letters get the values
 of words that resemble no landmark; words of any length are read whole, in
-overlapping stretches; if training finds no insult, every text gets the share of
+overlapping stretches, in training too; bytes that are no UTF-8 read as no letter; if training finds no insult, every text gets the share of
 toxic texts in the sample (0 without any); several labels of a document count as
 toxic if half of them do; null labels are ignored; repeated rows get equal
 scores; other columns pass unread.
@@ -37,7 +38,7 @@ from __future__ import annotations
 
 import unicodedata
 from functools import lru_cache
-from itertools import chain, combinations
+from itertools import chain, combinations, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -307,9 +308,10 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
                     line = [b"", *s.split(), *spaced_out(s), b""]
                     for before, w, after in zip(line, line[1:], line[2:]):
                         word = letters(w)
-                        if 3 <= len(word) <= STRETCH:
-                            key = word, xxhash.xxh64_intdigest(b" ".join((before, w, after))) >> 1
-                            rows[key] = min(y, rows.get(key, y))
+                        if len(word) >= 3:
+                            place = xxhash.xxh64_intdigest(b" ".join((before, w, after))) >> 1
+                            for key in zip(stretches(word), repeat(place)):
+                                rows[key] = min(y, rows.get(key, y))
             yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in rows], pa.string()),
                                               pa.array([k[1] for k in rows], pa.int64()),
                                               pa.array(list(rows.values()), pa.int32())], names=["w", "c", "y"])
@@ -326,20 +328,21 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     ln = lambda k, e: F.when(k > 0, k * F.log(k / ((k1 + k0) * F.lit(e)))).otherwise(0.0)
     insults = words.withColumn("g", 2 * (ln(k1, share) + ln(k0, 1 - share))) \
         .filter((F.col("g") >= MIN_RATIO) & ((k1 + 0.5) / n1 >= MIN_ODDS * (k0 + 0.5) / n0)) \
-        .orderBy(F.desc("g"), "w").limit(landmarks).collect()
+        .orderBy(F.desc("g"), "w").collect()  # words of the bounded sample
     if not insults:
         return Model([], np.zeros(0), 0.0, base=base)
-    z, strength = [r["w"] for r in insults], np.array([r["k1"] for r in insults], float)
+    bad, strength = [r["w"] for r in insults], np.array([r["k1"] for r in insults], float)
+    z = bad[:landmarks]
     kernel = Kernel(z)
-    kzz = kernel(z)
-    variants = sorted({w[:i] + c + w[i:] for w in z for i in range(1, len(w)) for c in INSERTED if len(w) < STRETCH})
+    kzz, seen_bad = kernel(z), kernel(bad)
+    variants = sorted({w[:i] + c + w[i:] for w in bad for i in range(1, len(w)) for c in INSERTED if len(w) < STRETCH})
     more = kernel(variants)
     clean = words.filter("k1 = 0 or k0 >= k1")
     some = [r["w"] for r in clean.orderBy(F.xxhash64("w"), "w").limit(negatives).collect()]
 
     def fit(neg: list[str]) -> Model:
-        k = np.vstack([kzz, more, kernel(neg)])
-        y = np.r_[np.ones(len(z) + len(more)), -np.ones(len(neg))]
+        k = np.vstack([seen_bad, more, kernel(neg)])
+        y = np.r_[np.ones(len(bad) + len(more)), -np.ones(len(neg))]
         each = np.r_[0.7 * np.sqrt(strength) / np.sqrt(strength).sum(), np.full(len(more), 0.3 / max(1, len(more))),
                      np.full(len(neg), 1 / max(1, len(neg)))]
         return Model(z, *fit_svm(k, kzz, y, each))
