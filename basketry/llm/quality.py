@@ -19,7 +19,8 @@ entropy is not below and byte_share not above theirs.
 Base rules: at least 50 words, and not more than half of them inside 3-word
 windows that occur twice.
 
-Cases: null reads as empty and fails the base rules; a text of any length is
+Cases: null reads as empty and fails the base rules; bytes that are no UTF-8 read as U+FFFD for
+tokens and script, and count as they stand (lead bytes) for characters; a text of any length is
 read whole, in pieces; repeated rows get equal results; an empty table gives an
 empty result; other columns are kept as they are.
 """
@@ -45,6 +46,7 @@ SYMBOLS = "#*$%&|<>"
 MIN_WORDS, MAX_REPEAT = 50, 50  # words; per cent
 CACHE_WORDS, CACHE_CHARS = 150_000, 40
 BIN = 200  # bins a unit in the histograms
+SALTS = 64  # tasks that a language's rows may spread over when they meet their bands
 _WORKER: dict = {}
 
 FACTS = ("n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, n_tokens long, "
@@ -75,7 +77,7 @@ class Fertility:
         for w in words:
             t = cache.get(w)
             if t is None:
-                t = self.encoding.encode_ordinary(" " + w.decode())
+                t = self.encoding.encode_ordinary(" " + w.decode("utf-8", "replace"))
                 if len(w) <= CACHE_CHARS:
                     cache[w] = t
             out += t
@@ -129,7 +131,7 @@ def measure(raw: bytes, fertility: Fertility, need_script: bool = False) -> tupl
         entropy = float(-(p * np.log2(p)).sum() / np.log2(min(ids_n, 256)))
     return (n, word_chars, sum(raw.count(c.encode()) for c in SYMBOLS),
             _dup_lines(raw), _repeat_words(words), ids_n, (word_chars + n) / ids_n if ids_n else 0.0,
-            broken / ids_n if ids_n else 0.0, entropy, _script(raw.decode()) if need_script else None)
+            broken / ids_n if ids_n else 0.0, entropy, _script(raw.decode("utf-8", "replace")) if need_script else None)
 
 
 def figures(docs: DataFrame, text_col: str, lang_col: str | None, out: str, vocabulary: str = VOCABULARY) -> DataFrame:
@@ -198,8 +200,10 @@ def judged(docs: DataFrame, text_col: str = "text", lang_col: str | None = "lang
     b = bands(f.filter("not base_failed"), **band).withColumnRenamed("grp", "g")
     inside = F.col("chars_per_token").between(F.col("low_cpt"), F.col("high_cpt")) \
         & (F.col("entropy") >= F.col("low_entropy")) & (F.col("byte_share") <= F.col("high_bytes"))
-    # one row a language or script; a hot language's rows are split by AQE if the join is not a broadcast
-    return f.join(b, F.col("grp") == F.col("g"), "left") \
+    # one row a language or script, repeated for each salt, so that a hot language's rows spread over tasks
+    b = b.withColumn("salt_", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    salted = f.withColumn("salt", (F.monotonically_increasing_id() % SALTS).cast("int"))
+    return salted.join(b, (F.col("grp") == F.col("g")) & (F.col("salt") == F.col("salt_")), "left") \
         .withColumn("kept", F.coalesce(~F.col("base_failed") & inside, F.lit(False))) \
         .select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(carry)],
                 *[x for x in f.columns if not (x[0] == "c" and x[1:].isdigit())], "kept")
