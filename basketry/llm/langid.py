@@ -85,8 +85,8 @@ def train(rows: DataFrame, id_col: str, text_col: str, lang_col: str, sample_per
     def count(batches):
         total = np.zeros((len(langs), 1 << bits), np.int64)
         for b in batches:
-            for t, lang in zip(b.column("text"), b.column("lang").to_pylist(), strict=True):
-                cp = code_points(t.as_py())
+            for t, lang in zip(b.column("text").cast(pa.binary()), b.column("lang").to_pylist(), strict=True):
+                cp = code_points(readable(t))
                 if cp is not None:
                     for h in buckets(cp, bits):
                         total[index[lang]] += np.bincount(h, minlength=1 << bits)
@@ -102,6 +102,12 @@ def train(rows: DataFrame, id_col: str, text_col: str, lang_col: str, sample_per
     return langs, np.log(prior / prior.sum()), np.log(m / m.sum(axis=1, keepdims=True)).astype(np.float32)
 
 
+def readable(t: pa.Scalar) -> str | None:
+    """The text of a binary value; bytes that are no UTF-8 read as U+FFFD."""
+    raw = t.as_py()
+    return None if raw is None else raw.decode("utf-8", "replace")
+
+
 def score_batch(texts, langs, prior, table: np.ndarray) -> tuple[list[str], list[float]]:
     """Predictions for some texts; ``table`` is the matrix with buckets as rows.
 
@@ -134,7 +140,7 @@ def predict(docs: DataFrame, model, text_col: str = "text", out: str = "language
 
     @F.arrow_udf("struct<lang:string,score:double>")
     def classify(text: pa.Array) -> pa.Array:
-        names, scores = score_batch((t.as_py() for t in text), *shared.value)
+        names, scores = score_batch(map(readable, text.cast(pa.binary())), *shared.value)
         return pa.StructArray.from_arrays([pa.array(names, pa.string()), pa.array(scores, pa.float64())],
                                           names=["lang", "score"])
 

@@ -324,3 +324,11 @@ def test_secrets_odd_rows(spark):
     assert len(got) == len(ODD) + 1 and [r["l"] for r in got] == [""] * len(ODD) + ["assign:2:16"]
     assert secrets.find_secrets(d.limit(0)).count() == 0
     assert hashlib.sha256(b"").hexdigest() == d.limit(1).select(F.sha2(F.lit("").cast("binary"), 256)).first()[0]
+
+
+def test_bytes_that_are_no_utf8(spark):
+    bad = spark.createDataFrame([(1, "61FF62 20"), (2, "FFFE")], "doc_id long, h string") \
+        .select("doc_id", F.unhex(F.regexp_replace("h", " ", "")).cast("string").alias("text"))
+    got = {r["doc_id"]: r["f"] for r in quality.figures(bad, "text", None, "f").collect()}
+    assert got[1]["n_words"] == 1 and got[2]["n_words"] == 1
+    assert langid.predict(bad, (["en"], np.zeros(1), np.zeros((1, 16), np.float32))).count() == 2
