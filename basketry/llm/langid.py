@@ -11,7 +11,8 @@ predicted language.
 
 Cases: a null text and a text without any letter get ``und`` and score 0; ties
 go to the language that is first in code point order; without any training
-row every text is ``und``; texts of any length are read whole, in pieces;
+row every text is ``und``; texts of any length are read whole, in pieces; bytes that
+are no UTF-8 read as U+FFFD, which is no letter;
 repeated rows get equal results; other columns pass unread.
 """
 
