@@ -182,3 +182,34 @@ def test_words_as_numbers_match_plain_words(monkeypatch):
     decontam._kept_powers.cache_clear()
     assert decontam.words_of(None).size == 0
     assert decontam.words_of(b"\xff\xfe ab\xff").tolist() == decontam.words_of("ab").tolist()
+
+
+def test_index_is_fitted_on_every_document(spark, monkeypatch):
+    rng, seen = np.random.default_rng(4), []
+    texts = [" ".join(f"w{i}" for i in rng.integers(0, 400, 40)) for _ in range(2000)] + ["", None]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string").repartition(5)
+    bench = spark.createDataFrame([(1, texts[7])], "item_id long, text string")
+    fit = dc.svd_of_counts
+
+    def looked_at(rows, idf, rank):
+        seen.append(sorted((len(r["k"]), round(r["weight"] * 2002)) for r in rows.collect()))
+        return fit(rows, idf, rank)
+
+    monkeypatch.setattr(dc, "svd_of_counts", looked_at)
+    got = dc.find_leaks(docs, bench).filter("size(leaks) > 0").collect()
+    assert texts[7] in {r["text"] for r in got}
+    sizes = [2 * len(np.unique(dc.hashed(dc.words_of(t)))) for t in texts]
+    assert seen == [sorted([(n, dc.WEIGHT) for n in sizes] + [(sizes[7], 2002)])]
+
+
+def test_weighted_vectors_are_those_of_the_whole_matrix(spark):
+    rng = np.random.default_rng(9)
+    a = rng.poisson(0.4, (300, 12))
+    a[0] = 0
+    weight = rng.random(300)
+    rows = [(np.flatnonzero(r).astype(np.uint16).tobytes(), r[r > 0].astype(np.uint32).tobytes(), float(w)) for r, w in zip(a, weight)]
+    basis = dc.svd_of_counts(spark.createDataFrame([(bytearray(k), bytearray(n), w) for k, n, w in rows],
+                                                   "k binary, n binary, weight double").repartition(4), np.ones(dc.BUCKETS), rank=3)
+    unit = a / np.maximum(np.sqrt((a * a).sum(axis=1)), 1e-9)[:, None] * np.sqrt(weight)[:, None]
+    want = np.linalg.svd(unit)[2][:3]
+    assert np.abs(np.abs((basis[:12].T * want).sum(axis=1)) - 1).max() < 1e-3 and not basis[12:].any()
