@@ -34,7 +34,10 @@ def _key(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
 def build_sales(spark: SparkSession, sf_dir: str) -> str:
     """Write the sales fact stage and return its path."""
     path = fresh_path(spark, "sales")
-    df = tb.sales_view(spark, sf_dir).hint("rebalance", "Anio", "Mes")
+    lines = tb.enriched_lines(spark, sf_dir)
+    # the narrow lines are shuffled, by the month of the calendar; its columns come behind the shuffle
+    month = {"_anio": F.year("Fecha"), "_mes": F.month("Fecha")}
+    df = tb.sales_view(spark, sf_dir, lines.withColumns(month).hint("rebalance", *month).drop(*month))
     # the session keeps the path itself, so no pointer-table entry is published
     df.write.mode("overwrite").option("compression", "snappy").partitionBy("Anio", "Mes").parquet(path)
     return path

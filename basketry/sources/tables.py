@@ -80,9 +80,13 @@ def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.join(heads, "ID_Transaccion").select("ID_Transaccion", "ID_Tienda", "Fecha", "ID_Producto")
 
 
-def sales_view(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The sales fact computed from the driver tables (lazy, no write)."""
-    lines = order_lines(spark, sf_dir)
+def enriched_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unit lines with their category (lazy): what the calendar columns are added to."""
     cats = categories(spark, sf_dir)
-    enriched = en.enrich(lines, product_category(spark, sf_dir, cats), cats, default=UNKNOWN_CATEGORY)
-    return cal.sales_calendar(enriched).select(*SALES_COLUMNS)
+    return en.enrich(order_lines(spark, sf_dir), product_category(spark, sf_dir, cats), cats, default=UNKNOWN_CATEGORY)
+
+
+def sales_view(spark: SparkSession, sf_dir: str, lines: DataFrame | None = None) -> DataFrame:
+    """The sales fact computed from the driver tables (lazy, no write), or from given ``enriched_lines``."""
+    lines = enriched_lines(spark, sf_dir) if lines is None else lines
+    return cal.sales_calendar(lines).select(*SALES_COLUMNS)

@@ -78,3 +78,13 @@ def test_sketches_count_no_nulls_and_read_only_the_small_table(spark, sf):
     assert tuple(none) == (0, 0, 0, 0)
     p = plan(sk.kpi_of(facts.sketch_facts(spark, sf), [1, 2], "1996-01-01", "1996-12-31"))
     assert "ID_Producto" not in p and "PushedFilters" in p and "GreaterThanOrEqual(Fecha" in p
+
+
+def test_the_fact_is_shuffled_without_its_calendar_columns(spark, sf, monkeypatch):
+    plans = []
+    writer = type(spark.range(1).write)
+    monkeypatch.setattr(writer, "parquet", lambda self, path, **_: plans.append(self._df._jdf.queryExecution().optimizedPlan().toString()))
+    facts.build_sales(spark, sf)
+    above, below = plans[0].split("RebalancePartitions")
+    assert "HoraDelDia" in above and "Semana_Anio" in above
+    assert not any(c in below for c in ("HoraDelDia", "Semana_Anio", "DiaSemana", "Dia_Semana"))
