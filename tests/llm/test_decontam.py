@@ -1,5 +1,7 @@
 """Decontamination: brute force, planted paraphrases, the SVD itself and odd inputs."""
 
+import tracemalloc
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -213,3 +215,14 @@ def test_weighted_vectors_are_those_of_the_whole_matrix(spark):
     unit = a / np.maximum(np.sqrt((a * a).sum(axis=1)), 1e-9)[:, None] * np.sqrt(weight)[:, None]
     want = np.linalg.svd(unit)[2][:3]
     assert np.abs(np.abs((basis[:12].T * want).sum(axis=1)) - 1).max() < 1e-3 and not basis[12:].any()
+
+
+def test_sketch_stays_off_the_driver(spark):
+    rows = [(bytearray(k.astype(np.uint16).tobytes()), bytearray(np.ones(len(k), np.uint32).tobytes()), 1.0)
+            for k in (np.unique(RNG.integers(0, dc.BUCKETS, 40)) for _ in range(60))]
+    df = spark.createDataFrame(rows, "k binary, n binary, weight double")
+    tracemalloc.start()
+    basis = dc.svd_of_counts(df, np.ones(dc.BUCKETS), rank=dc.RANK)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 1.5 * basis.nbytes  # the sketch alone has over twice as many bytes
