@@ -100,12 +100,14 @@ def mine(b: DataFrame, min_support: float = 0.10, min_confidence: float = 0.5, n
     from pyspark.ml.fpm import FPGrowth
 
     spark = b.sparkSession
-    items = b.select(F.col("items").cast(T.ArrayType(T.StringType())).alias("items"))
-    if items.isEmpty():
+    if b.isEmpty():
         return spark.createDataFrame([], ITEMSET_SCHEMA), spark.createDataFrame([], RULE_SCHEMA)
-    fp = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence)
-    if num_partitions:
-        fp = fp.setNumPartitions(num_partitions)
+    # like baskets meet in a task, whose trees stay small; equal ones are told apart by their keys
+    items = b.repartitionByRange("items", *[F.col(f"`{c}`") for c in b.columns if c != "items"]) \
+        .select(F.col("items").cast(T.ArrayType(T.StringType())).alias("items"))
+    # a basket is sent to the group of each of its items: as many groups as cores, not as partitions of the input
+    fp = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence,
+                  numPartitions=num_partitions or spark.sparkContext.defaultParallelism)
     model = fp.fit(items)
     itemsets = model.freqItemsets.select(F.array_sort("items").alias("items"), F.col("freq").cast("long"))
     rules = model.associationRules.select(

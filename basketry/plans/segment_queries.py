@@ -299,7 +299,8 @@ UNION ALL {_top('itemsets', 'Productos', 'f', 'its', pf.TOP_ITEMSETS)}"""
 
 @register("verify_outputs", with_sales(*_MINING_CTES, *_Z_CTES, _ASSIGN_CTE, select=_VERIFY_SELECT), "I13")
 def verify_outputs(spark, sf):
+    fact = sales(spark, sf)  # first, as the baskets are read from it
     its, rules = facts.mined(spark, sf)
-    return pf.verify_outputs({"sales": sales(spark, sf),
+    return pf.verify_outputs({"sales": fact,
                               "clusters": sg.assign(_rf(spark, sf), FIXED_CENTERS).select("Cluster"),
                               "rules": bk.rules_report(rules), "itemsets": its})

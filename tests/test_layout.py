@@ -88,3 +88,20 @@ def test_the_fact_is_shuffled_without_its_calendar_columns(spark, sf, monkeypatc
     above, below = plans[0].split("RebalancePartitions")
     assert "HoraDelDia" in above and "Semana_Anio" in above
     assert not any(c in below for c in ("HoraDelDia", "Semana_Anio", "DiaSemana", "Dia_Semana"))
+
+
+def test_mining_groups_follow_the_cores_not_the_input(spark, monkeypatch):
+    from pyspark.ml.fpm import FPGrowth
+
+    rows = [(i, [c for j, c in enumerate("abcd") if i >> j & 1]) for i in range(1, 16)] * 20
+    b = spark.createDataFrame(rows, "ID_Transaccion int, items array<string>").repartition(60)
+    seen, fit = [], FPGrowth.fit
+
+    def looked_at(self, df):
+        seen.append(self.getNumPartitions())
+        return fit(self, df)
+
+    monkeypatch.setattr(FPGrowth, "fit", looked_at)
+    got = {tuple(r["items"]): r["freq"] for r in bk.mine(b, 0.01, 0.5)[0].collect()}
+    assert got == {tuple(s): 20 * sum(set(s) <= set(t) for _, t in rows[:15]) for _, s in rows[:15]}
+    assert seen == [spark.sparkContext.defaultParallelism]
