@@ -125,7 +125,10 @@ def sales_by_basket(spark: SparkSession, sf_dir: str, buckets: int | None = None
             path = fresh_path(spark, "sales-by-basket")
             name = "basketry_" + path.rsplit("/", 1)[1].replace("-", "_")
             n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-            sinks.write_bucketed(sales(spark, sf_dir).select(*BUCKETED_COLUMNS), name, path,
+            # where no fact is there yet, its lines come straight from the joins: the wide stage is not written for them
+            fact = _STAGES.get(key)
+            lines = sales(spark, sf_dir) if fact and sinks.path_exists(spark, fact) else tb.enriched_lines(spark, sf_dir)
+            sinks.write_bucketed(lines.select(*BUCKETED_COLUMNS), name, path,
                                  ("ID_Tienda", "ID_Transaccion"), n)
             _BUCKETED[key] = (name, path)
     return spark.table(name)

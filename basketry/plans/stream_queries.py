@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from basketry.plans.basket_queries import _mining_sql
-from basketry.plans.facts import sales
+from basketry.plans.facts import sales, sales_by_basket
 from basketry.plans.registry import register, with_sales
 from basketry.plans.session import fresh_path
 from basketry.sources import tables as tb
@@ -32,7 +32,7 @@ def _drops(spark, sf):
 
 
 def _split_baskets(spark, sf):
-    lines = sales(spark, sf).select("Fecha", "ID_Tienda", "ID_Transaccion", "ID_Producto")
+    lines = sales_by_basket(spark, sf).select("Fecha", "ID_Tienda", "ID_Transaccion", "ID_Producto")  # no shuffle by basket
     odd = F.pmod(F.col("ID_Producto"), F.lit(2)) == 1
     return tx.raw_transactions(lines.where(odd)), tx.raw_transactions(lines.where(~odd))
 

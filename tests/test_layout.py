@@ -90,6 +90,16 @@ def test_the_fact_is_shuffled_without_its_calendar_columns(spark, sf, monkeypatc
     assert not any(c in below for c in ("HoraDelDia", "Semana_Anio", "DiaSemana", "Dia_Semana"))
 
 
+def test_lines_by_basket_do_not_wait_for_the_wide_fact(spark, sf):
+    want = facts.sales(spark, sf).count()
+    facts.forget(spark)
+    try:
+        assert facts.sales_by_basket(spark, sf).count() == want
+        assert not facts._STAGES  # not written for them
+    finally:
+        facts.forget(spark)
+
+
 def test_mining_groups_follow_the_cores_not_the_input(spark, monkeypatch):
     from pyspark.ml.fpm import FPGrowth
 
