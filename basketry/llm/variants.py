@@ -102,6 +102,12 @@ def words(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_l
         .filter(F.col("n") >= min_count)
 
 
+def _met(rows: DataFrame, other: DataFrame, on, how: str) -> DataFrame:
+    """A join that is never broadcast.  All its sides grow with the data, and Spark takes staged ones for as large as
+    their files: rows repeated under salts or with like keys are packed there to a small part of what they take in memory."""
+    return rows.join(other.hint("merge"), on, how)
+
+
 # ---------------------------------------------------------------- regions
 _KEY = ["la", "lo", "hi", "key"]
 
@@ -136,9 +142,9 @@ def regions(vocabulary: DataFrame, min_length: int = 5, group: int = GROUP) -> D
             break
         on = [*_KEY, "salt"]
         salted = rows.withColumn("salt", F.pmod(F.xxhash64("word"), F.lit(SALTS)).cast("int"))
-        done.append(salted.join(large, on, "left_anti").drop("salt"))
+        done.append(_met(salted, large, on, "left_anti").drop("salt"))
         mid = F.expr("(lo + hi) div 2").cast("int")
-        rows = stage(_keyed(salted.join(large, on, "left_semi").select("word", "n", "long", "la", F.explode(F.array(
+        rows = stage(_keyed(_met(salted, large, on, "left_semi").select("word", "n", "long", "la", F.explode(F.array(
             F.struct(F.col("lo"), mid.alias("hi")), F.struct(mid.alias("lo"), F.col("hi")))).alias("g")).select(
             "word", "n", "long", "la", "g.lo", "g.hi")), "variant-regions")
     out = done[0]
@@ -272,17 +278,18 @@ def near_words(groups: DataFrame) -> DataFrame:
 def roots(forms: DataFrame) -> DataFrame:
     """word, root for every word of ``forms`` (word, form): the end of its chain, by pointer doubling.
 
-    A chain ends since the count at least doubles with each step; many words can share a form,
-    so the looked-up side is repeated under salts.
+    A chain ends since the count at least doubles with each step; many words can share a form, so they
+    are salted, and a form is looked up once for each salt that its words have.
     """
     cur = stage(forms.select("word", F.col("form").alias("root"), F.lit(True).alias("open")), "variant-roots")
     while not cur.filter("open").isEmpty():
-        step = cur.select(F.col("word").alias("root"), F.col("root").alias("next"),
-                          F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
-        cur = stage(cur.withColumn("salt", F.pmod(F.xxhash64("word"), F.lit(SALTS)).cast("int"))
-                    .join(step, ["root", "salt"], "left")
-                    .select("word", F.coalesce("next", "root").alias("root"), F.col("next").isNotNull().alias("open")),
-                    "variant-roots")
+        going = cur.filter("open").select(
+            "word", "root", F.pmod(F.xxhash64("word"), F.lit(SALTS)).cast("int").alias("salt"))
+        step = _met(going.select("root", "salt").distinct(),
+                    cur.select(F.col("word").alias("root"), F.col("root").alias("next")), "root", "inner")
+        cur = stage(_met(going, step, ["root", "salt"], "left")
+                    .select("word", F.coalesce("next", "root").alias("root"), F.col("next").isNotNull().alias("open"))
+                    .unionByName(cur.filter("not open")), "variant-roots")
     return cur.select("word", "root")
 
 
@@ -296,9 +303,9 @@ def variants(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mi
     vocabulary = stage(words(docs, id_col, text_col, min_length, min_count, modulus), "variant-words")
     near = near_words(regions(vocabulary, min_length, group))
     is_form = F.col("best_n") >= factor * F.col("n")
-    full = stage(vocabulary.join(near, "word", "left").select(
+    full = stage(_met(vocabulary, near, "word", "left").select(
         "word", F.when(is_form, F.col("best")).alias("form"), "n", F.coalesce("n_near", F.lit(0)).alias("n_near"),
         F.when(is_form, F.col("best_n")).alias("form_n")), "variant-forms")
     linked = roots(full.filter(F.col("form").isNotNull()))
-    return full.join(linked, "word", "left").select("word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near",
+    return _met(full, linked, "word", "left").select("word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near",
                                                     "form_n")

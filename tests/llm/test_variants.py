@@ -101,3 +101,28 @@ def test_a_chain_of_forms_ends_at_its_root(spark):
     chain = [("word" + "x" * i, "word" + "x" * (i + 1)) for i in range(40)]
     df = spark.createDataFrame(chain, "word string, form string")
     assert {r.root for r in va.roots(df).collect()} == {"word" + "x" * 40}
+
+
+def test_no_table_is_broadcast_and_forms_are_looked_up_once_a_salt(spark, monkeypatch):
+    plans, kept = {}, va.stage
+
+    def recorded(df, tag):
+        plans.setdefault(tag, []).append(df._jdf.queryExecution().executedPlan().toString())
+        return kept(df, tag)
+
+    monkeypatch.setattr(va, "stage", recorded)
+    rows = corpus(1)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    out = va.variants(df, group=8)
+    plans["result"] = [out._jdf.queryExecution().executedPlan().toString()]
+    assert sorted(tuple(r) for r in out.collect()) == brute(rows)
+    assert len(plans["variant-regions"]) > 1 and len(plans["variant-roots"]) > 1
+    assert not [tag for tag, some in plans.items() for plan in some if "Broadcast" in plan]
+    assert not [plan for plan in plans["variant-roots"] if "Generate" in plan]
+
+
+def test_many_words_share_a_form_beside_longer_chains(spark):
+    forms = [(f"spoke{i:04d}", "hub") for i in range(3000)] + [("hub", "rim"), ("rim", "tyre")]
+    forms += [("far" + "x" * i, "far" + "x" * (i + 1)) for i in range(9)]
+    got = {r.word: r.root for r in va.roots(spark.createDataFrame(forms, "word string, form string")).collect()}
+    assert got == {w: "far" + "x" * 9 if w.startswith("far") else "tyre" for w, _ in forms}
