@@ -91,11 +91,14 @@ RULE_SCHEMA = T.StructType([
     T.StructField("support", T.DoubleType())])
 
 
-def mine(b: DataFrame, min_support: float = 0.10, min_confidence: float = 0.5, num_partitions: int | None = None):
+def mine(b: DataFrame, min_support: float = 0.10, min_confidence: float = 0.5, num_partitions: int | None = None,
+         stage=None):
     """K2/K4/K9: FP-Growth itemsets (of every length) and single-consequent rules.
 
     Returns ``(itemsets, rules)`` with sorted item arrays.  Whatever baskets
     there are get mined; without any, both are typed empty frames (Q7).
+    ``stage`` writes a frame and reads it back: FP-Growth asks for its input twice, which shuffles
+    baskets that are not staged twice.
     """
     from pyspark.ml.fpm import FPGrowth
 
@@ -105,6 +108,7 @@ def mine(b: DataFrame, min_support: float = 0.10, min_confidence: float = 0.5, n
     # like baskets meet in a task, whose trees stay small; equal ones are told apart by their keys
     items = b.repartitionByRange("items", *[F.col(f"`{c}`") for c in b.columns if c != "items"]) \
         .select(F.col("items").cast(T.ArrayType(T.StringType())).alias("items"))
+    items = stage(items) if stage else items
     # a basket is sent to the group of each of its items: as many groups as cores, not as partitions of the input
     fp = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence,
                   numPartitions=num_partitions or spark.sparkContext.defaultParallelism)

@@ -39,20 +39,25 @@ def for_baskets(rules: DataFrame, baskets: DataFrame, n: int = 10, keys=("ID_Tie
     beside the basket's own items (``Historial``).
 
     A rule among a basket's best ``n`` is also among the best ``n`` of the item
-    that matched it, so only those are joined: fan-out is n times basket size.
+    that matched it, so only those are joined, one short list of ranks for each item of a basket; the rules'
+    texts come behind the choice.  Ranks number the best rules of all items, which mining bounds: there are at
+    most (mean basket) / (minimum support) items.  Baskets that are bucketed by a key are gathered without a shuffle.
     """
     keys = list(keys)
     per_item = Window.partitionBy("item").orderBy(*_order())
     best = _texts(rules).select("*", F.explode("antecedent").alias("item")) \
         .withColumn("_r", F.row_number().over(per_item)).where(F.col("_r") <= n) \
-        .select("item", "Antecedente_Str", "Consecuente_Str", "confidence", "lift", "support")
-    b_items = baskets.select(*keys, F.explode("items").alias("item"))
-    w = Window.partitionBy(*keys).orderBy(*_order())
+        .select("item", "Antecedente_Str", "Consecuente_Str", "confidence", "lift", "support") \
+        .withColumn("_rank", F.dense_rank().over(Window.orderBy(*_order())))
     # a rule met through several items has one rank: dense_rank numbers the distinct rules
-    top = b_items.join(best, "item").withColumn("Posicion", F.dense_rank().over(w)) \
-        .where(F.col("Posicion") <= n).dropDuplicates([*keys, "Posicion"])
+    ranks = best.groupBy("item").agg(F.collect_set("_rank").alias("_ranks"))
+    # outer joins and the hint, which change no row: no side that is as long as the baskets can be taken for small and broadcast
+    top = baskets.select(*keys, F.explode("items").alias("item")).join(ranks, "item", "left") \
+        .groupBy(*keys).agg(F.slice(F.array_sort(F.array_distinct(F.flatten(F.collect_list("_ranks")))), 1, n).alias("_top"))
     history = baskets.select(*keys, _txt("items").alias("Historial"))
-    return top.join(history, keys).select(
+    chosen = top.hint("merge").join(history, keys).select(*keys, "Historial", F.posexplode("_top").alias("Posicion", "_rank")) \
+        .withColumn("Posicion", F.col("Posicion") + 1)
+    return chosen.join(best.dropDuplicates(["_rank"]), "_rank", "left").select(
         *keys, "Posicion", "Antecedente_Str", "Consecuente_Str", rnd("confidence", 6).alias("Confianza"),
         rnd("lift", 6).alias("Lift"), rnd("support", 6).alias("Soporte"), "Historial")
 

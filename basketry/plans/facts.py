@@ -13,6 +13,7 @@ so files stay near the advisory size whatever the skew.
 
 from __future__ import annotations
 
+import re
 import threading
 
 from pyspark.sql import DataFrame, SparkSession
@@ -107,7 +108,21 @@ def sketch_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 BUCKETED_COLUMNS = ("ID_Tienda", "ID_Transaccion", "ID_Producto", "Fecha")
-_BUCKETED: dict[tuple[str, str], tuple[str, str]] = {}
+_BUCKETED: dict[tuple[str, str, str], tuple[str, str]] = {}
+
+
+def _bucketed(spark: SparkSession, sf_dir: str, name: str, build, keys, buckets: int | None = None) -> DataFrame:
+    """A frame derived from the tables of ``sf_dir``, written bucketed and sorted by ``keys`` on first use.
+    The files lie in the shared folder; the table's entry belongs to the session's catalogue."""
+    key = (*_key(spark, sf_dir), name)
+    with _LOCK:
+        table, path = _BUCKETED.get(key, ("", ""))
+        if not table or not sinks.path_exists(spark, path):
+            path = fresh_path(spark, name)
+            table = "basketry_" + re.sub(r"\W", "_", path.rsplit("/", 1)[1])
+            sinks.write_bucketed(build(), table, path, keys, buckets or int(spark.conf.get("spark.sql.shuffle.partitions")))
+            _BUCKETED[key] = (table, path)
+    return spark.table(table)
 
 
 def sales_by_basket(spark: SparkSession, sf_dir: str, buckets: int | None = None) -> DataFrame:
@@ -115,23 +130,15 @@ def sales_by_basket(spark: SparkSession, sf_dir: str, buckets: int | None = None
 
     Grouping by basket (baskets, recency and units) needs no shuffle of it: all
     units of a basket lie in one bucket.  ``buckets`` is the number of tasks of
-    such a stage (``spark.sql.shuffle.partitions`` unless given).  The files lie
-    in the shared folder; the table's entry belongs to the session's catalogue.
+    such a stage (``spark.sql.shuffle.partitions`` unless given).
     """
-    key = _key(spark, sf_dir)
-    with _LOCK:
-        name, path = _BUCKETED.get(key, ("", ""))
-        if not name or not sinks.path_exists(spark, path):
-            path = fresh_path(spark, "sales-by-basket")
-            name = "basketry_" + path.rsplit("/", 1)[1].replace("-", "_")
-            n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-            # where no fact is there yet, its lines come straight from the joins: the wide stage is not written for them
-            fact = _STAGES.get(key)
-            lines = sales(spark, sf_dir) if fact and sinks.path_exists(spark, fact) else tb.enriched_lines(spark, sf_dir)
-            sinks.write_bucketed(lines.select(*BUCKETED_COLUMNS), name, path,
-                                 ("ID_Tienda", "ID_Transaccion"), n)
-            _BUCKETED[key] = (name, path)
-    return spark.table(name)
+    def lines():
+        # where no fact is there yet, its lines come straight from the joins: the wide stage is not written for them
+        fact = _STAGES.get(_key(spark, sf_dir))
+        return (sales(spark, sf_dir) if fact and sinks.path_exists(spark, fact) else tb.enriched_lines(spark, sf_dir)) \
+            .select(*BUCKETED_COLUMNS)
+
+    return _bucketed(spark, sf_dir, "sales-by-basket", lines, ("ID_Tienda", "ID_Transaccion"), buckets)
 
 
 def rf_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -162,10 +169,18 @@ def item_lines(spark: SparkSession, sf_dir: str, item: str = MINING_ITEM) -> Dat
 
 
 def mining_baskets(spark: SparkSession, sf_dir: str, item: str = MINING_ITEM) -> DataFrame:
-    """Baskets of at least two distinct items (staged: mining, pairs and recommendations read it)."""
+    """Baskets of at least two distinct items (mining, pairs and recommendations read it), bucketed by basket:
+    what is looked up for their items is gathered again without a shuffle."""
     from basketry.operators import basket as bk
-    return staged(spark, sf_dir, f"mining-baskets-{item}",
-                  lambda: bk.baskets(item_lines(spark, sf_dir, item), "Item", min_size=2))
+
+    def build():
+        # where the lines by basket are not there yet, they are not written for these; a basket is a set, so lines
+        # that a repeated product doubles there do not matter
+        _, path = _BUCKETED.get((*_key(spark, sf_dir), "sales-by-basket"), ("", ""))
+        lines = item_lines if path and sinks.path_exists(spark, path) else tb.order_items
+        return bk.baskets(lines(spark, sf_dir, item), "Item", min_size=2)
+
+    return _bucketed(spark, sf_dir, f"mining-baskets-{item}", build, ("ID_Tienda", "ID_Transaccion"))
 
 
 def n_mining_baskets(spark: SparkSession, sf_dir: str, item: str = MINING_ITEM):
@@ -177,8 +192,17 @@ def mined(spark: SparkSession, sf_dir: str, item: str = MINING_ITEM) -> tuple[Da
     """Itemsets of all lengths and rules for ``sf_dir``: FP-Growth runs once, the
     itemsets are staged, and the rules are read off the staged itemsets."""
     from basketry.operators import basket as bk
-    its = staged(spark, sf_dir, f"itemsets-{item}",
-                 lambda: bk.mine(mining_baskets(spark, sf_dir, item), MINING_MIN_SUPPORT, MINING_MIN_CONFIDENCE)[0])
+    paths: list[str] = []
+
+    def stage(df):
+        paths.append(fresh_path(spark, f"transactions-{item}"))
+        df.write.parquet(paths[-1])
+        return spark.read.schema(df.schema).parquet(paths[-1])
+
+    its = staged(spark, sf_dir, f"itemsets-{item}", lambda: bk.mine(
+        mining_baskets(spark, sf_dir, item), MINING_MIN_SUPPORT, MINING_MIN_CONFIDENCE, stage=stage)[0])
+    for path in paths:  # the itemsets are written: nothing reads them any more
+        sinks.delete_path(spark, path)
     rules = staged(spark, sf_dir, f"rules-{item}", lambda: bk.rules_from(
         its, n_mining_baskets(spark, sf_dir, item), MINING_MIN_CONFIDENCE))
     return its, rules

@@ -67,19 +67,34 @@ def product_category(spark: SparkSession, sf_dir: str, cats: DataFrame | None =
     return part.join(cats, "Nombre_Categoria").select("ID_Producto", "ID_Categoria")
 
 
-def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Clean unit lines: ID_Transaccion, ID_Tienda, Fecha, ID_Producto."""
+def order_heads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders with the nation of their customer: ID_Transaccion, ID_Tienda, Fecha."""
     orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     cust = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    heads = (orders.join(cust, orders.o_custkey == cust.c_custkey)
-             .select(F.col("o_orderkey").alias("ID_Transaccion"),
-                     F.col("c_nationkey").alias("ID_Tienda"),
-                     F.to_date("o_orderdate").alias("Fecha")))
+    return (orders.join(cust, orders.o_custkey == cust.c_custkey)
+            .select(F.col("o_orderkey").alias("ID_Transaccion"),
+                    F.col("c_nationkey").alias("ID_Tienda"),
+                    F.to_date("o_orderdate").alias("Fecha")))
+
+
+def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clean unit lines: ID_Transaccion, ID_Tienda, Fecha, ID_Producto."""
+    heads = order_heads(spark, sf_dir)
     lines = read_table(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").alias("ID_Transaccion"), F.col("l_partkey").alias("ID_Producto"))
     return lines.join(heads, "ID_Transaccion").select("ID_Transaccion", "ID_Tienda", "Fecha", "ID_Producto")
 
 
+def order_items(spark: SparkSession, sf_dir: str, item: str) -> DataFrame:
+    """Basket key + item per unit line (item = an attribute of the part).  The parts are joined before the heads, so that
+    the lines end up side by side by transaction and baskets need no further shuffle, whether the parts are broadcast or not."""
+    part = read_table(spark, sf_dir, "part").select(F.col("p_partkey").alias("ID_Producto"), F.col(item).alias("Item"))
+    lines = read_table(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").alias("ID_Transaccion"), F.col("l_partkey").alias("ID_Producto"))
+    return lines.join(part, "ID_Producto").drop("ID_Producto") \
+        .join(order_heads(spark, sf_dir).drop("Fecha"), "ID_Transaccion").select("ID_Tienda", "ID_Transaccion", "Item")
+
+
 def enriched_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Unit lines with their category (lazy): what the calendar columns are added to."""
     cats = categories(spark, sf_dir)

@@ -115,3 +115,68 @@ def test_mining_groups_follow_the_cores_not_the_input(spark, monkeypatch):
     got = {tuple(r["items"]): r["freq"] for r in bk.mine(b, 0.01, 0.5)[0].collect()}
     assert got == {tuple(s): 20 * sum(set(s) <= set(t) for _, t in rows[:15]) for _, s in rows[:15]}
     assert seen == [spark.sparkContext.defaultParallelism]
+
+
+def retail(spark, root):
+    """Tables with repeated and null keys: a product that comes twice, one without a brand, orders without a customer."""
+    rng = random.Random(11)
+    brands = [f"B{i}" for i in range(6)]
+    part = [(i, brands[i % 6] if i else None, f"T{i % 3}", i % 50) for i in range(40)] + [(7, "B1", "T1", 7), (7, "B3", "T0", 7)]
+    orders = [(i, i % 9 if i % 8 else None, dt.datetime(2020, 1, 1 + i % 28)) for i in range(300)] + [(None, 1, None), (5, 2, None)]
+    lines = [(rng.choice([*range(300), None]), rng.choice([*range(45), None])) for _ in range(1500)]
+    for name, rows, schema in (("part", part, "p_partkey int, p_brand string, p_type string, p_size int"),
+                               ("orders", orders, "o_orderkey long, o_custkey int, o_orderdate timestamp"),
+                               ("customer", [(i, i % 4 if i else None) for i in range(9)], "c_custkey int, c_nationkey int"),
+                               ("lineitem", lines, "l_orderkey long, l_partkey int")):
+        spark.createDataFrame(rows, schema).write.parquet(f"{root}/{name}.parquet")
+    return str(root)
+
+
+def test_mining_baskets_do_not_wait_for_the_lines_by_basket(spark, tmp_path):
+    root = retail(spark, tmp_path)
+    key = lambda df: sorted((str(r.ID_Tienda), r.ID_Transaccion, tuple(r["items"])) for r in df.collect())
+    got = key(facts.mining_baskets(spark, root))
+    assert len(got) > 100 and any(s == "None" for s, _, _ in got)
+    assert not [k for k in facts._BUCKETED if k[1] == root and k[2] == "sales-by-basket"]  # not written for them
+    assert got == key(bk.baskets(facts.item_lines(spark, root), "Item"))
+    facts._BUCKETED.pop((*facts._key(spark, root), f"mining-baskets-{facts.MINING_ITEM}"))
+    assert got == key(facts.mining_baskets(spark, root))  # now from the lines by basket
+
+
+def test_recommendations_gather_baskets_without_shuffle_or_broadcast_of_them(spark, sf, tmp_path):
+    from basketry.operators import recommend as rc
+
+    spark.createDataFrame([(["Brand#11"], ["Brand#12"], .5, 1.5, .1)],
+                          "antecedent array<string>, consequent array<string>, confidence double, lift double, support double") \
+        .write.parquet(f"{tmp_path}/rules")
+    df = rc.for_baskets(spark.read.parquet(f"{tmp_path}/rules"), facts.mining_baskets(spark, sf), 3)
+    assert not [x for x in exchanges(df) if "ID_Transaccion" in x], plan(df)
+    joins = [x for x in plan(df).splitlines() if "Join" in x]
+    assert len(joins) == 3 and not [x for x in joins if "BuildLeft" in x], plan(df)
+    assert [x for x in joins if "ID_Transaccion" in x and "SortMergeJoin" in x], plan(df)
+    assert "WindowGroupLimit [ID_Tienda" not in plan(df)  # rules' texts are not sorted by basket
+
+
+def test_mining_shuffles_its_baskets_once(spark, tmp_path, monkeypatch):
+    from pyspark.ml.fpm import FPGrowth
+
+    root = retail(spark, tmp_path)
+    plans, fit = [], FPGrowth.fit
+
+    def looked_at(self, df):
+        plans.append(plan(df))
+        return fit(self, df)
+
+    monkeypatch.setattr(FPGrowth, "fit", looked_at)
+    its, _ = facts.mined(spark, root)
+    want = {tuple(r["items"]): r["freq"] for r in bk.mine(facts.mining_baskets(spark, root), facts.MINING_MIN_SUPPORT, 0.5)[0].collect()}
+    assert {tuple(r["items"]): r["freq"] for r in its.collect()} == want and len(want) > 6
+    assert "Exchange" not in plans[0] and "Exchange" in plans[1]
+    folder = fresh_path(spark, "x").rsplit("/", 1)[0]
+    assert not [r for r in names_in(spark, folder) if r.startswith("transactions-")]  # given up once mined
+
+
+def names_in(spark, folder):
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return [s.getPath().getName() for s in fs.listStatus(path)]

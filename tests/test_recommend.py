@@ -60,3 +60,31 @@ def test_no_rules_and_no_baskets(spark):
     r, b = "antecedent array<string>", "ID_Tienda int, ID_Transaccion long, items array<string>"
     assert rc.next_items(spark.createDataFrame([], RULE), spark.createDataFrame(baskets, b)).count() == 0
     assert rc.next_items(spark.createDataFrame(rules, RULE), spark.createDataFrame([], b)).count() == 0
+
+
+def brute_any(rules, baskets, n):
+    """Rules with an antecedent item in the basket; baskets of equal keys are chosen for together, each is given."""
+    out, items = [], {}
+    for s, t, own in baskets:
+        items.setdefault((s, t), set()).update(own)
+    for s, t, own in baskets:
+        if s is None or t is None:
+            continue
+        hits = sorted({(-lift, ",".join(sorted(a)), ",".join(sorted(c)), conf, sup) for a, c, conf, lift, sup in rules
+                       if set(a) & items[s, t]})[:n]
+        out += [(s, t, i + 1, a, c, round(conf, 6), round(-nl, 6), round(sup, 6), ",".join(sorted(own)))
+                for i, (nl, a, c, conf, sup) in enumerate(hits)]
+    return sorted(out)
+
+
+@pytest.mark.parametrize("n", [1, 3, 10])
+def test_rules_of_any_item_equal_every_rule_on_every_basket(spark, n):
+    rules, baskets = planted(n, True)
+    baskets += [(None, 1, ["i01"]), (5, None, ["i02"]), (1, 0, ["i07", "i09"]), (6, 1, ["i04", None])]
+    df = spark.createDataFrame(baskets, "ID_Tienda int, ID_Transaccion long, items array<string>")
+    got = rc.for_baskets(spark.createDataFrame(rules, RULE), df, n)
+    assert got.columns == ["ID_Tienda", "ID_Transaccion", "Posicion", "Antecedente_Str", "Consecuente_Str", "Confianza",
+                           "Lift", "Soporte", "Historial"]
+    assert dict(got.dtypes)["Posicion"] == "int"
+    own = [(s, t, [x for x in items if x is not None]) for s, t, items in baskets]
+    assert sorted(tuple(r) for r in got.collect()) == brute_any(rules, own, n)
